@@ -10,7 +10,9 @@ _SPACE_POINTS = (
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF,
 )
 JS_SPACE = "".join(map(chr, _SPACE_POINTS))
-_S = "[" + "".join(rf"\x{{{p:X}}}" for p in _SPACE_POINTS) + "]"
+_S = (
+    r"[\t\n\x0B\f\r \xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+)
 _REST_OF_LINE = r"[^\n\r\x{2028}\x{2029}]"
 
 
@@ -18,6 +20,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is read."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _found(c: Column, pattern: str, group: int) -> Column:
     """The group, or NULL where nothing matched (regexp_extract gives '')."""
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
@@ -60,14 +67,16 @@ def item_name(title, tail: str = r"\s+Film.*\z") -> Column:
 
 def parse_size_mb(c, label: str = "File Size:") -> Column:
     """Megabytes after the label. 0 without a match, NaN where the number does not start well."""
-    text = _col(c)
-    pattern = f"(?i){label}{_S}*([0-9.]+){_S}*(MB|GB)"
-    token = F.regexp_extract(text, pattern, 1)
-    number = _found(token, r"^([0-9]+\.?[0-9]*|\.[0-9]+)", 1).cast("double")
-    factor = F.when(F.upper(F.regexp_extract(text, pattern, 2)) == "GB", 1024.0).otherwise(1.0)
-    return F.when(F.coalesce(token, F.lit("")) == "", F.lit(0.0)).otherwise(
-        F.coalesce(number, F.lit(float("nan"))) * factor
-    )
+    size = F.regexp_extract(_col(c), f"(?i){label}{_S}*([0-9.]+{_S}*[MG]B)", 1)
+
+    def value(m):
+        number = _found(m, r"^([0-9]+\.?[0-9]*|\.[0-9]+)", 1).cast("double")
+        factor = F.when(F.upper(m).endswith("GB"), 1024.0).otherwise(1.0)
+        return F.when(F.coalesce(m, F.lit("")) == "", F.lit(0.0)).otherwise(
+            F.coalesce(number, F.lit(float("nan"))) * factor
+        )
+
+    return let(size, value)
 
 
 def to_fixed_2(x) -> Column:

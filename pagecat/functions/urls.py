@@ -9,10 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import _col, js_trim
+from .text import _col, js_trim, let
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
-_PARTS = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#:]+)(?::([0-9]*))?([^?#]*)(\?[^#]*)?(#.*)?\z"
+_PARTS = (
+    r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#:\s<>\\^|%]+)(?::([0-9]*))?"
+    r"([^?#]*)(\?[^#]*)?(#.*)?\z"
+)
+_CUT = "\x01"
 
 # Characters a path, a query and a fragment keep unescaped.
 _KEEP_PATH = r"[!$%&'()*+,\-./0-9:;=@A-Z\[\\\]_a-z|~]"
@@ -51,54 +55,51 @@ def _no_dots(path: Column) -> Column:
 
 def _clean(url) -> Column:
     """Strip outer white space and drop tabs and line breaks inside."""
-    return F.translate(js_trim(url), "\t\n\r", "")
+    return F.translate(js_trim(url), "\t\n\r" + _CUT, "")
 
 
-def _path_of(url: Column) -> Column:
-    raw = F.translate(F.regexp_extract(url, _PARTS, 4), "\\", "/")
-    return F.when(raw == "", F.lit("/")).otherwise(_escape(_no_dots(raw), _KEEP_PATH))
+def _parts(url: Column) -> Column:
+    """Scheme, host, port, path, query and fragment by one match; one element for what is no full address."""
+    return F.split(F.regexp_replace(url, _PARTS, _CUT.join(f"${i}" for i in range(1, 7))), _CUT)
 
 
-def _is_full(url: Column) -> Column:
-    """A full address whose host has no white space."""
-    return url.rlike(_PARTS) & ~F.regexp_extract(url, _PARTS, 2).rlike(r"[\s<>\\^|%]")
+def _path(p: Column) -> Column:
+    raw = F.translate(p[3], "\\", "/")
+    return F.when(raw == "", F.lit("/")).otherwise(let(_no_dots(raw), lambda x: _escape(x, _KEEP_PATH)))
+
+
+def _origin(p: Column) -> Column:
+    own = F.concat(F.lower(p[0]), p[2]).isin("http", "http80", "https", "https443") | (p[2] == "")
+    return F.concat(
+        F.lower(p[0]), F.lit("://"), F.lower(p[1]),
+        F.when(own, F.lit("")).otherwise(F.concat(F.lit(":"), p[2])),
+    )
+
+
+def _full(p: Column) -> Column:
+    return F.size(p) == 6
 
 
 def url_path(url) -> Column:
     """The path with its leading slash; NULL for an address that is none."""
-    u = _clean(url)
-    return F.when(_is_full(u), _path_of(u))
+    return let(_parts(_clean(url)), lambda p: F.when(_full(p), _path(p)))
 
 
 def url_origin(url) -> Column:
     """Scheme, host and a port that is not the scheme's own; NULL for an address that is none."""
-    u = _clean(url)
-    scheme = F.lower(F.regexp_extract(u, _PARTS, 1))
-    port = F.regexp_extract(u, _PARTS, 3)
-    own = (
-        (port == "")
-        | ((scheme == "http") & (port == "80"))
-        | ((scheme == "https") & (port == "443"))
-    )
-    origin = F.concat(
-        scheme,
-        F.lit("://"),
-        F.lower(F.regexp_extract(u, _PARTS, 2)),
-        F.when(own, F.lit("")).otherwise(F.concat(F.lit(":"), port)),
-    )
-    return F.when(_is_full(u), origin)
+    return let(_parts(_clean(url)), lambda p: F.when(_full(p), _origin(p)))
 
 
 def _joined(base: Column, ref: Column) -> Column:
     """The reference laid over its base, before the result is put in normal form."""
-    no_fragment = F.regexp_extract(base, r"(?s)^([^#]*)", 1)
-    no_query = F.regexp_extract(base, r"(?s)^([^?#]*)", 1)
+    no_fragment = F.substring_index(base, "#", 1)
+    no_query = F.substring_index(no_fragment, "?", 1)
     root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     folder = F.regexp_extract(no_query, r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*://[^/]*/(?:.*/)?)", 1)
     return (
-        F.when(ref.rlike(_SCHEME), ref)
-        .when(ref.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), ref))
+        F.when(ref.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), ref))
         .when(ref.startswith("/"), F.concat(root, ref))
+        .when(ref.rlike(_SCHEME), ref)
         .when(ref == "", no_fragment)
         .when(ref.startswith("?"), F.concat(no_query, ref))
         .when(ref.startswith("#"), F.concat(no_fragment, ref))
@@ -108,26 +109,23 @@ def _joined(base: Column, ref: Column) -> Column:
 
 
 def _normal(url: Column) -> Column:
-    query = F.regexp_extract(url, _PARTS, 5)
-    fragment = F.regexp_extract(url, _PARTS, 6)
-    full = F.concat(
-        url_origin(url),
-        _path_of(url),
-        F.when(query == "", F.lit("")).otherwise(_escape(query, _KEEP_QUERY)),
-        F.when(fragment == "", F.lit("")).otherwise(_escape(fragment, _KEEP_FRAGMENT)),
-    )
-    # mailto: and the like have no host and stay as written
-    other = F.when(url.rlike(_SCHEME) & ~url.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), url)
-    return F.when(_is_full(url), full).otherwise(other)
+    def spelled(p):
+        query = F.when(p[4] == "", F.lit("")).otherwise(_escape(p[4], _KEEP_QUERY))
+        fragment = F.when(p[5] == "", F.lit("")).otherwise(_escape(p[5], _KEEP_FRAGMENT))
+        # mailto: and the like have no host and stay as written
+        other = F.when(p[0].rlike(_SCHEME) & ~p[0].rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), p[0])
+        return F.when(_full(p), F.concat(_origin(p), _path(p), query, fragment)).otherwise(other)
 
+    return let(_parts(url), spelled)
 
-def with_resolved(df: DataFrame, base: str, ref: str, out: str = "abs_url") -> DataFrame:
-    """Add the full address of ``ref`` as seen from ``base``; NULL stays NULL.
 
-    Two projections, so that the joined text is built once and then read several times.
-    """
-    joined = _joined(_clean(base), _clean(ref))
-    return df.withColumn("__joined", joined).withColumn(out, _normal(F.col("__joined"))).drop("__joined")
+def url_resolve(base, ref) -> Column:
+    """The full address of ``ref`` as seen from ``base``; NULL for a NULL and for what is no address."""
+    return let(_clean(base), lambda b: let(_clean(ref), lambda r: _normal(_joined(b, r))))
+
+
+def with_resolved(df: DataFrame, base: str, ref: str, out: str = "abs_url") -> DataFrame:
+    return df.withColumn(out, url_resolve(base, ref))
 
 
 def poster_ref(srcset, src) -> Column:
@@ -135,10 +133,10 @@ def poster_ref(srcset, src) -> Column:
     image = F.coalesce(
         F.nullif(_col(srcset), F.lit("")), F.nullif(_col(src), F.lit(""))
     )
-    token = F.substring_index(image, " ", 1)
-    return F.when(
-        token.startswith("http"), F.coalesce(url_path(token), token)
-    ).otherwise(token)
+    return let(
+        F.substring_index(image, " ", 1),
+        lambda x: F.when(x.startswith("http"), F.coalesce(url_path(x), x)).otherwise(x),
+    )
 
 
 def rebase(base, ref) -> Column:

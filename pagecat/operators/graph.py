@@ -7,33 +7,40 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut
 
 
-def orbit(starts: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+def orbit(starts: DataFrame, edges: DataFrame, max_depth: int | None = None, circles: bool = True) -> DataFrame:
     """Every node reached from each start where a node has one successor at most.
 
     starts(start, node), edges(node, next) give (start, node, depth). Jumps double in length each round,
-    so a walk of n steps needs about log2(n) rounds. A walk that closes a circle ends there.
+    so a walk of n steps needs about log2(n) rounds. A walk that closes a circle ends there; with
+    ``circles=False`` the caller knows that there are none, which saves looking for nodes seen before.
     """
-    edges = edges.select("node", F.col("next").alias("__next")).filter("__next IS NOT NULL")
-    reached = cut(starts.select("start", "node", F.lit(0).alias("depth")))
-    jumps, length = cut(edges), 1
+    jumps = edges.select("node", F.col("next").alias("__next")).filter("__next IS NOT NULL")
+    reached = starts.select("start", "node", F.lit(0).alias("depth"))
+    if circles:  # without circles the caller's tables are small walks already cut
+        jumps, reached = cut(jumps), cut(reached)
+    length = 1
     while max_depth is None or length <= max_depth:
         ahead = reached.join(jumps, "node").select(
             "start", F.col("__next").alias("node"), (F.col("depth") + length).alias("depth")
         )
         if max_depth is not None:
             ahead = ahead.filter(F.col("depth") <= max_depth)
-        # On a circle a node comes up again: only nodes new to this start count, at their first depth.
-        new = cut(
-            ahead.join(reached.select("start", "node"), ["start", "node"], "left_anti")
-            .groupBy("start", "node").agg(F.min("depth").alias("depth"))
-        )
-        if new.isEmpty():
+        if circles:
+            # On a circle a node comes up again: only nodes new to this start count, at their first depth.
+            ahead = (
+                ahead.join(reached.select("start", "node"), ["start", "node"], "left_anti")
+                .groupBy("start", "node").agg(F.min("depth").alias("depth"))
+            )
+        ahead = cut(ahead)
+        if ahead.isEmpty():
             break
-        reached = reached.unionByName(new)
+        reached = reached.unionByName(ahead)
         length *= 2
         if max_depth is None or length <= max_depth:
             onward = jumps.select(F.col("node").alias("__next"), F.col("__next").alias("__far"))
             jumps = cut(jumps.join(onward, "__next").select("node", F.col("__far").alias("__next")))
+            if jumps.isEmpty():
+                break
     return reached
 
 

@@ -8,6 +8,7 @@ rows of one key and instant to one, so a slice never holds more rows than it has
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -83,42 +84,107 @@ def running(df: DataFrame, by, at: str, tie=(), last: dict[str, Column] | None =
     )
 
 
-def latest_fact(points: DataFrame, facts: DataFrame, by, at: str, fact_at: str, fields,
-                within_us: int | None = None, offset_us: int = 0, forward: bool = False,
-                tie=(), out: str = "fact") -> DataFrame:
-    """Add to every point the latest fact of its key at or before it (``forward``: the first after it).
+@dataclass(frozen=True)
+class Fact:
+    """What to look up: the row of ``rows`` latest at or before the point, or first at or after it.
 
-    ``offset_us`` moves the point, so -1 means strictly before and, forward, 1 strictly after.
-    ``within_us`` is how far back (or ahead) a fact may lie, counted from the moved point, inclusive.
-    Facts of one instant: the greatest by ``tie`` counts. The result column is a struct or NULL.
+    ``strict`` leaves out the point's own instant, ``shift_us`` starts the search that much later,
+    ``within_us`` bounds the distance from there (inclusive), ``tie`` decides among facts of one instant.
+    The result is a struct of ``fields`` called ``name``, or NULL.
+    """
+
+    name: str
+    rows: DataFrame
+    at: str
+    fields: tuple[str, ...]
+    within_us: int | None = None
+    strict: bool = False
+    forward: bool = False
+    shift_us: int = 0
+    tie: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Tally:
+    """What to add up: ``delta`` of all rows at or before the point."""
+
+    name: str
+    rows: DataFrame
+    at: str
+    delta: int
+
+
+def lookup(points: DataFrame, by, at: str, facts=(), tallies=()) -> DataFrame:
+    """(keys, __t, one column per fact and tally) for every distinct instant of the points.
+
+    All facts of one direction share a single pass: rows of every kind are first reduced to one
+    per key and instant, then read in order within their slices.
     """
-    sign = F.lit(-1 if forward else 1)
-    point_axis = sign * (micros(at) + F.lit(offset_us))
     by = list(by)
-    keys = by
-    if not by:  # one key for all, still spread over slices
-        points, facts = points.withColumn("__all", F.lit(0)), facts.withColumn("__all", F.lit(0))
-        keys = ["__all"]
-    value = F.struct(
-        F.struct(*[F.col(t) for t in tie], F.lit(0).alias("__z")).alias("o"),
-        F.struct(*[F.col(f) for f in fields]).alias("v"),
-    )
-    marks = points.select(*keys, point_axis.alias("__t"), F.lit(True).alias("__p"), F.lit(None).alias("__f"))
-    marks = marks.unionByName(
-        facts.select(*keys, (sign * micros(fact_at)).alias("__t"), F.lit(False).alias("__p"), value.alias("__f"))
-    )
-    instants = marks.filter(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(
-        F.max("__p").alias("__p"), F.max("__f").alias("__f")
-    )
-    seen = F.when(F.col("__f").isNotNull(), F.struct(F.col("__t").alias("t"), F.col("__f.v").alias("v")))
-    found = running(instants, keys, "__t", last={"__seen": seen}, keep="__p")
-    hit = F.col("__seen").isNotNull()
-    if within_us is not None:
-        hit = hit & (F.col("__seen.t") >= F.col("__t") - F.lit(within_us))
-    lookup = found.filter(hit).select(*keys, "__t", F.col("__seen.v").alias(out))
-    return (
-        points.withColumn("__t", point_axis)
-        .join(lookup, [*keys, "__t"], "left")
-        .drop("__t", "__all")
-        .select(*[c for c in points.columns if c != "__all"], out)
+    out = None
+    for forward in (False, True):
+        wanted = [f for f in facts if f.forward == forward]
+        sums = [] if forward else list(tallies)
+        if not wanted and not sums:
+            continue
+        sign = -1 if forward else 1
+        found = _one_direction(points, by, at, wanted, sums, sign)
+        found = found.withColumn("__t", F.col("__t") * sign)
+        out = found if out is None else out.join(found, [*by, "__t"])
+    return out
+
+
+def _one_direction(points, by, at, facts, tallies, sign) -> DataFrame:
+    names = [*[f.name for f in facts], *[t.name for t in tallies]]
+
+    def marks(df, axis, point, value=None, name=None):
+        return df.select(*by, axis.alias("__t"), F.lit(point).alias("__p"), *([value.alias(name)] if name else []))
+
+    rows = marks(points, sign * micros(at), True)
+    for f in facts:
+        # Rows of one instant: the greatest by tie; the own time is kept for the distance.
+        value = F.struct(
+            F.struct(*[F.col(t) for t in f.tie], F.lit(0).alias("__z")).alias("o"),
+            F.struct(*[F.col(c) for c in f.fields]).alias("v"),
+        )
+        axis = sign * (micros(f.at) - F.lit(f.shift_us)) + F.lit(int(f.strict))
+        rows = rows.unionByName(marks(f.rows, axis, False, value, f.name), allowMissingColumns=True)
+    for t in tallies:
+        delta = F.lit(t.delta).cast("bigint")
+        rows = rows.unionByName(marks(t.rows, sign * micros(t.at), False, delta, t.name), allowMissingColumns=True)
+    instants = rows.filter("__t IS NOT NULL").groupBy(*by, "__t").agg(
+        F.max("__p").alias("__p"),
+        *[F.max(f.name).alias(f.name) for f in facts],
+        *[F.sum(t.name).alias(t.name) for t in tallies],
+    ).select(*by, "__t", "__p", *[F.col(n).alias(f"__v_{n}") for n in names])
+    seen = {
+        f.name: F.when(
+            F.col(f"__v_{f.name}").isNotNull(),
+            F.struct((F.col("__t") - F.lit(int(f.strict))).alias("t"), F.col(f"__v_{f.name}.v").alias("v")),
+        )
+        for f in facts
+    }
+    found = running(
+        instants, by, "__t", last=seen, total={t.name: F.col(f"__v_{t.name}") for t in tallies}, keep="__p"
     )
+
+    def near(f):
+        if f.within_us is None:
+            return F.col(f"{f.name}.v")
+        return F.when(F.col(f"{f.name}.t") >= F.col("__t") - F.lit(f.within_us), F.col(f"{f.name}.v"))
+
+    return found.select(*by, "__t", *[near(f).alias(f.name) for f in facts], *[t.name for t in tallies])
+
+
+def with_history(points: DataFrame, by, at: str, facts=(), tallies=()) -> DataFrame:
+    """Add the looked-up columns to every point. Without keys all rows share one, still cut into slices."""
+    cols = points.columns
+    by = list(by)
+    if not by:
+        by, one = ["__all"], F.lit(0)
+        points = points.withColumn("__all", one)
+        facts = [replace(f, rows=f.rows.withColumn("__all", one)) for f in facts]
+        tallies = [replace(t, rows=t.rows.withColumn("__all", one)) for t in tallies]
+    found = lookup(points, by, at, facts, tallies)
+    names = [f.name for f in facts] + [t.name for t in tallies]
+    return points.withColumn("__t", micros(at)).join(found, [*by, "__t"], "left").select(*cols, *names)

@@ -22,8 +22,11 @@ INFO_FIELDS = {
 def largest_variant(files: DataFrame, key: str, size: str = "size_mb", pos: str = "pos",
                     href: str = "url") -> DataFrame:
     """Per key the largest file; the first of equals, size 0 counts, NaN and missing links never win."""
-    fit = files.filter((F.coalesce(F.col(href), F.lit("")) != "") & ~F.isnan(size) & (F.col(size) > -1))
-    return last_per_key(fit, [key], [F.col(size), -F.col(pos)], [href, size, pos])
+    x = F.col(size)
+    fit = (F.coalesce(F.col(href), F.lit("")) != "") & ~F.isnan(x) & (x > -1)
+    # The test sits inside the aggregate: as a filter it would compute the size a second time.
+    best = F.max_by(F.struct(href, size, pos), F.when(fit, F.struct(x, -F.col(pos))))
+    return files.groupBy(key).agg(best.alias("__v")).filter("__v IS NOT NULL").select(key, "__v.*")
 
 
 def largest_in_page(files, label: str = "File Size:") -> Column:

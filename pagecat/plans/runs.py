@@ -4,125 +4,119 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.graph import orbit
 from ..operators.merge import delete_where, update_where, upsert
 from ..operators.quality import unique_violations
-from ..operators.running import latest_fact, micros, running
+from ..operators.running import Fact, Tally, lookup, micros, running, with_history
+from ..session import cut
 
 MINUTE_US = 60_000_000
 
 
+def _last_completed(runs: DataFrame, minutes: int, run_at: str = "refresh_time") -> Fact:
+    done = runs.filter(F.col("status") == "completed")
+    return Fact("__run", done, run_at, (run_at, "id"), minutes * MINUTE_US, tie=("id",))
+
+
+def _last_done(log: DataFrame, minutes: int, payload: str) -> Fact:
+    done = log.filter(F.col("status") == "done")
+    return Fact("__done", done, "completed_at", ("completed_at", payload), minutes * MINUTE_US, tie=("id",))
+
+
+def _next_end(log: DataFrame, payload: str, wait_s: int | None = None) -> Fact:
+    ended = log.filter(F.col("completed_at").isNotNull())
+    return Fact("__end", ended, "completed_at", ("completed_at", "status", payload),
+                None if wait_s is None else wait_s * 1_000_000, strict=True, forward=True, tie=("id",))
+
+
+def _waited(payload: str) -> Column:
+    return (
+        F.when((F.col("__end.status") == "done") & F.col(f"__end.{payload}").isNotNull(), "done")
+        .when(F.col("__end.status") == "failed", "failed")
+        .otherwise("timeout")
+    )
+
+
 def cooldown_join(requests: DataFrame, runs: DataFrame, minutes: int = 15, by=(), at: str = "requested_at",
                   run_at: str = "refresh_time") -> DataFrame:
     """Each request with the latest completed run that started at most ``minutes`` before it, or NULL."""
-    done = runs.filter(F.col("status") == "completed")
-    found = latest_fact(requests, done, by, at, run_at, [run_at, "id"], minutes * MINUTE_US, tie=["id"])
+    found = with_history(requests, by, at, [_last_completed(runs, minutes, run_at)])
     return found.select(
-        *requests.columns, F.col(f"fact.{run_at}").alias("last_run"), F.col("fact.id").alias("last_run_id")
+        *requests.columns, F.col(f"__run.{run_at}").alias("last_run"), F.col("__run.id").alias("last_run_id")
     )
 
 
 def cached_result_join(requests: DataFrame, log: DataFrame, by, minutes: int = 5, at: str = "requested_at",
                        payload: str = "payload") -> DataFrame:
     """Each request with the payload of the newest finished one in time. Without a payload there is no hit."""
-    done = log.filter(F.col("status") == "done")
-    found = latest_fact(
-        requests, done, by, at, "completed_at", ["completed_at", payload], minutes * MINUTE_US, tie=["id"]
-    )
-    hit = F.col(f"fact.{payload}").isNotNull()
+    found = with_history(requests, by, at, [_last_done(log, minutes, payload)])
+    hit = F.col(f"__done.{payload}").isNotNull()
     return found.select(
         *requests.columns,
         F.coalesce(hit, F.lit(False)).alias("cached"),
-        F.when(hit, F.col("fact.completed_at")).alias("cached_at"),
-        F.when(hit, F.col(f"fact.{payload}")).alias("cached_payload"),
+        F.when(hit, F.col("__done.completed_at")).alias("cached_at"),
+        F.when(hit, F.col(f"__done.{payload}")).alias("cached_payload"),
     )
 
 
 def wait_outcome_join(waiters: DataFrame, log: DataFrame, by, wait_s: int = 60, at: str = "requested_at",
                       payload: str = "payload") -> DataFrame:
     """What a waiter sees: the first end after it asked, within the wait; else a timeout."""
-    ended = log.filter(F.col("completed_at").isNotNull())
-    found = latest_fact(
-        waiters, ended, by, at, "completed_at", ["completed_at", "status", payload],
-        within_us=wait_s * 1_000_000 - 1, offset_us=1, forward=True, tie=["id"],
-    )
-    outcome = (
-        F.when((F.col("fact.status") == "done") & F.col(f"fact.{payload}").isNotNull(), "done")
-        .when(F.col("fact.status") == "failed", "failed")
-        .otherwise("timeout")
-    )
-    return found.select(*waiters.columns, outcome.alias("outcome"))
+    found = with_history(waiters, by, at, [_next_end(log, payload, wait_s)])
+    return found.select(*waiters.columns, _waited(payload).alias("outcome"))
 
 
-def any_active(requests: DataFrame, runs: DataFrame, by=(), at: str = "requested_at",
-               start: str = "refresh_time", end: str = "finished_at") -> DataFrame:
-    """Add ``active``: how many runs had begun and not ended when the request came."""
-    by = list(by) or ["__all"]
-    if by == ["__all"]:
-        requests, runs = requests.withColumn("__all", F.lit(0)), runs.withColumn("__all", F.lit(0))
+def admit_runs(requests: DataFrame, runs: DataFrame, minutes: int = 15, by=(), at: str = "requested_at",
+               run_at: str = "refresh_time", end: str = "finished_at") -> DataFrame:
+    """(request columns, decision, last_run): already_running, too_recent or started.
 
-    def marks(df, ts, delta, point):
-        return df.select(*by, micros(ts).alias("__t"), F.lit(delta).alias("__d"), F.lit(point).alias("__p"))
-
-    rows = (
-        marks(runs, start, 1, False)
-        .unionByName(marks(runs.filter(F.col(end).isNotNull()), end, -1, False))
-        .unionByName(marks(requests, at, 0, True))
-        .groupBy(*by, "__t")
-        .agg(F.sum("__d").alias("__d"), F.max("__p").alias("__p"))
-    )
-    counted = running(rows, by, "__t", total={"active": F.col("__d")}, keep="__p")
-    return (
-        requests.withColumn("__t", micros(at))
-        .join(counted.select(*by, "__t", "active"), [*by, "__t"], "left")
-        .drop("__t", "__all")
+    A run is active from its start to its end; the count so far and the last completed start come from one pass.
+    """
+    found = with_history(
+        requests, by, at, [_last_completed(runs, minutes, run_at)],
+        [Tally("__begun", runs, run_at, 1), Tally("__ended", runs.filter(F.col(end).isNotNull()), end, 1)],
     )
-
-
-def admit_runs(requests: DataFrame, runs: DataFrame, minutes: int = 15, by=()) -> DataFrame:
-    """(request columns, decision, last_run): already_running, too_recent or started."""
-    counted = any_active(requests, runs, by)
-    cooled = cooldown_join(counted, runs, minutes, by)
     decision = (
-        F.when(F.col("active") > 0, "already_running")
-        .when(F.col("last_run").isNotNull(), "too_recent")
+        F.when(F.col("__begun") > F.col("__ended"), "already_running")
+        .when(F.col("__run").isNotNull(), "too_recent")
         .otherwise("started")
     )
-    return cooled.select(*requests.columns, decision.alias("decision"), "last_run")
+    return found.select(*requests.columns, decision.alias("decision"), F.col(f"__run.{run_at}").alias("last_run"))
 
 
 def classify_requests(requests: DataFrame, log: DataFrame, catalog: DataFrame, key: str = "item_id",
-                      minutes: int = 5, wait_s: int = 60) -> DataFrame:
+                      minutes: int = 5, wait_s: int = 60, at: str = "requested_at",
+                      payload: str = "payload") -> DataFrame:
     """(request columns, role, outcome) for every refresh request.
 
     role: not_found, cached, waiter or owner. A waiter comes while a request of the same record is being
     processed. The owner's outcome is that of its own processing: the next end after it.
     """
     known = catalog.select(F.col("id").alias(key)).distinct().withColumn("__known", F.lit(True))
-    rows = requests.join(known, key, "left")
-    rows = cached_result_join(rows, log, [key], minutes)
-    rows = latest_fact(rows, log, [key], "requested_at", "requested_at", ["requested_at", "completed_at"],
-                       offset_us=-1, tie=["id"], out="__open")
-    asked = micros("requested_at")
+    found = with_history(requests, [key], at, [
+        _last_done(log, minutes, payload),
+        Fact("__open", log, "requested_at", ("requested_at", "completed_at"), strict=True, tie=("id",)),
+        _next_end(log, payload),
+    ])
+    rows = found.join(known, key, "left")
+    asked = micros(at)
+    cached = F.col(f"__done.{payload}").isNotNull()
     going = F.col("__open").isNotNull() & (
         F.col("__open.completed_at").isNull() | (micros(F.col("__open.completed_at")) > asked)
     )
-    rows = wait_outcome_join(rows.withColumn("__going", going), log, [key], wait_s)
-    ended = log.filter(F.col("completed_at").isNotNull())
-    rows = latest_fact(rows, ended, [key], "requested_at", "completed_at", ["status"], offset_us=1,
-                       forward=True, tie=["id"], out="__own")
-    role = (
+    in_time = micros(F.col("__end.completed_at")) <= asked + F.lit(wait_s * 1_000_000)
+    return rows.withColumn(
+        "role",
         F.when(F.col("__known").isNull(), "not_found")
-        .when(F.col("cached"), "cached")
-        .when(F.col("__going"), "waiter")
-        .otherwise("owner")
+        .when(cached, "cached").when(going, "waiter").otherwise("owner"),
+    ).select(
+        *requests.columns, "role",
+        F.when(F.col("role") == "not_found", "rejected")
+        .when(F.col("role") == "cached", "done")
+        .when(F.col("role") == "waiter", F.when(in_time, _waited(payload)).otherwise("timeout"))
+        .otherwise(F.coalesce("__end.status", F.lit("processing")))
+        .alias("outcome"),
     )
-    outcome = (
-        F.when(role == "not_found", "rejected")
-        .when(role == "cached", "done")
-        .when(role == "waiter", F.col("outcome"))
-        .otherwise(F.coalesce(F.col("__own.status"), F.lit("processing")))
-    )
-    return rows.select(*requests.columns, role.alias("role"), outcome.alias("outcome"))
 
 
 def outcome_counts(outcomes: DataFrame, by) -> DataFrame:
@@ -183,12 +177,6 @@ def not_expired(log: DataFrame, as_of: Column, minutes: int = 5, at: str = "requ
     )
 
 
-def end_of_session(points: DataFrame, by, gap_us: int) -> DataFrame:
-    """Add ``fresh``: no other instant of the key lies in the gap before this one."""
-    seen = latest_fact(points, points, by, "at", "at", ["at"], within_us=gap_us - 1, offset_us=-1, out="__before")
-    return seen.withColumn("fresh", F.col("__before").isNull()).drop("__before")
-
-
 def cooldown_gate(requests: DataFrame, by, minutes: int = 15, at: str = "requested_at",
                   id_col: str = "id") -> DataFrame:
     """Admit a request iff more than ``minutes`` passed since the last admitted one of its key.
@@ -197,28 +185,33 @@ def cooldown_gate(requests: DataFrame, by, minutes: int = 15, at: str = "request
     the cooldown the next instant is always admitted, and inside a dense stretch every instant points to
     the first one beyond its own cooldown; doubling jumps along these pointers find the admitted ones.
     """
-    from ..operators.graph import orbit
-    from ..session import cut
-
     gap = minutes * MINUTE_US
     by = list(by)
-    instants = requests.filter(F.col(at).isNotNull()).groupBy(*by, F.col(at).alias("at")).agg(
-        F.min(id_col).alias("__first")
-    )
-    points = cut(end_of_session(instants, by, gap))
-    onward = latest_fact(points, points, by, "at", "at", ["at", "fresh"], within_us=gap - 1, offset_us=gap + 1,
-                         forward=True, out="nxt").filter("nxt IS NOT NULL AND NOT nxt.fresh")
-    node = F.struct(*by, "at")
-    edges = onward.select(node.alias("node"), F.struct(*by, F.col("nxt.at").alias("at")).alias("next"))
-    roots = points.filter("fresh").select(F.lit(0).alias("start"), node.alias("node"))
-    # A root without onward pointer is a walk of one step: leave it out of the rounds.
-    moving = roots.join(edges.select("node"), "node", "left_semi").select("start", "node")
-    inner = orbit(moving, edges).filter("depth > 0").select("node.*")
+    instants = (
+        requests.filter(F.col(at).isNotNull()).withColumn("__t", micros(at))
+        .groupBy(*by, "__t").agg(F.min(id_col).alias("__first"))
+    )
+    before = running(instants, by, "__t", last={"__prev": F.col("__t")}, inclusive=False)
+    fresh = F.col("__prev").isNull() | (F.col("__t") - F.col("__prev") > gap)
+    points = cut(
+        before.select(*by, "__first", F.timestamp_micros("__t").alias("at"), fresh.alias("fresh"))
+    )
+    # Beyond twice the cooldown there was a silence, and what follows is fresh anyway.
+    nxt = Fact("nxt", points, "at", ("at", "fresh"), gap, strict=True, forward=True, shift_us=gap)
+    onward = lookup(points, by, "at", [nxt]).filter("nxt IS NOT NULL AND NOT nxt.fresh")
+    edges = cut(onward.select(
+        F.struct(*by, F.timestamp_micros("__t").alias("at")).alias("node"),
+        F.struct(*by, F.col("nxt.at").alias("at")).alias("next"),
+    ))
+    roots = points.filter("fresh").select(F.struct(*by, "at").alias("node"))
+    # A root without a pointer is a walk of one step: it needs no round.
+    moving = roots.join(edges, "node", "left_semi").select(F.lit(0).alias("start"), "node")
+    inner = orbit(moving, edges, circles=False).filter("depth > 0").select("node.*")
     admitted = points.filter("fresh").select(*by, "at").unionByName(inner.select(*by, "at"))
     chosen = admitted.join(points, [*by, "at"]).select(
-        *by, F.col("at").alias(at), F.col("__first").alias(id_col), F.lit("started").alias("__ok")
+        *by, F.unix_micros("at").alias("__t"), F.col("__first").alias(id_col), F.lit("started").alias("__ok")
     )
-    return requests.join(chosen, [*by, at, id_col], "left").select(
+    return requests.withColumn("__t", micros(at)).join(chosen, [*by, "__t", id_col], "left").select(
         *requests.columns, F.coalesce("__ok", F.lit("too_recent")).alias("decision")
     )
 

@@ -135,10 +135,9 @@ SIZES = """
 def _(tb):
     tb["lineitem"].createOrReplaceTempView("lineitem")
     rows = tb.spark.sql(SIZES)
-    size = t.parse_size_mb("txt")
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.round(F.when(F.isnan(size), -1.0).otherwise(size), 3).alias("size_mb"),
+        F.round(F.nanvl(t.parse_size_mb("txt"), F.lit(-1.0)), 3).alias("size_mb"),
     )
 
 
