@@ -16,7 +16,7 @@ def orbit(starts: DataFrame, edges: DataFrame, max_depth: int | None = None, cir
     """
     jumps = edges.select("node", F.col("next").alias("__next")).filter("__next IS NOT NULL")
     reached = starts.select("start", "node", F.lit(0).alias("depth"))
-    if circles:  # without circles the caller's tables are small walks already cut
+    if circles:  # the others come cut already
         jumps, reached = cut(jumps), cut(reached)
     length = 1
     while max_depth is None or length <= max_depth:

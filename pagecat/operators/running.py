@@ -52,7 +52,9 @@ def running(df: DataFrame, by, at: str, tie=(), last: dict[str, Column] | None =
         *[F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(n) for n, c in last.items()],
         *[F.sum(c).alias(n) for n, c in total.items()],
     )
+    # Asking for the flag in every branch keeps their inputs alike, so that Spark shuffles them once.
     blocks = slices.groupBy(*by, "__block").agg(
+        F.max("__needed").alias("__wanted"),
         *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__slice"))).alias(n) for n in last],
         *[F.sum(n).alias(n) for n in total],
     )
@@ -64,8 +66,8 @@ def running(df: DataFrame, by, at: str, tie=(), last: dict[str, Column] | None =
         ]
 
     in_block = slices.select(*keys, "__needed", *before(slices, [*by, "__block"], "__slice", "__sl"))
-    in_key = blocks.select(*by, "__block", *before(blocks, by, "__block", "__bl"))
-    carried = in_block.filter("__needed").join(in_key, [*by, "__block"]).drop("__needed")
+    in_key = blocks.select(*by, "__block", "__wanted", *before(blocks, by, "__block", "__bl"))
+    carried = in_block.filter("__needed").join(in_key.filter("__wanted"), [*by, "__block"])
 
     def zero(name):
         return F.coalesce(F.col(name), F.lit(0))

@@ -28,12 +28,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Settings only a new session can take.
+STATIC = {
+    "spark.ui.enabled": "false",
+    # Wide plans have more than the default 100 generated classes; beyond that every run compiles anew.
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
+
+
 def build(name: str = "pagecat", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings above; without a web page."""
-    builder = SparkSession.builder.appName(name).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME, **conf}.items():
+    for key, value in {**STATIC, **RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
