@@ -63,25 +63,30 @@ def paginate(starts: DataFrame, next_links: DataFrame, max_depth: int | None = N
 
 
 def resolve_redirects(redirects: DataFrame, max_hops: int = 20) -> DataFrame:
-    """Where each address ends: (src, final, hops); NULL for circles and for more than ``max_hops``."""
-    pointer = redirects.select("src", F.col("dst").alias("final"), F.lit(1).alias("hops"))
+    """Where each address ends: (src, final, hops); NULL for circles and for more than ``max_hops``.
+
+    A row that has reached its end leaves the rounds, so an end shared by many is shuffled once.
+    """
+    pointer = redirects.select(
+        "src", F.col("dst").alias("final"), F.lit(1).alias("hops"), F.lit(True).alias("open")
+    )
     covered = 1
     while covered <= max_hops:
         pointer = cut(pointer)
         far = pointer.select(
-            F.col("src").alias("final"), F.col("final").alias("__far"), F.col("hops").alias("__more")
+            F.col("src").alias("final"), F.col("final").alias("__far"), F.col("hops").alias("__more"),
+            F.col("open").alias("__open"),
         )
-        pointer = pointer.join(far, "final", "left").select(
+        moved = pointer.filter("open").join(far, "final", "left").select(
             "src",
             F.coalesce("__far", "final").alias("final"),
             (F.col("hops") + F.coalesce("__more", F.lit(0))).alias("hops"),
+            F.coalesce("__open", F.lit(False)).alias("open"),
         )
+        pointer = pointer.filter("NOT open").unionByName(moved)
         covered *= 2
-    open_end = redirects.select(F.col("src").alias("final")).distinct().withColumn("__open", F.lit(True))
-    ok = F.col("__open").isNull() & (F.col("hops") <= max_hops)
-    return pointer.join(open_end, "final", "left").select(
-        "src", F.when(ok, F.col("final")).alias("final"), F.when(ok, F.col("hops")).alias("hops")
-    )
+    ok = ~F.col("open") & (F.col("hops") <= max_hops)
+    return pointer.select("src", F.when(ok, F.col("final")).alias("final"), F.when(ok, F.col("hops")).alias("hops"))
 
 
 def labelled_links(links: DataFrame, labels: dict[int, str], box: str | None = "links") -> DataFrame:

@@ -50,7 +50,10 @@ def require_unique(df: DataFrame, cols, what: str) -> None:
 
 def status_transitions(log: DataFrame, key: str, at: str, status: str = "status", tie=("id",),
                        moves=QUEUE_MOVES) -> DataFrame:
-    """Each change of an item's status with the one before it and whether the move is allowed."""
+    """Each change of an item's status with the one before it and whether the move is allowed.
+
+    An item's row is written by one writer at a time, so a slice holds few changes of one item.
+    """
     rows = log.withColumn("__t", micros(at))
     with_prev = running(
         rows, [key], "__t", tie=tie, inclusive=False,
@@ -72,16 +75,24 @@ def stuck(queue: DataFrame, as_of: Column, minutes: int, at: str = "processed_at
     )
 
 
-def active_run_audit(log: DataFrame, by, start: str, end: str, tie=("id",)) -> DataFrame:
-    """Run starts at which another run of the same key was still going, with the number then active."""
-    rows = log.select(*by, "id", micros(start).alias("__t"), F.lit(1).alias("__d")).unionByName(
-        log.filter(F.col(end).isNotNull()).select(
-            *by, "id", micros(end).alias("__t"), F.lit(-1).alias("__d")
-        )
+def active_run_audit(log: DataFrame, by, start: str, end: str) -> DataFrame:
+    """(keys, at, active): moments at which a run began while another of its key was still going.
+
+    Ends of the same moment count first. Rows are added up per key and moment before anything is ordered.
+    """
+    marks = F.explode(F.array(
+        F.struct(micros(start).alias("t"), F.lit(1).alias("d")),
+        F.struct(micros(end).alias("t"), F.lit(-1).alias("d")),
+    ))
+    moments = (
+        log.select(*by, marks.alias("m")).filter("m.t IS NOT NULL")
+        .groupBy(*by, F.col("m.t").alias("__t"))
+        .agg(F.sum("m.d").alias("__d"), F.max("m.d").alias("__start"))
+    )
+    counted = running(moments, by, "__t", total={"active": F.col("__d")})
+    return counted.filter("__start = 1 AND active > 1").select(
+        *by, F.timestamp_micros("__t").alias("at"), "active"
     )
-    # An end at the instant of a start comes first: -1 sorts before 1.
-    active = running(rows, by, "__t", tie=("__d", *tie), total={"active": F.col("__d")}, keep=None)
-    return active.filter((F.col("__d") == 1) & (F.col("active") > 1)).select(*by, "id", "active")
 
 
 def catalog_rules() -> dict[str, Column]:

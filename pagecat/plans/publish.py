@@ -10,6 +10,7 @@ from ..operators.joins import attach_parent_id, drop_staged_variants
 from ..operators.merge import stable_id, update_where, upsert
 from ..operators.quality import require_unique
 from ..operators.ranking import last_per_key, last_write_per_key
+from ..session import cut
 from ..sources.tables import Snapshots
 
 
@@ -38,36 +39,55 @@ def merge_catalog(catalog: DataFrame, stage: DataFrame, as_of) -> DataFrame:
     )
 
 
-def publish(stage: DataFrame, variant_stage: DataFrame, catalog: DataFrame, variants: DataFrame, as_of,
-            on_dup: str = "error", blank_as_null: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The catalogue and variant tables after merging what is staged.
-
-    Variants of staged slugs are replaced; a staged variant finds its record by the address *after* the
-    merge. Repeated keys stop the publish (``error``) or the last one stays (``last``).
-    """
+def merged_catalog(stage: DataFrame, catalog: DataFrame, as_of, on_dup: str = "error",
+                   blank_as_null: bool = False) -> DataFrame:
+    """The catalogue after the merge, written out: the check, the variants and the new version all read it."""
     if blank_as_null:
         stage = blank_to_null(stage, schemas.CATALOG_MERGED)
+    if on_dup == "error":
+        require_unique(stage, ["slug"], "staged slug")
+        merged = cut(merge_catalog(catalog, stage, as_of))
+        require_unique(merged, ["item_url"], "catalogue address")
+        return merged
     merged = merge_catalog(catalog, stage, as_of)
+    changed = F.col("updated_at") if "updated_at" in merged.columns else F.lit(0)
+    return cut(last_per_key(merged, ["item_url"], [changed, F.col("slug")]).select(*catalog.columns))
+
+
+def merged_variants(merged: DataFrame, stage: DataFrame, variant_stage: DataFrame, variants: DataFrame, as_of,
+                    on_dup: str = "error") -> DataFrame:
+    """Variants of staged slugs are replaced; a staged variant finds its record by the address after the merge."""
     kept = drop_staged_variants(variants, merged, stage)
     placed = attach_parent_id(variant_stage, merged)
     fields = [c for c in schemas.VARIANT_FIELDS if c in variant_stage.columns]
     defaults = {"id": stable_id(F.col("item_id"), F.col("label")), "created_at": as_of, "updated_at": as_of}
-    new = placed.select(*[
-        F.col(c) if c in ("item_id", "label", *fields)
-        else (defaults[c] if c == "id" else F.lit(defaults.get(c))).cast(variants.schema[c].dataType).alias(c)
-        for c in variants.columns
-    ])
-    after = kept.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+
+    def value(c):
+        if c in ("item_id", "label", *fields):
+            return F.col(c)
+        made = defaults[c] if c == "id" else F.lit(defaults.get(c))
+        return made.cast(variants.schema[c].dataType).alias(c)
+
+    new = placed.select(*[value(c) for c in variants.columns])
     if on_dup == "error":
-        require_unique(stage, ["slug"], "staged slug")
-        require_unique(merged, ["item_url"], "catalogue address")
+        after = kept.unionByName(new)
         require_unique(after, ["item_id", "label"], "variant")
-        return merged, after.drop("__new")
-    changed = F.col("updated_at") if "updated_at" in merged.columns else F.lit(0)
-    merged = last_per_key(merged, ["item_url"], [changed, F.col("slug")]).select(*catalog.columns)
+        return after
+    both = kept.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
     order = ["__new", *[c for c in variants.columns if c not in ("item_id", "label")]]
-    after = last_per_key(after, ["item_id", "label"], order, [c for c in variants.columns])
-    return merged, after.select(*variants.columns)
+    keyed = F.col("item_id").isNotNull() & F.col("label").isNotNull()
+    last = last_per_key(both.filter(keyed), ["item_id", "label"], order, variants.columns)
+    return last.select(*variants.columns).unionByName(both.filter(~keyed).select(*variants.columns))
+
+
+def publish(stage: DataFrame, variant_stage: DataFrame, catalog: DataFrame, variants: DataFrame, as_of,
+            on_dup: str = "error", blank_as_null: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The catalogue and variant tables after merging what is staged.
+
+    Repeated keys stop the publish (``error``) or the last one stays (``last``).
+    """
+    merged = merged_catalog(stage, catalog, as_of, on_dup, blank_as_null)
+    return merged, merged_variants(merged, stage, variant_stage, variants, as_of, on_dup)
 
 
 def publish_snapshot(store: Snapshots, stage: DataFrame, variant_stage: DataFrame, as_of, **options) -> int:

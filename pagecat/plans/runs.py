@@ -219,10 +219,18 @@ def cooldown_gate(requests: DataFrame, by, minutes: int = 15, at: str = "request
 def single_flight(events: DataFrame, by, at: str = "ts", kind: str = "kind", id_col: str = "id") -> DataFrame:
     """Requests as owner or waiter: one is the owner iff none is open since the last end of its key.
 
-    ``kind`` is request or end. A request is open from its owner's arrival to the next end, so the event just
-    before it tells: nothing or an end.
+    ``kind`` is request or end; a request is open from its owner's arrival to the next end. At one instant ends
+    come first and the lowest id asks first, so an instant is one row: what it found open decides.
     """
-    rows = events.withColumn("__t", micros(at))
-    prev = running(rows, by, "__t", tie=(id_col,), inclusive=False, last={"__prev": F.col(kind)})
-    role = F.when(F.coalesce(F.col("__prev"), F.lit("end")) == "end", "owner").otherwise("waiter")
-    return prev.filter(F.col(kind) == "request").select(*events.columns, role.alias("role"))
+    asks = F.col(kind) == "request"
+    instants = events.withColumn("__t", micros(at)).groupBy(*by, "__t").agg(
+        F.min(F.when(asks, F.col(id_col))).alias("__first"),
+        F.bool_or(~asks).alias("__end"),
+        F.bool_or(asks).alias("__open"),
+    )
+    before = running(instants, by, "__t", inclusive=False, last={"__was": F.col("__open")})
+    owners = before.filter(F.col("__open") & (F.col("__end") | ~F.coalesce("__was", F.lit(False)))).select(
+        *by, "__t", F.col("__first").alias(id_col), F.lit("owner").alias("__role")
+    )
+    rows = events.filter(asks).withColumn("__t", micros(at)).join(owners, [*by, "__t", id_col], "left")
+    return rows.select(*events.columns, F.coalesce("__role", F.lit("waiter")).alias("role"))

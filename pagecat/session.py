@@ -49,7 +49,7 @@ def build(name: str = "pagecat", master: str | None = None, **conf) -> SparkSess
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the session. Only a local session may fall back to a temporary one."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current is None:
         if named is None:

@@ -56,6 +56,9 @@ _ENDS_P = frozenset(
 )
 
 
+_MARKED = re.compile(r"<!\[[^>]*>")
+
+
 class _Element:
     __slots__ = ("tag", "attrs", "classes", "at", "last", "text0", "text1")
 
@@ -111,7 +114,8 @@ class _Tree(HTMLParser):
         del self.open[depth:]
 
     def read(self, html):
-        self.feed(html)
+        # Anything that opens like a marked section is a comment up to the next ">" in a browser.
+        self.feed(_MARKED.sub("", html))
         self.close()
         self._close_from(0)
         return self
@@ -162,16 +166,14 @@ def read_page(html: str, layout: PageLayout) -> dict:
         lines = [text_of(e) for e in find("li", block)]
         files.append({"pos": len(files), "href": _first(links, "href"), "lines": lines})
 
-    def spans(selector):
-        return [(e.at, e.last) for e in find(selector)]
-
-    boxes = (("pager", spans(layout.pager)), ("links", spans(layout.links)))
-    anchors = []
-    for e in find("a"):
-        box = next((n for n, rs in boxes if any(a < e.at <= b for a, b in rs)), None)
-        anchors.append(
-            {"pos": len(anchors), "text": text_of(e), "href": e.attrs.get("href"), "box": box}
-        )
+    boxes = [None] * len(tree.elements)
+    for name, selector in (("links", layout.links), ("pager", layout.pager)):
+        for e in find(selector):
+            boxes[e.at + 1 : e.last + 1] = [name] * (e.last - e.at)
+    anchors = [
+        {"pos": pos, "text": text_of(e), "href": e.attrs.get("href"), "box": boxes[e.at]}
+        for pos, e in enumerate(find("a"))
+    ]
 
     probes = []
     if any(layout.probe in part for part in tree.text):
@@ -206,11 +208,14 @@ def parse_pages(pages: DataFrame, layout: PageLayout = PageLayout()) -> DataFram
 
         shape = to_arrow_schema(schema)
         for batch in batches:
-            rows = [
-                {"page_url": url, **read_page(html or "", layout)}
-                for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            ]
-            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+            # A few pages at a time: pages are large, and their parts larger still as Python objects.
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                rows = [
+                    {"page_url": url, **read_page(html or "", layout)}
+                    for url, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
     return pages.select("url", "html").mapInArrow(run, schema)
 

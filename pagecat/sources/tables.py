@@ -45,8 +45,8 @@ def config_value(config: DataFrame, key: str) -> DataFrame:
 
 
 def with_config(df: DataFrame, config: DataFrame, key: str, out: str) -> DataFrame:
-    """Put the one configured value on every row (an aggregate without keys: one row by construction)."""
-    return df.crossJoin(F.broadcast(config_value(config, key).withColumnRenamed("url", out)))
+    """Put the one configured value on every row, as a scalar subquery."""
+    return df.withColumn(out, config_value(config, key).scalar())
 
 
 def to_json_col(col) -> Column:

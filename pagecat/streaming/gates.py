@@ -71,7 +71,7 @@ def single_flight(events: DataFrame, by: str, at: str = "ts", kind: str = "kind"
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         open_, seen = state.get if state.exists else (False, _NEVER)
-        pdf = _batch_in_order(pdfs)
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "kind", "id"], kind="stable", ignore_index=True)
         asks = (pdf["kind"] == "request").to_numpy()
         before = pd.Series(asks).shift(1)
         before.iloc[0] = open_
@@ -87,24 +87,22 @@ def single_flight(events: DataFrame, by: str, at: str = "ts", kind: str = "kind"
     )
 
 
-def active_runs(log: DataFrame, by: str, at: str = "ts", delta: str = "delta", id_col: str = "id") -> DataFrame:
-    """(key, id, t, active) for each start that finds another run of its key going; delta is 1 or -1."""
-    rows = log.select(
-        F.col(by).alias("key"), F.col(id_col).alias("id"), micros(at).alias("t"), F.col(delta).cast("int").alias("d")
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+def active_runs(log: DataFrame, by: str, at: str = "ts", delta: str = "delta") -> DataFrame:
+    """(key, t, active) for each moment a run began while another of its key was going; delta is 1 or -1."""
+    rows = log.select(F.col(by).alias("key"), micros(at).alias("t"), F.col(delta).cast("int").alias("d"))
+    kind = rows.schema["key"].dataType.simpleString()
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         before = state.get[0] if state.exists else 0
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "d", "id"], kind="stable")
-        active = pdf["d"].cumsum() + before
-        state.update((int(active.iloc[-1]),))
-        hits = pdf.assign(active=active.astype("int64"))
-        yield hits[(hits["d"] == 1) & (hits["active"] > 1)][["key", "id", "t", "active"]]
+        # Each chunk shrinks to one row per moment as it arrives.
+        parts = [p.groupby(["key", "t"], as_index=False)["d"].agg(["sum", "max"]).reset_index() for p in pdfs]
+        moments = pd.concat(parts).groupby(["key", "t"], as_index=False).agg({"sum": "sum", "max": "max"})
+        moments["active"] = moments.sort_values("t")["sum"].cumsum() + before
+        state.update((int(before + moments["sum"].sum()),))
+        yield moments[(moments["max"] == 1) & (moments["active"] > 1)][["key", "t", "active"]]
 
     return rows.groupBy("key").applyInPandasWithState(
-        step, f"key {kinds['key']}, id {kinds['id']}, t bigint, active bigint", "active bigint", "append",
-        GroupStateTimeout.NoTimeout,
+        step, f"key {kind}, t bigint, active bigint", "active bigint", "append", GroupStateTimeout.NoTimeout
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pagecat.operators import quality as qual
 from pagecat.plans import runs as r
 from pagecat.session import scratch
-from pagecat.streaming import gates as g
+from pagecat.streaming import batches as b, gates as g
 
 from .base import query
 
@@ -187,9 +187,22 @@ def _(tb):
     return drained(tb, gate, "cooldown").select("id", "decision")
 
 
+def in_batches(tb, df, step, label):
+    base = scratch(tb.spark, label)
+    b.run_batches(df, step, f"{base}/out", f"{base}/state", f"{base}/offsets")
+    return tb.spark.read.parquet(f"{base}/out")
+
+
+@query("t2_cooldown_gate_batches", ("run_request",), GATE_BY)
+def _(tb):
+    clicks = event_stream(tb).filter("event_type = 'click'")
+    out = in_batches(tb, clicks, b.cooldown_gate("user_id", 1440, "ts", "event_id"), "cooldown")
+    return out.select(F.col("event_id").alias("id"), "decision")
+
+
 FLIGHT = """
     select event_id as id, case when coalesce(prev, 'end') = 'end' then 'owner' else 'waiter' end as role from (
-      select event_id, kind, lag(kind) over (partition by user_id order by ts, event_id) as prev from (
+      select event_id, kind, lag(kind) over (partition by user_id order by ts, kind, event_id) as prev from (
         select *, case when event_type = 'click' then 'request' else 'end' end as kind from events
         where event_type in ('click', 'purchase')))
     where kind = 'request'"""
@@ -212,6 +225,12 @@ def _(tb):
     return drained(tb, out, "flight").select("id", "role")
 
 
+@query("t3_single_flight_batches", oracle=FLIGHT)
+def _(tb):
+    out = in_batches(tb, flight_events(event_stream(tb)), b.single_flight("user_id", id_col="event_id"), "flight")
+    return out.select(F.col("event_id").alias("id"), "role")
+
+
 @query("t4_ttl_filter", ("refresh_log",), """
     select id from refresh_log where requested_at + interval '5' minute > timestamp '2024-01-15 00:00:00'""")
 def _(tb):
@@ -231,17 +250,18 @@ def _(tb):
 
 
 AUDIT = """
-    select key, id, active from (
-      select *, sum(d) over (partition by key order by t, d, id rows unbounded preceding) as active from (
-        select user_id as key, id, refresh_time as t, 1 as d from run_log
-        union all select user_id, id, finished_at, -1 from run_log where finished_at is not null))
-    where d = 1 and active > 1"""
+    select key, t, active from (
+      select key, t, max(d) as best, sum(sum(d)) over (partition by key order by t) as active from (
+        select user_id as key, epoch_us(refresh_time) as t, 1 as d from run_log
+        union all select user_id, epoch_us(finished_at), -1 from run_log where finished_at is not null)
+      group by key, t)
+    where best = 1 and active > 1"""
 
 
 @query("t5_active_run_audit", ("run_log",), AUDIT)
 def _(tb):
     out = qual.active_run_audit(run_log(tb), ["user_id"], "refresh_time", "finished_at")
-    return out.select(F.col("user_id").alias("key"), "id", "active")
+    return out.select(F.col("user_id").alias("key"), us("at").alias("t"), "active")
 
 
 @query("t5_active_run_audit_stream", ("run_log",), AUDIT)
@@ -254,9 +274,8 @@ def _(tb):
         F.struct(F.lit(1).alias("delta"), F.col("ts").alias("at")),
         F.struct(F.lit(-1).alias("delta"), (F.col("ts") + length).alias("at")),
     ))
-    rows = runs.select("event_id", "user_id", marks.alias("m")).select("event_id", "user_id", "m.*").filter("at IS NOT NULL")
-    out = g.active_runs(rows, "user_id", "at", "delta", "event_id")
-    return drained(tb, out, "audit").select("key", "id", "active")
+    rows = runs.select("user_id", marks.alias("m")).select("user_id", "m.*").filter("at IS NOT NULL")
+    return drained(tb, g.active_runs(rows, "user_id", "at", "delta"), "audit").select("key", "t", "active")
 
 
 @query("t6_status_transitions", ("work_queue",), """

@@ -9,7 +9,7 @@ from pagecat.functions.text import page_title
 from pagecat.plans import discover as d, extract as e, runs
 from pagecat.session import scratch
 from pagecat.sources import html as h
-from pagecat.streaming import gates as g
+from pagecat.streaming import batches as b, gates as g
 
 AS_OF = datetime(2024, 2, 1)
 ROOT = "http://s.example"
@@ -166,6 +166,33 @@ def test_streams_equal_their_batch_twins(spark, rows):
     flight = drained(spark, g.single_flight(stream, "k"))
     assert rows(flight, "id", "role") == rows(runs.single_flight(df, ["k"]), "id", "role")
     assert gate.count() == df.count()
+    for step, cols, want in (
+        (b.cooldown_gate("k", 15, "ts"), ("id", "decision"), runs.cooldown_gate(df, ["k"], 15, "ts")),
+        (b.single_flight("k"), ("id", "role"), runs.single_flight(df, ["k"])),
+    ):
+        base = scratch(spark, "batches")
+        b.run_batches(stream, step, base + "/out", base + "/state", base + "/offsets")
+        assert rows(spark.read.parquet(base + "/out"), *cols) == rows(want, *cols)
+
+
+def test_late_rows_are_kept_and_marked(spark, rows):
+    def at(s):
+        return datetime(2024, 1, 1, 0, 0, s)
+
+    first = spark.createDataFrame([(1, 0, at(10)), (2, 0, at(50))], "id long, k long, ts timestamp")
+    second = spark.createDataFrame([(3, 0, at(5)), (4, 0, at(52)), (5, 1, at(1))], "id long, k long, ts timestamp")
+    state = None
+    got = []
+    step = b.cooldown_gate("k", 1, "ts")
+    for part in (first, second):
+        out, state = step(part, state)
+        got += rows(out, "id", "decision")
+    assert got == [(1, "started"), (2, "too_recent"), (3, "late"), (4, "too_recent"), (5, "started")]
+    flight, state, got = b.single_flight("k"), None, []
+    for part in (first, second):
+        out, state = flight(part.withColumn("kind", F.lit("request")), state)
+        got += rows(out, "id", "role")
+    assert got == [(1, "owner"), (2, "waiter"), (3, "late"), (4, "waiter"), (5, "owner")]
 
 
 def test_worker_takes_each_pending_item_once(spark, rows):
