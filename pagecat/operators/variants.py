@@ -12,7 +12,7 @@ INFO_FIELDS = {
     "director": "director",
     "cast_members": "starring",
     "genres": "genres",
-    "rating": "rating",
+    "rating": "movie rating",
     "language": "language",
     "type": "quality",
     "last_updated": "last updated",

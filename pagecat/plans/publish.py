@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
-from ..functions.urls import rebase, url_path
+from ..functions.urls import rebase, url_origin, url_path
+from ..operators.graph import resolve_redirects
 from ..operators.joins import attach_parent_id, drop_staged_variants
 from ..operators.merge import stable_id, update_where, upsert
 from ..operators.quality import require_unique
@@ -118,6 +119,19 @@ def overwrite_variants(variants: DataFrame, fresh: DataFrame, arrival: str = "po
                         touch="updated_at" if as_of is not None else None, as_of=as_of)
 
 
+def refresh_config(config: DataFrame, redirects: DataFrame, max_hops: int = 20) -> DataFrame:
+    """Configured addresses after following redirects(src, dst): another origin replaces the address.
+
+    An address that leads to its own origin, nowhere or in circles stays as it is.
+    """
+    ends = resolve_redirects(redirects, max_hops).select(F.col("src").alias("url"), "final")
+    moved = url_origin("final") != url_origin("url")
+    return config.join(ends, "url", "left").select(
+        *[F.when(moved, url_origin("final")).otherwise(F.col("url")).alias("url") if c == "url" else F.col(c)
+          for c in config.columns]
+    )
+
+
 def rebase_urls(catalog: DataFrame, config: DataFrame, col: str = "poster_ref", out: str = "poster_url",
                 key: str = "base_url") -> DataFrame:
     """Stored relative references as full addresses on the configured base."""

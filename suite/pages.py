@@ -6,7 +6,7 @@ from pagecat.functions import text as t
 from pagecat.functions.urls import with_resolved
 from pagecat.operators import graph, variants as v
 from pagecat.operators.ranking import dedup_first_seen
-from pagecat.plans import discover as d, extract as e, optional as o
+from pagecat.plans import discover as d, extract as e, optional as o, publish as pub, refresh as ref
 from pagecat.session import scratch
 from pagecat.sources import html as h
 from pagecat.streaming import gates as g
@@ -298,3 +298,79 @@ def _(tb):
 def _(tb):
     parsed = h.parse_pages(site.site(tb).filter("url LIKE '%/item/%'"))
     return parsed.select(key_of("page_url"), o.run_time("info", "language").alias("value"))
+
+
+MOVED = """
+    select concat('https://h', s_suppkey, '.example.com/') as src,
+           case when s_suppkey % 3 = 0 then concat('https://h', s_suppkey // 2, '.example.com/')
+                when s_suppkey % 3 = 1 then concat('https://h', s_suppkey, '.example.com/home')
+                else concat('https://h', s_suppkey, '.example.com/') end as dst from supplier"""
+
+
+@query("g3_refresh_config", ("config",), f"""
+    with recursive moved as ({MOVED}),
+    walk as (
+      select src, dst, 1 as hops from moved
+      union all
+      select w.src, m.dst, hops + 1 from walk w join moved m on m.src = w.dst where hops < 25),
+    ends as (select src, arg_max(dst, hops) as final from walk group by 1 having max(hops) <= 20)
+    select key, case when regexp_extract(final, '^(https://[^/]+)', 1) <> regexp_extract(url, '^(https://[^/]+)', 1)
+                     then regexp_extract(final, '^(https://[^/]+)', 1) else url end as url
+    from config left join ends on ends.src = config.url""")
+def _(tb):
+    k = F.col("s_suppkey")
+
+    def host(n):
+        return F.concat(F.lit("https://h"), n.cast("string"), F.lit(".example.com/"))
+
+    target = F.when(k % 3 == 0, host(F.floor(k / 2))).when(k % 3 == 1, F.concat(host(k), F.lit("home"))).otherwise(host(k))
+    moved = tb["supplier"].select(host(k).alias("src"), target.alias("dst"))
+    return pub.refresh_config(tb["config"], moved)
+
+
+def refreshed(tb):
+    parsed = site.parsed_site(tb)
+    catalog = tb["supplier"].select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.concat(F.lit(site.ROOT), F.lit("/item/"), "s_suppkey", F.lit("/")).alias("item_url"),
+    )
+    label = F.explode(F.array(F.lit("Q1"), F.lit("Q2"), F.lit("X"))).alias("label")
+    stored = catalog.select(F.col("id").alias("item_id"), label).select(
+        F.concat("item_id", "label").alias("id"), "item_id", "label",
+        *[F.lit("old").alias(c) for c in ("file_size", "file_url_1", "file_url_2", "view_url_1", "view_url_2")],
+    )
+    owned = catalog.filter("id % 2 = 0").select(F.concat(F.lit("r"), "id").alias("id"), F.col("id").alias("item_id"))
+    log = owned.select(
+        "id", "item_id", F.lit("processing").alias("status"), F.lit(None).cast("string").alias("error_msg"),
+        F.lit(None).cast("timestamp").alias("completed_at"),
+    )
+    table, served = ref.refresh(owned, catalog, parsed, stored, F.expr("timestamp'2024-02-01 00:00:00'"))
+    return table, served, log
+
+
+@query("m8_refresh_variants", oracle=f"""
+    with v as ({VARIANTS}), s as (
+      select s_suppkey as k, concat('Q', i) as label from supplier, (select unnest([1, 2]) as i)
+      union all select s_suppkey, 'X' from supplier)
+    select s.k, s.label, case when s.k % 2 = 0 and v.k is not null then v.file_size else 'old' end as file_size,
+           case when s.k % 2 = 0 and v.k is not null then v.file_url_1 else 'old' end as file_url_1,
+           case when s.k % 2 = 0 and v.k is not null then v.view_url_2 else 'old' end as view_url_2
+    from s left join v on v.k = s.k and v.label = s.label""")
+def _(tb):
+    table = refreshed(tb)[0]
+    return table.select(F.col("item_id").cast("bigint").alias("k"), "label", "file_size", "file_url_1", "view_url_2")
+
+
+@query("m9_close_requests", oracle=f"""
+    with v as ({VARIANTS})
+    select concat('r', s_suppkey) as id, case when s_suppkey % 10 = 9 then 'failed' else 'done' end as status,
+           case when s_suppkey % 10 = 9 then 'No quality links found' end as error_msg, 1706745600000000 as completed_us,
+           (select string_agg(concat(label, '=', file_size, '|', coalesce(file_url_1, '')), ';' order by label) from v where k = s_suppkey) as payload
+    from supplier where s_suppkey % 2 = 0""")
+def _(tb):
+    _, served, log = refreshed(tb)
+    entry = F.transform("payload", lambda x: F.concat(
+        x["label"], F.lit("="), x["file_size"], F.lit("|"), F.coalesce(x["file_url_1"], F.lit(""))))
+    text = served.withColumn("payload", F.array_join(entry, ";"))
+    closed = ref.close_requests(log.withColumn("payload", F.lit(None).cast("string")), text)
+    return closed.select("id", "status", "error_msg", F.unix_micros("completed_at").alias("completed_us"), "payload")
