@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
-from .running import running, micros
+from ..session import cut
+from .running import micros, running
 
 # The legal moves of a work item and of a refresh request.
 QUEUE_MOVES = (
@@ -84,7 +85,7 @@ def active_run_audit(log: DataFrame, by, start: str, end: str) -> DataFrame:
         F.struct(micros(start).alias("t"), F.lit(1).alias("d")),
         F.struct(micros(end).alias("t"), F.lit(-1).alias("d")),
     ))
-    moments = (
+    moments = cut(
         log.select(*by, marks.alias("m")).filter("m.t IS NOT NULL")
         .groupBy(*by, F.col("m.t").alias("__t"))
         .agg(F.sum("m.d").alias("__d"), F.max("m.d").alias("__start"))

@@ -1,20 +1,25 @@
-"""Running values and as-of lookups along time, without ever sorting one key in one task.
-
-A key's history is cut into slices (a second) and blocks (3600 slices). Rows are ordered inside a slice
-only; what a slice inherits comes from one summary row per earlier slice of its block and one per earlier
-block of its key. Those summaries are made by partial aggregation. As-of lookups first reduce all
-rows of one key and instant to one, so a slice never holds more rows than it has microseconds.
+"""Running values and as-of lookups along time, without ever sorting a hot key in one task.
+
+Most keys have few rows: those are ordered key by key. A key is hot if it holds more than a ten-thousandth of all
+rows (and more than a million); there can be ten thousand of them at most, so their list is safe to broadcast. The
+history of a hot key is cut into slices (a second) and blocks (3600 slices). Its rows are ordered inside a slice only;
+what a slice inherits comes from one summary row per earlier slice of its block and one per earlier block of its
+key, made by partial aggregation. As-of lookups first reduce all rows of one key and instant to one, so a slice
+never holds more rows than it has microseconds. Keys must not be NULL.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut
+
 SLICE_US = 1_000_000
 BLOCK_US = 3600 * SLICE_US
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def micros(ts) -> Column:
@@ -23,67 +28,83 @@ def micros(ts) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def hot_keys(df: DataFrame, by, rows: int) -> DataFrame:
+    """The keys with more than 1 / HOT_KEYS of all rows and more than HOT_ROWS: HOT_KEYS of them at most."""
+    least = max(HOT_ROWS, rows // HOT_KEYS)
+    return df.groupBy(*by).agg(F.count("*").alias("__n")).filter(F.col("__n") > least).select(*by)
+
+
 def running(df: DataFrame, by, at: str, tie=(), last: dict[str, Column] | None = None,
-            total: dict[str, Column] | None = None, inclusive: bool = True,
-            keep: str | None = None) -> DataFrame:
+            total: dict[str, Column] | None = None, inclusive: bool = True) -> DataFrame:
     """Add the last non-NULL value and the sum so far of each given expression.
 
     ``at`` is a BIGINT axis, ``tie`` orders rows of one instant. With ``inclusive=False`` a row does not
-    count itself. ``keep`` names a flag: only rows that have it are returned.
+    count itself. The rows are read several times: pass a stored or cut table.
     """
-    last, total = last or {}, total or {}
-    by = list(by)
-    keys = [*by, "__block", "__slice"]
-    base = (
-        df.withColumn("__slice", F.col(at) - F.pmod(F.col(at), F.lit(SLICE_US)))
-        .withColumn("__block", F.col(at) - F.pmod(F.col(at), F.lit(BLOCK_US)))
-    )
-    order = [at, *tie]
-    end = Window.currentRow if inclusive else -1
-    within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    own = base.select(
-        *base.columns,
-        *[F.last(c, ignorenulls=True).over(within).alias(f"__own_{n}") for n, c in last.items()],
-        *[F.sum(c).over(within).alias(f"__own_{n}") for n, c in total.items()],
-    )
-    flag = F.col(keep) if keep else F.lit(True)
-    slices = base.groupBy(*keys).agg(
-        F.max(flag).alias("__needed"),
-        *[F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(n) for n, c in last.items()],
-        *[F.sum(c).alias(n) for n, c in total.items()],
-    )
-    # Asking for the flag in every branch keeps their inputs alike, so that Spark shuffles them once.
-    blocks = slices.groupBy(*by, "__block").agg(
-        F.max("__needed").alias("__wanted"),
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__slice"))).alias(n) for n in last],
-        *[F.sum(n).alias(n) for n in total],
-    )
-
-    def before(rows, parts, along, suffix):
-        w = Window.partitionBy(*parts).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
-        return [F.last(n, ignorenulls=True).over(w).alias(n + suffix) for n in last] + [
-            F.sum(n).over(w).alias(n + suffix) for n in total
-        ]
+    values = _Values(list(by), [at, *tie], last or {}, total or {}, Window.currentRow if inclusive else -1)
+    rows = df.count()
+    if rows <= HOT_ROWS:
+        return values.whole(df)
+    hot = cut(hot_keys(df, by, rows))
+    if hot.isEmpty():
+        return values.whole(df)
+    hot = F.broadcast(hot)
+    cold = values.whole(df.join(hot, by, "left_anti").select(*df.columns))
+    return cold.unionByName(values.sliced(df.join(hot, by, "left_semi").select(*df.columns)))
+
 
-    in_block = slices.select(*keys, "__needed", *before(slices, [*by, "__block"], "__slice", "__sl"))
-    in_key = blocks.select(*by, "__block", "__wanted", *before(blocks, by, "__block", "__bl"))
-    carried = in_block.filter("__needed").join(in_key.filter("__wanted"), [*by, "__block"])
+@dataclass(frozen=True)
+class _Values:
+    by: list[str]
+    order: list[str]
+    last: dict[str, Column]
+    total: dict[str, Column]
+    end: int
+
+    def _so_far(self, keys) -> dict[str, Column]:
+        w = Window.partitionBy(*keys).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, self.end)
+        return {
+            **{n: F.last(c, ignorenulls=True).over(w) for n, c in self.last.items()},
+            **{n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in self.total.items()},
+        }
+
+    def whole(self, df: DataFrame) -> DataFrame:
+        return df.select("*", *[c.alias(n) for n, c in self._so_far(self.by).items()])
+
+    def sliced(self, df: DataFrame) -> DataFrame:
+        by, order = self.by, self.order
+        t = F.col(order[0])
+        keys = [*by, "__block", "__slice"]
+        base = df.withColumns({
+            "__slice": t - F.pmod(t, F.lit(SLICE_US)), "__block": t - F.pmod(t, F.lit(BLOCK_US))
+        })
+        own = base.select("*", *[c.alias(f"__own_{n}") for n, c in self._so_far(keys).items()])
+        slices = base.groupBy(*keys).agg(
+            *[F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(n) for n, c in self.last.items()],
+            *[F.sum(c).alias(n) for n, c in self.total.items()],
+        )
+        blocks = slices.groupBy(*by, "__block").agg(
+            *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__slice"))).alias(n) for n in self.last],
+            *[F.sum(n).alias(n) for n in self.total],
+        )
+        carried = slices.select(*keys, *self._before([*by, "__block"], "__slice", "__sl")).join(
+            blocks.select(*by, "__block", *self._before(by, "__block", "__bl")), [*by, "__block"]
+        )
 
-    def zero(name):
-        return F.coalesce(F.col(name), F.lit(0))
+        def zero(name):
+            return F.coalesce(F.col(name), F.lit(0))
 
-    kept = own.filter(flag) if keep else own
-    return kept.join(carried, keys).select(
-        *df.columns,
-        *[
-            F.coalesce(F.col(f"__own_{n}"), F.col(f"{n}__sl"), F.col(f"{n}__bl")).alias(n)
-            for n in last
-        ],
-        *[
-            reduce(lambda a, b: a + b, [zero(f"__own_{n}"), zero(f"{n}__sl"), zero(f"{n}__bl")]).alias(n)
-            for n in total
-        ],
-    )
+        return own.join(carried, keys).select(
+            *df.columns,
+            *[F.coalesce(f"__own_{n}", f"{n}__sl", f"{n}__bl").alias(n) for n in self.last],
+            *[(zero(f"__own_{n}") + zero(f"{n}__sl") + zero(f"{n}__bl")).alias(n) for n in self.total],
+        )
+
+    def _before(self, parts, along, suffix) -> list[Column]:
+        w = Window.partitionBy(*parts).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.last(n, ignorenulls=True).over(w).alias(n + suffix) for n in self.last] + [
+            F.sum(n).over(w).alias(n + suffix) for n in self.total
+        ]
 
 
 @dataclass(frozen=True)
@@ -154,7 +175,7 @@ def _one_direction(points, by, at, facts, tallies, sign) -> DataFrame:
     for t in tallies:
         delta = F.lit(t.delta).cast("bigint")
         rows = rows.unionByName(marks(t.rows, sign * micros(t.at), False, delta, t.name), allowMissingColumns=True)
-    instants = rows.filter("__t IS NOT NULL").groupBy(*by, "__t").agg(
+    instants = rows.dropna(subset=[*by, "__t"]).groupBy(*by, "__t").agg(
         F.max("__p").alias("__p"),
         *[F.max(f.name).alias(f.name) for f in facts],
         *[F.sum(t.name).alias(t.name) for t in tallies],
@@ -167,8 +188,8 @@ def _one_direction(points, by, at, facts, tallies, sign) -> DataFrame:
         for f in facts
     }
     found = running(
-        instants, by, "__t", last=seen, total={t.name: F.col(f"__v_{t.name}") for t in tallies}, keep="__p"
-    )
+        cut(instants), by, "__t", last=seen, total={t.name: F.col(f"__v_{t.name}") for t in tallies}
+    ).filter("__p")
 
     def near(f):
         if f.within_us is None:

@@ -187,8 +187,8 @@ def cooldown_gate(requests: DataFrame, by, minutes: int = 15, at: str = "request
     """
     gap = minutes * MINUTE_US
     by = list(by)
-    instants = (
-        requests.filter(F.col(at).isNotNull()).withColumn("__t", micros(at))
+    instants = cut(
+        requests.withColumn("__t", micros(at)).dropna(subset=[*by, "__t"])
         .groupBy(*by, "__t").agg(F.min(id_col).alias("__first"))
     )
     before = running(instants, by, "__t", last={"__prev": F.col("__t")}, inclusive=False)
@@ -223,11 +223,11 @@ def single_flight(events: DataFrame, by, at: str = "ts", kind: str = "kind", id_
     come first and the lowest id asks first, so an instant is one row: what it found open decides.
     """
     asks = F.col(kind) == "request"
-    instants = events.withColumn("__t", micros(at)).groupBy(*by, "__t").agg(
+    instants = cut(events.withColumn("__t", micros(at)).dropna(subset=[*by, "__t"]).groupBy(*by, "__t").agg(
         F.min(F.when(asks, F.col(id_col))).alias("__first"),
         F.bool_or(~asks).alias("__end"),
         F.bool_or(asks).alias("__open"),
-    )
+    ))
     before = running(instants, by, "__t", inclusive=False, last={"__was": F.col("__open")})
     owners = before.filter(F.col("__open") & (F.col("__end") | ~F.coalesce("__was", F.lit(False)))).select(
         *by, "__t", F.col("__first").alias(id_col), F.lit("owner").alias("__role")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators.ranking import latest_per_key
+from ..session import cut
 
 
 def scan(spark: SparkSession, path: str, cols=None, where: Column | None = None) -> DataFrame:
@@ -16,12 +17,23 @@ def scan(spark: SparkSession, path: str, cols=None, where: Column | None = None)
     return df.select(*cols) if cols else df
 
 
-def scan_pages(pages: DataFrame, captured_at: str | None = None) -> DataFrame:
-    """Captured pages; of several captures of one URL the latest stays."""
+def scan_pages(pages: DataFrame, captured_at: str | None = None, few: int = 200_000) -> DataFrame:
+    """Captured pages; of several captures of one URL the latest stays.
+
+    URLs are counted first, without the page text. If those captured again are few (a counted bound), their list is
+    broadcast and only their texts are shuffled; all other pages stay where they are read.
+    """
     if captured_at is None:
         return pages.select("url", "html")
-    # The text rides along with the newest capture only: partial max_by, then one shuffle.
-    return latest_per_key(pages, ["url"], captured_at, ["html"]).select("url", "html")
+    again = cut(
+        pages.filter(F.col("url").isNotNull()).groupBy("url").agg(F.count("*").alias("n")).filter("n > 1").select("url")
+    )
+    if again.count() > few:
+        return latest_per_key(pages, ["url"], captured_at, ["html"]).select("url", "html")
+    again = F.broadcast(again)
+    single = pages.join(again, "url", "left_anti").select("url", "html")
+    several = pages.join(again, "url", "left_semi")
+    return single.unionByName(latest_per_key(several, ["url"], captured_at, ["html"]).select("url", "html"))
 
 
 def stream_pages(spark: SparkSession, path: str, schema: str = schemas.PAGES, **options) -> DataFrame:

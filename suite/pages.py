@@ -254,14 +254,10 @@ def _(tb):
 @query("m4_stage_records", oracle=f"""
     with c as ({CATALOG}), v as ({VARIANTS}), q as ({OUTCOME})
     select c.item_url, c.name, c.year, (select count(*) from v where v.k = q.k) as variants, concat('1h ', q.k % 60, 'm') as duration
-    from c join q on c.slug = concat('/item/', q.k, '/') where q.status = 'done'""")
+    from c join q on c.slug = concat('/item/', q.k, '/') where q.status = 'done' or q.error_msg like 'Staging%'""")
 def _(tb):
-    parsed = site.parsed_site(tb)
     items = site.queue(tb).select("id", "url")
-    variants = e.extract_variants(parsed, items)
-    bad = items.filter("id % 23 = 0").select("url", F.lit("name missing").alias("message"))
-    done = e.item_outcome(items, parsed, variants, F.expr("timestamp'2024-02-01 00:00:00'"), bad)
-    records, staged = e.stage_records(e.extract_catalog(parsed), done, variants)
+    records, staged, _ = e.extract_items(site.parsed_site(tb), items, F.expr("timestamp'2024-02-01 00:00:00'"))
     counts = staged.groupBy("item_url").agg(F.count("*").alias("variants"))
     return records.join(counts, "item_url").select("item_url", "name", "year", "variants", "duration")
 

@@ -23,10 +23,17 @@ def times(seed, n, span_s, step_us=250_000):
     return [(i, rnd.choice(["a", "a", "a", "b", "c"]), at(rnd.randrange(0, span_s * 1_000_000, step_us))) for i in range(n)]
 
 
+@pytest.fixture(params=["cold", "hot"])
+def heat(request, monkeypatch):
+    """Run once with every key walked whole and once with large keys cut into slices."""
+    if request.param == "hot":
+        monkeypatch.setattr(run, "HOT_ROWS", 30)
+
+
 @pytest.mark.parametrize("forward", [False, True])
 @pytest.mark.parametrize("strict", [False, True])
-@pytest.mark.parametrize("within_s", [None, 20, 5000])
-def test_lookup_matches_brute_force(spark, forward, strict, within_s):
+@pytest.mark.parametrize("within_s", [None, 200])
+def test_lookup_matches_brute_force(spark, heat, forward, strict, within_s):
     points, facts = times(1, 150, 9000), times(2, 120, 9000)
     p = spark.createDataFrame(points, "pid int, k string, t timestamp")
     f = spark.createDataFrame(facts, "id int, k string, ft timestamp")
@@ -43,7 +50,7 @@ def test_lookup_matches_brute_force(spark, forward, strict, within_s):
         assert got[pid] == best
 
 
-def test_lookup_without_keys_and_tallies(spark):
+def test_lookup_without_keys_and_tallies(spark, heat):
     p = spark.createDataFrame(times(3, 60, 20000), "pid int, k string, t timestamp")
     f = spark.createDataFrame(times(4, 60, 20000), "id int, k string, ft timestamp")
     out = run.with_history(p, [], "t", [run.Fact("hit", f, "ft", ("id",))], [run.Tally("n", f, "ft", 1)]).collect()
@@ -53,15 +60,27 @@ def test_lookup_without_keys_and_tallies(spark):
     assert all((r["hit"] is None) == (not any(ft <= r["t"] for ft in facts)) for r in out)
 
 
-def test_running_before_the_epoch(spark):
+def test_running_before_the_epoch(spark, monkeypatch):
+    monkeypatch.setattr(run, "HOT_ROWS", 1)
     df = spark.createDataFrame([(1, -5), (1, -3_700_000_000), (1, 7), (2, 0)], "k int, t long")
     out = run.running(df, ["k"], "t", total={"n": F.lit(1)}, last={"l": F.col("t")}, inclusive=False)
     assert sorted((r["k"], r["t"], r["n"], r["l"]) for r in out.collect()) == [
         (1, -3_700_000_000, 0, None), (1, -5, 1, -3_700_000_000), (1, 7, 2, -5), (2, 0, 0, None)]
 
 
-@pytest.mark.parametrize("minutes,span", [(1, 4000), (15, 20000), (60, 20000)])
-def test_cooldown_gate_is_the_greedy_choice(spark, minutes, span):
+def test_hot_keys_are_few_by_construction(spark, rows, monkeypatch):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 50).alias("k"))
+    monkeypatch.setattr(run, "HOT_ROWS", 10)
+    monkeypatch.setattr(run, "HOT_KEYS", 5)
+    assert rows(run.hot_keys(df, ["k"], 1000)) == [(0,)]
+    monkeypatch.setattr(run, "HOT_KEYS", 10_000)
+    assert len(rows(run.hot_keys(df, ["k"], 1000))) == 50
+    monkeypatch.setattr(run, "HOT_ROWS", 1000)
+    assert rows(run.hot_keys(df, ["k"], 1000)) == []
+
+
+@pytest.mark.parametrize("minutes,span", [(1, 4000), (60, 20000)])
+def test_cooldown_gate_is_the_greedy_choice(spark, heat, minutes, span):
     rows = times(minutes, 250, span, 1_000_000)
     df = spark.createDataFrame(rows, "id int, k string, requested_at timestamp")
     got = {r["id"]: r["decision"] for r in runs.cooldown_gate(df, ["k"], minutes).collect()}
@@ -237,7 +256,8 @@ def test_refresh_overwrites_with_null_unless_guarded(spark, rows):
 
 def test_captures_and_children(spark, rows):
     pages = spark.createDataFrame([("u", "old", at(1)), ("u", "new", at(2)), ("v", "only", at(0))], "url string, html string, c timestamp")
-    assert rows(scan_pages(pages, "c")) == [("u", "new"), ("v", "only")]
+    for few in (0, 10):
+        assert rows(scan_pages(pages, "c", few)) == [("u", "new"), ("v", "only")]
     child = spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "id int, fk string")
     parent = spark.createDataFrame([("a",)], "pk string")
     assert rows(joins.orphans(child, parent, "fk", "pk"), "id") == [(2,)]

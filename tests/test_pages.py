@@ -127,7 +127,10 @@ def test_extraction(spark):
     out = {r["id"]: (r["status"], r["error_msg"]) for r in e.item_outcome(items, parsed, found, AS_OF).collect()}
     assert out == {"1": ("done", None), "2": ("error", "No valid links"), "3": ("error", "No quality links"),
                    "4": ("error", "page not captured"), "5": ("skipped", "Web Series excluded")}
-    records, staged = e.stage_records(e.extract_catalog(parsed), e.item_outcome(items, parsed, found, AS_OF), found)
+    records, staged, outcomes = e.extract_items(parsed, items, AS_OF)
+    assert {r["id"]: (r["status"], r["error_msg"]) for r in outcomes.collect()} == out
+    lost = h.parse_pages(pages(spark, {"/i/1": entry("/l/gone", "list")}))
+    assert e.item_outcome(items.limit(1), lost, found.limit(0), AS_OF).first()["error_msg"] == "page not captured"
     assert [r["duration"] for r in records.collect()] == ["1h"] and staged.count() == 2
     parsed.unpersist()
 
