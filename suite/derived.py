@@ -41,7 +41,8 @@ DERIVED = {
         where s_suppkey > 0""",
     "variant_file": """
         select l_orderkey as item_id,
-               l_linenumber * 10000000000000000 + l_partkey * 100000000 + l_suppkey as pos,
+               l_linenumber * 10000000000000000 + l_partkey * 100000000
+                 + cast(round(l_extendedprice * 100) as bigint) as pos,
                concat(l_returnflag, l_linestatus) as label,
                concat('/file/', cast(l_orderkey as string), '/', cast(l_partkey as string)) as url,
                concat('File Size: ', cast(cast(l_quantity as int) as string),
