@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding
-from .common import table
+from . import chat, langid, mixing, secrets, sharding, toxicity
+from .common import bucket, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,40 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels of four fifths of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(bucket("doc_id", 5) != 0))
+    return toxicity.predict(docs, model).select(
+        "doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "hits", "words",
+    )
+
+
+@query("op8_find_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, counted and with their places."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counted = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", counted("assign").alias("n_assign"), counted("access").alias("n_access"), counted("hex").alias("n_hex"),
+        F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op9_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the labelled rows of four fifths of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.select("doc_id", "text", "lang").filter(bucket("doc_id", 5) != 0))
+    return langid.predict(docs, model).select(
+        "doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected",
+    )
+
+
 @query("op10_shard_bytes")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes."""
