@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, secrets, sharding, toxicity
+from . import chat, langid, mixing, secrets, sharding, spotsigs, toxicity
 from .common import bucket, table
 
 QUERIES: dict = {}
@@ -76,6 +76,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_spotsigs")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited version, and how alike they and the next one are."""
+    pairs = spotsigs.successors(table(spark, sf_dir, "documents"))
+    own, edited, following = F.col("signatures"), F.col("edited_signatures"), F.col("next_signatures")
+    return pairs.select(
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint(own).alias("fingerprint"), spotsigs.fingerprint(edited).alias("edited_fingerprint"),
+        spotsigs.likeness(own, edited).alias("near_edited"), spotsigs.likeness(own, following).alias("near_next"),
+    )
+
+
 @query("op8_find_secrets")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text, counted and with their places."""
