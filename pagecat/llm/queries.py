@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, secrets, sharding, spotsigs, toxicity
+from . import chat, langid, minhash, mixing, secrets, sharding, spotsigs, toxicity
 from .common import bucket, table
 
 QUERIES: dict = {}
@@ -65,6 +65,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_near_duplicates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicates among all documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learned from the labels of four fifths of the ids."""
