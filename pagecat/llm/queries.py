@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, minhash, mixing, secrets, sharding, spotsigs, toxicity
+from . import chat, langid, minhash, mixing, repeats, secrets, sharding, spotsigs, toxicity
 from .common import bucket, table
 
 QUERIES: dict = {}
@@ -65,6 +65,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_cut_repeats")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte strings of documents before it."""
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return repeats.cut_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", length.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query("op5_near_duplicates")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicates among all documents."""
