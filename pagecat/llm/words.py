@@ -7,6 +7,9 @@ import numpy as np
 # Bytes that part words: space, and tab to carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Also all other ASCII signs but letters and digits.
+SIGN = SPACE.copy()
+SIGN[[c for c in range(128) if not chr(c).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -44,12 +47,12 @@ def grouped(texts: list[bytes | None], size: int = 1 << 20):
         yield first, group
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(texts: list[bytes], parted: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all texts in a row: hash of each word with A-Z lower-cased, its start and end (bytes from the start of its own text),
     and per text the number of its first word (one entry more than texts)."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    gap = SPACE[joined]
+    gap = parted[joined]
     inside = ~gap
     begin = np.flatnonzero(inside & np.concatenate(([True], gap[:-1])))
     end = np.flatnonzero(gap & np.concatenate(([False], inside[:-1])))
