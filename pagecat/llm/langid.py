@@ -261,3 +261,21 @@ def predict(docs: DataFrame, model: Model, margin: float = 0.5, id_col: str = "d
     kind = T.StructType([docs.schema[id_col], *T._parse_datatype_string(
         "lang_pred string, score double, cross_entropy double, rejected boolean").fields])
     return docs.select(id_col, text_col).mapInArrow(score, kind)
+
+
+def accepted(docs: DataFrame, model: Model, margin: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text ``predict`` does not reject; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def choose(batches):
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            nats, scored, letters = scorer.sums(batch.column(at).to_pylist())
+            keep = (letters > 0) & bool(shared.value.langs)
+            if keep.any():
+                cross = nats / np.maximum(scored, 1)[:, None]
+                keep &= cross.min(1) <= limits(shared.value, cross.argmin(1), scored, margin)
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(choose, docs.schema)
