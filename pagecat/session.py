@@ -16,6 +16,7 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Captured pages are large rows: keep one Arrow batch small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
