@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from .common import saved, small
 from .words import _BASE, _BYTE, mix, pack, powers, unpack
 
-WINDOW, GRAM = 50, 25
+WINDOW, GRAM = 50, 16
 REACH = WINDOW - GRAM + 1
 # Of two equal windows around an anchor, WINDOW - GRAM further bytes are equal: LEFT of them before it, or RIGHT after it.
-LEFT, RIGHT = 12, 14
+LEFT, RIGHT = 17, 18
 # Bytes worked on at once, bytes of text whose rows are sent together, and bytes of text for each bucket of anchors.
 PIECE, CHUNK, BUCKET = 1 << 20, 8 << 20, 24 << 20
 _PLACE = np.uint64((1 << 24) - 1)
@@ -163,16 +163,26 @@ def _shared(hashes, left, right, doc):
     return _repeated(wide | left, doc, left > 0) | _repeated(wide | right, doc, right > 0)
 
 
-PLACED = "bucket int, sure boolean, docs binary, doc binary, hash binary, lefts binary, rights binary"
-PLACED_ARROW = pa.schema([("bucket", pa.int32()), ("sure", pa.bool_()), *[(c, pa.binary()) for c in ("docs", "doc", "hash", "lefts", "rights")]])
+def _counted(doc: np.ndarray) -> dict[str, bytes]:
+    """A column of documents, sorted: each with its number of rows."""
+    docs, counts = np.unique(doc, return_counts=True)
+    return {"docs": docs.tobytes(), "times": counts.astype(np.uint32).tobytes()}
+
+
+def _recounted(docs: bytes, times: bytes) -> np.ndarray:
+    return np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(times, np.uint32))
+
+
+PLACED = "bucket int, sure boolean, docs binary, times binary, hash binary, lefts binary, rights binary"
+PLACED_ARROW = pa.schema([("bucket", pa.int32()), ("sure", pa.bool_()), *[(c, pa.binary()) for c in ("docs", "times", "hash", "lefts", "rights")]])
 
 
 def _place(n_buckets: int):
     """Anchors of each chunk, by bucket. Those that two documents of the chunk share are sure, and sent on by one of them only."""
     def row(bucket, sure, doc, hashes, left, right):
-        docs, index = np.unique(doc, return_inverse=True)
-        return {"bucket": int(bucket), "sure": sure, "docs": docs.tobytes(), "doc": index.astype(np.uint32).tobytes(),
-                "hash": pack(hashes), "lefts": left.tobytes(), "rights": right.tobytes()}
+        order = np.argsort(doc, kind="stable")
+        left, right = (x[order] if len(x) else x for x in (left, right))
+        return {"bucket": int(bucket), "sure": sure, **_counted(doc), "hash": pack(hashes[order]), "lefts": left.tobytes(), "rights": right.tobytes()}
 
     def run(batches):
         for number, rows in enumerate(_chunks(batches)):
@@ -220,7 +230,7 @@ def _by_doc(doc: np.ndarray, values: np.ndarray, size: int) -> Iterator[pa.Recor
 def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: the documents' anchors that other documents have too."""
     for rows in _by_key(batches):
-        read = [(r[1], np.frombuffer(r[2], np.int64)[np.frombuffer(r[3], np.uint32)], unpack(r[4]), r[5], r[6]) for r in rows]
+        read = [(r[1], _recounted(r[2], r[3]), unpack(r[4]), r[5], r[6]) for r in rows]
         open_ = [x for x in read if not x[0]]
         found = [(x[1], x[2]) for x in read if x[0]]
         if open_:
@@ -255,12 +265,18 @@ class Entries:
         return Entries(data, **{name: getattr(self, name)[rows] for name, _ in self.FIELDS})
 
     def packed(self) -> dict[str, bytes]:
-        return {name: getattr(self, name).tobytes() for name, _ in self.FIELDS} | {"data": self.data.tobytes()}
+        e = self.take(np.argsort(self.doc, kind="stable"))
+        return _counted(e.doc) | {
+            "hash": pack(e.hash), "away": e.away.tobytes(), "count": e.count.tobytes(), "start": e.start.tobytes(),
+            "data": pa.compress(e.data.tobytes(), codec="zstd", asbytes=True)}
 
     @classmethod
     def read(cls, rows: list[tuple]) -> Entries:
-        fields = {name: np.frombuffer(b"".join(r[k] for r in rows), kind) for k, (name, kind) in enumerate(cls.FIELDS)}
-        return cls(np.frombuffer(b"".join(r[len(cls.FIELDS)] for r in rows), np.uint8), **fields)
+        """Rows (docs, times, hash, away, count, start, data)."""
+        away, count, start = (np.frombuffer(b"".join(r[k] for r in rows), kind) for k, kind in ((3, np.uint8), (4, np.uint8), (5, np.uint32)))
+        data = [pa.decompress(r[6], int(np.frombuffer(r[4], np.uint8).sum(dtype=np.int64)) + (WINDOW - 1) * len(r[4]), "zstd", asbytes=True) for r in rows]
+        return cls(np.frombuffer(b"".join(data), np.uint8), doc=np.concatenate([_recounted(r[0], r[1]) for r in rows]),
+                   hash=unpack(b"".join(r[2] for r in rows)), away=away, count=count, start=start)
 
     def spans(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         start = self.start[rows].astype(np.int64)
@@ -362,6 +378,22 @@ def _equal_windows(e: Entries, prefixes: Prefixes, at: np.ndarray, segment: np.n
 
 
 def resolve(e: Entries, windows: bool = True) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """``settle`` for some PIECE bytes after another; the runs of an anchor stay together."""
+    order = np.argsort(e.hash, kind="stable")
+    if not len(order):
+        return (np.zeros(0, np.int64),) * 3, order
+    class_end = np.flatnonzero(np.append(e.hash[order][1:] != e.hash[order][:-1], True)) + 1
+    part = (np.cumsum(e.length[order])[class_end - 1] - 1) // PIECE
+    ends = class_end[np.append(part[1:] != part[:-1], True)]
+    spans, left = [], []
+    for a, b in zip(np.append(0, ends[:-1]), ends, strict=True):
+        found, first = settle(e.take(order[a:b]), windows)
+        spans.append(found)
+        left.append(order[a:b][first])
+    return tuple(map(np.concatenate, zip(*spans, strict=True))), np.concatenate(left)
+
+
+def settle(e: Entries, windows: bool) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
     """Spans (document, start, end) of windows that a smaller document has as well, and the runs that are the first of their class.
 
     Of equal runs all but those of the smallest document are covered as a whole. Without ``windows`` it ends there. Then the
@@ -417,8 +449,9 @@ def _told(spans: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
         yield from _by_doc(doc, np.ascontiguousarray(np.stack([start, end], 1).astype(np.int64)), 16)
 
 
-AROUND = "bucket int, sure boolean, doc binary, hash binary, away binary, count binary, start binary, data binary"
-AROUND_ARROW = pa.schema([("bucket", pa.int32()), ("sure", pa.bool_()), *[(c, pa.binary()) for c in ("doc", "hash", "away", "count", "start", "data")]])
+AROUND = "bucket int, sure boolean, docs binary, times binary, hash binary, away binary, count binary, start binary, data binary"
+AROUND_ARROW = pa.schema([("bucket", pa.int32()), ("sure", pa.bool_()),
+                          *[(c, pa.binary()) for c in ("docs", "times", "hash", "away", "count", "start", "data")]])
 
 
 def _around(n_buckets: int):
@@ -445,8 +478,8 @@ def _around(n_buckets: int):
             (doc, start, end), left = resolve(e, windows=False)
             out = []
             if len(doc):
-                none = np.zeros(0, np.uint8).tobytes()
-                out.append({"bucket": (number + int(doc[0])) % n_buckets, "sure": True, "doc": doc.tobytes(), "hash": none, "away": none, "count": none,
+                doc, start, end = merged(doc, start, end)
+                out.append({"bucket": (number + int(doc[0])) % n_buckets, "sure": True, **_counted(doc), "hash": b"", "away": b"", "count": b"",
                             "start": start.tobytes(), "data": end.tobytes()})
             bucket = (e.hash[left] % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -461,7 +494,7 @@ def _around(n_buckets: int):
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: the spans of each document that a smaller one has as well."""
     for rows in _by_key(batches):
-        found = [tuple(np.frombuffer(r[k], np.int64) for k in (2, 6, 7)) for r in rows if r[1]]
+        found = [(_recounted(r[2], r[3]), np.frombuffer(r[7], np.int64), np.frombuffer(r[8], np.int64)) for r in rows if r[1]]
         if open_ := [r[2:] for r in rows if not r[1]]:
             found.append(resolve(Entries.read(open_))[0])
         yield from _told(tuple(map(np.concatenate, zip(*found, strict=True))))
@@ -487,7 +520,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     per id: n_bytes, spans (maximal removed runs as an array of start and end, end exclusive), kept (the bytes left), and
     kept_sha256. ``kept`` is null where nothing is removed: the document stays as it is.
 
-    Copies of a whole text are settled by its hash. Of the others, only anchors are sent by hash, some 9 bytes for each 14 bytes
+    Copies of a whole text are settled by its hash. Of the others, only anchors are sent by hash, some 9 bytes for each 18 bytes
     of text; then the surroundings of shared anchors alone. Texts are shuffled twice, each time only those with something shared
     (all of them where these ids are too many to broadcast). What a chunk of 8 MB can settle itself it sends once, so a string
     common to all documents costs a row for each chunk.
