@@ -77,7 +77,7 @@ class Matcher:
             (spared if weight is None else hits).append((start, end, weight))
         if spared:
             hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in spared)]
-        return sum(h[2] for h in hits), len(hits), len(text.split())
+        return float(sum(h[2] for h in hits)), len(hits), len(text.split())
 
 
 def features(weight: np.ndarray, words: np.ndarray) -> np.ndarray:
