@@ -59,7 +59,7 @@ def label_in_parens(c) -> Column:
     return _found(_col(c), r"\(([^)]+)\)", 1)
 
 
-def item_name(title, tail: str = r"\s+Film.*\z") -> Column:
+def item_name(title, tail: str) -> Column:
     """The title without its first year in parentheses and without a trailing phrase."""
     bare = remove_first(title, rf"{_S}*\(\d{{4}}\)")
     return js_trim(remove_first(bare, f"(?i:{tail})"))
@@ -141,7 +141,7 @@ def rating_value(c) -> Column:
     return js_trim(clean_rating(c)).try_cast("double")
 
 
-def strip_label(c, label: str = "Synopsis:") -> Column:
+def strip_label(c, label: str) -> Column:
     return F.nullif(js_trim(remove_first(c, f"(?i:{label})")), F.lit(""))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
 
@@ -62,17 +62,18 @@ def paginate(starts: DataFrame, next_links: DataFrame, max_depth: int | None = N
     )
 
 
-def resolve_redirects(redirects: DataFrame, max_hops: int = 20) -> DataFrame:
-    """Where each address ends: (src, final, hops); NULL for circles and for more than ``max_hops``.
+def resolve_redirects(redirects: DataFrame) -> DataFrame:
+    """Where each address ends: (src, final, hops), however long the chain; NULL for circles. Eager.
 
-    A row that has reached its end leaves the rounds, so an end shared by many is shuffled once.
+    Pointers double in length each round, and a row that has reached its end leaves the rounds, so an end shared by many is
+    shuffled once. Every chain has addresses at each shorter distance from its end: once a round ends none, only circles are left.
     """
-    pointer = redirects.select(
-        "src", F.col("dst").alias("final"), F.lit(1).alias("hops"), F.lit(True).alias("open")
-    )
-    covered = 1
-    while covered <= max_hops:
-        pointer = cut(pointer)
+    pointer = cut(redirects.select(
+        "src", F.col("dst").alias("final"), F.lit(1).cast("bigint").alias("hops"), F.lit(True).alias("open")
+    ))
+    left = None
+    while (open_rows := pointer.filter("open").count()) and open_rows != left:
+        left = open_rows
         far = pointer.select(
             F.col("src").alias("final"), F.col("final").alias("__far"), F.col("hops").alias("__more"),
             F.col("open").alias("__open"),
@@ -83,10 +84,11 @@ def resolve_redirects(redirects: DataFrame, max_hops: int = 20) -> DataFrame:
             (F.col("hops") + F.coalesce("__more", F.lit(0))).alias("hops"),
             F.coalesce("__open", F.lit(False)).alias("open"),
         )
-        pointer = pointer.filter("NOT open").unionByName(moved)
-        covered *= 2
-    ok = ~F.col("open") & (F.col("hops") <= max_hops)
-    return pointer.select("src", F.when(ok, F.col("final")).alias("final"), F.when(ok, F.col("hops")).alias("hops"))
+        pointer = cut(pointer.filter("NOT open").unionByName(moved))
+    ended = ~F.col("open")
+    return pointer.select(
+        "src", F.when(ended, F.col("final")).alias("final"), F.when(ended, F.col("hops")).alias("hops")
+    )
 
 
 def labelled_links(links: DataFrame, labels: dict[int, str], box: str | None = "links") -> DataFrame:
@@ -136,7 +138,3 @@ def branches_to_columns(rows: DataFrame, keys, cols, branches=(1, 2)) -> DataFra
         F.max(F.when(F.col("branch") == b, F.col(c))).alias(f"{c}_{b}") for c in cols for b in branches
     ]
     return rows.groupBy(*keys).agg(*picks)
-
-
-def some(cond: Column) -> Column:
-    return F.coalesce(F.bool_or(cond), F.lit(False))

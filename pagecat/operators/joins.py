@@ -37,8 +37,3 @@ def cascade_delete(child: DataFrame, removed_parents: DataFrame, fk: str, pk: st
     """The children that stay once the given parents are gone."""
     ids = removed_parents.select(F.col(pk).alias(fk))
     return child.join(ids, fk, "left_anti").select(*child.columns)
-
-
-def existing(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    ids = parent.select(F.col(pk).alias(fk))
-    return child.join(ids, fk, "left_semi").select(*child.columns)

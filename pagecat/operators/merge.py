@@ -75,10 +75,6 @@ def delete_where(target: DataFrame, pred: Column) -> DataFrame:
     return target.filter(~F.coalesce(pred, F.lit(False)))
 
 
-def touch_updated_at(df: DataFrame, changed: Column, as_of, col: str = "updated_at") -> DataFrame:
-    return df.withColumn(col, F.when(changed, _lit(as_of)).otherwise(F.col(col)))
-
-
 def stable_id(*cols) -> Column:
     """A repeatable id from the natural key, in place of a random one."""
     return F.sha2(F.concat_ws("\x1f", *cols), 256)

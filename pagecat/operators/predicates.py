@@ -20,22 +20,13 @@ class Noise:
         return {"name": by_name, "url": by_url, "any": by_name | by_url}[self.on]
 
 
-# Neutral examples; a site adds its own.
-NOISE = (
-    Noise(r"\d{4} Films"),
-    Noise(r"Go to page|Page Tags"),
-    Noise(r"Full Download"),
-    Noise(r"web-series|Web Series", "any"),
-)
-SKIP_URL = "web-series"
-
 
 def is_section_link(name: str = "anchor_text", href: str = "href", icon: str = "has_icon") -> Column:
     """A linked block with the marker icon and a four-digit number in its text."""
     return (F.coalesce(F.col(href), F.lit("")) != "") & F.col(icon) & F.col(name).rlike(r"\d{4}")
 
 
-def is_item_link(noise=NOISE, name: str = "anchor_text", url: str = "abs_url",
+def is_item_link(noise=(), name: str = "anchor_text", url: str = "abs_url",
                  href: str = "href", icon: str = "has_icon") -> Column:
     """A linked block with the marker icon that no noise rule hits."""
     keep = (F.coalesce(F.col(href), F.lit("")) != "") & F.col(icon)
@@ -45,7 +36,10 @@ def is_item_link(noise=NOISE, name: str = "anchor_text", url: str = "abs_url",
     return keep
 
 
-def skip_rule(url: str = "url", pattern: str = SKIP_URL) -> Column:
+def skip_rule(url: str = "url", pattern: str | None = None) -> Column:
+    """URLs that are skipped before any other work; without a pattern none is."""
+    if pattern is None:
+        return F.lit(False)
     return F.coalesce(F.col(url).rlike(f"(?i){pattern}"), F.lit(False))
 
 

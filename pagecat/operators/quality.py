@@ -8,13 +8,12 @@ from .. import schemas
 from ..session import cut
 from .running import micros, running
 
-# The legal moves of a work item and of a refresh request.
+# The legal moves of a work item.
 QUEUE_MOVES = (
     ("pending", "processing"), ("pending", "skipped"), ("processing", "done"),
     ("processing", "error"), ("processing", "skipped"),
     ("processing", "pending"), ("done", "pending"), ("error", "pending"), ("skipped", "pending"),
 )
-REQUEST_MOVES = (("processing", "done"), ("processing", "failed"))
 
 
 def not_null(col: str) -> Column:

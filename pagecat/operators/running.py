@@ -1,11 +1,10 @@
 """Running values and as-of lookups along time, without ever sorting a hot key in one task.
 
-Most keys have few rows: those are ordered key by key. A key is hot if it holds more than a ten-thousandth of all
-rows (and more than a million); there can be ten thousand of them at most, so their list is safe to broadcast. The
-history of a hot key is cut into slices (a second) and blocks (3600 slices). Its rows are ordered inside a slice only;
-what a slice inherits comes from one summary row per earlier slice of its block and one per earlier block of its
-key, made by partial aggregation. As-of lookups first reduce all rows of one key and instant to one, so a slice
-never holds more rows than it has microseconds. Keys must not be NULL.
+Up to a million rows, each key is ordered in one window. Beyond that, all rows are sorted by key and time into range
+partitions, which cut a hot key wherever they need to. A partition orders its rows alone; what it inherits comes from one
+summary row per key and earlier partition. Rows of one key and one instant are cut apart by their tie. Both ways give the
+same values. As-of lookups first reduce all rows of one key and instant to one. Keys must not be NULL; a missing time
+comes first.
 """
 
 from __future__ import annotations
@@ -16,10 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
 
-SLICE_US = 1_000_000
-BLOCK_US = 3600 * SLICE_US
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 
 def micros(ts) -> Column:
@@ -28,29 +24,17 @@ def micros(ts) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def hot_keys(df: DataFrame, by, rows: int) -> DataFrame:
-    """The keys with more than 1 / HOT_KEYS of all rows and more than HOT_ROWS: HOT_KEYS of them at most."""
-    least = max(HOT_ROWS, rows // HOT_KEYS)
-    return df.groupBy(*by).agg(F.count("*").alias("__n")).filter(F.col("__n") > least).select(*by)
-
-
 def running(df: DataFrame, by, at: str, tie=(), last: dict[str, Column] | None = None,
             total: dict[str, Column] | None = None, inclusive: bool = True) -> DataFrame:
     """Add the last non-NULL value and the sum so far of each given expression.
 
     ``at`` is a BIGINT axis, ``tie`` orders rows of one instant. With ``inclusive=False`` a row does not
-    count itself. The rows are read several times: pass a stored or cut table.
+    count itself. The rows are read several times: pass a stored or cut table. Eager: they are counted up to the
+    bound, and stored in order beyond it.
     """
     values = _Values(list(by), [at, *tie], last or {}, total or {}, Window.currentRow if inclusive else -1)
-    rows = df.count()
-    if rows <= HOT_ROWS:
-        return values.whole(df)
-    hot = cut(hot_keys(df, by, rows))
-    if hot.isEmpty():
-        return values.whole(df)
-    hot = F.broadcast(hot)
-    cold = values.whole(df.join(hot, by, "left_anti").select(*df.columns))
-    return cold.unionByName(values.sliced(df.join(hot, by, "left_semi").select(*df.columns)))
+    few = df.limit(HOT_ROWS + 1).count() <= HOT_ROWS
+    return values.whole(df) if few else values.ranged(df)
 
 
 @dataclass(frozen=True)
@@ -71,24 +55,23 @@ class _Values:
     def whole(self, df: DataFrame) -> DataFrame:
         return df.select("*", *[c.alias(n) for n, c in self._so_far(self.by).items()])
 
-    def sliced(self, df: DataFrame) -> DataFrame:
-        by, order = self.by, self.order
-        t = F.col(order[0])
-        keys = [*by, "__block", "__slice"]
-        base = df.withColumns({
-            "__slice": t - F.pmod(t, F.lit(SLICE_US)), "__block": t - F.pmod(t, F.lit(BLOCK_US))
-        })
-        own = base.select("*", *[c.alias(f"__own_{n}") for n, c in self._so_far(keys).items()])
-        slices = base.groupBy(*keys).agg(
-            *[F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(n) for n, c in self.last.items()],
-            *[F.sum(c).alias(n) for n, c in self.total.items()],
+    def ranged(self, df: DataFrame) -> DataFrame:
+        by, keys = self.by, [*self.by, "__part"]
+        placed = cut(
+            df.repartitionByRange(*by, *self.order)
+            .withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
         )
-        blocks = slices.groupBy(*by, "__block").agg(
-            *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__slice"))).alias(n) for n in self.last],
-            *[F.sum(n).alias(n) for n in self.total],
+        inside = replace(self, order=[*self.order, "__row"])
+        own = placed.select("*", *[c.alias(f"__own_{n}") for n, c in inside._so_far(keys).items()])
+        parts = placed.groupBy(*keys).agg(
+            *[F.max_by(c, F.when(c.isNotNull(), F.struct(*inside.order))).alias(n) for n, c in self.last.items()],
+            *[F.sum(c).alias(n) for n, c in self.total.items()],
         )
-        carried = slices.select(*keys, *self._before([*by, "__block"], "__slice", "__sl")).join(
-            blocks.select(*by, "__block", *self._before(by, "__block", "__bl")), [*by, "__block"]
+        # One row per key and partition it reaches into.
+        w = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        carried = parts.select(
+            *keys, *[F.last(n, ignorenulls=True).over(w).alias(f"__pre_{n}") for n in self.last],
+            *[F.sum(n).over(w).alias(f"__pre_{n}") for n in self.total],
         )
 
         def zero(name):
@@ -96,16 +79,10 @@ class _Values:
 
         return own.join(carried, keys).select(
             *df.columns,
-            *[F.coalesce(f"__own_{n}", f"{n}__sl", f"{n}__bl").alias(n) for n in self.last],
-            *[(zero(f"__own_{n}") + zero(f"{n}__sl") + zero(f"{n}__bl")).alias(n) for n in self.total],
+            *[F.coalesce(f"__own_{n}", f"__pre_{n}").alias(n) for n in self.last],
+            *[(zero(f"__own_{n}") + zero(f"__pre_{n}")).alias(n) for n in self.total],
         )
 
-    def _before(self, parts, along, suffix) -> list[Column]:
-        w = Window.partitionBy(*parts).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
-        return [F.last(n, ignorenulls=True).over(w).alias(n + suffix) for n in self.last] + [
-            F.sum(n).over(w).alias(n + suffix) for n in self.total
-        ]
-
 
 @dataclass(frozen=True)
 class Fact:
@@ -141,7 +118,7 @@ def lookup(points: DataFrame, by, at: str, facts=(), tallies=()) -> DataFrame:
     """(keys, __t, one column per fact and tally) for every distinct instant of the points.
 
     All facts of one direction share a single pass: rows of every kind are first reduced to one
-    per key and instant, then read in order within their slices.
+    per key and instant, then read in order.
     """
     by = list(by)
     out = None
@@ -200,7 +177,7 @@ def _one_direction(points, by, at, facts, tallies, sign) -> DataFrame:
 
 
 def with_history(points: DataFrame, by, at: str, facts=(), tallies=()) -> DataFrame:
-    """Add the looked-up columns to every point. Without keys all rows share one, still cut into slices."""
+    """Add the looked-up columns to every point. Without keys all rows share one, still spread over partitions."""
     cols = points.columns
     by = list(by)
     if not by:

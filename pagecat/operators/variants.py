@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import duration_text, parse_size_mb
-from .ranking import last_per_key
 
 # Which label text feeds which field.
 INFO_FIELDS = {
@@ -84,14 +83,12 @@ def pivot_in_page(info: str, fields: dict[str, str] | None = None) -> dict[str,
 
 def collect_variants(rows: DataFrame, key: str, fields, pos: str = "pos", label: str = "label",
                      out: str = "payload") -> DataFrame:
-    """The variants of each item as an ordered array of structs.
+    """All variants of each item as an ordered array of structs, repeated labels included.
 
-    A label is unique per item, so the last of several is taken before collecting: the array holds one
-    entry per label however often the item was written.
+    What one item's page lists becomes one row; the page bounds it.
     """
-    one = last_per_key(rows, [key, label], [pos], [pos, *fields])
     entry = F.struct(F.col(pos).alias("pos"), F.col(label).alias("label"), *[F.col(f) for f in fields])
-    return one.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("__all")).select(
+    return rows.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("__all")).select(
         key,
         F.transform(
             "__all", lambda e: F.struct(e["label"].alias("label"), *[e[f].alias(f) for f in fields])

@@ -9,7 +9,9 @@ from ..operators import predicates as p
 from ..operators.graph import paginate
 from ..operators.merge import stable_id, upsert
 from ..operators.ranking import dedup_first_seen, last_per_key, next_links, pick_section, sort_sections
+from ..session import cut
 from ..sources.html import anchor_links, block_links
+from .extract import reached
 
 
 def section_links(blocks: DataFrame, home: str) -> DataFrame:
@@ -19,7 +21,7 @@ def section_links(blocks: DataFrame, home: str) -> DataFrame:
     )
 
 
-def listing_items(blocks: DataFrame, walked: DataFrame, noise=p.NOISE) -> DataFrame:
+def listing_items(blocks: DataFrame, walked: DataFrame, noise=()) -> DataFrame:
     """Accepted item links of the walked pages: (section, page_no, pos, name, url)."""
     pages = walked.select("section", F.col("url").alias("page_url"), F.col("depth").alias("page_no"))
     named = blocks.withColumn("anchor_text", js_trim("anchor_text"))
@@ -56,21 +58,23 @@ def queue_items(queue: DataFrame, items: DataFrame, as_of) -> DataFrame:
 
 
 def discover(parsed: DataFrame, home: str, queue: DataFrame, as_of, mode: str = "quick",
-             year: str | None = None, current_year: str = "", noise=p.NOISE) -> DataFrame:
-    """The new work queue. ``mode``: quick (first page of the current section), custom, or all sections."""
-    blocks = block_links(parsed)
-    sections = section_links(blocks, home)
+             year: str | None = None, current_year: str = "", noise=()) -> DataFrame:
+    """The new work queue. ``mode``: quick (first page of the current section), custom, or all sections.
+
+    Blocks are read from the pages walked; a full walk reads the next-links of all pages. Eager.
+    """
+    sections = section_links(block_links(parsed.filter(F.col("page_url") == home)), home)
     if mode == "all":
         chosen = sections
     else:
         chosen = pick_section(sort_sections(sections), mode, year, current_year)
     full = mode == "all" or (mode == "custom" and bool(year))
-    walked = paginate(
-        chosen.select(F.col("name").alias("section"), "url"),
-        next_links(anchor_links(parsed, "pager")),
-        None if full else 1,
-    )
-    items = listing_items(blocks, walked, noise)
+    starts = chosen.select(F.col("name").alias("section"), "url")
+    if full:
+        walked = cut(paginate(starts, next_links(anchor_links(parsed, "pager"))))
+    else:  # first pages only: no links are followed
+        walked = cut(starts.withColumn("depth", F.lit(1)))
+    items = listing_items(block_links(reached(parsed, walked, "url", "blocks")), walked, noise)
     # Sections are queued one after the other: of an item in several, the last one stays.
     order = sections.select(F.col("name").alias("section"), F.col("pos").alias("__order"))
     first = dedup_first_seen_by_section(items).join(order, "section")

@@ -38,7 +38,7 @@ def with_unknown_variant(items: DataFrame, variants: DataFrame, key: str = "item
     )
 
 
-def is_item_url(url, patterns=(r"-film/", r"-web-series/")) -> Column:
+def is_item_url(url, patterns) -> Column:
     """Items by address alone, series included."""
     return _col(url).rlike("(?i)" + "|".join(patterns))
 

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..functions.urls import rebase, url_origin, url_path
 from ..operators.graph import resolve_redirects
-from ..operators.joins import attach_parent_id, drop_staged_variants
+from ..operators.joins import attach_parent_id, cascade_delete, drop_staged_variants
 from ..operators.merge import stable_id, update_where, upsert
 from ..operators.quality import require_unique
 from ..operators.ranking import last_per_key, last_write_per_key
 from ..session import cut
 from ..sources.tables import Snapshots
+from .runs import finalize_run
 
 
 def blank_to_null(df: DataFrame, cols) -> DataFrame:
@@ -50,15 +51,24 @@ def merged_catalog(stage: DataFrame, catalog: DataFrame, as_of, on_dup: str = "e
         merged = cut(merge_catalog(catalog, stage, as_of))
         require_unique(merged, ["item_url"], "catalogue address")
         return merged
+    # Of several staged rows with one slug the one that sorts last counts; then of several records with one address.
+    others = [c for c in stage.columns if c != "slug"]
+    stage = last_per_key(stage.filter("slug IS NOT NULL"), ["slug"], others).select(*stage.columns).unionByName(
+        stage.filter("slug IS NULL"))
     merged = merge_catalog(catalog, stage, as_of)
     changed = F.col("updated_at") if "updated_at" in merged.columns else F.lit(0)
     return cut(last_per_key(merged, ["item_url"], [changed, F.col("slug")]).select(*catalog.columns))
 
 
 def merged_variants(merged: DataFrame, stage: DataFrame, variant_stage: DataFrame, variants: DataFrame, as_of,
-                    on_dup: str = "error") -> DataFrame:
-    """Variants of staged slugs are replaced; a staged variant finds its record by the address after the merge."""
+                    on_dup: str = "error", catalog: DataFrame | None = None) -> DataFrame:
+    """Variants of staged slugs are replaced; a staged variant finds its record by the address after the merge.
+
+    With the ``catalog`` before the merge, variants of records that the merge has removed go with them.
+    """
     kept = drop_staged_variants(variants, merged, stage)
+    if catalog is not None:
+        kept = cascade_delete(kept, catalog.join(merged.select("id"), "id", "left_anti"), "item_id", "id")
     placed = attach_parent_id(variant_stage, merged)
     fields = [c for c in schemas.VARIANT_FIELDS if c in variant_stage.columns]
     defaults = {"id": stable_id(F.col("item_id"), F.col("label")), "created_at": as_of, "updated_at": as_of}
@@ -71,7 +81,7 @@ def merged_variants(merged: DataFrame, stage: DataFrame, variant_stage: DataFram
 
     new = placed.select(*[value(c) for c in variants.columns])
     if on_dup == "error":
-        after = kept.unionByName(new)
+        after = cut(kept.unionByName(new))
         require_unique(after, ["item_id", "label"], "variant")
         return after
     both = kept.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
@@ -88,11 +98,25 @@ def publish(stage: DataFrame, variant_stage: DataFrame, catalog: DataFrame, vari
     Repeated keys stop the publish (``error``) or the last one stays (``last``).
     """
     merged = merged_catalog(stage, catalog, as_of, on_dup, blank_as_null)
-    return merged, merged_variants(merged, stage, variant_stage, variants, as_of, on_dup)
+    return merged, merged_variants(
+        merged, stage, variant_stage, variants, as_of, on_dup, catalog if on_dup == "last" else None)
+
+
+def publish_and_close(stage: DataFrame, variant_stage: DataFrame, catalog: DataFrame, variants: DataFrame, log: DataFrame, as_of,
+                      **options) -> tuple[tuple[DataFrame, DataFrame], DataFrame]:
+    """((catalogue, variants), run log): publish, then close the newest run in progress.
+
+    If the publish is refused, the tables stay as they were and the run has failed. Eager.
+    """
+    try:
+        tables = publish(stage, variant_stage, catalog, variants, as_of, **options)
+    except ValueError:
+        return (catalog, variants), finalize_run(log, published=False)
+    return tables, finalize_run(log)
 
 
 def publish_snapshot(store: Snapshots, stage: DataFrame, variant_stage: DataFrame, as_of, **options) -> int:
-    """Read the current version, merge, write the next one with empty staging. All tables change at once."""
+    """Read the current version, merge, write the next one with empty staging. These four tables change at once, others stay."""
     catalog, variants = publish(
         stage, variant_stage, store.read("catalog"), store.read("variant"), as_of, **options
     )
@@ -119,12 +143,12 @@ def overwrite_variants(variants: DataFrame, fresh: DataFrame, arrival: str = "po
                         touch="updated_at" if as_of is not None else None, as_of=as_of)
 
 
-def refresh_config(config: DataFrame, redirects: DataFrame, max_hops: int = 20) -> DataFrame:
+def refresh_config(config: DataFrame, redirects: DataFrame) -> DataFrame:
     """Configured addresses after following redirects(src, dst): another origin replaces the address.
 
     An address that leads to its own origin, nowhere or in circles stays as it is.
     """
-    ends = resolve_redirects(redirects, max_hops).select(F.col("src").alias("url"), "final")
+    ends = resolve_redirects(redirects).select(F.col("src").alias("url"), "final")
     moved = url_origin("final") != url_origin("url")
     return config.join(ends, "url", "left").select(
         *[F.when(moved, url_origin("final")).otherwise(F.col("url")).alias("url") if c == "url" else F.col(c)

@@ -1,61 +1,12 @@
-"""Declared schemas of the tables the jobs read and write (Spark DDL)."""
-
-PAGES = "page_id BIGINT, url STRING, html STRING"
-
-LINKS = (
-    "page_url STRING, pos INT, box STRING, anchor_text STRING, link_text STRING, "
-    "href STRING, abs_url STRING, has_icon BOOLEAN"
-)
-
-CATALOG_FIELDS = (
-    "year INT, duration STRING, synopsis STRING, director ARRAY<STRING>, "
-    "cast_members ARRAY<STRING>, genres ARRAY<STRING>, type STRING, language STRING, "
-    "rating STRING, poster_ref STRING, last_updated STRING"
-)
-CATALOG = (
-    "id STRING, slug STRING, item_url STRING NOT NULL, name STRING NOT NULL, "
-    + CATALOG_FIELDS
-    + ", created_at TIMESTAMP, updated_at TIMESTAMP"
-)
-CATALOG_STAGE = (
-    "slug STRING, item_url STRING NOT NULL, name STRING NOT NULL, " + CATALOG_FIELDS
-)
-
-VARIANT_LINKS = (
-    "file_url_1 STRING, file_url_2 STRING, view_url_1 STRING, view_url_2 STRING"
-)
-VARIANT = (
-    "id STRING, item_id STRING, label STRING NOT NULL, file_size STRING, duration STRING, "
-    + VARIANT_LINKS
-    + ", created_at TIMESTAMP, updated_at TIMESTAMP"
-)
-VARIANT_STAGE = (
-    "id STRING, item_url STRING NOT NULL, label STRING NOT NULL, file_size STRING, "
-    + VARIANT_LINKS
-)
-
-WORK_QUEUE = (
-    "id STRING, url STRING NOT NULL, folder STRING, status STRING, priority INT, "
-    "error_msg STRING, queued_at TIMESTAMP, processed_at TIMESTAMP"
-)
-RUN_LOG = "id STRING, refresh_time TIMESTAMP, status STRING, trigger_by STRING"
-CONFIG = "key STRING, url STRING NOT NULL"
-FOLDER_STATE = "folder STRING, last_scraped_at TIMESTAMP, last_known_count INT"
+"""The stored payload (Spark DDL), allowed states and the columns that are merged."""
 
 PAYLOAD = (
     "ARRAY<STRUCT<label: STRING, file_size: STRING, file_url_1: STRING, "
     "file_url_2: STRING, view_url_1: STRING, view_url_2: STRING>>"
 )
-REFRESH_REQUEST = (
-    "id STRING, item_id STRING NOT NULL, slug STRING NOT NULL, item_url STRING NOT NULL, "
-    f"status STRING, payload {PAYLOAD}, error_msg STRING, requested_at TIMESTAMP, "
-    "completed_at TIMESTAMP, expires_at TIMESTAMP"
-)
-
 # The allowed states.
 RUN_STATUS = ("completed", "inprogress", "failed")
 REQUEST_STATUS = ("processing", "done", "failed")
-QUEUE_STATUS = ("pending", "processing", "done", "error", "skipped")
 
 # The columns a publish fills from staging unless staging is NULL.
 CATALOG_MERGED = (

@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.urls import with_resolved
+from ..session import tune
 
 
 @dataclass(frozen=True)
@@ -217,6 +218,7 @@ def parse_pages(pages: DataFrame, layout: PageLayout = PageLayout()) -> DataFram
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
+    tune(pages.sparkSession)  # small Arrow batches, in rows and in bytes
     return pages.select("url", "html").mapInArrow(run, schema)
 
 

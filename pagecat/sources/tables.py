@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -17,29 +20,24 @@ def scan(spark: SparkSession, path: str, cols=None, where: Column | None = None)
     return df.select(*cols) if cols else df
 
 
-def scan_pages(pages: DataFrame, captured_at: str | None = None, few: int = 200_000) -> DataFrame:
-    """Captured pages; of several captures of one URL the latest stays.
+def scan_pages(pages: DataFrame, captured_at: str | None = None, few: int = 32 << 20) -> DataFrame:
+    """Captured pages; of several captures of one URL the latest stays. Pages without a URL are all kept.
 
-    URLs are counted first, without the page text. If those captured again are few (a counted bound), their list is
-    broadcast and only their texts are shuffled; all other pages stay where they are read.
+    URLs are counted first, without the page text, and only the texts of those captured again are shuffled. The list of
+    these is broadcast if it has ``few`` bytes at most; otherwise it is joined by a shuffle. Eager.
     """
     if captured_at is None:
         return pages.select("url", "html")
     again = cut(
         pages.filter(F.col("url").isNotNull()).groupBy("url").agg(F.count("*").alias("n")).filter("n > 1").select("url")
     )
-    if again.count() > few:
-        return latest_per_key(pages, ["url"], captured_at, ["html"]).select("url", "html")
-    again = F.broadcast(again)
+    if (again.agg(F.sum(F.octet_length("url") + 32)).first()[0] or 0) <= few:
+        again = F.broadcast(again)
     single = pages.join(again, "url", "left_anti").select("url", "html")
     several = pages.join(again, "url", "left_semi")
     return single.unionByName(latest_per_key(several, ["url"], captured_at, ["html"]).select("url", "html"))
 
 
-def stream_pages(spark: SparkSession, path: str, schema: str = schemas.PAGES, **options) -> DataFrame:
-    return spark.readStream.schema(schema).options(**options).parquet(path)
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -70,39 +68,55 @@ def from_json_col(col, schema: str = schemas.PAYLOAD) -> Column:
 
 
 class Snapshots:
-    """Tables written together as one version; readers see a version once its last table is whole.
+    """Tables published together as versions. A version is a list of tables and where each one's rows lie.
 
-    ``path/version=N/<table>`` holds the rows, ``path/published`` one row per finished version.
+    Rows are written first, to a folder of their own; the list follows as one small file. A table that a version does not
+    write stays where it was. A second publisher of the same version is refused.
     """
 
+    LIST = "version INT, tbl STRING, at STRING"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def current(self) -> int:
+    def _lists(self) -> list:
         try:
-            done = self.spark.read.schema("version INT").parquet(f"{self.path}/published")
-            return done.agg(F.max("version")).first()[0] or 0
-        except Exception as err:  # nothing published yet
+            return self.spark.read.schema(self.LIST).parquet(f"{self.path}/published/*").collect()
+        except AnalysisException as err:  # nothing published yet
             if "PATH_NOT_FOUND" in str(err):
-                return 0
+                return []
             raise
 
+    def current(self) -> int:
+        return max((r["version"] for r in self._lists()), default=0)
+
+    def tables(self) -> dict[str, str]:
+        """Where the rows of each table of the current version lie."""
+        lists = self._lists()
+        last = max((r["version"] for r in lists), default=0)
+        return {r["tbl"]: r["at"] for r in lists if r["version"] == last}
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/version={self.current()}/{table}")
+        at = self.tables().get(table)
+        if at is None:
+            raise KeyError(f"no table {table} in {self.path}")
+        return self.spark.read.parquet(at)
 
     def publish(self, tables: dict[str, DataFrame], partition_by: dict[str, list[str]] | None = None) -> int:
-        """Write all tables of the next version, then mark it. A failed write leaves the old version."""
-        version = self.current() + 1
+        """Write the given tables, then the list of the next version. A failed write leaves the old version."""
+        version, places = self.current() + 1, self.tables()
         for name, df in tables.items():
-            writer = df.write.mode("overwrite")
             cols = (partition_by or {}).get(name)
-            (writer.partitionBy(*cols) if cols else writer).parquet(f"{self.path}/version={version}/{name}")
-        mark = self.spark.range(1).select(F.lit(version).cast("int").alias("version"))
-        mark.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+            places[name] = f"{self.path}/rows/{name}-{uuid.uuid4().hex}"
+            (df.write.partitionBy(*cols) if cols else df.write).parquet(places[name])
+        rows = [(version, name, at) for name, at in sorted(places.items())]
+        listed = self.spark.createDataFrame(rows, self.LIST).coalesce(1)
+        # Fails if another publisher has listed this version meanwhile.
+        listed.write.mode("errorifexists").parquet(f"{self.path}/published/{version}")
         return version
 
     def clear(self, tables: list[str], children: dict[str, list[str]] | None = None) -> int:
-        """Empty the named tables and, through ``children``, those that refer to them."""
+        """Empty the named tables and, through ``children``, those that refer to them; all others stay."""
         names = list(tables)
         for name in names:
             names += [c for c in (children or {}).get(name, []) if c not in names]

@@ -90,3 +90,30 @@ def single_flight(by: str, at: str = "ts", kind: str = "kind", id_col: str = "id
         return roles.unionByName(behind), state
 
     return step
+
+
+def ttl(minutes: int = 5, id_col: str = "id", at: str = "at", kind: str = "kind") -> Step:
+    """Requests with an outcome, once it is known: ended within their life, or expired.
+
+    ``kind`` is request or end. State: the requests still open with the end of their life, and the newest time seen (in a row
+    without an id). A request leaves the state when it ends or when the stream's time passes its life, so the state holds
+    no more than the requests of that many minutes.
+    """
+    life = minutes * runs.MINUTE_US
+
+    def step(rows: DataFrame, old: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        events = rows.select(id_col, micros(at).alias("t"), kind)
+        asked = events.filter(F.col(kind) == "request").select(id_col, (F.col("t") + life).alias("expires"))
+        if old is None:
+            old = asked.limit(0)
+        seen = events.agg(F.max("t").alias("m")).unionByName(old.filter(F.col(id_col).isNull()).select(F.col("expires").alias("m")))
+        newest = seen.agg(F.max("m").alias("expires"))
+        ends = events.filter(F.col(kind) == "end").groupBy(id_col).agg(F.min("t").alias("ended"))
+        still = asked.unionByName(old.filter(F.col(id_col).isNotNull())).join(ends, id_col, "left")
+        outcome = F.when(F.col("ended") < F.col("expires"), "ended").when(F.col("expires") <= F.col("newest"), "expired")
+        known = cut(still.crossJoin(F.broadcast(newest.withColumnRenamed("expires", "newest"))).withColumn("outcome", outcome))
+        clock = newest.select(F.lit(None).cast(known.schema[id_col].dataType).alias(id_col), "expires")
+        return known.filter("outcome IS NOT NULL").select(id_col, "outcome"), known.filter("outcome IS NULL").select(
+            id_col, "expires").unionByName(clock)
+
+    return step

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.merge import update_where
 from ..operators.running import micros
 
 MINUTE_US = 60_000_000
@@ -88,35 +89,41 @@ def single_flight(events: DataFrame, by: str, at: str = "ts", kind: str = "kind"
 
 
 def active_runs(log: DataFrame, by: str, at: str = "ts", delta: str = "delta") -> DataFrame:
-    """(key, t, active) for each moment a run began while another of its key was going; delta is 1 or -1."""
+    """(key, t, active) for each moment a run began while another of its key was going; delta is 1 or -1.
+
+    A run's end may come with its start, long before its time: it waits in the state. What lies beyond the newest start of a
+    micro-batch is not decided in it. Starts must come in order from batch to batch, those of one moment in one batch.
+    """
     rows = log.select(F.col(by).alias("key"), micros(at).alias("t"), F.col(delta).cast("int").alias("d"))
     kind = rows.schema["key"].dataType.simpleString()
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = state.get[0] if state.exists else 0
+        active, ends = state.get if state.exists else (0, [])
         # Each chunk shrinks to one row per moment as it arrives.
-        parts = [p.groupby(["key", "t"], as_index=False)["d"].agg(["sum", "max"]).reset_index() for p in pdfs]
-        moments = pd.concat(parts).groupby(["key", "t"], as_index=False).agg({"sum": "sum", "max": "max"})
-        moments["active"] = moments.sort_values("t")["sum"].cumsum() + before
-        state.update((int(before + moments["sum"].sum()),))
-        yield moments[(moments["max"] == 1) & (moments["active"] > 1)][["key", "t", "active"]]
+        parts = [p.groupby("t")["d"].agg(["sum", "max"]).reset_index() for p in pdfs]
+        newest = max(int(p.loc[p["max"] == 1, "t"].max()) if (p["max"] == 1).any() else _NEVER for p in parts)
+        waiting = pd.DataFrame({"t": list(ends), "sum": -1, "max": -1}, dtype="int64")
+        moments = pd.concat([waiting, *parts]).groupby("t").agg({"sum": "sum", "max": "max"}).reset_index()
+        due, later = moments[moments["t"] <= newest], moments[moments["t"] > newest]
+        due = due.assign(active=due["sum"].cumsum() + active, key=key[0])
+        state.update((int(active + due["sum"].sum()), [int(t) for t, n in zip(later["t"], later["sum"]) for _ in range(-n)]))
+        yield due[(due["max"] == 1) & (due["active"] > 1)][["key", "t", "active"]]
 
     return rows.groupBy("key").applyInPandasWithState(
-        step, f"key {kind}, t bigint, active bigint", "active bigint", "append", GroupStateTimeout.NoTimeout
+        step, f"key {kind}, t bigint, active bigint", "active bigint, ends array<bigint>", "append", GroupStateTimeout.NoTimeout
     )
 
 
-def ttl_filter(log: DataFrame, minutes: int = 5, at: str = "requested_at", out: str = "expires_at") -> DataFrame:
-    """Requests that had not expired when they ended; a row that never ended is kept."""
-    ends = F.col(at) + F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    return log.withColumn(out, ends).filter(F.col("completed_at").isNull() | (F.col(out) > F.col("completed_at")))
+def worked_queue(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The queue with status, message and time of the items worked on; all others as they were."""
+    return update_where(queue, outcomes, "id", ["status", "error_msg", "processed_at"])
 
 
 def queue_worker(queue: DataFrame, work, out: str, checkpoint: str) -> None:
     """Drain a stream of queue rows: each micro-batch of pending rows is worked on once.
 
     ``work(items)`` returns a DataFrame of outcomes. A batch writes its own folder, so a repeated batch
-    replaces itself. Returns when nothing is left; close the run after that.
+    replaces itself. Returns when nothing is left; then ``worked_queue`` writes the outcomes back and the run can be closed.
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:

@@ -60,7 +60,7 @@ DERIVED = {
         select concat('/', source, '/', cast(doc_id as string), '/') as id,
                concat('/', source, '/', cast(doc_id as string), '/') as slug,
                concat('https://old.example.com/', source, '/', cast(doc_id as string), '/') as item_url,
-               substring(text, 1, 40) as name, cast(2000 + doc_id % 25 as int) as year, lang as language,
+               text as name, cast(2000 + doc_id % 25 as int) as year, lang as language,
                case when doc_id % 5 = 0 then 'http://'
                     when doc_id % 5 = 1 then concat('https://img.example.com/p/', cast(doc_id as string), '.jpg?s=1')
                     when doc_id % 5 = 2 then concat('/p/', cast(doc_id as string), '.jpg')
@@ -69,7 +69,7 @@ DERIVED = {
     "catalog_stage": """
         select concat('/', source, '/', cast(doc_id as string), '/') as slug,
                concat('https://new.example.com/', source, '/', cast(doc_id as string), '/') as item_url,
-               concat(substring(text, 1, 40), ' v2') as name,
+               concat(text, ' v2') as name,
                case when doc_id % 4 <> 0 then cast(2001 + doc_id % 25 as int) end as year,
                case when doc_id % 5 <> 0 then lang end as language
         from documents where doc_id % 2 = 0""",

@@ -61,18 +61,16 @@ def _(tb):
     store = s.Snapshots(tb.spark, scratch(tb.spark, "store"))
     tables = ("catalog", "variant", "config")
     store.publish({t: tb[t] for t in tables})
-    kept = store.read("config")
     store.clear(["catalog"], {"catalog": ["variant"]})
     counts = [
         df.agg(F.count("*").alias("n")).select(F.lit(t).alias("tbl"), "n")
-        for t, df in (("catalog", store.read("catalog")), ("variant", store.read("variant")), ("config", kept))
+        for t, df in (("catalog", store.read("catalog")), ("variant", store.read("variant")), ("config", store.read("config")))
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @query("s9_json_column", VF, """
-    select item_id, label, url as file_url_1, nullif(file_url_2, '') as file_url_2 from (
-      select *, row_number() over (partition by item_id, label order by pos desc) as rn from variant_file) where rn = 1""")
+    select item_id, label, url as file_url_1, nullif(file_url_2, '') as file_url_2 from variant_file""")
 def _(tb):
     rows = tb["variant_file"].withColumn("file_url_1", F.col("url"))
     arrays = v.collect_variants(rows, "item_id", ["file_url_1", "file_url_2"])
@@ -168,6 +166,52 @@ def _(tb):
     return published(tb)[1].select("item_id", "label", "file_size", "file_url_1")
 
 
+CLEAN = ("variant", "variant_stage", "catalog_stage")
+CLEAN_SQL = f"""
+    with merged as ({MERGED})
+    select item_id, label, file_size, file_url_1 from variant where item_id not in (
+      select id from merged where slug in (select slug from catalog_stage))
+    union all
+    select merged.id, label, file_size, file_url_1 from variant_stage join merged using (item_url) where label = 'HD'"""
+
+
+def clean(tb):
+    """Staging in which no key repeats."""
+    return tb["catalog_stage"], tb["variant_stage"].filter("label = 'HD'")
+
+
+@query("m1_publish_error_catalog", CS, MERGED)
+def _(tb):
+    old = tb["catalog"].drop("poster_ref").withColumn("updated_at", F.expr("timestamp'2023-01-01 00:00:00'"))
+    merged, _ = pub.publish(*clean(tb), old, tb["variant"], F.expr(WHEN))
+    return merged.withColumn("updated_us", us("updated_at")).drop("updated_at")
+
+
+@query("m1_publish_error", CLEAN, CLEAN_SQL)
+def _(tb):
+    old = tb["catalog"].drop("poster_ref").withColumn("updated_at", F.expr("timestamp'2023-01-01 00:00:00'"))
+    return pub.publish(*clean(tb), old, tb["variant"], F.expr(WHEN))[1].select("item_id", "label", "file_size", "file_url_1")
+
+
+@query("m1_publish_snapshot", (*CLEAN, "config"), f"""
+    with merged as ({MERGED})
+    select 'catalog' as tbl, count(*) as n, count(distinct item_url) as k from merged
+    union all select 'catalog_stage', 0, 0
+    union all select 'config', count(*), count(distinct url) from config""")
+def _(tb):
+    """One version with four new tables; the configuration is read from where it was."""
+    store = s.Snapshots(tb.spark, scratch(tb.spark, "store"))
+    stage, variant_stage = clean(tb)
+    old = tb["catalog"].drop("poster_ref").withColumn("updated_at", F.expr("timestamp'2023-01-01 00:00:00'"))
+    store.publish({"catalog": old, "variant": tb["variant"], "config": tb["config"], "catalog_stage": stage, "variant_stage": variant_stage})
+    pub.publish_snapshot(store, store.read("catalog_stage"), store.read("variant_stage"), F.expr(WHEN))
+    found = [
+        store.read(name).agg(F.count("*").alias("n"), F.countDistinct(key).alias("k")).select(F.lit(name).alias("tbl"), "n", "k")
+        for name, key in (("catalog", "item_url"), ("catalog_stage", "item_url"), ("config", "url"))
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query("m8_overwrite_variants", ("variant", "catalog_stage"), """
     select v.id, case when s.slug is null then v.file_size
                       when s.year % 3 = 0 then null else concat(s.year, '.50 MB') end as file_size,

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from pagecat.functions import text as t
-from pagecat.functions.urls import with_resolved
 from pagecat.operators import graph, variants as v
 from pagecat.operators.ranking import dedup_first_seen
 from pagecat.plans import discover as d, extract as e, optional as o, publish as pub, refresh as ref
@@ -32,7 +31,7 @@ FIRST_LINKS = f"""
 @query("first_links_by_host", oracle=FIRST_LINKS)
 def first_links_by_host(tb):
     """Pages to links, resolved, each target where it is first seen, counted per host."""
-    links = with_resolved(h.scan_anchors(tb["pages"]), "page_url", "href", "url").select("page_url", "pos", "url")
+    links = h.anchor_links(h.parse_pages(tb["pages"])).select("page_url", "pos", F.col("abs_url").alias("url"))
     first = dedup_first_seen(links, "url", ("page_url", "pos"))
     return first.groupBy(F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host")).agg(
         F.count("*").alias("links"), F.countDistinct("page_url").alias("pages")
@@ -66,7 +65,8 @@ def _(tb):
       {'pos': 2, 'key': 'genres:', 'val': concat('G', s_nationkey, ' ,  Drama')},
       {'pos': 3, 'key': 'movie rating:', 'val': concat(s_suppkey % 10, '.5/10')},
       {'pos': 4, 'key': 'language:', 'val': concat('L', s_suppkey % 4)},
-      {'pos': 5, 'key': 'director:', 'val': case when s_suppkey % 6 = 0 then concat('Second ', s_suppkey) end}]) as u(p)
+      {'pos': 5, 'key': 'run time:', 'val': concat(60 + s_suppkey % 60, ' min')},
+      {'pos': 6, 'key': 'director:', 'val': case when s_suppkey % 6 = 0 then concat('Second ', s_suppkey) end}]) as u(p)
     where p.val is not null""")
 def _(tb):
     pages = site.site(tb).filter("url LIKE '%/item/%'")
@@ -94,9 +94,9 @@ def _(tb):
         F.col("s_suppkey").alias("k"), F.concat(F.lit("/f/"), "s_suppkey").alias("at"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("branch"),
     )
-    rows = graph.hop(rows, links, "at", e.SERVER, "hop1")
-    rows = graph.hop(rows, links, "hop1", e.FILE, "hop2")
-    return graph.hop(rows, links, "hop2", e.FILE, "hop3", raw="raw").select("k", "branch", "hop1", "hop2", "raw")
+    rows = graph.hop(rows, links, "at", site.LABELS.server, "hop1")
+    rows = graph.hop(rows, links, "hop1", site.LABELS.file, "hop2")
+    return graph.hop(rows, links, "hop2", site.LABELS.file, "hop3", raw="raw").select("k", "branch", "hop1", "hop2", "raw")
 
 
 @query("j4_captured", ("chain_link",), """
@@ -152,7 +152,7 @@ def key_of(col):
 def _(tb):
     parsed = site.parsed_site(tb)
     starts = e.labelled_variants(parsed).withColumnRenamed("list_url", "item_url")
-    return e.resolve_chain(starts, parsed).drop("pos").select(key_of("item_url"), "*").drop("item_url")
+    return e.resolve_chain(starts, parsed, site.LABELS).drop("pos").select(key_of("item_url"), "*").drop("item_url")
 
 
 @query("m2_discover", oracle="""
@@ -172,10 +172,36 @@ def _(tb):
         F.expr("timestamp'2024-01-01 00:00:00'").alias("queued_at"),
     )
     parsed = site.parsed_site(tb, listing=True)
-    out = d.discover(parsed, site.HOME, old, F.expr("timestamp'2024-02-01 00:00:00'"), mode="all")
+    out = d.discover(parsed, site.HOME, old, F.expr("timestamp'2024-02-01 00:00:00'"), mode="all", noise=site.NOISE)
     return out.select("url", "folder", "status", "priority", "error_msg")
 
 
+DISCOVERED = """
+    select concat('https://site.example.com/item/', s_suppkey, '/') as url, 'Films of {year}' as folder, 'pending' as status, 1 as priority
+    from supplier where s_suppkey % 40 = {year} - 1985 and ({all} or s_suppkey < 1000) and (s_suppkey % 11 <> 0 or s_suppkey in (
+      select min(s_suppkey) from supplier group by s_suppkey % 40, s_suppkey // 1000))"""
+
+
+def discovered(tb, **how):
+    """A queue that was empty before."""
+    queue = tb.spark.createDataFrame([], "id string, url string, folder string, status string, priority int, queued_at timestamp")
+    parsed = site.parsed_site(tb, listing=True)
+    out = d.discover(parsed, site.HOME, queue, F.expr("timestamp'2024-02-01 00:00:00'"), noise=site.NOISE, **how)
+    return out.select("url", "folder", "status", "priority")
+
+
+@query("m2_discover_quick", oracle=DISCOVERED.format(year=1990, all="false"))
+def _(tb):
+    """The first page of the section that names the current year."""
+    return discovered(tb, mode="quick", current_year="1990")
+
+
+@query("m2_discover_custom", oracle=DISCOVERED.format(year=1992, all="true"))
+def _(tb):
+    """All pages of the section of a given year."""
+    return discovered(tb, mode="custom", year="1992", current_year="1990")
+
+
 CATALOG = """
     select concat('/item/', s_suppkey, '/') as slug, concat('https://site.example.com/item/', s_suppkey, '/') as item_url,
            s_name as name, case when s_suppkey % 5 <> 0 then cast(1990 + s_suppkey % 35 as int) end as year,
@@ -195,13 +221,13 @@ def flat(records):
 @query("m3_extract_catalog", oracle=CATALOG)
 def _(tb):
     parsed = h.parse_pages(site.site(tb).filter("url LIKE '%/item/%'"))
-    return flat(e.extract_catalog(parsed))
+    return flat(e.extract_catalog(parsed, **site.TITLES))
 
 
 @query("m4_extract_variants", oracle=f"select * from ({VARIANTS}) where k % 17 <> 0 and k % 19 <> 0")
 def _(tb):
     parsed = site.parsed_site(tb)
-    out = e.extract_variants(parsed, site.queue(tb).select("id", "url"))
+    out = e.extract_variants(parsed, site.queue(tb).select("id", "url"), site.LABELS, site.SERIES)
     return out.drop("pos").select(key_of("item_url"), "*").drop("item_url")
 
 
@@ -210,7 +236,7 @@ def _(tb):
     where s_suppkey % 10 <> 9 and s_suppkey % 17 <> 0 and s_suppkey % 19 <> 0""")
 def _(tb):
     parsed = site.parsed_site(tb)
-    out = e.extract_variants(parsed, site.queue(tb).select("id", "url"))
+    out = e.extract_variants(parsed, site.queue(tb).select("id", "url"), site.LABELS, site.SERIES)
     return e.first_durations(out).select(key_of("item_url"), "duration")
 
 
@@ -227,9 +253,9 @@ OUTCOME = """
 
 
 def outcomes(tb, parsed, items):
-    variants = e.extract_variants(parsed, items)
+    variants = e.extract_variants(parsed, items, site.LABELS, site.SERIES)
     bad = items.filter("id % 23 = 0").select("url", F.lit("name missing").alias("message"))
-    return e.item_outcome(items, parsed, variants, F.expr("timestamp'2024-02-01 00:00:00'"), bad)
+    return e.item_outcome(items, parsed, variants, F.expr("timestamp'2024-02-01 00:00:00'"), bad, site.SERIES)
 
 
 @query("m5_item_outcome", oracle=OUTCOME)
@@ -238,17 +264,82 @@ def _(tb):
     return out.select(F.col("id").cast("bigint").alias("k"), "status", "error_msg")
 
 
-@query("t1_queue_worker", oracle=OUTCOME)
+@query("t1_queue_worker", oracle=f"""
+    select k, status, error_msg from ({OUTCOME}) union all select s_suppkey, 'done', 'old' from supplier where s_suppkey % 20 = 0""")
 def _(tb):
-    """The queue as a stream of files; each micro-batch extracts its items and writes their outcomes."""
+    """The queue as a stream of files: each micro-batch extracts its pending items; then the queue has what came out."""
     base = scratch(tb.spark, "worker")
     parsed = site.parsed_site(tb)
-    rows = site.queue(tb).select("id", "url", F.lit("pending").alias("status"))
-    rows.unionByName(rows.filter("id % 20 = 0").withColumn("status", F.lit("done"))).repartition(2, "id").write.parquet(f"{base}/in")
+    none = F.lit(None).cast("string")
+    rows = site.queue(tb).select("id", "url", F.lit("pending").alias("status"), none.alias("error_msg"), F.lit(None).cast("timestamp").alias("processed_at"))
+    old = rows.filter("id % 20 = 0").withColumns({"id": F.concat(F.lit("old"), "id"), "status": F.lit("done"), "error_msg": F.lit("old")})
+    rows.unionByName(old).repartition(2, "id").write.parquet(f"{base}/in")
     stream = g.read_stream(tb.spark, f"{base}/in", rows.schema, maxFilesPerTrigger="1")
     g.queue_worker(stream, lambda items: outcomes(tb, parsed, items), f"{base}/out", f"{base}/state")
-    done = tb.spark.read.parquet(f"{base}/out")
-    return done.select(F.col("id").cast("bigint").alias("k"), "status", "error_msg")
+    queue = g.worked_queue(tb.spark.read.parquet(f"{base}/in"), tb.spark.read.parquet(f"{base}/out"))
+    return queue.select(F.regexp_replace("id", "old", "").cast("bigint").alias("k"), "status", "error_msg")
+
+
+@query("t1_work_off", oracle=f"""
+    select k, status, error_msg, (select count(*) from ({VARIANTS}) v where v.k = q.k and q.status = 'done') as variants
+    from ({OUTCOME.replace("or s_suppkey % 23 = 0 ", "")}) q where error_msg is null or error_msg not like 'Staging%'
+    union all
+    select k, 'done', null, (select count(*) from ({VARIANTS}) v where v.k = q.k) from ({OUTCOME}) q where error_msg like 'Staging%'""")
+def _(tb):
+    """A whole pass: the pending part of the queue, what it stages, and the queue afterwards."""
+    queue, catalog, variants = worked_off(tb)
+    counts = variants.groupBy(F.col("item_url").alias("url")).agg(F.count("*").alias("n"))
+    return queue.join(counts, "url", "left").select(
+        F.col("id").cast("bigint").alias("k"), "status", "error_msg", F.coalesce("n", F.lit(0)).alias("variants"))
+
+
+STAGE = "slug string, item_url string, name string, year int, duration string"
+VARIANT_STAGE = "item_url string, label string, file_size string, file_url_1 string"
+
+
+def worked_off(tb):
+    queue = site.queue(tb).select(
+        "id", "url", F.lit("pending").alias("status"), F.lit(None).cast("string").alias("error_msg"), F.lit(None).cast("timestamp").alias("processed_at"))
+    empty = (tb.spark.createDataFrame([], kind) for kind in (STAGE, VARIANT_STAGE))
+    as_of = F.expr("timestamp'2024-02-01 00:00:00'")
+    return e.work_off(queue, site.parsed_site(tb), *empty, as_of, site.LABELS, site.SERIES, **site.TITLES)
+
+
+@query("m4_stage_upsert", oracle=f"""
+    with c as ({CATALOG}), v as ({VARIANTS}), q as (select k from ({OUTCOME}) where status = 'done' or error_msg like 'Staging%')
+    select s_suppkey as k, case when q.k is not null then c.name else 'old' end as name,
+           case when q.k is not null then concat('1h ', s_suppkey % 60, 'm') else '9h' end as duration,
+           (select count(*) from v where v.k = q.k) + case when q.k is null then 1 else 0 end as variants
+    from supplier join c on c.slug = concat('/item/', s_suppkey, '/') left join q on q.k = s_suppkey
+    where q.k is not null or s_suppkey % 2 = 0""")
+def _(tb):
+    """Every second item is staged already, with a duration and one variant: what is found anew replaces both."""
+    url = F.concat(F.lit(site.ROOT), F.lit("/item/"), "s_suppkey", F.lit("/")).alias("item_url")
+    old = tb["supplier"].filter("s_suppkey % 2 = 0").select(url, "s_suppkey")
+    stage = old.select(F.concat(F.lit("/item/"), "s_suppkey", F.lit("/")).alias("slug"), "item_url", F.lit("old").alias("name"),
+                       F.lit(1).alias("year"), F.lit("9h").alias("duration"))
+    variant_stage = old.select("item_url", F.lit("Q0").alias("label"), F.lit("1").alias("file_size"), F.lit("/old").alias("file_url_1"))
+    items = site.queue(tb).select("id", "url")
+    records, variants, _ = e.extract_items(
+        site.parsed_site(tb), items, F.expr("timestamp'2024-02-01 00:00:00'"), site.LABELS, site.SERIES, **site.TITLES)
+    catalog, staged = e.stage_upsert(stage, variant_stage, records, variants)
+    counts = staged.groupBy("item_url").agg(F.count("*").alias("variants"))
+    return catalog.join(counts, "item_url").select(key_of("item_url"), "name", "duration", "variants")
+
+
+@query("m7_finalize_after_publish", oracle=f"""
+    select 'run' as what, 'completed' as status, 1 as n
+    union all select 'catalog', 'published', count(*) from ({OUTCOME}) where status = 'done' or error_msg like 'Staging%'""")
+def _(tb):
+    """Work, publish what was staged, then close the run by whether that succeeded."""
+    _, stage, variant_stage = worked_off(tb)
+    log = tb.spark.createDataFrame([("1", "completed", None), ("2", "inprogress", None)], "id string, status string, refresh_time timestamp")
+    catalog = tb.spark.createDataFrame([], "id string, slug string, item_url string, name string, year int, duration string")
+    table = tb.spark.createDataFrame([], "id string, item_id string, label string, file_size string, file_url_1 string")
+    merged, log = pub.publish_and_close(stage, variant_stage, catalog, table, log, F.expr("timestamp'2024-02-01 00:00:00'"))
+    closed = log.filter("id = '2'").groupBy("status").agg(F.count("*").alias("n"))
+    return closed.select(F.lit("run").alias("what"), "status", "n").unionByName(
+        merged[0].agg(F.count("*").alias("n")).select(F.lit("catalog").alias("what"), F.lit("published").alias("status"), "n"))
 
 
 @query("m4_stage_records", oracle=f"""
@@ -257,7 +348,8 @@ def _(tb):
     from c join q on c.slug = concat('/item/', q.k, '/') where q.status = 'done' or q.error_msg like 'Staging%'""")
 def _(tb):
     items = site.queue(tb).select("id", "url")
-    records, staged, _ = e.extract_items(site.parsed_site(tb), items, F.expr("timestamp'2024-02-01 00:00:00'"))
+    records, staged, _ = e.extract_items(
+        site.parsed_site(tb), items, F.expr("timestamp'2024-02-01 00:00:00'"), site.LABELS, site.SERIES, **site.TITLES)
     counts = staged.groupBy("item_url").agg(F.count("*").alias("variants"))
     return records.join(counts, "item_url").select("item_url", "name", "year", "variants", "duration")
 
@@ -274,26 +366,29 @@ def _(tb):
 
 
 @query("d8_all_sections", oracle="""
-    select concat('Films of ', 1985 + s_suppkey % 40) as section, s_suppkey // 1000 + 1 as page_no,
-           count(*) as new_items
-    from supplier where s_suppkey % 11 <> 0 or s_suppkey in (select min(s_suppkey) from supplier group by s_suppkey % 40, s_suppkey // 1000)
-    group by 1, 2""")
+    with sections as (select unnest(range(40)) as n),
+    last as (select n, coalesce(max(s_suppkey // 1000 + 1), 0) as pages from sections left join supplier on s_suppkey % 40 = n group by 1),
+    walked as (select n, unnest(generate_series(1, pages + 1)) as page_no from last),
+    found as (
+      select s_suppkey % 40 as n, s_suppkey // 1000 + 1 as page_no, count(*) as new_items
+      from supplier where s_suppkey % 11 <> 0 or s_suppkey in (select min(s_suppkey) from supplier group by s_suppkey % 40, s_suppkey // 1000)
+      group by 1, 2)
+    select concat('Films of ', 1985 + n) as section, page_no, coalesce(new_items, 0) as new_items
+    from walked left join found using (n, page_no)""")
 def _(tb):
     parsed = site.parsed_site(tb, listing=True)
     blocks = h.block_links(parsed)
     sections = d.section_links(blocks, site.HOME).select(F.col("name").alias("section"), "url")
     pager = h.anchor_links(parsed, "pager")
     walked = graph.paginate(sections, d.next_links(pager))
-    counts = d.new_per_page(d.listing_items(blocks, walked), walked.withColumnRenamed("depth", "page_no"))
-    # Every last page points to one that was never captured: it was asked for and has no items.
-    return counts.filter("new_items > 0")
+    return d.new_per_page(d.listing_items(blocks, walked, site.NOISE), walked.withColumnRenamed("depth", "page_no"))
 
 
 @query("d7_run_time", oracle="""
-    select s_suppkey as k, concat('L', s_suppkey % 4) as value from supplier""")
+    select s_suppkey as k, concat(60 + s_suppkey % 60, ' min') as value from supplier""")
 def _(tb):
     parsed = h.parse_pages(site.site(tb).filter("url LIKE '%/item/%'"))
-    return parsed.select(key_of("page_url"), o.run_time("info", "language").alias("value"))
+    return parsed.select(key_of("page_url"), o.run_time("info").alias("value"))
 
 
 MOVED = """
@@ -309,7 +404,7 @@ MOVED = """
       select src, dst, 1 as hops from moved
       union all
       select w.src, m.dst, hops + 1 from walk w join moved m on m.src = w.dst where hops < 25),
-    ends as (select src, arg_max(dst, hops) as final from walk group by 1 having max(hops) <= 20)
+    ends as (select src, arg_max(dst, hops) as final from walk group by 1 having max(hops) < 25)
     select key, case when regexp_extract(final, '^(https://[^/]+)', 1) <> regexp_extract(url, '^(https://[^/]+)', 1)
                      then regexp_extract(final, '^(https://[^/]+)', 1) else url end as url
     from config left join ends on ends.src = config.url""")
@@ -340,7 +435,7 @@ def refreshed(tb):
         "id", "item_id", F.lit("processing").alias("status"), F.lit(None).cast("string").alias("error_msg"),
         F.lit(None).cast("timestamp").alias("completed_at"),
     )
-    table, served = ref.refresh(owned, catalog, parsed, stored, F.expr("timestamp'2024-02-01 00:00:00'"))
+    table, served = ref.refresh(owned, catalog, parsed, stored, F.expr("timestamp'2024-02-01 00:00:00'"), site.LABELS)
     return table, served, log
 
 

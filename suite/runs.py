@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pagecat.operators import quality as qual
-from pagecat.plans import runs as r
+from pagecat.plans import refresh as ref, runs as r
 from pagecat.session import scratch
 from pagecat.streaming import batches as b, gates as g
 
@@ -86,7 +86,7 @@ def _(tb):
     return r.finalize_run(run_log(tb)).select("id", "status")
 
 
-@query("m9_classify_requests", RL, """
+ROLES = """
     with c as (select q.id, coalesce(q.requested_at <= r.completed_at + interval '5' minute and r.payload is not null, false) as cached
                from run_request q asof left join (select * from refresh_log where status = 'done') r
                  on q.item_id = r.item_id and q.requested_at >= r.completed_at),
@@ -99,7 +99,10 @@ def _(tb):
             on q.item_id = r.item_id and q.requested_at < r.completed_at),
     roles as (select q.id, case when q.item_id = 9 then 'not_found' when cached then 'cached' when going then 'waiter'
                            else 'owner' end as role, soon, w.status, w.payload
-              from run_request q join c using (id) join o using (id) join w using (id))
+              from run_request q join c using (id) join o using (id) join w using (id))"""
+
+
+@query("m9_classify_requests", RL, ROLES + """
     select id, role, case role when 'not_found' then 'rejected' when 'cached' then 'done'
        when 'owner' then coalesce(status, 'processing')
        else case when not soon then 'timeout' when status = 'done' and payload is not null then 'done'
@@ -110,6 +113,18 @@ def _(tb):
     return r.classify_requests(requests(tb), refresh_log(tb), items).select("id", "role", "outcome")
 
 
+@query("m9_open_requests", RL, ROLES + """
+    select id, item_id, status, epoch_us(requested_at) as asked, null as expires from refresh_log
+    union all
+    select q.id, q.item_id, 'processing', epoch_us(requested_at), epoch_us(requested_at + interval '5' minute)
+    from run_request q join roles using (id) where role = 'owner'""")
+def _(tb):
+    items = requests(tb).select(F.col("item_id").alias("id")).distinct().filter("id <> 9")
+    log = refresh_log(tb).withColumn("expires_at", F.lit(None).cast("timestamp"))
+    opened = ref.open_requests(log, r.classify_requests(requests(tb), log, items))
+    return opened.select("id", "item_id", "status", us("requested_at").alias("asked"), us("expires_at").alias("expires"))
+
+
 @query("m10_admit_runs", RR, """
     with e as (select refresh_time as t, 1 as d from run_log
                union all select finished_at, -1 from run_log where finished_at is not null),
@@ -168,10 +183,16 @@ def _(tb):
     return r.cooldown_gate(rows, ["source"], 15).select("id", "decision")
 
 
-def event_stream(tb):
-    schema = tb.spark.read.parquet(tb.path("events")).schema
-    rows = g.read_stream(tb.spark, tb.dir, schema, pathGlobFilter="events.parquet")
-    return ts(rows, "ts")
+def event_stream(tb, parts=4):
+    """The events as a stream of files, one for each stretch of time, each a micro-batch of its own."""
+    path = scratch(tb.spark, "events")
+    events = tb["events"]
+    low, high = events.agg(F.min(us("ts")), F.max(us("ts"))).first()
+    step = (high - low) // parts + 1
+    for k in range(parts):
+        part = events.filter((us("ts") >= low + k * step) & (us("ts") < low + (k + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return ts(g.read_stream(tb.spark, path, events.schema, maxFilesPerTrigger="1"), "ts")
 
 
 def drained(tb, df, label):
@@ -237,16 +258,31 @@ def _(tb):
     return r.not_expired(refresh_log(tb), F.expr("timestamp'2024-01-15 00:00:00'")).select("id")
 
 
-@query("t4_ttl_filter_stream", oracle="""
-    select event_id as id from events where event_type in ('purchase', 'error') and (event_id % 11 = 0 or event_id % 2 = 0)""")
+TTL = """
+    with r as (select event_id as id, epoch_us(ts) as asked, case when event_id % 11 <> 0
+                 then epoch_us(ts) + (case when event_id % 2 = 0 then 299 else 300 end) * 1000000 end as ended
+               from events where event_type in ('purchase', 'error')),
+    clock as (select max(greatest(asked, coalesce(ended, 0))) as newest from r)
+    select id, case when ended < asked + 300000000 then 'ended' else 'expired' end as outcome from r, clock
+    where ended < asked + 300000000 or asked + 300000000 <= newest"""
+
+
+@query("t4_ttl_filter_stream", oracle=TTL)
 def _(tb):
-    # Half of the requests end within their life of five minutes, the others after it.
-    late = F.when(F.col("event_id") % 2 == 0, F.expr("INTERVAL 299 SECONDS")).otherwise(F.expr("INTERVAL 300 SECONDS"))
-    rows = event_stream(tb).filter("event_type IN ('purchase', 'error')").select(
-        F.col("event_id").alias("id"), F.col("ts").alias("requested_at"),
-        F.when(F.col("event_id") % 11 != 0, F.col("ts") + late).alias("completed_at"),
-    )
-    return drained(tb, g.ttl_filter(rows).select("id"), "ttl")
+    """Requests and ends as events of four files: half of the requests end within their five minutes."""
+    base = scratch(tb.spark, "ttl")
+    late = F.when(F.col("event_id") % 2 == 0, 299_000_000).otherwise(300_000_000)
+    rows = ts(tb["events"], "ts").filter("event_type IN ('purchase', 'error')").select("event_id", us("ts").alias("t"))
+    asks = rows.select(F.col("event_id").alias("id"), "t", F.lit("request").alias("kind"))
+    ends = rows.filter("event_id % 11 <> 0").select(F.col("event_id").alias("id"), (F.col("t") + late).alias("t"), F.lit("end").alias("kind"))
+    marks = asks.unionByName(ends).withColumn("at", F.timestamp_micros("t")).drop("t")
+    low, high = marks.agg(F.min(us("at")), F.max(us("at"))).first()
+    step = (high - low) // 4 + 1
+    for k in range(4):
+        part = marks.filter((us("at") >= low + k * step) & (us("at") < low + (k + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = g.read_stream(tb.spark, f"{base}/in", marks.schema, maxFilesPerTrigger="1")
+    return in_batches(tb, stream, b.ttl(), "ttl").select("id", "outcome")
 
 
 AUDIT = """

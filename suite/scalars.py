@@ -81,7 +81,7 @@ def _(tb):
     kind = F.col("page_id") % 3
     ref = (
         F.when(kind == 0, F.col("href"))
-        .when(kind == 1, F.concat(F.lit("/x/y/.././"), F.substring("href", 2, 10**6), F.lit("?q=1")))
+        .when(kind == 1, F.concat(F.lit("/x/y/.././"), F.expr("substring(href, 2)"), F.lit("?q=1")))
         .otherwise(F.concat(F.lit("//OTHER.example.net"), "href"))
     )
     return u.with_resolved(refs.withColumn("ref", ref), "url", "ref").select("page_id", "href", "abs_url")
@@ -203,7 +203,7 @@ def _(tb):
     select doc_id, nullif(trim(text, concat(chr(9), chr(10), chr(11), chr(12), chr(13), ' ', chr(160))), '') as synopsis
     from documents""")
 def _(tb):
-    return tb["documents"].select("doc_id", t.strip_label(F.concat(F.lit("\n SYNOPSIS: "), "text")).alias("synopsis"))
+    return tb["documents"].select("doc_id", t.strip_label(F.concat(F.lit("\n SYNOPSIS: "), "text"), "Synopsis:").alias("synopsis"))
 
 
 @query("h21_js_trim", oracle="select doc_id, trim(text, concat(chr(9), chr(10), chr(11), chr(12), chr(13), ' ', chr(160))) as text from documents")
@@ -213,31 +213,28 @@ def _(tb):
     )
 
 
-@query("h22_is_next_link", ("listing_src",), """
-    select c_custkey from listing_src where c_custkey % 4 in (0, 1) and c_custkey % 5 < 3""")
+@query("h22_is_next_link", oracle="""
+    select doc_id from documents where contains(lower(replace(text, 'nd ', 'next ')), 'next') and source not in ('src3', 'src4')""")
 def _(tb):
-    k = F.col("c_custkey")
-    text = F.when(k % 4 == 0, F.lit(" » ")).when(k % 4 == 1, F.lit("Go NEXT page")).otherwise(F.lit("» 2"))
-    href = F.when(k % 5 < 3, F.col("url")).when(k % 5 == 3, F.lit("#"))
-    return tb["listing_src"].filter(t.is_next_link(text, href)).select("c_custkey")
+    # Two sources stand for links without a target.
+    href = F.when(F.col("source") == "src3", "#").when(F.col("source") != "src4", F.col("source"))
+    return tb["documents"].filter(t.is_next_link(F.replace("text", F.lit("nd "), F.lit("next ")), href)).select("doc_id")
 
 
 @query("h23_contains_label", oracle="""
-    select s_suppkey, s_suppkey % 3 < 2 as plain, s_suppkey % 3 = 0 as whole from supplier""")
+    select doc_id, contains(text, 'in the') as plain, regexp_matches(text, 'in the($|[^A-Za-z0-9_])') as whole from documents""")
 def _(tb):
-    text = F.when(F.col("s_suppkey") % 3 == 0, "Server 1 x").when(F.col("s_suppkey") % 3 == 1, "Server 10").otherwise("server 1")
-    return tb["supplier"].select(
-        "s_suppkey", t.contains_label(text, "Server 1").alias("plain"),
-        t.contains_label(text, "Server 1", whole_word=True).alias("whole"),
+    return tb["documents"].select(
+        "doc_id", t.contains_label("text", "in the").alias("plain"),
+        t.contains_label("text", "in the", whole_word=True).alias("whole"),
     )
 
 
 @query("h24_payload_present", ("refresh_log",), "select id, payload is not null as present from refresh_log")
 def _(tb):
     # A list that turns out empty is present all the same.
-    log = tb["refresh_log"]
-    value = F.when(F.col("payload").isNotNull(), F.from_json(F.lit("[]"), "array<string>"))
-    return log.select("id", t.payload_present(value).alias("present"))
+    value = F.filter(F.from_json("payload", "array<bigint>"), lambda x: x % 2 == 0)
+    return tb["refresh_log"].select("id", t.payload_present(value).alias("present"))
 
 
 @query("h25_coalesce_src", ("variant_file",), """
@@ -278,12 +275,12 @@ def _(tb):
 
 
 @query("d1_normalize_quality", oracle="""
-    select p_partkey, case p_partkey % 4 when 0 then '1080p' when 1 then '480p' when 2 then '720p' else 'Unknown' end as quality
-    from part""")
+    select doc_id, case when contains(low, '1080p') then '1080p' when contains(low, '720p') then '720p' when contains(low, '480p') then '480p'
+                        when contains(low, '360p') then '360p' when contains(low, 'hd') then '720p' else 'Unknown' end as quality
+    from (select doc_id, lower(concat(text, ' ', n_chars, 'P')) as low from documents)""")
 def _(tb):
-    k = F.col("p_partkey") % 4
-    label = F.when(k == 0, "Full HD 1080P").when(k == 1, "480p hd").when(k == 2, "Original HD").otherwise(F.col("p_type"))
-    return tb["part"].select("p_partkey", o.normalize_quality(label).alias("quality"))
+    label = F.concat("text", F.lit(" "), "n_chars", F.lit("P"))
+    return tb["documents"].select("doc_id", o.normalize_quality(label).alias("quality"))
 
 
 @query("d2_priority_for", oracle="""

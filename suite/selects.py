@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from pagecat.functions.text import parse_size_mb
 from pagecat.operators import predicates as p, ranking as r, variants as v
-from pagecat.operators.quality import check_constraints, not_null, one_of, unique_violations
+from pagecat.operators.quality import (
+    catalog_rules, check_constraints, not_null, one_of, request_rules, run_rules, unique_violations, variant_rules,
+)
 from pagecat.plans import discover as d, optional as o, runs
 from pagecat.sources import tables as s
 
@@ -27,6 +29,16 @@ def _(tb):
     )
 
 
+@query("s1_scan_pages_without_url", ("capture",), """
+    select u as url, length(html) as n from (
+      select *, row_number() over (partition by u order by captured_at desc) as rn
+      from (select *, case when length(html) % 3 > 0 then url end as u from capture)) where rn = 1 or u is null""")
+def _(tb):
+    """Captures without a URL are no captures of one page: all stay."""
+    url = F.when(F.length("html") % 3 > 0, F.col("url"))
+    return s.scan_pages(tb["capture"].withColumn("url", url), "captured_at").select("url", F.length("html").cast("bigint").alias("n"))
+
+
 @query("s2_config_value", ("config",), "select url from config where key = 'base_7'")
 def _(tb):
     return s.config_value(tb["config"], "base_7")
@@ -88,13 +100,14 @@ def _(tb):
       and not regexp_matches(name, '(?i)Full Download') and not regexp_matches(name, '(?i)web-series|web series')
       and not regexp_matches(url, '(?i)web-series|web series')""")
 def _(tb):
-    return tb["listing_src"].filter(p.is_item_link(name="name", url="url", href="url")).select("c_custkey")
+    noise = (p.Noise(r"\d{4} Films"), p.Noise("Full Download"), p.Noise("web-series|web series", "any"))
+    return tb["listing_src"].filter(p.is_item_link(noise, name="name", url="url", href="url")).select("c_custkey")
 
 
 @query("p9_skip_rule", ("listing_src",), """
     select c_custkey, case when regexp_matches(url, '(?i)WEB-series') then 'skipped' else 'pending' end as status from listing_src""")
 def _(tb):
-    status = F.when(p.skip_rule("url"), "skipped").otherwise("pending")
+    status = F.when(p.skip_rule("url", "WEB-series"), "skipped").otherwise("pending")
     return tb["listing_src"].select("c_custkey", status.alias("status"))
 
 
@@ -116,6 +129,37 @@ def _(tb):
     return check_constraints(tb["work_queue"], "id", rules)
 
 
+@query("p11_queue_constraints", ("catalog_stage", "variant_stage", "run_log", "refresh_log"), """
+    select 'catalog' as tbl, slug as k, 'name not null' as rule from catalog_stage where name is null
+    union all select 'catalog', slug, 'item_url not null' from catalog_stage where item_url is null
+    union all select 'variant', file_url_1, 'label not null' from variant_stage where label is null
+    union all select 'run', cast(id as string), 'status known' from run_log where status not in ('completed', 'inprogress')
+    union all select 'request', cast(id as string), 'item_id not null' from refresh_log where item_id = 3""")
+def _(tb):
+    """The constraints of the stored tables. The log's own states and ids are thinned, so that some rows break a rule."""
+    runs_ = tb["run_log"].withColumn("status", F.when(F.col("status") == "failed", "lost").otherwise(F.col("status")))
+    asked = tb["refresh_log"].withColumn("item_id", F.when(F.col("item_id") != 3, F.col("item_id")))
+    found = [
+        check_constraints(df, key, rules).select(F.lit(tbl).alias("tbl"), F.col(key).cast("string").alias("k"), "rule")
+        for tbl, df, key, rules in (
+            ("catalog", tb["catalog_stage"], "slug", catalog_rules()), ("variant", tb["variant_stage"], "file_url_1", variant_rules()),
+            ("run", runs_, "id", run_rules()), ("request", asked, "id", request_rules()))
+    ]
+    return r.union_pages(*found)
+
+
+@query("a11_save_section_counts", ("listing_src", "section"), """
+    with n as (select section, count(*) as n from listing_src group by 1)
+    select cast(section as string) as folder, cast(case when n.n is not null and section % 2 = 0 then n.n when section % 3 = 0 then -1 end as int) as last_known_count
+    from section left join n using (section) where section % 2 = 0 or section % 3 = 0""")
+def _(tb):
+    folder = F.col("section").cast("string").alias("folder")
+    state = tb["section"].filter("section % 3 = 0").select(
+        folder, F.lit(None).cast("timestamp").alias("last_scraped_at"), F.lit(-1).alias("last_known_count"))
+    counts = tb["listing_src"].filter("section % 2 = 0").groupBy(folder).agg(F.count("*").alias("n"))
+    return runs.save_section_counts(state, counts, F.expr("timestamp'2024-02-01 00:00:00'")).select("folder", "last_known_count")
+
+
 @query("p12_href_contains", VF, """
     select item_id, pos from variant_file where contains(url, '/file/1') and contains(size_text, 'GB')""")
 def _(tb):
@@ -167,9 +211,7 @@ def _(tb):
 
 
 A6 = """
-    select item_id, string_agg(concat(label, '=', url), ',' order by pos) as variants from (
-      select *, row_number() over (partition by item_id, label order by pos desc) as rn from variant_file)
-    where rn = 1 group by 1"""
+    select item_id, string_agg(concat(label, '=', url), ',' order by pos, label, url) as variants from variant_file group by 1"""
 
 
 @query("a6_collect_variants", VF, A6)
@@ -296,12 +338,10 @@ def _(tb):
     return r.page_limit(tb["listing"], "quick", "page_no").select("section", "page_no", "pos", "url")
 
 
-@query("u1_union_pages", ("listing", "listing_src"), """
-    select section, page_no, pos, name, url from listing where page_no <= 2
-    union all select section, page_no, pos, name, url from listing where page_no = 3""")
+@query("u1_union_pages", ("listing", "listing_src"), "select section, page_no, pos, name, url from listing")
 def _(tb):
     listing = tb["listing"]
-    return r.union_pages(listing.filter("page_no <= 2"), listing.filter("page_no = 3"))
+    return r.union_pages(listing.filter("page_no <= 2"), listing.filter("page_no BETWEEN 3 AND 8"), listing.filter("page_no > 8"))
 
 
 @query("u2_distinct_urls", LISTING, "select distinct url from listing")

@@ -7,12 +7,20 @@ k % 9 = 0 no captured first player page.
 
 from pyspark.sql import functions as F
 
-from pagecat.sources.html import parse_pages
+from pagecat.operators.predicates import Noise
+from pagecat.plans.extract import Labels
 from pagecat.session import scratch
+from pagecat.sources.html import parse_pages
 
 ROOT = "https://site.example.com"
 HOME = f"{ROOT}/"
 
+# What this site calls things.
+LABELS = Labels(*[{b: f"{kind}{b}" for b in (1, 2)} for kind in ("Server ", "File Server ", "View Server ")])
+SERIES = "web-series"
+NOISE = (Noise("web series", "any"),)
+TITLES = {"title_end": " Full Download", "synopsis_label": "Synopsis:"}
+
 ITEM_PAGES = f"""
     with item as (
       select s_suppkey as k, cast(s_suppkey as string) as s, s_name, s_nationkey, cast(1990 + s_suppkey % 35 as string) as y
@@ -29,6 +37,7 @@ ITEM_PAGES = f"""
         '<li><strong>Genres:</strong><span>G', cast(s_nationkey as string), ' ,  Drama</span></li>',
         '<li><strong>Movie Rating:</strong><span> ', cast(k % 10 as string), '.5/10</span></li>',
         '<li><strong>Language:</strong><span>L', cast(k % 4 as string), '</span></li>',
+        '<li><strong>Run Time:</strong><span> ', cast(60 + k % 60 as string), ' min </span></li>',
         case when k % 6 = 0 then concat('<li><strong>DIRECTOR:</strong> <span>Second ', s, '</span></li>') else '' end,
         '</ul><div class="synopsis"><span>Synopsis:</span> About ', s, '.</div>',
         '<div class="entry"><img src="/i/info.svg"><a href="/about">About</a></div>',

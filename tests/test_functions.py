@@ -58,11 +58,11 @@ def test_lists(spark):
 def test_titles(spark):
     df = spark.createDataFrame([(" Head ", "x"), ("  ", "Title | Site"), (None, None)], "h string, t string")
     assert [r[0] for r in df.select(t.page_title("h", "t")).collect()] == ["Head", "Title", ""]
-    assert apply(spark, t.item_name, ["A (2001) (2002) b Film x"]) == ["A (2002) b"]
+    assert apply(spark, lambda c: t.item_name(c, r"\s+Film.*\z"), ["A (2001) (2002) b Film x"]) == ["A (2002) b"]
     assert apply(spark, t.year_in_parens, ["A (01) (1999) (2000)", "B 1999"]) == [1999, None]
     assert apply(spark, t.label_in_parens, ["A () (720p HD) (x)", "none"]) == ["720p HD", None]
     assert apply(spark, lambda c: t.strip_suffix(c, " full download"), ["A Full Download HD", "A Full Download\nB"]) == ["A", "A Full Download\nB"]
-    assert apply(spark, t.strip_label, ["SYNOPSIS: a Synopsis: b", " Synopsis: "]) == ["a Synopsis: b", None]
+    assert apply(spark, lambda c: t.strip_label(c, "Synopsis:"), ["SYNOPSIS: a Synopsis: b", " Synopsis: "]) == ["a Synopsis: b", None]
 
 
 def test_duration(spark):

@@ -25,7 +25,7 @@ def times(seed, n, span_s, step_us=250_000):
 
 @pytest.fixture(params=["cold", "hot"])
 def heat(request, monkeypatch):
-    """Run once with every key walked whole and once with large keys cut into slices."""
+    """Run once with every key walked whole and once with all rows sorted into range partitions."""
     if request.param == "hot":
         monkeypatch.setattr(run, "HOT_ROWS", 30)
 
@@ -68,15 +68,29 @@ def test_running_before_the_epoch(spark, monkeypatch):
         (1, -3_700_000_000, 0, None), (1, -5, 1, -3_700_000_000), (1, 7, 2, -5), (2, 0, 0, None)]
 
 
-def test_hot_keys_are_few_by_construction(spark, rows, monkeypatch):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 50).alias("k"))
-    monkeypatch.setattr(run, "HOT_ROWS", 10)
-    monkeypatch.setattr(run, "HOT_KEYS", 5)
-    assert rows(run.hot_keys(df, ["k"], 1000)) == [(0,)]
-    monkeypatch.setattr(run, "HOT_KEYS", 10_000)
-    assert len(rows(run.hot_keys(df, ["k"], 1000))) == 50
-    monkeypatch.setattr(run, "HOT_ROWS", 1000)
-    assert rows(run.hot_keys(df, ["k"], 1000)) == []
+def test_both_ways_agree_on_hot_keys_ties_and_missing_times(spark, rows, monkeypatch):
+    """Two fifths of the rows are of one key and one instant, some have no time."""
+    df = spark.range(600).select(
+        "id", F.when(F.col("id") % 5 < 2, 0).otherwise(F.col("id") % 7).alias("k"),
+        F.when(F.col("id") % 5 < 2, 100).when(F.col("id") % 11 != 0, F.col("id") * 37 % 91).cast("long").alias("t"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"),
+    ).repartition(5)
+    for inclusive in (True, False):
+        def out():
+            return run.running(df, ["k"], "t", tie=("id",), last={"l": F.col("v")}, total={"n": F.lit(1)}, inclusive=inclusive)
+
+        whole = rows(out(), "id", "l", "n")
+        monkeypatch.setattr(run, "HOT_ROWS", 10)
+        assert rows(out(), "id", "l", "n") == whole and len(whole) == 600
+        monkeypatch.undo()
+
+
+def test_status_moves_keep_rows_without_a_time(spark, rows, monkeypatch):
+    log = spark.range(21).select(
+        "id", F.lit("u").alias("url"), F.lit("pending").alias("status"), F.when(F.col("id") != 4, F.timestamp_micros(F.col("id"))).alias("t"))
+    want = rows(quality.status_transitions(log, "url", "t"), "id", "prev_status", "legal")
+    monkeypatch.setattr(run, "HOT_ROWS", 3)
+    assert rows(quality.status_transitions(log, "url", "t"), "id", "prev_status", "legal") == want and len(want) == 21
 
 
 @pytest.mark.parametrize("minutes,span", [(1, 4000), (60, 20000)])
@@ -111,11 +125,11 @@ def test_walks(spark, rows):
 
 
 def test_redirects(spark, rows):
-    chain = [(i, i + 1) for i in range(1, 30)]
+    chain = [(i, i + 1) for i in range(1, 50)]
     df = spark.createDataFrame(chain + [(100, 101), (101, 100), (200, 200), (300, 301)], "src long, dst long")
     got = {r[0]: r[1:] for r in rows(graph.resolve_redirects(df))}
-    assert got[300] == (301, 1) and got[11] == (30, 19) and got[10] == (30, 20)
-    assert got[9] == (None, None) and got[100] == (None, None) and got[200] == (None, None)
+    assert got[300] == (301, 1) and got[49] == (50, 1) and got[11] == (50, 39) and got[1] == (50, 49)
+    assert got[100] == (None, None) and got[200] == (None, None)
 
 
 def test_config_is_one_row(spark):
@@ -231,17 +245,61 @@ def test_repeated_keys_stop_a_publish(spark):
     assert quality.unique_violations(after, ["item_id", "label"]).count() == 0
 
 
+def test_last_one_of_a_repeated_slug_or_address_stays(spark, rows):
+    _, vstage, catalog, variant = tables(spark)
+    none = vstage.limit(0)
+    stage = spark.createDataFrame([("/a", "v/1", "one", 1, None), ("/a", "v/2", "two", 2, None)], STAGE)
+    merged, _ = pub.publish(stage, none, catalog, variant, F.lit(T0), on_dup="last")
+    assert rows(merged, "id", "slug", "item_url") == [("A", "/a", "v/2"), ("B", "/b", "u/b")]
+    # A staged record takes the address of a stored one: that one goes, and its variants with it.
+    taken = spark.createDataFrame([("/new", "u/b", "n", 1, None)], STAGE)
+    merged, after = pub.publish(taken, none, catalog, variant, F.lit(at(60_000_000)), on_dup="last")
+    assert "B" not in [r[0] for r in rows(merged, "id")] and rows(after, "id") == [("1",)]
+    assert joins.orphans(after, merged, "item_id", "id").count() == 0
+
+
+def test_a_run_is_closed_by_what_became_of_its_publish(spark, rows):
+    stage, vstage, catalog, variant = tables(spark)
+    log = spark.createDataFrame([("1", "inprogress", at(0))], "id string, status string, refresh_time timestamp")
+    (merged, _), closed = pub.publish_and_close(stage, vstage, catalog, variant, log, F.lit(T0))
+    assert merged.count() == 3 and rows(closed, "status") == [("completed",)]
+    (same, _), closed = pub.publish_and_close(stage.unionByName(stage), vstage, catalog, variant, log, F.lit(T0))
+    assert same.count() == 2 and rows(closed, "status") == [("failed",)]
+
+
+def test_clearing_leaves_other_tables_and_a_second_publisher_is_refused(spark, rows):
+    one = spark.createDataFrame([(1,)], "a int")
+    store = Snapshots(spark, scratch(spark, "store"))
+    store.publish({"catalog": one, "variant": one, "config": one})
+    store.clear(["catalog"], {"catalog": ["variant"]})
+    assert [store.read(t).count() for t in ("catalog", "variant", "config")] == [0, 0, 1] and store.current() == 2
+    late = Snapshots(spark, store.path)
+    late.current = lambda: 1  # began before the clear
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        late.publish({"catalog": one})
+    assert store.read("catalog").count() == 0
+    with pytest.raises(KeyError):
+        store.read("none")
+
+
+def test_all_variants_are_collected(spark):
+    df = spark.createDataFrame([(1, 2, "HD", "b"), (1, 1, "HD", "a"), (1, 3, "SD", None)], "k int, pos int, label string, url string")
+    payload = variants.collect_variants(df, "k", ["url"]).first()["payload"]
+    assert [tuple(p) for p in payload] == [("HD", "a"), ("HD", "b"), ("SD", None)]
+
+
 def test_snapshot_publish_is_one_version(spark, rows):
     stage, vstage, catalog, variant = tables(spark)
     store = Snapshots(spark, scratch(spark, "store"))
     assert store.current() == 0
-    store.publish({"catalog": catalog, "variant": variant, "catalog_stage": stage, "variant_stage": vstage})
+    store.publish({"catalog": catalog, "variant": variant, "catalog_stage": stage, "variant_stage": vstage, "config": catalog.limit(1)})
     with pytest.raises(ValueError):
         pub.publish_snapshot(store, stage.unionByName(stage), vstage, F.lit(T0))
     assert store.current() == 1 and store.read("catalog").count() == 2
     pub.publish_snapshot(store, store.read("catalog_stage"), store.read("variant_stage"), F.lit(T0))
     assert store.current() == 2 and store.read("catalog").count() == 3
     assert store.read("catalog_stage").count() == 0 and store.read("variant_stage").count() == 0
+    assert store.read("config").count() == 1
 
 
 def test_refresh_overwrites_with_null_unless_guarded(spark, rows):
@@ -255,9 +313,10 @@ def test_refresh_overwrites_with_null_unless_guarded(spark, rows):
 
 
 def test_captures_and_children(spark, rows):
-    pages = spark.createDataFrame([("u", "old", at(1)), ("u", "new", at(2)), ("v", "only", at(0))], "url string, html string, c timestamp")
-    for few in (0, 10):
-        assert rows(scan_pages(pages, "c", few)) == [("u", "new"), ("v", "only")]
+    pages = spark.createDataFrame(
+        [("u", "old", at(1)), ("u", "new", at(2)), ("v", "only", at(0)), (None, "a", at(1)), (None, "a", at(2))], "url string, html string, c timestamp")
+    for few in (0, 1 << 20):
+        assert sorted(rows(scan_pages(pages, "c", few)), key=str) == sorted([("u", "new"), ("v", "only"), (None, "a"), (None, "a")], key=str)
     child = spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "id int, fk string")
     parent = spark.createDataFrame([("a",)], "pk string")
     assert rows(joins.orphans(child, parent, "fk", "pk"), "id") == [(2,)]

@@ -6,6 +6,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from pagecat.functions.text import page_title
+from pagecat.operators import quality
+from pagecat.operators.predicates import Noise
 from pagecat.plans import discover as d, extract as e, runs
 from pagecat.session import scratch
 from pagecat.sources import html as h
@@ -35,7 +37,7 @@ DETAIL = """<!doctype html><title>Fallback | Site</title><h1>A &amp; B (1999) Fu
 
 def test_detail_page(spark):
     parsed = h.parse_pages(pages(spark, {"/a/": DETAIL, "/b": "<h1> </h1><title>Only | x</title>", "/c": ""}))
-    got = {r["slug"]: r for r in e.extract_catalog(parsed).collect()}
+    got = {r["slug"]: r for r in e.extract_catalog(parsed, " Full Download", r"\s+Film.*\z", "Synopsis:").collect()}
     a = got["/a/"]
     assert (a["name"], a["year"], a["poster_ref"], a["rating"]) == ("A & B", 1999, "/p/x.webp", "7.1")
     assert a["director"] == ["Two"] and a["cast_members"] == ["A", "B", "C", "D", "", ""]
@@ -70,13 +72,17 @@ LISTING = {
 }
 
 
+NOISE = (Noise("films$"), Noise("web series", "any"))
+LABELS = e.Labels({b: f"Server {b}" for b in (1, 2)}, {b: f"File Server {b}" for b in (1, 2)}, {b: f"View Server {b}" for b in (1, 2)})
+
+
 def test_discovery(spark, rows):
     parsed = h.parse_pages(pages(spark, LISTING))
     empty = spark.createDataFrame([("1", ROOT + "/m/1", "old", "error", 2, "boom", None)],
                                   "id string, url string, folder string, status string, priority int, error_msg string, queued_at timestamp")
 
     def queued(**how):
-        out = d.discover(parsed, ROOT + "/", empty, AS_OF, current_year="1990", **how)
+        out = d.discover(parsed, ROOT + "/", empty, AS_OF, current_year="1990", noise=NOISE, **how)
         return rows(out.select(F.substring_index("url", "/", -1).alias("u"), "folder", "status", "priority", "error_msg"))
 
     old = ("1", "Films 2002", "pending", 1, "boom")
@@ -115,7 +121,7 @@ def test_extraction(spark):
     parsed = h.parse_pages(pages(spark, SITE)).cache()
     urls = ["/i/1", "/i/2", "/i/3", "/i/4", "/web-series/5"]
     items = spark.createDataFrame([(str(i), ROOT + u) for i, u in enumerate(urls, 1)], "id string, url string")
-    found = e.extract_variants(parsed, items)
+    found = e.extract_variants(parsed, items, LABELS, "web-series")
     got = {(r["item_url"][-1], r["label"]): r for r in found.collect()}
     assert set(got) == {("1", "HD"), ("1", "SD"), ("2", "HD")}
     hd, sd, none = got["1", "HD"], got["1", "SD"], got["2", "HD"]
@@ -124,10 +130,10 @@ def test_extraction(spark):
     assert (hd["file_url_1"], hd["view_url_1"], hd["file_url_2"], hd["view_url_2"]) == ("get?1", "v", None, None)
     assert (sd["file_size"], sd["duration"], sd["file_url_1"]) == (None, None, None)
     assert (none["file_size"], none["file_url_1"]) == (None, None)
-    out = {r["id"]: (r["status"], r["error_msg"]) for r in e.item_outcome(items, parsed, found, AS_OF).collect()}
+    out = {r["id"]: (r["status"], r["error_msg"]) for r in e.item_outcome(items, parsed, found, AS_OF, skip="web-series").collect()}
     assert out == {"1": ("done", None), "2": ("error", "No valid links"), "3": ("error", "No quality links"),
                    "4": ("error", "page not captured"), "5": ("skipped", "Web Series excluded")}
-    records, staged, outcomes = e.extract_items(parsed, items, AS_OF)
+    records, staged, outcomes = e.extract_items(parsed, items, AS_OF, LABELS, "web-series")
     assert {r["id"]: (r["status"], r["error_msg"]) for r in outcomes.collect()} == out
     lost = h.parse_pages(pages(spark, {"/i/1": entry("/l/gone", "list")}))
     assert e.item_outcome(items.limit(1), lost, found.limit(0), AS_OF).first()["error_msg"] == "page not captured"
@@ -166,6 +172,13 @@ def test_streams_equal_their_batch_twins(spark, rows):
     stream = files_in_order(spark, df)
     gate = drained(spark, g.cooldown_gate(stream, "k", 15, "ts", "id"))
     assert rows(gate, "id", "decision") == rows(runs.cooldown_gate(df, ["k"], 15, "ts"), "id", "decision")
+    lengths = df.select("k", "ts", F.timestamp_micros(F.unix_micros("ts") + (F.col("id") % 7 + 1) * 90_000_000).alias("end"))
+    lengths.write.parquet(path + "-runs")
+    runs_ = spark.read.parquet(path + "-runs").withColumn("id", F.unix_micros("ts"))
+    marks = F.explode(F.array(F.struct(F.lit(1).alias("d"), F.col("ts").alias("at")), F.struct(F.lit(-1).alias("d"), F.col("end").alias("at"))))
+    audit = drained(spark, g.active_runs(files_in_order(spark, runs_).select("k", marks.alias("m")).select("k", "m.*"), "k", "at", "d"))
+    want = quality.active_run_audit(runs_, ["k"], "ts", "end").select("k", F.unix_micros("at").alias("t"), "active")
+    assert rows(audit, "key", "t", "active") == rows(want) and audit.count() > 50
     flight = drained(spark, g.single_flight(stream, "k"))
     assert rows(flight, "id", "role") == rows(runs.single_flight(df, ["k"]), "id", "role")
     assert gate.count() == df.count()
@@ -205,3 +218,28 @@ def test_worker_takes_each_pending_item_once(spark, rows):
     assert rows(spark.read.parquet(base + "/out"), "id") == [(i,) for i in range(40) if i % 4]
     # Nothing new: a second drain adds nothing.
     assert json.dumps(sorted(r["id"] for r in spark.read.parquet(base + "/out").collect())).count(",") == 29
+
+
+def test_requests_leave_the_state_when_they_end_or_expire(spark, rows):
+    def at(s):
+        return datetime(2024, 1, 1, 0, s // 60, s % 60)
+
+    kind = "id long, at timestamp, kind string"
+    parts = [[(1, at(0), "request"), (2, at(10), "request"), (1, at(60), "end")], [(3, at(200), "request")], [(2, at(309), "end"), (4, at(600), "request")], [(4, at(899), "end")]]
+    state, got = None, []
+    for part in parts:
+        out, state = b.ttl()(spark.createDataFrame(part, kind), state)
+        got.append(rows(out))
+        state = spark.createDataFrame(state.collect(), state.schema)
+    assert got == [[(1, "ended")], [], [(2, "ended"), (3, "expired")], [(4, "ended")]]
+    assert state.filter("id IS NOT NULL").count() == 0
+
+
+def test_staging_keeps_a_known_duration_and_replaces_variants(spark, rows):
+    stage = spark.createDataFrame([("/a", "u/a", "old", "9h"), ("/b", "u/b", "b", "8h")], "slug string, item_url string, name string, duration string")
+    vstage = spark.createDataFrame([("u/a", "HD", "x"), ("u/b", "HD", "y")], "item_url string, label string, file_url_1 string")
+    new = spark.createDataFrame([("/a", "u/a", "new", None), ("/c", "u/c", "c", "1h"), ("/c", "u/c2", "c2", None)], stage.schema)
+    found = spark.createDataFrame([("u/a", "SD", "n"), ("u/c", "HD", "lost"), ("u/c2", "HD", "kept")], vstage.schema)
+    catalog, after = e.stage_upsert(stage, vstage, new, found)
+    assert rows(catalog) == [("/a", "u/a", "new", "9h"), ("/b", "u/b", "b", "8h"), ("/c", "u/c2", "c2", None)]
+    assert rows(after) == [("u/a", "SD", "n"), ("u/b", "HD", "y"), ("u/c2", "HD", "kept")]

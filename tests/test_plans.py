@@ -10,6 +10,9 @@ from pagecat.session import scratch
 from pagecat.sources import html as h, tables
 
 
+LABELS = extract.Labels({1: "Server 1"}, {1: "File 1"}, {1: "View 1"})
+
+
 def plan(df):
     df.sparkSession.conf.set("spark.sql.maxPlanStringLength", "1000000")
     return df._jdf.queryExecution().explainString(
@@ -37,7 +40,7 @@ def test_choices_inside_a_page_need_no_shuffle(spark):
     parsed = spark.read.parquet(path)
     for df in (
         extract.extract_catalog(parsed), extract.list_pages(parsed), extract.labelled_variants(parsed),
-        extract.largest_files(parsed), extract.branch_links(parsed), h.block_links(parsed), h.anchor_links(parsed, "pager"),
+        extract.largest_files(parsed), extract.branch_links(parsed, LABELS), h.block_links(parsed), h.anchor_links(parsed, "pager"),
     ):
         assert exchanges(df) == 0
     # The nested columns that are not asked for are not read.
@@ -55,3 +58,29 @@ def test_per_key_choices_shuffle_reduced_rows_once(spark):
     ):
         assert exchanges(out) == 1
         assert "partial_m" in plan(out)
+
+
+def test_pages_are_chosen_before_they_are_read(spark):
+    """Explode and resolve work on the pages reached, which are stored."""
+    path = scratch(spark, "parsed")
+    h.parse_pages(spark.createDataFrame([("http://s/", "<h1>x</h1>")], "url string, html string")).write.parquet(path)
+    rows = spark.createDataFrame([("http://s/",)], "at string")
+    parsed = extract.reached(spark.read.parquet(path), rows, "at", "anchors", "blocks", "files")
+    assert parsed.count() == 1
+    for df in (extract.branch_links(parsed, LABELS), extract.labelled_variants(parsed), extract.largest_files(parsed)):
+        text = plan(df)
+        # Stored pages are read, not the table they come from.
+        assert "Scan ExistingRDD" in text and "Scan parquet" not in text
+
+
+def test_extraction_reads_the_parts_it_needs(spark, monkeypatch):
+    """Each hop reads one or two columns of the pages that the queue reaches."""
+    path = scratch(spark, "parsed")
+    h.parse_pages(spark.createDataFrame([("http://s/", "<h1>x</h1>")], "url string, html string")).write.parquet(path)
+    seen = []
+    monkeypatch.setattr(extract, "cut", lambda df: seen.append(plan(df)) or df)
+    extract.extract_variants(spark.read.parquet(path), spark.createDataFrame([("http://s/",)], "url string"), LABELS)
+    hops = [text for text in seen if "LeftSemi" in text.split("\n\n\n")[0]]
+    assert len(hops) >= 7
+    schemas = set(re.findall(r"ReadSchema: struct<(.*)>", seen[0]))
+    assert any("blocks" in s for s in schemas) and not any("anchors" in s or "html" in s for s in schemas)
