@@ -13,7 +13,7 @@ from .common import bucket, saved, small, table
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose id is not among ``ids``; one without an id can't be and stays."""
-    return docs.join(small(saved(ids.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(small(saved(ids.select(F.col("doc_id").alias("__gone")).distinct(), "gone")), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     again = saved(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
     if again.isEmpty():
         return kept
-    twice = kept.join(small(again.select(F.col("doc_id").alias("again_id"))), F.col("doc_id") == F.col("again_id"), "left_semi")
+    twice = kept.join(small(again.select(F.col("doc_id").alias("__again"))), F.col("doc_id") == F.col("__again"), "left_semi")
     return _without(kept, again).union(twice.dropDuplicates(["doc_id"]))
 
 
@@ -39,14 +39,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, written in the order in which the sources are mixed: files by number, rows by place."""
-    place = mixing.mix(docs.select("doc_id", "source")).select(F.col("doc_id").alias("place_id"), "position")
-    placed = docs.join(place, F.col("doc_id").eqNullSafe(F.col("place_id")))
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    place = mixing.mix(docs.select("doc_id", "source")).select(F.col("doc_id").alias("__id"), F.col("position").alias("__place"))
+    placed = docs.join(place, F.col("doc_id").eqNullSafe(F.col("__id")))
+    return placed.repartitionByRange("__place").sortWithinPartitions("__place").select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Eight contiguous shards of nearly equal bytes, along the order in which the documents were written."""
-    if docs.inputFiles():
+    if docs.inputFiles() and "_metadata" not in docs.columns:
         name = F.col("_metadata.file_name")
         docs = docs.select("doc_id", "text", F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long").alias("number"),
                            name.alias("name"), F.col("_metadata.row_index").alias("line"))
