@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small
+from .common import running, saved, small
 from .groups import components
 from .words import grouped, mix, pack, shingle_sets, unpack
 
@@ -19,8 +19,8 @@ SLOTS = 128
 BAND = 4
 # Sketches agreeing in fewer of their slots than this are not compared in full: four standard deviations below 0.75.
 LOOSE = 0.60
-# Members of a bucket compared with each other in one place.
-BLOCK = 2048
+# Members of a bucket whose sketches are compared in one place, and shingles of a cluster compared in full there.
+BLOCK, CELL = 2048, 400_000
 
 
 def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
@@ -104,61 +104,146 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell: pairs in one cell that are of different groups and have similar sketches."""
-    def compare(rows):
-        group = np.array([r[2] for r in rows])
-        sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), SLOTS)
-        side = np.array([r[3] for r in rows])
-        names, counts = np.unique(group, return_counts=True)
-        if len(names) < 2:
-            return
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each cell (first column), in a partition sorted by it."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if held and held[-1][0] != row[0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+class _Labels:
+    """Union-find over the groups of some rows, kept as the current root of each row."""
+
+    def __init__(self, labels: list[int]):
+        self.root = np.array(labels)
+        self.joined: list[tuple[int, int]] = []
+
+    def join(self, row: int, others: np.ndarray) -> None:
+        for other in np.unique(self.root[others]):
+            if other != self.root[row]:
+                low, high = sorted((int(other), int(self.root[row])))
+                self.root[self.root == high] = low
+                self.joined.append((low, high))
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, label, side, sketch): which groups of a cell are held together by similar sketches, as a forest of their labels."""
+    for rows in _by_cell(batches):
+        groups = _Labels([r[1] for r in rows])
+        side = np.array([r[2] for r in rows])
+        sketch = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), SLOTS)
+        names, counts = np.unique(groups.root, return_counts=True)
         crossed = side.min() != side.max()
-        # Pairs within the largest group need no look: every other row is held against all rows of other groups.
-        for i in np.flatnonzero(group != names[counts.argmax()]):
-            other = (group != group[i]) & ((group == names[counts.argmax()]) | (np.arange(len(rows)) > i))
+        # Rows of the largest group need no look of their own: every other row is held against all rows of other groups.
+        for i in np.flatnonzero(groups.root != names[counts.argmax()]):
+            other = groups.root != groups.root[i]
             if crossed:
                 other &= side != side[i]
             near = np.flatnonzero(other)
-            near = near[(sketch[near] == sketch[i]).sum(1) >= LOOSE * SLOTS]
-            for k in near:
-                yield (rows[i][1], rows[k][1])
+            groups.join(i, near[(sketch[near] == sketch[i]).sum(1) >= LOOSE * SLOTS])
+        if groups.joined:
+            yield _pairs(groups.joined)
 
-    def pairs(found):
-        return pa.RecordBatch.from_pydict({
-            "a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())})
 
-    held: list = []
-    for batch in batches:
-        out = []
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if held and held[-1][0] != row[0]:
-                out.extend(compare(held))
-                held = []
-            held.append(row)
-        if out:
-            yield pairs(out)
-    if held and (out := list(compare(held))):
-        yield pairs(out)
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left shares with each one on the right: frequent elements by a matrix product, others in pairs."""
+    sizes = [len(s) for s in [*left, *right]]
+    _, element, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    out = np.zeros((len(left), len(right)), np.float32)
+    frequent = np.flatnonzero(times > 32)
+    for at in range(0, len(frequent), 1024):
+        column = np.full(len(times), -1)
+        column[frequent[at:at + 1024]] = np.arange(len(frequent[at:at + 1024]))
+        inside = column[element] >= 0
+        held = np.zeros((len(sizes), len(frequent[at:at + 1024])), np.float32)
+        held[owner[inside], column[element[inside]]] = 1
+        out += held[:len(left)] @ held[len(left):].T
+    some = (times[element] > 1) & (times[element] <= 32)
+    order = np.argsort(element[some], kind="stable")
+    element, owner = element[some][order], owner[some][order]
+    a, b = owner < len(left), owner >= len(left)
+    first = np.searchsorted(element[b], element[a], side="left")
+    count = np.searchsorted(element[b], element[a], side="right") - first
+    each = np.repeat(np.arange(len(first)), count)
+    partner = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count) + first[each]
+    np.add.at(out, (owner[a][each], owner[b][partner] - len(left)), 1)
+    return np.rint(out).astype(np.int64)
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, label, side, shingles): which groups of a cell are linked by full sets, as a forest of their labels."""
+    for rows in _by_cell(batches):
+        sides = sorted({r[2] for r in rows})
+        left = [k for k, r in enumerate(rows) if r[2] == sides[0]]
+        right = [k for k, r in enumerate(rows) if r[2] == sides[-1]]
+        groups = _Labels([r[1] for r in rows])
+        sets = [unpack(r[3]) for r in rows]
+        sizes = np.array([len(s) for s in sets])
+        both = common_counts([sets[k] for k in left], [sets[k] for k in right])
+        linked = 100 * both >= 75 * (sizes[left][:, None] + sizes[right][None, :] - both)
+        for k, row in enumerate(left):
+            groups.join(row, np.array(right)[linked[k]])
+        if groups.joined:
+            yield _pairs(groups.joined)
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles) of the ids (column x), made again from their texts."""
+    texts = docs.join(small(ids), F.col("id") == F.col("x"), "left_semi")
+    return saved(texts.select("id", "text").mapInArrow(_sets, "id long, shingles binary"), "sets").dropDuplicates(["id"])
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that hold on full sets; these are made again from the texts of the ids that occur."""
+    """The pairs (a, b) that hold on full sets."""
     needed = saved(pairs.select(F.col("a").alias("x")).union(pairs.select("b")).distinct(), "needed")
-    texts = docs.join(small(needed), F.col("id") == F.col("x"), "left_semi")
-    sets = saved(texts.select("id", "text").mapInArrow(_sets, "id long, shingles binary"), "sets").dropDuplicates(["id"])
+    sets = _sets_of(docs, needed)
     left = pairs.join(sets.select(F.col("id").alias("ia"), F.col("shingles").alias("sa")), F.col("a") == F.col("ia"))
     right = left.join(sets.select(F.col("id").alias("ib"), F.col("shingles").alias("sb")), F.col("b") == F.col("ib"))
     return saved(right.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"), "verified")
 
 
+def _between(docs: DataFrame, reps: DataFrame, groups: DataFrame, alike: DataFrame) -> DataFrame:
+    """Links between groups (label pairs a, b), found by full comparison within clusters of groups with similar sketches.
+
+    A cluster's sets, sorted by group, are cut into blocks of bounded size; each two blocks meet in one cell unless both are of one
+    and the same group.
+    """
+    cluster = components(alike)
+    clusters = saved(cluster.union(cluster.select("root", "root")).distinct().select(F.col("node").alias("l"), F.col("root").alias("c")), "clusters")
+    label = reps.select("id", "n").join(groups, F.col("id") == F.col("node"), "left").select("id", "n", F.coalesce("root", "id").alias("label"))
+    placed = label.join(clusters, F.col("label") == F.col("l")).select("c", "label", "id", (F.col("n") + CELL // BLOCK).alias("size"))
+    blocks = saved(running(saved(placed, "placed"), ["label", "id"], "size", ["c"]).select(
+        "c", "label", "id", F.floor(F.col("start") / CELL).alias("block")), "blocks")
+    ends = blocks.groupBy("c", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    other = ends.select("c", F.col("block").alias("with"), F.col("low").alias("low_2"), F.col("high").alias("high_2"))
+    met = ends.join(other, "c").filter((F.col("block") <= F.col("with")) & (F.least("low", "low_2") != F.greatest("high", "high_2")))
+    met = met.select(F.col("c").alias("mc"), F.xxhash64("c", "block", "with").alias("cell"),
+                     F.explode(F.array_distinct(F.array("block", "with"))).alias("side"))
+    rows = blocks.join(met, (F.col("c") == F.col("mc")) & (F.col("block") == F.col("side"))).select("cell", "label", "side", F.col("id").alias("d"))
+    sets = _sets_of(docs, saved(blocks.select(F.col("id").alias("x")), "inside"))
+    cells = rows.join(sets, F.col("d") == F.col("id")).select("cell", "label", "side", "shingles")
+    return saved(cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_exact, "a long, b long"), "between")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents whose sets of 5-word shingles have a Jaccard likeness of 0.75 or more, directly or by steps.
 
     Equal sets count once, through the smallest id. Sets that share a band are candidates. First each set is held against the
-    smallest member of its buckets, and the best of these links is verified on full sets; groups arise. Then, in buckets that
-    still hold different groups, all members of different groups are compared by their sketches, in blocks, and similar ones are
-    verified in full. So no pair that shares a band is left out, and nothing is emitted for pairs already grouped.
+    smallest member of its buckets, and the best of these links is verified on full sets; groups arise. Buckets that still hold
+    different groups compare their members' sketches, in blocks; groups with similar ones form clusters. Inside a cluster all sets
+    of different groups are compared in full, again in blocks. So no pair that shares a band is left out, while each step
+    emits a forest of groups at most, never pairs of documents.
 
     Returns per id: n_shingles, component_id (smallest id reachable, itself included), kept (it is that id). A null or empty text
     has an empty set and is linked with nothing. Ids are whole numbers; rows that repeat an id give one row (texts that differ
@@ -169,11 +254,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = saved(docs.mapInArrow(_sketch, "id long, n long, same binary, bands array<long>, sketch binary"), "sketches")
     least = saved(every.filter("n > 0").groupBy("same").agg(F.min("id").alias("rep")), "classes")
     reps = saved(every.join(least.select("rep"), F.col("id") == F.col("rep"), "left_semi").filter("n > 0").dropDuplicates(["id"])
-                 .select("id", "bands", "sketch"), "reps")
+                 .select("id", "n", "bands", "sketch"), "reps")
     placed = reps.select("id", F.explode("bands").alias("h"))
     met = placed.groupBy(F.col("h").alias("k")).agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first != last")
     members = saved(placed.join(met, F.col("h") == F.col("k")).select("h", "id", "first"), "buckets")
-    sketches = reps.select(F.col("id").alias("ia"), F.col("sketch"))
     stars = members.filter("id != first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("shared"))
     best = stars.groupBy(F.col("id").alias("b")).agg(F.max(F.struct("shared", (-F.col("first")).alias("back"))).alias("m")).select(
         (-F.col("m.back")).alias("a"), "b")
@@ -191,12 +275,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met_again = held.join(mixed, F.col("h") == F.col("k")).select("h", "id", "label", own.alias("own"), blocks.alias("blocks"))
     spread = met_again.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         F.xxhash64("h", F.least("own", "j"), F.greatest("own", "j")).alias("cell"), "id", "label", "own")
-    cells = spread.join(sketches, F.col("id") == F.col("ia")).select("cell", "id", "label", "own", "sketch")
-    loose = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_cells, "a long, b long").distinct()
-    more = saved(loose, "loose")
-    if more.limit(1).count():
-        links = links.union(_verified(docs, more))
-        groups = components(links)
+    sketches = reps.select(F.col("id").alias("ia"), "sketch")
+    cells = spread.join(sketches, F.col("id") == F.col("ia")).select("cell", "label", "own", "sketch")
+    alike = saved(cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_alike, "a long, b long").distinct(), "alike")
+    if not alike.isEmpty():
+        groups = components(links.union(_between(docs, reps, groups, alike)))
     classed = every.select("id", "n", "same").join(least, "same", "left")
     return (
         classed.join(groups, F.col("rep") == F.col("node"), "left")
