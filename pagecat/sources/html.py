@@ -7,8 +7,10 @@ so the page text itself never reaches a shuffle. Every selector is part of ``Pag
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -180,10 +182,14 @@ def read_page(html: str, layout: PageLayout) -> dict:
     if any(layout.probe in part for part in tree.text):
         value = re.compile(re.escape(layout.probe) + r"\s*[^\n\r" + "".join(map(chr, (0x2028, 0x2029))) + "]+", re.I)
         hits = {e.at: e for s in layout.probe_in for e in find(s)}
+        # Places in the whole text: of nested elements none is joined again.
+        whole, starts = "".join(tree.text), [0, *accumulate(map(len, tree.text))]
+        found = [m.start() for m in re.finditer(f"(?={re.escape(layout.probe)})", whole)]
         for at in sorted(hits):
-            text = text_of(hits[at])
-            if layout.probe in text:
-                hit = value.search(text)
+            first, end = starts[hits[at].text0], starts[hits[at].text1]
+            k = bisect_left(found, first)
+            if k < len(found) and found[k] + len(layout.probe) <= end:
+                hit = value.search(whole, first, end)
                 probes.append(hit.group(0) if hit else layout.probe)
 
     headings, pictures = find("h1"), find("picture")
