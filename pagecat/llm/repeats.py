@@ -445,8 +445,9 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 def _told(spans: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
     doc, start, end = merged(*spans)
-    if len(doc):
-        yield from _by_doc(doc, np.ascontiguousarray(np.stack([start, end], 1).astype(np.int64)), 16)
+    for k in range(0, len(doc), 100_000):
+        part = slice(k, k + 100_000)
+        yield pa.RecordBatch.from_pydict({"id": doc[part], "start": start[part], "end": end[part]})
 
 
 AROUND = "bucket int, sure boolean, docs binary, times binary, hash binary, away binary, count binary, start binary, data binary"
@@ -503,9 +504,10 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept, spans = [], []
-        for text, parts in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            both = np.frombuffer(b"".join(parts), np.int64).reshape(-1, 2)
-            _, start, end = merged(np.zeros(len(both), np.int64), both[:, 0], both[:, 1])
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        for text, starts, ends in zip(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            # Both lists are collected from the same rows, in the same order.
+            _, start, end = merged(np.zeros(len(starts), np.int64), np.array(starts, np.int64), np.array(ends, np.int64))
             edges = [0, *np.stack([start, end], 1).reshape(-1).tolist(), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             spans.append([{"start": a, "end": b} for a, b in zip(start.tolist(), end.tolist(), strict=True)])
@@ -543,12 +545,12 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     wanted = shared.groupBy(F.col("id").alias("x")).agg(F.collect_list("data").alias("anchors"))
     some = texts.join(small(saved(shared.select(F.col("id").alias("y")).distinct(), "wanted")), F.col("id") == F.col("y"), "left_semi")
     around = some.join(wanted, F.col("id") == F.col("x")).select("id", "text", "anchors").mapInArrow(_around(n_buckets), AROUND)
-    spans = saved(around.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, "id long, data binary"), "spans")
+    spans = saved(around.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, "id long, start long, end long"), "spans")
 
-    removed = spans.groupBy(F.col("id").alias("x")).agg(F.collect_list("data").alias("parts"))
+    removed = spans.groupBy(F.col("id").alias("x")).agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     some = texts.join(small(saved(spans.select(F.col("id").alias("y")).distinct(), "cut")), F.col("id") == F.col("y"), "left_semi")
     kind = "array<struct<start:bigint,end:bigint>>"
-    cut = some.join(removed, F.col("id") == F.col("x")).select("id", "text", "parts").mapInArrow(_cut, f"id long, spans {kind}, kept binary")
+    cut = some.join(removed, F.col("id") == F.col("x")).select("id", "text", "starts", "ends").mapInArrow(_cut, f"id long, spans {kind}, kept binary")
     cut = cut.select(F.col("id").alias("c_id"), "spans", "kept")
     copied = (F.col("id") != F.col("first")) & (F.col("n_bytes") >= WINDOW)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
