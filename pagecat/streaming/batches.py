@@ -41,36 +41,73 @@ def _with_state(rows: DataFrame, old: DataFrame | None, by: str, cols: dict[str,
     return rows.join(old, by, "left")
 
 
-def cooldown_gate(by: str, minutes: int = 15, at: str = "requested_at", id_col: str = "id") -> Step:
-    """Rows with a decision: started, too_recent or late. State: the last admitted time per key."""
+def _clock(old: DataFrame | None, by: str, seen: str) -> DataFrame | None:
+    """The newest time of the batches before: it stands in the state, in a row without a key."""
+    return None if old is None else F.broadcast(old.filter(F.col(by).isNull()).agg(F.max(seen).alias("__before")))
+
+
+def _too_late(rows: DataFrame, old: DataFrame | None, by: str, seen: str, keep: int | None) -> DataFrame:
+    """Add ``__late``: older than what the state still knows. ``t`` is the row's time."""
+    if keep is None or old is None:
+        return rows.withColumn("__late", F.lit(False))
+    late = F.coalesce(F.col("t") < F.col("__before") - keep, F.lit(False))
+    return rows.crossJoin(_clock(old, by, seen)).withColumn("__late", late).drop("__before")
+
+
+def _trimmed(state: DataFrame, times: DataFrame, old: DataFrame | None, by: str, seen: str, needed, keep: int | None) -> DataFrame:
+    """The state without keys that no later row can need, and its clock. ``needed`` tells from the newest time still allowed."""
+    if keep is None:
+        return state
+    newest = times.agg(F.max("t").alias("__before"))
+    if old is not None:
+        newest = newest.unionByName(_clock(old, by, seen)).agg(F.max("__before").alias("__before"))
+    kept = state.filter(F.col(by).isNotNull()).crossJoin(F.broadcast(newest)).filter(needed(F.col("__before") - keep)).drop("__before")
+    return kept.unionByName(newest.select(F.col("__before").alias(seen)), allowMissingColumns=True)
+
+
+def cooldown_gate(by: str, minutes: int = 15, at: str = "requested_at", id_col: str = "id",
+                  keep_minutes: int | None = None) -> Step:
+    """Rows with a decision: started, too_recent or late. State: the last admitted time per key.
+
+    With ``keep_minutes`` a key leaves the state once its cooldown lies that far behind the stream's newest time; a row
+    older than that is late whatever its key. Without it the state keeps every key.
+    """
     gap = minutes * runs.MINUTE_US
+    keep = None if keep_minutes is None else keep_minutes * runs.MINUTE_US
 
     def step(rows: DataFrame, old: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        known = _with_state(rows.select(by, id_col, at), old, by, {"last": "bigint"}).withColumn("t", micros(at))
+        timed = _too_late(rows.select(by, id_col, at).withColumn("t", micros(at)), old, by, "last", keep)
+        known = _with_state(timed, old, by, {"last": "bigint"})
         # Inside the cooldown of the last admitted one the state decides; what lies beyond starts afresh.
-        inside = F.coalesce(F.col("t") <= F.col("last") + gap, F.lit(False))
-        blocked = known.filter(inside).select(
-            by, id_col, at, F.when(F.col("t") < F.col("last"), "late").otherwise("too_recent").alias("decision")
-        )
+        inside = F.coalesce(F.col("t") <= F.col("last") + gap, F.lit(False)) | F.col("__late")
+        late = F.col("__late") | F.coalesce(F.col("t") < F.col("last"), F.lit(False))
+        blocked = known.filter(inside).select(by, id_col, at, F.when(late, "late").otherwise("too_recent").alias("decision"))
         free = cut(runs.cooldown_gate(known.filter(~inside).select(by, id_col, at), [by], minutes, at, id_col))
         started = free.filter("decision = 'started'").select(by, micros(at).alias("last"))
         every = started if old is None else started.unionByName(old)
-        return free.unionByName(blocked), every.groupBy(by).agg(F.max("last").alias("last"))
+        state = every.groupBy(by).agg(F.max("last").alias("last"))
+        return free.unionByName(blocked), _trimmed(state, timed, old, by, "last", lambda least: F.col("last") + gap >= least, keep)
 
     return step
 
 
-def single_flight(by: str, at: str = "ts", kind: str = "kind", id_col: str = "id") -> Step:
-    """Requests with a role: owner, waiter or late. State: the time of the last event per key and if one is open."""
+def single_flight(by: str, at: str = "ts", kind: str = "kind", id_col: str = "id", keep_minutes: int | None = None) -> Step:
+    """Requests with a role: owner, waiter or late. State: the time of the last event per key and if one is open.
+
+    With ``keep_minutes`` a key with nothing open leaves the state that long after its last event, by the stream's newest time;
+    a row older than that is late whatever its key. Without it the state keeps every key.
+    """
+    keep = None if keep_minutes is None else keep_minutes * runs.MINUTE_US
 
     def step(rows: DataFrame, old: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        events = rows.select(by, id_col, F.col(at).alias("at"), F.col(kind).alias("kind"))
-        known = _with_state(events, old, by, {"seen": "bigint", "open": "boolean"})
-        late = F.coalesce(micros("at") < F.col("seen"), F.lit(False))
+        events = rows.select(by, id_col, F.col(at).alias("at"), F.col(kind).alias("kind")).withColumn("t", micros("at"))
+        timed = _too_late(events, old, by, "seen", keep)
+        known = _with_state(timed, old, by, {"seen": "bigint", "open": "boolean"})
+        late = F.coalesce(F.col("t") < F.col("seen"), F.lit(False)) | F.col("__late")
         fresh = known.filter(~late).select(by, id_col, "at", "kind")
         if old is not None:
             # What was open before stands as an event just before the batch.
-            before = old.select(
+            before = old.filter(F.col(by).isNotNull()).select(
                 by, F.lit(None).cast(fresh.schema[id_col].dataType).alias(id_col),
                 F.timestamp_micros(F.col("seen") - 1).alias("at"),
                 F.when(F.col("open"), "request").otherwise("end").alias("kind"),
@@ -87,7 +124,8 @@ def single_flight(by: str, at: str = "ts", kind: str = "kind", id_col: str = "id
         state = last if old is None else last.unionByName(old).groupBy(by).agg(
             F.max(F.struct("seen", "open")).alias("s")
         ).select(by, "s.*")
-        return roles.unionByName(behind), state
+        return roles.unionByName(behind), _trimmed(
+            state, timed, old, by, "seen", lambda least: F.col("open") | (F.col("seen") >= least), keep)
 
     return step
 

@@ -211,6 +211,31 @@ def test_late_rows_are_kept_and_marked(spark, rows):
     assert got == [(1, "owner"), (2, "waiter"), (3, "late"), (4, "waiter"), (5, "owner")]
 
 
+def test_state_forgets_what_no_row_can_need(spark, rows):
+    def at(minute, second=0):
+        return datetime(2024, 1, 1, minute // 60, minute % 60, second)
+
+    parts = [[(1, 0, at(0)), (2, 1, at(5))], [(3, 0, at(10)), (4, 2, at(100))], [(5, 0, at(3)), (6, 1, at(101)), (7, 2, at(102))]]
+    for keep, late, kept in ((None, "late", {0: 0, 1: 101, 2: 100}), (30, "late", {1: 101, 2: 100})):
+        state, got, step = None, [], b.cooldown_gate("k", 15, "ts", keep_minutes=keep)
+        for part in parts:
+            out, state = step(spark.createDataFrame(part, "id long, k long, ts timestamp"), state)
+            got += rows(out, "id", "decision")
+            state = spark.createDataFrame(state.collect(), state.schema)
+        assert got == [(1, "started"), (2, "started"), (3, "too_recent"), (4, "started"), (5, "too_recent" if keep is None else late),
+                       (6, "started"), (7, "too_recent")]
+        left = {r["k"]: (r["last"] // 60_000_000) % 1440 for r in state.collect() if r["k"] is not None}
+        assert left == kept
+    flight, state, got = b.single_flight("k", keep_minutes=30), None, []
+    for part in parts:
+        kinds = spark.createDataFrame(part, "id long, k long, ts timestamp").withColumn("kind", F.when(F.col("id") == 2, "end").otherwise("request"))
+        out, state = flight(kinds, state)
+        got += rows(out, "id", "role")
+        state = spark.createDataFrame(state.collect(), state.schema)
+    assert got == [(1, "owner"), (3, "waiter"), (4, "owner"), (5, "late"), (6, "owner"), (7, "waiter")]
+    assert {r["k"] for r in state.collect()} == {None, 0, 1, 2}
+
+
 def test_worker_takes_each_pending_item_once(spark, rows):
     df = spark.range(40).select("id", F.when(F.col("id") % 4 == 0, "done").otherwise("pending").alias("status"))
     base = scratch(spark, "work")
