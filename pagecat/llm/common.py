@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from pagecat.session import scratch, tune
 
-# A set of ids up to this many rows (some 32 MB as a hash table) is broadcast; a larger one is joined by a shuffle.
+# A set of ids up to this many rows (some 60 MB as a hash table) is broadcast; a larger one is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 

@@ -215,18 +215,6 @@ def _place(n_buckets: int):
     return run
 
 
-def _by_doc(doc: np.ndarray, values: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
-    """Rows (id, packed values) for each document; ``values`` is sorted by it, ``size`` bytes each."""
-    docs, first = np.unique(doc, return_index=True)
-    edges = np.append(first, len(doc)).astype(np.int64) * size
-    data = values.view(np.uint8).reshape(-1)
-    for a in range(0, len(docs), 20_000):
-        part = edges[a:a + 20_001]
-        offsets = pa.array((part - part[0]).astype(np.int32), pa.int32())
-        held = pa.BinaryArray.from_buffers(pa.binary(), len(part) - 1, [None, offsets.buffers()[1], pa.py_buffer(data[part[0]:part[-1]].tobytes())])
-        yield pa.RecordBatch.from_arrays([pa.array(docs[a:a + 20_000], pa.int64()), held], names=["id", "data"])
-
-
 def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: the documents' anchors that other documents have too."""
     for rows in _by_key(batches):
@@ -240,11 +228,10 @@ def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found.append((doc[shared], hashes[shared]))
         doc, hashes = (np.concatenate([x[k] for x in found]) for k in (0, 1))
         order = np.lexsort((hashes, doc))
-        doc, hashes = doc[order], hashes[order]
-        if len(doc):
-            new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])))
-            packed = np.ascontiguousarray(hashes[new].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-            yield from _by_doc(doc[new], packed, 6)
+        doc, hashes = doc[order], hashes[order].astype(np.int64)
+        new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1]))[:len(doc)])
+        for k in range(0, len(new), 100_000):
+            yield pa.RecordBatch.from_pydict({"id": doc[new[k:k + 100_000]], "hash": hashes[new[k:k + 100_000]]})
 
 
 class Entries:
@@ -465,7 +452,7 @@ def _around(n_buckets: int):
             edges = np.searchsorted(a.row, np.arange(len(rows) + 1))
             for k, r in enumerate(rows):
                 own = slice(edges[k], edges[k + 1])
-                keep[own] = np.isin(a.hash[own], unpack(b"".join(r[2])))
+                keep[own] = np.isin(a.hash[own], np.array(r[2], np.uint64))
             kept = np.flatnonzero(keep)
             if not len(kept):
                 continue
@@ -541,8 +528,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = rows.filter(F.octet_length("text") >= WINDOW).join(small(copies), F.col("id") == F.col("x"), "left_anti")
 
     dealt = texts.mapInArrow(_place(n_buckets), PLACED).repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-    shared = saved(dealt.mapInArrow(_find_shared, "id long, data binary"), "shared")
-    wanted = shared.groupBy(F.col("id").alias("x")).agg(F.collect_list("data").alias("anchors"))
+    shared = saved(dealt.mapInArrow(_find_shared, "id long, hash long"), "shared")
+    wanted = shared.groupBy(F.col("id").alias("x")).agg(F.collect_list("hash").alias("anchors"))
     some = texts.join(small(saved(shared.select(F.col("id").alias("y")).distinct(), "wanted")), F.col("id") == F.col("y"), "left_semi")
     around = some.join(wanted, F.col("id") == F.col("x")).select("id", "text", "anchors").mapInArrow(_around(n_buckets), AROUND)
     spans = saved(around.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, "id long, start long, end long"), "spans")
