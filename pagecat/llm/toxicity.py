@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import saved
+
 # Letters of other scripts and full-width forms that look like Latin ones, and digits and signs used for letters.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x",
@@ -27,6 +29,8 @@ EXCEPTIONS = (
     "trash can", "trash cans", "trash bin", "trash bag", "clown fish", "circus clown", "class clown", "pond scum", "soap scum",
     "scum line", "good loser", "not stupid", "not worthless", "not an idiot", "no idiot",
 )
+# Lengths of stems.
+STEMS = (4, 5, 6, 7, 8)
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -47,7 +51,8 @@ def fold(text: str) -> str:
 
 @dataclass
 class Model:
-    """Folded words with weights, folded exceptions, and the logistic curve over (1, hits, density)."""
+    """Folded words with weights (a last ``*``: all words that start so), folded exceptions, and the logistic curve over
+    (1, hits, density)."""
 
     weights: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
@@ -57,27 +62,33 @@ class Model:
 class Matcher:
     def __init__(self, model: Model):
         self.automaton = ahocorasick.Automaton()
-        for phrase in model.exceptions:
-            self.automaton.add_word(fold(phrase), (len(phrase), None))
-        for word, weight in model.weights.items():
-            if word not in self.automaton:
-                self.automaton.add_word(word, (len(word), weight))
+        entries: dict[str, list] = {}
+        for word, weight in [*[(fold(p), None) for p in model.exceptions], *model.weights.items()]:
+            entries.setdefault(word.rstrip("*"), []).append((word.endswith("*"), weight))
+        for word, uses in entries.items():
+            self.automaton.add_word(word, (len(word), uses))
         self.automaton.make_automaton()
 
     def score(self, text: str | None) -> tuple[float, int, int]:
-        """Summed weights of the hits that are whole words outside exceptions, how many, and the words of the text."""
+        """Summed weights of the words hit outside exceptions, each by its heaviest entry, how many, and the words of the text."""
         if not text:
             return 0.0, 0, 0
-        hits, spared = [], []
-        for end, (length, weight) in self.automaton.iter(fold(text)) if len(self.automaton) else ():
+        hits: dict[int, float] = {}
+        spared = []
+        for end, (length, uses) in self.automaton.iter(fold(text)) if len(self.automaton) else ():
             start = end + 1 - length
-            # Whole words only: what stands beside a hit, as it is written, is no letter or digit.
-            if (start and text[start - 1].isalnum()) or (end + 1 < len(text) and text[end + 1].isalnum()):
+            # Words only: what stands beside a hit, as it is written, is no letter or digit; a stem may go on.
+            if start and text[start - 1].isalnum():
                 continue
-            (spared if weight is None else hits).append((start, end, weight))
+            whole = end + 1 == len(text) or not text[end + 1].isalnum()
+            for stem, weight in uses:
+                if weight is None and whole:
+                    spared.append((start, end))
+                elif weight is not None and (stem or whole):
+                    hits[start] = max(weight, hits.get(start, weight))
         if spared:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in spared)]
-        return float(sum(h[2] for h in hits)), len(hits), len(text.split())
+            hits = {at: w for at, w in hits.items() if not any(a <= at <= b for a, b in spared)}
+        return float(sum(hits.values())), len(hits), len(text.split())
 
 
 def features(weight: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -107,14 +118,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, rows: int = 30_000, min_support: int = 8, max_words: int = 2_000, id_col: str = "doc_id",
+    docs: DataFrame, labels: DataFrame, rows: int = 30_000, min_support: int = 8, max_words: int = 4_000, id_col: str = "doc_id",
     text_col: str = "text", label_col: str = "toxic",
 ) -> Model:
     """Learn lexicon and curve from labelled rows. ``rows`` bounds the sample (about that many, by the hash of the id).
 
-    A word's support is the number of distinct neighbourhoods (word before, word after) it has in toxic and in clean texts: copies
-    of one text add nothing. Words with ``min_support`` toxic ones, more toxic than clean ones and a log-odds ratio of three
-    standard errors above 1 make the lexicon, weighted by that ratio; the ``max_words`` strongest ones.
+    A word's support is the number of toxic and of clean texts that have it, told apart by the words around its first
+    occurrence, so that copies of one text add nothing. A stem's support is that of all words that start so. Words and stems with
+    ``min_support`` toxic texts, more toxic than clean ones and a log-odds ratio of three standard errors above 1 make the
+    lexicon, weighted by that ratio; the ``max_words`` strongest ones.
     """
     spark = docs.sparkSession
     labelled = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(
@@ -132,7 +144,10 @@ def fit(
             seen = set()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = WORD.findall(fold(text))
-                seen.update(zip(words, ["", *words[:-1]], [*words[1:], ""], [label] * len(words), strict=True))
+                first: dict[str, tuple[str, str]] = {}
+                for word, before, after in zip(words, ["", *words[:-1]], [*words[1:], ""], strict=True):
+                    first.setdefault(word, (before, after))
+                seen.update((word, *around, label) for word, around in first.items())
             if seen:
                 word, before, after, label = zip(*seen, strict=True)
                 yield pa.RecordBatch.from_pydict({
@@ -148,8 +163,12 @@ def fit(
     good_all = sum(r["count"] for r in totals if r["label"] == 0) + 1.0
     bad, good = F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5
     ratio = F.log(bad / bad_all) - F.log(good / good_all)
+    support = saved(support, "support")
+    stem = F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.when(F.length("word") >= n, F.concat(F.substr("word", F.lit(1), n), F.lit("*"))))
+    stems = support.select(F.explode(F.array_compact(stem)).alias("word"), "bad", "n").groupBy("word").agg(
+        F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     words = (
-        support.filter((F.col("bad") >= min_support) & (2 * F.col("bad") > F.col("n")) & (F.length("word") > 1))
+        support.unionByName(stems).filter((F.col("bad") >= min_support) & (2 * F.col("bad") > F.col("n")) & (F.length("word") > 1))
         .withColumn("weight", ratio).filter(F.col("weight") - 3 * F.sqrt(1 / bad + 1 / good) > 1)
         .orderBy(F.desc("weight"), "word").limit(max_words).collect()
     )

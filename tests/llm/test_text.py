@@ -123,6 +123,8 @@ def test_toxicity_folds_spares_and_normalises():
     assert [score(t)[1] for t in ("you IDIOT!", "1d10t", "іdiоt", "idiots", "trash can", "trash", "losers", "", None)] == [1, 1, 1, 0, 0, 1, 0, 0, 0]
     assert score("l0s3r")[1] == 1 and score("loser$$$")[1] == 1
     assert len(toxicity.fold("ÀİẞſK")) == 5
+    stems = toxicity.Matcher(toxicity.Model({"badst*": 1.0, "badstuff": 3.0, "bad": 2.0})).score
+    assert [stems(t)[:2] for t in ("badstem", "badstuff!", "bad", "xbadstem", "badge")] == [(1.0, 1), (3.0, 1), (2.0, 1), (0.0, 0), (0.0, 0)]
     dense, thin = toxicity.features(np.array([2.0, 2.0]), np.array([5, 5000])) @ model.curve
     assert dense > thin
 
@@ -141,7 +143,7 @@ def test_toxicity_is_learned_from_labels(spark, prose):
     labels += [(1000 + k, 1) for k in range(50)]
     docs, marks = spark.createDataFrame(rows, "doc_id long, text string, label string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.fit(docs, marks.filter("doc_id % 5 != 0"))
-    assert toxicity.fold("badword") in model.weights and toxicity.fold("onlyincopies") not in model.weights
+    assert {toxicity.fold("badword"), "ugiy*"} <= set(model.weights) and toxicity.fold("onlyincopies") not in model.weights
     got = {r["doc_id"]: r["score"] for r in toxicity.predict(docs, model).collect()}
     assert all((got[k] >= 0.5) == bool(bad) for k, bad in labels if k < 1000 and k % 5 == 0)
     # Batches without any hit, in training as well.
