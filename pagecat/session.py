@@ -32,6 +32,8 @@ def tune(spark: SparkSession) -> SparkSession:
 # Settings only a new session can take.
 STATIC = {
     "spark.ui.enabled": "false",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Wide plans have more than the default 100 generated classes; beyond that every run compiles anew.
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
@@ -62,9 +64,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or current
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder. What is written there stays until ``clean``."""
+    _SCRATCH.append(f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete what this process has stored in scratch paths; how many there were. Results that still read them must be written first."""
+    paths, _SCRATCH[:] = list(_SCRATCH), []
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from pagecat import session
 from pagecat.operators import graph, joins, merge, quality, ranking, running as run, variants
 from pagecat.plans import publish as pub, runs
 from pagecat.sources.tables import Snapshots, config_value, scan_pages
@@ -328,3 +329,12 @@ def test_status_moves(spark, rows):
                                 "id int, url string, status string, t timestamp")
     assert rows(quality.status_transitions(log, "url", "t"), "id", "prev_status", "legal") == [
         (1, None, True), (2, "pending", False), (3, "done", True), (4, "pending", False)]
+
+
+def test_scratch_paths_are_deleted_on_demand(spark, monkeypatch):
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    path = scratch(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and session.clean(spark) == 1 and session.clean(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
