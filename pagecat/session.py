@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime settings the operators rely on. A value the user has set stays as it is.
 RUNTIME = {
@@ -82,7 +82,20 @@ def clean(spark: SparkSession) -> int:
     return len(paths)
 
 
+def few(df: DataFrame, column: str, limit: int = 32 << 20) -> DataFrame:
+    """Rows of one text column, marked for broadcast if their bytes, added up, are within the limit; otherwise as they are. Eager."""
+    size = df.agg(F.sum(F.octet_length(column) + 32)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there (survives lost executors)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As ``cut``, but as Parquet: the rows are computed once (a checkpoint computes them again to write them) and read by column."""
+    path = scratch(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators.ranking import latest_per_key
-from ..session import cut
+from ..session import cut, few
 
 
 def scan(spark: SparkSession, path: str, cols=None, where: Column | None = None) -> DataFrame:
@@ -20,19 +20,18 @@ def scan(spark: SparkSession, path: str, cols=None, where: Column | None = None)
     return df.select(*cols) if cols else df
 
 
-def scan_pages(pages: DataFrame, captured_at: str | None = None, few: int = 32 << 20) -> DataFrame:
+def scan_pages(pages: DataFrame, captured_at: str | None = None, limit: int = 32 << 20) -> DataFrame:
     """Captured pages; of several captures of one URL the latest stays. Pages without a URL are all kept.
 
     URLs are counted first, without the page text, and only the texts of those captured again are shuffled. The list of
-    these is broadcast if it has ``few`` bytes at most; otherwise it is joined by a shuffle. Eager.
+    these is broadcast if it has ``limit`` bytes at most; otherwise it is joined by a shuffle. Eager.
     """
     if captured_at is None:
         return pages.select("url", "html")
     again = cut(
         pages.filter(F.col("url").isNotNull()).groupBy("url").agg(F.count("*").alias("n")).filter("n > 1").select("url")
     )
-    if (again.agg(F.sum(F.octet_length("url") + 32)).first()[0] or 0) <= few:
-        again = F.broadcast(again)
+    again = few(again, "url", limit)
     single = pages.join(again, "url", "left_anti").select("url", "html")
     several = pages.join(again, "url", "left_semi")
     return single.unionByName(latest_per_key(several, ["url"], captured_at, ["html"]).select("url", "html"))

@@ -316,8 +316,8 @@ def test_refresh_overwrites_with_null_unless_guarded(spark, rows):
 def test_captures_and_children(spark, rows):
     pages = spark.createDataFrame(
         [("u", "old", at(1)), ("u", "new", at(2)), ("v", "only", at(0)), (None, "a", at(1)), (None, "a", at(2))], "url string, html string, c timestamp")
-    for few in (0, 1 << 20):
-        assert sorted(rows(scan_pages(pages, "c", few)), key=str) == sorted([("u", "new"), ("v", "only"), (None, "a"), (None, "a")], key=str)
+    for limit in (0, 1 << 20):
+        assert sorted(rows(scan_pages(pages, "c", limit)), key=str) == sorted([("u", "new"), ("v", "only"), (None, "a"), (None, "a")], key=str)
     child = spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "id int, fk string")
     parent = spark.createDataFrame([("a",)], "pk string")
     assert rows(joins.orphans(child, parent, "fk", "pk"), "id") == [(2,)]

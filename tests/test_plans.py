@@ -68,9 +68,8 @@ def test_pages_are_chosen_before_they_are_read(spark):
     parsed = extract.reached(spark.read.parquet(path), rows, "at", "anchors", "blocks", "files")
     assert parsed.count() == 1
     for df in (extract.branch_links(parsed, LABELS), extract.labelled_variants(parsed), extract.largest_files(parsed)):
-        text = plan(df)
         # Stored pages are read, not the table they come from.
-        assert "Scan ExistingRDD" in text and "Scan parquet" not in text
+        assert "stored-" in plan(df) and path not in plan(df)
 
 
 def test_extraction_reads_the_parts_it_needs(spark, monkeypatch):
@@ -78,9 +77,12 @@ def test_extraction_reads_the_parts_it_needs(spark, monkeypatch):
     path = scratch(spark, "parsed")
     h.parse_pages(spark.createDataFrame([("http://s/", "<h1>x</h1>")], "url string, html string")).write.parquet(path)
     seen = []
-    monkeypatch.setattr(extract, "cut", lambda df: seen.append(plan(df)) or df)
+    store = extract.stored
+    monkeypatch.setattr(extract, "stored", lambda df: seen.append(plan(df)) or store(df))
     extract.extract_variants(spark.read.parquet(path), spark.createDataFrame([("http://s/",)], "url string"), LABELS)
-    hops = [text for text in seen if "LeftSemi" in text.split("\n\n\n")[0]]
-    assert len(hops) >= 7
+    assert len(seen) == 7 and "EqualTo(page_url,http://s/)" in seen[0]
+    monkeypatch.setattr(extract, "LISTED", 0)
+    many = spark.createDataFrame([("http://s/",), ("http://t/",)], "at string")
+    assert extract.reached(spark.read.parquet(path), many, "at", "h1").count() == 1 and "LeftSemi" in seen[-1]
     schemas = set(re.findall(r"ReadSchema: struct<(.*)>", seen[0]))
     assert any("blocks" in s for s in schemas) and not any("anchors" in s or "html" in s for s in schemas)
