@@ -1,7 +1,8 @@
-"""Benchmark leaks: rare word n-grams find where to look, Smith-Waterman alignment scores what is there."""
+"""Benchmark leaks: linked words find every place that can score enough, Smith-Waterman alignment scores what is there."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,55 +13,84 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import running, saved
-from .words import SIGN, grouped, ngrams, words
+from .words import SIGN, grouped, mix, words
 
-SEED = 3
+# Two words of a text are linked if at most one stands between them.
+REACH = 2
+# Links to one part of a text that are asked for, where an item has so many; with more of them, commoner ones are searched for.
+ASKED = 4
 MATCH, MISS, GAP = 2, -1, -1
 # Bytes of test items searched for at once; a larger benchmark is searched in several passes.
 BLOCK = 16 << 20
 _FILTER = 20
 
 
+def _links(hashes: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of each word with the one ``apart`` words on, 0: of the word alone. How far apart they stand is not in the hash."""
+    if not apart:
+        return mix(hashes)
+    return mix(hashes[:-apart] * np.uint64(0x9E3779B97F4A7C15) + mix(hashes[apart:]))
+
+
 @dataclass
 class Items:
-    """Test items of a block as word hashes, and their seeds: sorted n-gram hashes with the item and place of each occurrence."""
+    """Test items of a block as word hashes, and their seeds: sorted link hashes with the item and place of each occurrence.
+
+    An alignment of m equal words with a score of T has 2m - T wrong or extra words at most. They stand in its m - 1 gaps, so
+    T/2 - 1 gaps or more hold one at most: two linked words of the item are linked words of the text there. ``sure`` is that number
+    for the lowest score asked for; each of these links starts at another word of the item. If it is none, one equal word is
+    enough, and words are searched for by themselves.
+    """
 
     ids: np.ndarray
     words: list[np.ndarray]
-    lengths: list[int]
+    sure: np.ndarray
+    needed: np.ndarray
+    apart: list[int]
     seeds: np.ndarray
     first: np.ndarray
     item: np.ndarray
     place: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]]) -> Items:
+    def of(cls, rows: list[tuple[int, str]], at_least: float) -> Items:
         hashes, _, _, numbers = words([t.encode() for _, t in rows], SIGN)
         own = [hashes[a:b] for a, b in zip(numbers[:-1], numbers[1:], strict=True)]
+        sure = np.array([max(0, math.ceil(at_least * len(w) - 1 - 1e-9)) for w in own])
         grams, item, place = [], [], []
         for k, w in enumerate(own):
-            g = ngrams(w, min(SEED, len(w))) if len(w) else w
-            grams.append(g)
-            item.append(np.full(len(g), k))
-            place.append(np.arange(len(g)))
-        return cls._sorted(np.array([r[0] for r in rows], np.int64), own, np.concatenate(grams), np.concatenate(item), np.concatenate(place))
+            for apart in range(1, min(REACH + 1, len(w))) if sure[k] else [0] * bool(len(w)):
+                g = _links(w, apart)
+                grams.append(g)
+                item.append(np.full(len(g), k))
+                place.append(np.arange(len(g)))
+        none = [np.zeros(0, np.int64)]
+        return cls._sorted(np.array([r[0] for r in rows], np.int64), own, sure, np.maximum(sure, 1), np.concatenate(grams or [hashes[:0]]),
+                           np.concatenate(item or none), np.concatenate(place or none))
 
     @classmethod
-    def _sorted(cls, ids, own, grams, item, place) -> Items:
+    def _sorted(cls, ids, own, sure, needed, grams, item, place) -> Items:
         order = np.lexsort((place, item, grams))
         seeds, first = np.unique(grams[order], return_index=True)
-        return cls(ids, own, sorted({min(SEED, len(w)) for w in own if len(w)}), seeds, np.append(first, len(order)), item[order], place[order])
-
-    def rare(self, spread: np.ndarray, share: float, least: int) -> Items:
-        """Of each item the ``share`` of its seeds that the fewest documents have, ``least`` at the least."""
+        linked = sure[np.unique(item)] > 0
+        apart = [0] * (not linked.all()) + [*range(1, REACH + 1)] * bool(linked.any())
+        return cls(ids, own, sure, needed, apart, seeds, np.append(first, len(order)), item[order], place[order])
+
+    def rare(self, spread: np.ndarray) -> Items:
+        """Without the words of each item whose links the most documents have, so few of them that ``ASKED`` of the ``sure`` links
+        are left (all of these, if fewer)."""
+        needed = np.maximum(np.minimum(self.sure, ASKED), 1)
         seed = np.repeat(np.arange(len(self.seeds)), np.diff(self.first))
-        order = np.lexsort((self.place, spread[seed], self.item))
-        item = self.item[order]
+        width = max(map(len, self.words))
+        start, which = np.unique(self.item * width + self.place, return_inverse=True)
+        common = np.bincount(which, spread[seed], len(start))
+        item = start // width
+        order = np.lexsort((start, -common, item))
         begin = np.flatnonzero(np.concatenate(([True], item[1:] != item[:-1])))
-        size = np.diff(np.append(begin, len(item)))
-        rank = np.arange(len(item)) - np.repeat(begin, size)
-        keep = order[rank < np.maximum(np.ceil(share * np.repeat(size, size)), least)]
-        return self._sorted(self.ids, self.words, self.seeds[seed[keep]], self.item[keep], self.place[keep])
+        rank = np.empty(len(start), np.int64)
+        rank[order] = np.arange(len(start)) - np.repeat(begin, np.diff(np.append(begin, len(start))))
+        keep = (rank >= np.maximum(self.sure - needed, 0)[item])[which] & (spread[seed] > 0)
+        return self._sorted(self.ids, self.words, self.sure, needed, self.seeds[seed[keep]], self.item[keep], self.place[keep])
 
 
 class Finder:
@@ -71,17 +101,22 @@ class Finder:
         self.table = np.zeros(1 << _FILTER, bool)
         self.table[(items.seeds >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
 
-    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of the word at which a seed starts, and which seed."""
-        at, seed = [], []
-        for n in self.items.lengths:
-            grams = ngrams(hashes, n)
+    def places(self, hashes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of the text, number of the word at which a seed starts, and which seed."""
+        rows, at, seed = [], [], []
+        for apart in self.items.apart if len(self.items.seeds) else ():
+            grams = _links(hashes, apart)
             near = np.flatnonzero(self.table[(grams >> np.uint64(64 - _FILTER)).astype(np.int64)])
             found = np.minimum(np.searchsorted(self.items.seeds, grams[near]), len(self.items.seeds) - 1)
             same = self.items.seeds[found] == grams[near]
-            at.append(near[same])
-            seed.append(found[same])
-        return np.concatenate(at), np.concatenate(seed)
+            near, found = near[same], found[same]
+            row = np.searchsorted(numbers, near, side="right") - 1
+            # The last words of one text and the first of the next are not linked.
+            inside = near + apart < numbers[row + 1]
+            rows.append(row[inside])
+            at.append(near[inside])
+            seed.append(found[inside])
+        return tuple(np.concatenate(x or [np.zeros(0, np.int64)]) for x in (rows, at, seed))
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,46 +147,38 @@ def _padded(rows: list[np.ndarray], fill: int) -> np.ndarray:
     return out
 
 
-def _windows(item: np.ndarray, place: np.ndarray, at: np.ndarray, sizes: np.ndarray, slack: float, n_words: int):
-    """Per item the parts of one text where its seeds point to, widened by ``slack``; parts that overlap are one.
-    Returns item, first word, end, number of different seeds."""
-    room = np.ceil(slack * sizes[item]).astype(np.int64) + 2
-    low, high = np.maximum(at - place - room, 0), np.minimum(at - place + sizes[item] + room, n_words)
-    order = np.lexsort((low, item))
-    item, place, low, high = item[order], place[order], low[order], high[order]
-    out = []
-    for k in range(len(item)):
-        if out and out[-1][0] == item[k] and low[k] <= out[-1][2]:
-            out[-1][2] = max(out[-1][2], high[k])
-            out[-1][3].add(place[k])
-        else:
-            out.append([item[k], low[k], high[k], {place[k]}])
-    return out
-
-
-def _search(items: Items, finder: Finder, texts: list[bytes], slack: float, needed: int, at_least: float):
-    """(row, item, score, start, end) of one group of texts; start and end in bytes."""
-    hashes, begin, end, numbers = words(texts, SIGN)
-    at, seed = finder.places(hashes)
-    if not len(at):
-        return
-    row = np.searchsorted(numbers, at, side="right") - 1
+def _parts(items: Items, finder: Finder, hashes: np.ndarray, numbers: np.ndarray, at_least: float):
+    """The parts of texts that ``needed`` links of an item point to: row, item, first word, end. A part has room on both sides for
+    as many extra words as the lowest score allows; parts of one item that overlap are one."""
+    row, at, seed = finder.places(hashes, numbers)
     count = np.diff(items.first)[seed]
     each = np.repeat(np.arange(len(at)), count)
     which = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count) + items.first[seed][each]
     item, place, row, at = items.item[which], items.place[which], row[each], at[each]
     sizes = np.array([len(w) for w in items.words])
-    # A seed of the last words of one text and the first of the next is none.
-    inside = at + np.minimum(SEED, sizes[item]) <= numbers[row + 1]
-    item, place, row, at = item[inside], place[inside], row[inside], at[inside]
-    order = np.argsort(row, kind="stable")
-    edges = np.flatnonzero(np.diff(row[order])) + 1
-    todo = []
-    for own in np.split(order, edges) if len(order) else ():
-        r = row[own[0]]
-        for k, low, high, seeds in _windows(item[own], place[own], at[own] - numbers[r], sizes, slack, int(numbers[r + 1] - numbers[r])):
-            if len(seeds) >= min(needed, max(1, sizes[k] - SEED + 1)):
-                todo.append((r, k, numbers[r] + low, numbers[r] + high))
+    room = np.floor(2 * (1 - at_least) * sizes + 1e-9).astype(np.int64).clip(0)
+    # Of one item all windows are equally wide, so they end in the order in which they start.
+    low = at - place - room[item]
+    order = np.lexsort((low, item, row))
+    row, item, place, low = row[order], item[order], place[order], low[order]
+    if not len(row):
+        return
+    high = low + sizes[item] + 2 * room[item]
+    new = np.concatenate(([True], (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])))
+    part, begin = np.cumsum(new) - 1, np.flatnonzero(new)
+    width = int(sizes.max())
+    links = np.bincount(np.unique(part * width + place) // width)
+    enough = links >= items.needed[item[begin]]
+    last = np.append(begin[1:], len(row)) - 1
+    row, item, low, high = row[begin][enough], item[begin][enough], low[begin][enough], high[last][enough]
+    yield from zip(row, item, np.maximum(low, numbers[row]), np.minimum(high, numbers[row + 1]), strict=True)
+
+
+def _search(items: Items, finder: Finder, texts: list[bytes], at_least: float):
+    """(row, item, score, start, end) of one group of texts; start and end in bytes."""
+    hashes, begin, end, numbers = words(texts, SIGN)
+    sizes = [len(w) for w in items.words]
+    todo = list(_parts(items, finder, hashes, numbers, at_least))
     todo.sort(key=lambda x: (x[3] - x[2], sizes[x[1]]))
     for a in range(0, len(todo), 128):
         part = todo[a:a + 128]
@@ -174,8 +201,7 @@ def _count(items: Items):
         for batch in batches:
             for _, texts in grouped(batch.column(0).cast(pa.binary()).to_pylist()):
                 hashes, _, _, numbers = words(texts, SIGN)
-                at, seed = finder.places(hashes)
-                row = np.searchsorted(numbers, at, side="right") - 1
+                row, _, seed = finder.places(hashes, numbers)
                 spread += np.bincount(np.unique(row * len(items.seeds) + seed) % len(items.seeds), minlength=len(spread))
         met = np.flatnonzero(spread)
         yield pa.RecordBatch.from_pydict({"seed": met, "n": spread[met]})
@@ -184,16 +210,18 @@ def _count(items: Items):
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, at_least: float = 0.5, share: float = 0.5, least: int = 12, needed: int = 2, slack: float = 0.3,
+    docs: DataFrame, benchmark: DataFrame, at_least: float = 0.5,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """Passages of documents that align with a test item.
 
-    Words are runs of letters and digits, A-Z lower-cased. Seeds are the items' 3-word sequences (the whole item, if shorter); how
-    many documents have each is counted over the whole corpus, and each item keeps the rarer ``share`` of its seeds, ``least`` at
-    the least, however common they are. Where ``needed`` different seeds of an item point to one part of a text, that part, wider
-    by ``slack`` of the item, is aligned with the item: 2 for an equal word, -1 for another word, a left-out or an added one. The
-    score is the best local alignment over that of the item with itself.
+    Words are runs of letters and digits, A-Z lower-cased. A part of a text is aligned with an item: 2 for an equal word, -1 for
+    another word, a left-out or an added one. The score is the best local alignment over that of the item with itself.
+
+    Seeds are two words of an item with one between them at most. A passage that scores ``at_least`` holds a known number of them,
+    so the search leaves nothing out: how many documents have each seed is counted over the whole corpus, an item does without its
+    commonest ones only as far as enough others are certain, and every part of a text that enough of these point to is aligned,
+    with room for all the words that may have been added.
 
     Returns a row for each document, item and part with a score of ``at_least`` or more: id, item_id, score, start and end of the
     passage (code points). Items without words match nothing, and equal items are reported each. Null texts match nothing; rows
@@ -209,14 +237,14 @@ def leaks(
     found = spark.createDataFrame([], kind)
     for block in range((sized.agg(F.max("block")).first()[0] if not sized.isEmpty() else -1) + 1):
         rows = [(r["item"], r["text"]) for r in sized.filter(F.col("block") == block).select("item", "text").collect()]
-        items = Items.of(rows) if rows else None
+        items = Items.of(rows, at_least) if rows else None
         if items is None or not len(items.seeds):
             continue
         counted = docs.filter(F.col(text_col).isNotNull()).select(text_col).mapInArrow(_count(items), "seed long, n long")
         spread = np.zeros(len(items.seeds), np.int64)
         for r in counted.groupBy("seed").agg(F.sum("n").alias("n")).collect():
             spread[r["seed"]] = r["n"]
-        shared = spark.sparkContext.broadcast(items.rare(spread, share, least))
+        shared = spark.sparkContext.broadcast(items.rare(spread))
 
         def search(batches, shared=shared):
             items = shared.value
@@ -225,7 +253,7 @@ def leaks(
                 texts = batch.column(1).cast(pa.binary()).to_pylist()
                 out = []
                 for first, group in grouped(texts):
-                    for r, k, score, start, end in _search(items, finder, group, slack, needed, at_least):
+                    for r, k, score, start, end in _search(items, finder, group, at_least):
                         text = group[r]
                         a = len(text[:start].decode("utf-8", "replace"))
                         out.append((first + int(r), int(items.ids[k]), float(score), a, a + len(text[start:end].decode("utf-8", "replace"))))

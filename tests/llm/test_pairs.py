@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -250,3 +251,34 @@ def test_leaks_in_blocks_of_items(spark, prose, monkeypatch):
     docs = spark.createDataFrame([(k, prose(100 + k, 30) + " " + t) for k, t in items], "doc_id long, text string")
     found = decontam.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(12)}
+
+
+def _spread_edits(words, step, kind):
+    """Every ``step``-th word replaced, left out, or followed by another one."""
+    out = []
+    for i, w in enumerate(words):
+        hit = i % step == step - 1
+        out += [f"zz{i}q"] if hit and kind == "other" else [] if hit and kind == "gone" else [w, f"zz{i}q"] if hit else [w]
+    return out
+
+
+def test_leaks_equal_the_alignment_of_every_text_with_every_item(spark, prose):
+    items = [(k, prose(20_000 + k, 3 + k * 7 % 45)) for k in range(24)] + [(50, "two words"), (51, "lonely")]
+    rows = [(k, prose(k, 40) + " " + items[k % 24][1]) for k in range(60)]  # exact copies hold seeds that edited ones lack
+    for i, text in items:
+        own = text.split()
+        copies = [_spread_edits(own, s, kind) for s in (6, 5, 4, 3) for kind in ("other", "gone", "added")]
+        copies += [_spread_edits(own, s, "added") for s in (2, 1)] + [own[:len(own) // 2], own[-(-len(own) // 2):], own[::2]]
+        rows += [(1000 * (i + 1) + c, " ".join([prose(7 * i + c, 9), *copy, prose(9 * i + c, 9)])) for c, copy in enumerate(copies)]
+    docs, tests = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    best = defaultdict(float)
+    for r in decontam.leaks(docs, tests).collect():
+        best[r["doc_id"], r["item_id"]] = max(best[r["doc_id"], r["item_id"]], r["score"])
+    want = {}
+    number = defaultdict(lambda: len(number) + 2)
+    told = {k: np.array([number[w] for w in t.split()], np.uint64) for k, t in rows}
+    for i, text in items:
+        own = np.array([number[w] for w in text.split()], np.uint64)
+        top, _ = decontam.align(decontam._padded([own] * len(rows), 0), decontam._padded(list(told.values()), 1))
+        want |= {(k, i): s / (2 * len(own)) for k, s in zip(told, top.tolist(), strict=True) if s >= len(own)}
+    assert dict(best) == want
