@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import running, saved
-from .words import SIGN, grouped, mix, words
+from .words import grouped, letter_words, mix
 
 # Two words of a text are linked if at most one stands between them.
 REACH = 2
@@ -54,7 +54,7 @@ class Items:
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]], at_least: float) -> Items:
-        hashes, _, _, numbers = words([t.encode() for _, t in rows], SIGN)
+        hashes, _, _, numbers = letter_words([t for _, t in rows])
         own = [hashes[a:b] for a, b in zip(numbers[:-1], numbers[1:], strict=True)]
         sure = np.array([max(0, math.ceil(at_least * len(w) - 1 - 1e-9)) for w in own])
         grams, item, place = [], [], []
@@ -174,9 +174,9 @@ def _parts(items: Items, finder: Finder, hashes: np.ndarray, numbers: np.ndarray
     yield from zip(row, item, np.maximum(low, numbers[row]), np.minimum(high, numbers[row + 1]), strict=True)
 
 
-def _search(items: Items, finder: Finder, texts: list[bytes], at_least: float):
-    """(row, item, score, start, end) of one group of texts; start and end in bytes."""
-    hashes, begin, end, numbers = words(texts, SIGN)
+def _search(items: Items, finder: Finder, texts: list[str], at_least: float):
+    """(row, item, score, start, end) of one group of texts; start and end in code points."""
+    hashes, begin, end, numbers = letter_words(texts)
     sizes = [len(w) for w in items.words]
     todo = list(_parts(items, finder, hashes, numbers, at_least))
     todo.sort(key=lambda x: (x[3] - x[2], sizes[x[1]]))
@@ -200,7 +200,7 @@ def _count(items: Items):
         finder, spread = Finder(items), np.zeros(len(items.seeds), np.int64)
         for batch in batches:
             for _, texts in grouped(batch.column(0).cast(pa.binary()).to_pylist()):
-                hashes, _, _, numbers = words(texts, SIGN)
+                hashes, _, _, numbers = letter_words([t.decode("utf-8", "replace") for t in texts])
                 row, _, seed = finder.places(hashes, numbers)
                 spread += np.bincount(np.unique(row * len(items.seeds) + seed) % len(items.seeds), minlength=len(spread))
         met = np.flatnonzero(spread)
@@ -215,8 +215,9 @@ def leaks(
 ) -> DataFrame:
     """Passages of documents that align with a test item.
 
-    Words are runs of letters and digits, A-Z lower-cased. A part of a text is aligned with an item: 2 for an equal word, -1 for
-    another word, a left-out or an added one. The score is the best local alignment over that of the item with itself.
+    Words are runs of Unicode's letters and digits, compared without case; a combining mark is neither and parts them. A part of a
+    text is aligned with an item: 2 for an equal word, -1 for another word, a left-out or an added one. The score
+    is the best local alignment over that of the item with itself.
 
     Seeds are two words of an item with one between them at most. A passage that scores ``at_least`` holds a known number of them,
     so the search leaves nothing out: how many documents have each seed is counted over the whole corpus, an item does without its
@@ -253,10 +254,8 @@ def leaks(
                 texts = batch.column(1).cast(pa.binary()).to_pylist()
                 out = []
                 for first, group in grouped(texts):
-                    for r, k, score, start, end in _search(items, finder, group, at_least):
-                        text = group[r]
-                        a = len(text[:start].decode("utf-8", "replace"))
-                        out.append((first + int(r), int(items.ids[k]), float(score), a, a + len(text[start:end].decode("utf-8", "replace"))))
+                    for r, k, score, start, end in _search(items, finder, [t.decode("utf-8", "replace") for t in group], at_least):
+                        out.append((first + int(r), int(items.ids[k]), float(score), start, end))
                 out.sort()
                 at, item, score, start, end = zip(*out, strict=True) if out else ((),) * 5
                 yield pa.RecordBatch.from_arrays([

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import sys
+
 import numpy as np
 
 # Bytes that part words: space, and tab to carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-# Also all other ASCII signs but letters and digits.
-SIGN = SPACE.copy()
-SIGN[[c for c in range(128) if not chr(c).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -69,6 +69,48 @@ def words(texts: list[bytes], parted: np.ndarray = SPACE) -> tuple[np.ndarray, n
     return hashes, begin - owner, end - owner, numbers
 
 
+@functools.cache
+def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """Per code point the value of its folded letter or digit, whether it is none, whether it folds to several, and the values of
+    those. Folded are capitals, so a text in capitals has the words of the text itself (STRASSE for straße)."""
+    size = sys.maxunicode + 1
+    code, gap, wide, several = np.arange(size, dtype=np.uint64), np.ones(size, bool), np.zeros(size, bool), {}
+    for c in range(size):
+        if (char := chr(c)).isalnum():
+            gap[c] = False
+            folded = [ord(x) for x in char.upper().casefold() if x.isalnum()]
+            code[c] = folded[0] if folded else c
+            if len(folded) > 1:
+                wide[c], several[c] = True, mix(np.array(folded, np.uint64))
+    return mix(code), gap, wide, several
+
+
+def letter_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``words``, for runs of Unicode's letters and digits in any case; starts and ends in code points."""
+    value, parted, wide, several = _letters()
+    joined = np.frombuffer((" ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+    values, gap, own = value[joined], parted[joined], None
+    if len(more := np.flatnonzero(wide[joined])):
+        rest = [several[c][1:] for c in joined[more].tolist()]
+        after = np.repeat(more + 1, [len(x) for x in rest])
+        values, gap, own = np.insert(values, after, np.concatenate(rest)), np.insert(gap, after, False), np.insert(np.arange(len(gap)), after, after - 1)
+    inside = ~gap
+    begin = np.flatnonzero(inside & np.concatenate(([True], gap[:-1])))
+    end = np.flatnonzero(gap & np.concatenate(([False], inside[:-1])))
+    if not len(begin):
+        return np.zeros(0, np.uint64), begin, end, np.zeros(len(texts) + 1, np.int64)
+    length = end - begin
+    first = np.concatenate(([0], np.cumsum(length)[:-1]))
+    place = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
+    hashes = mix(np.add.reduceat(values[inside] * powers(int(length.max()))[place], first) + length.astype(np.uint64))
+    if own is not None:
+        begin, end = own[begin], own[end]
+    numbers = np.searchsorted(begin, at)
+    owner = at[np.repeat(np.arange(len(texts)), np.diff(numbers))]
+    return hashes, begin - owner, end - owner, numbers
+
+
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n words; the last n - 1 places hold none."""
     if len(hashes) < n:

@@ -282,3 +282,11 @@ def test_leaks_equal_the_alignment_of_every_text_with_every_item(spark, prose):
         top, _ = decontam.align(decontam._padded([own] * len(rows), 0), decontam._padded(list(told.values()), 1))
         want |= {(k, i): s / (2 * len(own)) for k, s in zip(told, top.tolist(), strict=True) if s >= len(own)}
     assert dict(best) == want
+
+
+def test_leaks_are_found_in_any_case_and_between_any_signs(spark):
+    item = "Größe und Maß der «Straße» — Ñandú, ça été où? ΣΊΣΥΦΟΣ naïve ŝanĝo öl ﬁn"
+    rows = [(1, item.upper()), (2, "¿“" + item.lower().replace(" ", "…") + "”"), (3, "ß " + item.replace("ß", "SS").swapcase() + " ß"), (4, "Maß der Dinge, où?")]
+    found = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    got = {r["doc_id"]: (r["score"], rows[r["doc_id"] - 1][1][r["start"]:r["end"]]) for r in found.collect()}
+    assert got == {1: (1.0, rows[0][1]), 2: (1.0, rows[1][1][2:-1]), 3: (1.0, rows[2][1][2:-2])}
