@@ -119,25 +119,25 @@ class Finder:
         return tuple(np.concatenate(x or [np.zeros(0, np.int64)]) for x in (rows, at, seed))
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smith-Waterman over rows of padded word hashes: best score of each pair and where it ends in the window (exclusive).
+def align(item: np.ndarray, window: np.ndarray, middle: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Smith-Waterman over rows of padded word hashes: best score of each pair and where it ends in the window (exclusive); of
+    several such ends the one nearest to ``middle``.
 
     All pairs take a row of the matrix at once; gaps along the row are a running maximum. Padding never matches.
     """
     pairs, width = window.shape
     across = -GAP * np.arange(width + 1, dtype=np.int32)
     scores = np.zeros((pairs, width + 1), np.int32)
-    best, end = np.zeros(pairs, np.int32), np.zeros(pairs, np.int64)
+    top = np.zeros_like(scores)
     for i in range(item.shape[1]):
         step = np.where(window == item[:, i:i + 1], MATCH, MISS).astype(np.int32)
         new = np.zeros_like(scores)
         new[:, 1:] = np.maximum(np.maximum(scores[:, :-1] + step, scores[:, 1:] + GAP), 0)
         scores = np.maximum.accumulate(new + across, 1) - across
-        at = scores.argmax(1)
-        top = scores[np.arange(pairs), at]
-        end = np.where(top > best, at, end)
-        best = np.maximum(best, top)
-    return best, end
+        np.maximum(top, scores, out=top)
+    best = top.max(1)
+    off = np.abs(np.arange(width + 1) - np.reshape(middle, (-1, 1)))
+    return best, np.where(top == best[:, None], off, np.iinfo(np.int64).max).argmin(1)
 
 
 def _padded(rows: list[np.ndarray], fill: int) -> np.ndarray:
@@ -179,20 +179,27 @@ def _search(items: Items, finder: Finder, texts: list[str], at_least: float):
     hashes, begin, end, numbers = letter_words(texts)
     sizes = [len(w) for w in items.words]
     todo = list(_parts(items, finder, hashes, numbers, at_least))
-    todo.sort(key=lambda x: (x[3] - x[2], sizes[x[1]]))
-    for a in range(0, len(todo), 128):
-        part = todo[a:a + 128]
-        best, stop = align(_padded([items.words[k] for _, k, _, _ in part], 0), _padded([hashes[x:y] for _, _, x, y in part], 1))
-        good = [j for j, (_, k, _, _) in enumerate(part) if best[j] >= at_least * MATCH * sizes[k]]
-        if not good:
-            continue
-        # Backwards from its end the same alignment tells where it starts.
-        _, back = align(_padded([items.words[part[j][1]][::-1] for j in good], 0),
-                        _padded([hashes[part[j][2]:part[j][2] + stop[j]][::-1] for j in good], 1))
-        for j, length in zip(good, back, strict=True):
-            r, k, low, _ = part[j]
-            last = low + stop[j]
-            yield r, k, best[j] / (MATCH * sizes[k]), int(begin[last - length]), int(end[last - 1])
+    # What a passage leaves of its part on both sides is searched again. Of equally good passages the middle one goes first: many
+    # copies in one part are halved round by round.
+    while todo:
+        todo.sort(key=lambda x: (x[3] - x[2], sizes[x[1]]))
+        rest = []
+        for a in range(0, len(todo), 128):
+            part = todo[a:a + 128]
+            best, stop = align(_padded([items.words[k] for _, k, _, _ in part], 0), _padded([hashes[x:y] for _, _, x, y in part], 1),
+                               np.array([(y - x + sizes[k]) // 2 for _, k, x, y in part]))
+            good = [j for j, (_, k, _, _) in enumerate(part) if best[j] >= at_least * MATCH * sizes[k]]
+            if not good:
+                continue
+            # Backwards from its end the same alignment tells where it starts.
+            _, back = align(_padded([items.words[part[j][1]][::-1] for j in good], 0),
+                            _padded([hashes[part[j][2]:part[j][2] + stop[j]][::-1] for j in good], 1))
+            for j, length in zip(good, back, strict=True):
+                r, k, low, high = part[j]
+                last = low + stop[j]
+                yield r, k, best[j] / (MATCH * sizes[k]), int(begin[last - length]), int(end[last - 1])
+                rest += [(r, k, x, y) for x, y in ((low, last - length), (last, high)) if y - x >= at_least * sizes[k]]
+        todo = rest
 
 
 def _count(items: Items):
@@ -224,8 +231,8 @@ def leaks(
     commonest ones only as far as enough others are certain, and every part of a text that enough of these point to is aligned,
     with room for all the words that may have been added.
 
-    Returns a row for each document, item and part with a score of ``at_least`` or more: id, item_id, score, start and end of the
-    passage (code points). Items without words match nothing, and equal items are reported each. Null texts match nothing; rows
+    Returns a row for each document, item and passage with a score of ``at_least`` or more: id, item_id, score, start and end of the
+    passage (code points). Of passages of one item that overlap the best one counts. Items without words match nothing, and equal items are reported each. Null texts match nothing; rows
     that repeat an id are searched each; a null id stays null; an empty table gives no rows; other columns are not read.
 
     The benchmark is searched for in blocks of 16 MB of its text, each broadcast; documents are read, never shuffled. Eager.

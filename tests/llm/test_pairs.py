@@ -290,3 +290,18 @@ def test_leaks_are_found_in_any_case_and_between_any_signs(spark):
     found = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
     got = {r["doc_id"]: (r["score"], rows[r["doc_id"] - 1][1][r["start"]:r["end"]]) for r in found.collect()}
     assert got == {1: (1.0, rows[0][1]), 2: (1.0, rows[1][1][2:-1]), 3: (1.0, rows[2][1][2:-2])}
+
+
+def test_every_copy_of_an_item_is_a_passage_of_its_own(spark, prose):
+    item = prose(31, 24)
+    own = item.split()
+    copies = [item, " ".join(_spread_edits(own, 5, "other")), item.upper(), " ".join(_spread_edits(own, 4, "added"))] + [item] * 40
+    text, places = prose(32, 30), []
+    for copy in copies:
+        places.append((len(text) + 1, len(text) + 1 + len(copy)))
+        text += " " + copy
+    docs = spark.createDataFrame([(1, text + " " + prose(33, 30))], "doc_id long, text string")
+    found = sorted(decontam.leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect(), key=lambda r: r["start"])
+    assert len(found) == len(copies)
+    for r, (start, end) in zip(found, places, strict=True):
+        assert start <= r["start"] < r["end"] <= end and (r["score"] == 1) == (text[start:end].lower() == item)
