@@ -3,6 +3,7 @@
 import heapq
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 from pagecat.llm import mixing, sharding
 from pagecat.llm.common import running
@@ -79,6 +80,39 @@ def test_mix_takes_weights(spark):
     assert abs(sum(r["source"] == "a" for r in first) / len(first) - 0.75) < 0.01
 
 
+def test_plan_keeps_to_the_given_weights_over_many_periods():
+    weights = {f"s{k}": (k + 1) ** 0.5 for k in range(18)} | {"tiny": 0.002, "large": 30.0}
+    plan = mixing.phases({s: 3 if s == "tiny" else 2000 for s in weights}, weights, 100)
+    done = Counter()
+    for p in plan:
+        whole, given, starts = sum(Fraction(weights[s]) for s in p["names"]), Counter(), []
+        shares = {s: Fraction(weights[s]) / whole for s in p["names"]}
+        for (t, k, *_), _ in zip(mixing.served(p["weights"], [0] * len(shares), 0), range(p["length"])):
+            if t % 100 == 0:
+                starts.append([given[s] for s in p["names"]])
+            given[p["names"][k]] += 1
+            assert all(abs(given[s] - float(w) * (t + 1)) < 1 + 1e-9 for s, w in shares.items())
+        assert starts == p["starts"] and [done[s] for s in p["names"]] == p["first"]
+        done += given
+    assert done == {s: 3 if s == "tiny" else 2000 for s in weights}
+
+
+def test_mix_keeps_to_the_given_weights_over_many_periods(spark):
+    weights = {"a": 0.5, "b": 0.3333, "c": 0.1662, "d": 0.0005}
+    rows = [(i, s) for i, s in enumerate("a" * 2000 + "b" * 1500 + "c" * 800 + "d" * 40)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_rows=1, period=100).collect()
+    assert sorted(r["position"] for r in got) == list(range(len(rows)))
+    done, whole = defaultdict(Counter), {}
+    for r in sorted(got, key=lambda r: r["slot"]):
+        assert r["slot"] == r["position"] and r["release"] <= r["slot"] < r["deadline"]
+        own = done[r["phase"]]
+        own[r["source"]] += 1
+        left = whole.setdefault(r["phase"], {o["source"] for o in got if o["slot"] >= r["slot"]})
+        total = sum(weights[s] for s in left)
+        assert all(abs(own[s] - weights[s] / total * own.total()) < 1 + 1e-9 for s in left)
+        assert abs(r["share"] - weights[r["source"]] / total) < 1e-12
+
+
 def test_mix_of_odd_and_no_rows(odd_docs, no_docs):
     got = mixing.mix(odd_docs, block_rows=2).collect()
     assert sorted(r["position"] for r in got) == list(range(11))  # the repeated id counts once
