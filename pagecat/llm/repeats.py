@@ -24,6 +24,8 @@ REACH = WINDOW - GRAM + 1
 LEFT, RIGHT = 17, 18
 # Bytes worked on at once, bytes of text whose rows are sent together, and bytes of text for each bucket of anchors.
 PIECE, CHUNK, BUCKET = 1 << 20, 8 << 20, 24 << 20
+# Documents with one anchor above which its windows are dealt out one by one; their runs are some PIECE bytes.
+HOT = 10_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -251,6 +253,10 @@ class Entries:
         data = self.data[ragged(self.at[rows], self.length[rows])]
         return Entries(data, **{name: getattr(self, name)[rows] for name, _ in self.FIELDS})
 
+    @classmethod
+    def joined(cls, parts: list[Entries]) -> Entries:
+        return cls(np.concatenate([p.data for p in parts]), **{name: np.concatenate([getattr(p, name) for p in parts]) for name, _ in cls.FIELDS})
+
     def packed(self) -> dict[str, bytes]:
         e = self.take(np.argsort(self.doc, kind="stable"))
         return _counted(e.doc) | {
@@ -430,6 +436,35 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[new], start[new], reach[last] - number[last] * room
 
 
+def _single(e: Entries) -> Entries:
+    """Each window as a run of its own, with a hash of anchor, distance and bytes in place of the anchor's: equal windows still meet,
+    those of one anchor no longer stay together."""
+    count = e.count.astype(np.int64)
+    owner = np.repeat(np.arange(len(count)), count)
+    step = ragged(np.zeros(len(count), np.int64), count)
+    at, away = e.at[owner] + step, e.away[owner].astype(np.int64) - step
+    key = mix(Prefixes(e).hash(at, np.int64(WINDOW)) ^ mix(e.hash[owner] * np.uint64(256) + away.astype(np.uint64))) >> np.uint64(16)
+    return Entries(e.data[ragged(at, np.full(len(at), WINDOW))], doc=e.doc[owner], hash=key, away=away, count=np.ones(len(at)),
+                   start=e.start[owner] + step)
+
+
+def _dealt(e: Entries, hot: np.ndarray) -> tuple[list[tuple[np.ndarray, ...]], Entries]:
+    """The windows of hot anchors one by one, the runs of others as they are; spans of windows that a smaller document here has."""
+    is_hot = np.isin(e.hash, hot)
+    rows = np.flatnonzero(is_hot)
+    if not len(rows):
+        return [], e
+    rows = rows[np.argsort(e.hash[rows], kind="stable")]
+    part = np.cumsum(e.count[rows].astype(np.int64) * WINDOW) // PIECE
+    spans, parts = [], [e.take(np.flatnonzero(~is_hot))]
+    for own in np.split(rows, np.flatnonzero(np.diff(part)) + 1):
+        single = _single(e.take(own))
+        found, left = resolve(single, windows=False)
+        spans.append(found)
+        parts.append(single.take(left))
+    return spans, Entries.joined(parts)
+
+
 def _told(spans: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
     doc, start, end = merged(*spans)
     for k in range(0, len(doc), 100_000):
@@ -442,8 +477,9 @@ AROUND_ARROW = pa.schema([("bucket", pa.int32()), ("sure", pa.bool_()),
                           *[(c, pa.binary()) for c in ("docs", "times", "hash", "away", "count", "start", "data")]])
 
 
-def _around(n_buckets: int):
-    """Windows around shared anchors, by bucket; runs that a smaller document of the chunk has too are settled here."""
+def _around(n_buckets: int, hot: np.ndarray):
+    """Windows around shared anchors, by bucket; runs that a smaller document of the chunk has too are settled here. Those of ``hot``
+    anchors go to the buckets of their own bytes."""
     def run(batches):
         for number, rows in enumerate(_chunks(batches)):
             texts = [r[1] for r in rows]
@@ -463,17 +499,19 @@ def _around(n_buckets: int):
             e = Entries(
                 data[ragged(begin + a.first[kept], count + WINDOW - 1)], doc=np.array([r[0] for r in rows], np.int64)[a.row[kept]],
                 hash=a.hash[kept], away=a.place[kept] - a.first[kept], count=count, start=a.first[kept])
-            (doc, start, end), left = resolve(e, windows=False)
+            found, left = resolve(e, windows=False)
+            more, e = _dealt(e.take(left), hot)
+            doc, start, end = map(np.concatenate, zip(found, *more, strict=True))
             out = []
             if len(doc):
                 doc, start, end = merged(doc, start, end)
                 out.append({"bucket": (number + int(doc[0])) % n_buckets, "sure": True, **_counted(doc), "hash": b"", "away": b"", "count": b"",
                             "start": start.tobytes(), "data": end.tobytes()})
-            bucket = (e.hash[left] % np.uint64(n_buckets)).astype(np.int64)
+            bucket = (e.hash % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             for b in np.flatnonzero(np.diff(edges)):
-                out.append({"bucket": int(b), "sure": False, **e.take(left[order[edges[b]:edges[b + 1]]]).packed()})
+                out.append({"bucket": int(b), "sure": False, **e.take(order[edges[b]:edges[b + 1]]).packed()})
             yield pa.RecordBatch.from_pylist(out, AROUND_ARROW)
 
     return run
@@ -512,7 +550,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Copies of a whole text are settled by its hash. Of the others, only anchors are sent by hash, some 9 bytes for each 18 bytes
     of text; then the surroundings of shared anchors alone. Texts are shuffled twice, each time only those with something shared
     (all of them where these ids are too many to broadcast). What a chunk of 8 MB can settle itself it sends once, so a string
-    common to all documents costs a row for each chunk.
+    common to all documents costs a row for each chunk. An anchor of more than HOT documents doesn't hold its runs together: each
+    of its windows goes by its own bytes, so its differing surroundings are spread over all buckets.
 
     A null or empty text has no bytes; rows that repeat an id must repeat its text and give one row; ids are whole numbers, rows
     without one are left out; an empty table gives no rows; other columns are not read. Eager.
@@ -530,8 +569,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     dealt = texts.mapInArrow(_place(n_buckets), PLACED).repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
     shared = saved(dealt.mapInArrow(_find_shared, "id long, hash long"), "shared")
     wanted = shared.groupBy(F.col("id").alias("x")).agg(F.collect_list("hash").alias("anchors"))
+    hot = shared.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("hash").collect()
+    hot = np.sort(np.array([r["hash"] for r in hot], np.int64)).astype(np.uint64)
     some = texts.join(small(saved(shared.select(F.col("id").alias("y")).distinct(), "wanted")), F.col("id") == F.col("y"), "left_semi")
-    around = some.join(wanted, F.col("id") == F.col("x")).select("id", "text", "anchors").mapInArrow(_around(n_buckets), AROUND)
+    around = some.join(wanted, F.col("id") == F.col("x")).select("id", "text", "anchors").mapInArrow(_around(n_buckets, hot), AROUND)
     spans = saved(around.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, "id long, start long, end long"), "spans")
 
     removed = spans.groupBy(F.col("id").alias("x")).agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pagecat.llm import decontam, groups, minhash, repeats, words
@@ -305,3 +306,27 @@ def test_every_copy_of_an_item_is_a_passage_of_its_own(spark, prose):
     assert len(found) == len(copies)
     for r, (start, end) in zip(found, places, strict=True):
         assert start <= r["start"] < r["end"] <= end and (r["score"] == 1) == (text[start:end].lower() == item)
+
+
+def _common_passage(prose, n):
+    passage = "this passage stands in every text, and what is around it differs from text to text. " + prose(40, 4)
+    return [(k, prose(100 + k, 12) + " " * (k % 3) + passage + prose(900 + k // 2, 12)) for k in range(n)]
+
+
+def test_repeats_around_hot_anchors_equal_brute_force(spark, prose, monkeypatch):
+    monkeypatch.setattr(repeats, "BUCKET", 3000)
+    monkeypatch.setattr(repeats, "HOT", 5)
+    rows = _common_passage(prose, 90)
+    _same(_got(repeats.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))), _kept(rows))
+
+
+def test_runs_of_a_hot_anchor_are_spread_over_buckets(prose):
+    rows = _common_passage(prose, 200)
+    texts = [t.encode() for _, t in rows]
+    a = repeats.Anchors(texts)
+    found, count = np.unique(a.hash, return_counts=True)
+    hot = found[count >= len(rows)]
+    batch = pa.RecordBatch.from_pydict({"id": [k for k, _ in rows], "text": [t for _, t in rows], "anchors": [hot.astype(np.int64).tolist()] * len(rows)})
+    sent = [r for b in repeats._around(16, hot)(iter([batch])) for r in b.to_pylist() if not r["sure"]]
+    held = [len(r["count"]) for r in sent]
+    assert len(hot) and len(held) == 16 and max(held) < 3 * sum(held) / 16
