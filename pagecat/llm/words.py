@@ -142,3 +142,35 @@ def unpack(packed: bytes) -> np.ndarray:
     out = np.zeros((len(packed) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
     return out.reshape(-1).view("<u8")
+
+
+def pieces(text: bytes, parted: np.ndarray = SPACE, size: int = 1 << 20):
+    """A text in slices of about ``size`` bytes, each ending where a word ends: a long text is taken apart, its words are not."""
+    data, at = np.frombuffer(text, np.uint8), 0
+    while len(text) - at > size:
+        end = at + size
+        while end < len(text) and not (gap := parted[data[end:end + size]]).any():
+            end += size
+        if end >= len(text):
+            break
+        end += int(gap.argmax())
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def word_hashes(texts: list[bytes], size: int = 1 << 20) -> list[np.ndarray]:
+    """Per text the hashes of its words. The room needed beyond them is bounded, however long a text is."""
+    out: list[np.ndarray] = []
+    for _, group in grouped(texts, size):
+        if len(group) == 1:
+            out.append(np.concatenate([words([p])[0] for p in pieces(group[0], SPACE, size)]))
+        else:
+            hashes, _, _, numbers = words(group)
+            out += [hashes[a:b] for a, b in zip(numbers[:-1], numbers[1:], strict=True)]
+    return out
+
+
+def wide_sets(texts: list[bytes], n: int = 5) -> list[np.ndarray]:
+    """As ``shingle_sets``, in 64 bits."""
+    return [np.unique(ngrams(h, min(n, len(h)) or 1)) for h in word_hashes(texts)]
