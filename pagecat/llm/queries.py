@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, minhash, mixing, repeats, secrets, sharding, spotsigs, toxicity
+from . import chat, decontam, langid, lexical, minhash, mixing, ngram_join, repeats, secrets, sharding, spotsigs, toxicity, trie
 from .common import bucket, table
 
 QUERIES: dict = {}
@@ -22,6 +22,29 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Documents linked by their distinct 5-word shingles: all pairs that share one, then all that are reachable.
+LINKED = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(FOLDED, '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE text IS NOT NULL
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= PERCENT * (x.n + y.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS k FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.k = e.a
+), g AS (
+  SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(k) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY ALL
+)
+""".replace("FOLDED", FOLDED)
+
+
 @query("op1_mix_sources")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in one order; sources weigh as the square root of their size until they end."""
@@ -79,7 +102,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", length.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-@query("op5_near_duplicates")
+@query("op5_near_duplicates", oracle=LINKED.replace("PERCENT", "75") + "SELECT *, doc_id = component_id AS kept FROM g")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicates among all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -138,3 +161,68 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
         "position",
     )
+
+
+@query("op11_ball_tree_search", oracle="""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(FOLDED, 'TERM')) AS t FROM documents
+), f AS (
+  SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL
+), l AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY doc_id
+), st AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM l
+), w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, st GROUP BY t, docs
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(FOLDED, 'TERM')) AS t FROM benchmark
+), s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN f USING (t) JOIN w USING (t) JOIN l USING (doc_id), st GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+""".replace("FOLDED", FOLDED).replace("TERM", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_ngram_jaccard_join", oracle=LINKED.replace("PERCENT", "80") + "SELECT * FROM g")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 5-word shingles are alike by 80 %."""
+    return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+# h is the CRC-32 of the decimal id: eight steps of one bit for each character.
+@query("op13_prefix_trie", oracle="""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+), c AS (
+  SELECT conv_id, list(struct_pack(r := r, t := t) ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || t)) AS own,
+    xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+      lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM rows GROUP BY conv_id
+), b AS (
+  SELECT c.conv_id, list_concat(coalesce(o.own[1:c.h], []), c.own[c.h + 1:]) AS path FROM c LEFT JOIN c o ON o.conv_id = c.conv_id - c.conv_id % 100
+), e AS (
+  SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM b
+), g AS (
+  SELECT path[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM e GROUP BY ALL
+), k AS (
+  SELECT p[1:depth - 1] AS up, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL
+), n AS (
+  SELECT g.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * length(p[depth].t) ELSE 0 END AS saves
+  FROM g LEFT JOIN k ON up = p
+)
+SELECT a.conv_id, a.depth, any_value(m.conv_id) AS parent_conv_id, any_value(a.n_convs) AS n_convs, any_value(a.n_children) AS n_children,
+  count(*) FILTER (s.n_children = 0) AS n_leaves, CAST(sum(s.saves) AS BIGINT) AS saved_tokens, any_value(a.ends_sha256) AS ends_sha256
+FROM n a JOIN n s ON s.depth >= a.depth AND s.p[1:a.depth] = a.p LEFT JOIN n m ON m.depth = a.depth - 1 AND m.p = a.p[1:a.depth - 1]
+GROUP BY a.p, a.conv_id, a.depth
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt to share their heads."""
+    turns = trie.share_heads(trie.ordered_turns(table(spark, sf_dir, "conversations")))
+    return trie.trie(turns).withColumnsRenamed({"conv": "conv_id", "parent": "parent_conv_id", "saved_chars": "saved_tokens"})
