@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from .common import running, saved, small
 from .groups import components
+from .minhash import _by_cell as by_cell, _Labels as Labels, _pairs as pairs_of, common_counts
 from .words import mix, wide_sets
 
 # Cells of a suffix count; rows of a bucket that meet in one place; rounds in which a bucket's rows are held against one of them.
 CELLS, BLOCK, ROUNDS = 64, 1024, 3
+# Shingles of a block of whole sets.
+ROOM = 400_000
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -68,29 +71,18 @@ def _verify(percent: int):
     return run
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """The rows of each cell (first column), in a partition sorted by it."""
-    held: list[tuple] = []
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if held and held[-1][0] != row[0]:
-                yield held
-                held = []
-            held.append(row)
-    if held:
-        yield held
-
-
 def _candidates(percent: int):
-    """Rows (cell, label, side, id, n, at, cells): pairs of different groups that length, place in the prefix and counts allow."""
+    """Rows (cell, label, side, n, at, cells): which groups of a cell hold sets that length, place in the prefix and counts allow to be
+    linked, as a forest of their labels."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _buckets(batches):
-            label, side, id_, n, at = (np.array([r[k] for r in rows], np.int64) for k in range(1, 6))
-            cells = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), CELLS).astype(np.int16)
+        for rows in by_cell(batches):
+            groups = Labels([r[1] for r in rows])
+            side, n, at = (np.array([r[k] for r in rows], np.int64) for k in range(2, 5))
+            cells = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), CELLS).astype(np.int16)
             crossed = side.min() != side.max()
             for i in range(len(rows)):
                 j = np.flatnonzero((side != side[i]) & (side > side[i]) if crossed else np.arange(len(rows)) > i)
-                j = j[label[j] != label[i]]
+                j = j[groups.root[j] != groups.root[i]]
                 # Length: one set can't be longer than 100/percent of the other.
                 j = j[(100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
                 # Shared shingles that a link needs: percent * (n + m) / (100 + percent).
@@ -101,9 +93,40 @@ def _candidates(percent: int):
                 # Suffix: what two sets hold apart in any cell they cannot share.
                 apart = np.abs(cells[j] - cells[i]).sum(1)
                 j = j[n[j] + n[i] - apart >= 2 * need]
-                if len(j):
-                    yield pa.RecordBatch.from_pydict({
-                        "a": pa.array(np.minimum(id_[j], id_[i])), "b": pa.array(np.maximum(id_[j], id_[i]))})
+                groups.join(i, j)
+            if groups.joined:
+                yield pairs_of(groups.joined)
+
+    return run
+
+
+def _sets_by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """As ``by_cell`` for rows (cell, label, side, shingles), with the shingles as arrays."""
+    held: list[tuple] = []
+    for batch in batches:
+        for k, row in enumerate(zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True)):
+            if held and held[-1][0] != row[0]:
+                yield held
+                held = []
+            held.append((*row, batch.column(3)[k].values.to_numpy()))
+    if held:
+        yield held
+
+
+def _compared(percent: int):
+    """Rows (cell, label, side, shingles): which groups of a cell are linked by whole sets, as a forest of their labels."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _sets_by_cell(batches):
+            side = np.array([r[2] for r in rows])
+            left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+            groups, sets = Labels([r[1] for r in rows]), [r[3] for r in rows]
+            sizes = np.array([len(s) for s in sets])
+            both = common_counts([sets[k] for k in left], [sets[k] for k in right])
+            linked = 100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both)
+            for k, row in enumerate(left):
+                groups.join(row, right[linked[k]])
+            if groups.joined:
+                yield pairs_of(groups.joined)
 
     return run
 
@@ -125,7 +148,8 @@ def _possible(every: DataFrame, percent: int) -> DataFrame:
     are out, which most are, before whole sets are shuffled.
     """
     heads = every.select("id", "n", F.explode("head").alias("h"))
-    met = heads.groupBy(F.col("h").alias("k")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("k")
+    # Stored, here and below: a join whose sides come straight from a shuffle can be split where a key is hot.
+    met = saved(heads.groupBy(F.col("h").alias("k")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("k"), "met")
     shared = heads.join(met, F.col("h") == F.col("k"), "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared"))
     least = 1 + F.floor(_needed(F.col("n"), percent) / 20)
     return saved(shared.filter(F.col("shared") >= least).select(F.col("id").alias("x")), "possible")
@@ -137,7 +161,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     All shingles are ordered by the number of sets that hold them. What no other set holds comes first and needs no row.
     """
     rows = sets.select("id", "n", F.explode("shingles").alias("h"))
-    spread = rows.groupBy(F.col("h").alias("k")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    spread = saved(rows.groupBy(F.col("h").alias("k")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "spread")
     known = rows.join(spread, F.col("h") == F.col("k")).groupBy("id").agg(
         F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared"))
     alone = F.col("n") - F.size("shared")
@@ -154,7 +178,7 @@ def _labelled(prefixes: DataFrame, groups: DataFrame | None) -> DataFrame:
         rows = prefixes.join(groups, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("root", "id")).drop("node", "root")
     rows = saved(rows, "labelled")
     mixed = rows.groupBy(F.col("h").alias("k")).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 != l1")
-    return saved(rows.join(mixed.select("k"), F.col("h") == F.col("k"), "left_semi"), "mixed")
+    return saved(rows.join(saved(mixed.select("k"), "several"), F.col("h") == F.col("k"), "left_semi"), "mixed")
 
 
 def _stars(rows: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -164,7 +188,7 @@ def _stars(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """
     centre = F.struct("id", "n", "at", "label")
     pick = F.min(F.struct("id", "n", "at", "label")) if turn == 0 else F.min_by(centre, F.xxhash64("id", F.lit(turn)))
-    met = rows.join(rows.groupBy(F.col("h").alias("k")).agg(pick.alias("c")), F.col("h") == F.col("k"))
+    met = rows.join(saved(rows.groupBy(F.col("h").alias("k")).agg(pick.alias("c")), "centres"), F.col("h") == F.col("k"))
     need = F.ceil(percent * (F.col("n") + F.col("c.n")) / F.lit(100.0 + percent))
     most = F.least("at", "c.at") + F.least(F.col("n") - F.col("at"), F.col("c.n") - F.col("c.at"))
     long_enough = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
@@ -174,18 +198,38 @@ def _stars(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select(F.least("id", "with").alias("a"), F.greatest("id", "with").alias("b")).distinct()
 
 
-def _rest(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups in one bucket that pass all filters. A long bucket is ordered by length and cut in blocks; two
-    blocks meet where their lengths allow a link."""
-    placed = saved(running(rows, ["n", "id"], None, ["h"]).withColumn("block", F.floor(F.col("index") / BLOCK)), "placed")
-    ends = placed.groupBy("h", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-    other = ends.select(F.col("h").alias("h2"), F.col("block").alias("with"), F.col("low").alias("low2"), F.col("l0").alias("m0"), F.col("l1").alias("m1"))
-    met = ends.join(other, (F.col("h") == F.col("h2")) & (F.col("block") <= F.col("with"))).filter(
+def _blocks(rows: DataFrame, by: str, block: Column, size: str | None, percent: int) -> DataFrame:
+    """Rows (cell, side, …): the rows (label, id, n, …) of a key in the order of n and id are cut in blocks; two blocks whose lengths
+    allow a link meet in a cell unless all their rows are of one group. A row comes once for each block that its own meets."""
+    placed = saved(running(rows, ["n", "id"], size, [by]).withColumn("block", block), "blocks")
+    ends = saved(placed.groupBy(F.col(by).alias("b"), "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("l0"), F.max("label").alias("l1")), "ends")
+    other = ends.select(F.col("b").alias("b2"), F.col("block").alias("with"), F.col("low").alias("low2"), F.col("l0").alias("m0"), F.col("l1").alias("m1"))
+    met = ends.join(other, (F.col("b") == F.col("b2")) & (F.col("block") <= F.col("with"))).filter(
         (100 * F.col("high") >= percent * F.col("low2")) & (F.least("l0", "m0") != F.greatest("l1", "m1")))
-    met = met.select(F.col("h").alias("mh"), F.xxhash64("h", "block", "with").alias("cell"), F.explode(F.array_distinct(F.array("block", "with"))).alias("side"))
-    rows = placed.join(met, (F.col("h") == F.col("mh")) & (F.col("block") == F.col("side"))).select("cell", "label", "side", "id", "n", "at")
-    cells = rows.join(sets.select(F.col("id").alias("i"), "cells"), F.col("id") == F.col("i")).select("cell", "label", "side", "id", "n", "at", "cells")
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_candidates(percent), "a long, b long").distinct()
+    met = saved(met.select("b", F.xxhash64("b", "block", "with").alias("cell"), F.explode(F.array_distinct(F.array("block", "with"))).alias("side")), "met")
+    return placed.join(met, (F.col(by) == F.col("b")) & (F.col("block") == F.col("side")))
+
+
+def _rest(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (label pairs a, b) between groups whose sets share a bucket and pass all filters there.
+
+    Such groups form clusters; inside a cluster whole sets are compared, each pair in the one cell where its blocks meet. What is
+    handed on is a forest of groups, never pairs of sets.
+    """
+    own = _blocks(rows, "h", F.floor(F.col("index") / BLOCK), None, percent).select("cell", "label", "side", "id", "n", "at")
+    cells = own.join(sets.select(F.col("id").alias("i"), "cells"), F.col("id") == F.col("i")).select("cell", "label", "side", "n", "at", "cells")
+    alike = saved(cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_candidates(percent), "a long, b long").distinct(), "alike")
+    if alike.isEmpty():
+        return alike
+    cluster = components(alike)
+    clusters = saved(cluster.union(cluster.select("root", "root")).distinct().select(F.col("node").alias("l"), F.col("root").alias("c")), "clusters")
+    inside = saved(rows.select("id", "n", "label").distinct().join(clusters, F.col("label") == F.col("l")).select(
+        "c", "label", "id", "n", (F.col("n") + ROOM // BLOCK).alias("size")), "inside")
+    cells = _blocks(inside, "c", F.floor(F.col("start") / ROOM), "size", percent).select("cell", "label", "side", "id")
+    needed = sets.join(small(inside.select(F.col("id").alias("x"))), F.col("id") == F.col("x"), "left_semi").select(F.col("id").alias("i"), "shingles")
+    whole = cells.join(needed, F.col("id") == F.col("i")).select("cell", "label", "side", "shingles")
+    return saved(whole.repartition("cell").sortWithinPartitions("cell").mapInArrow(_compared(percent), "a long, b long"), "between")
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,10 +239,11 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     shingle. Equal sets stand for one, their smallest id. Sets that cannot have a partner go by prefixes in the order of their
     hashes. The shingles of those left are ordered by the number of sets that hold them, rarest first: linked sets share one of their
     first n - ceil(percent * n / 100) + 1. On these prefix shingles sets are joined, pairs pass the length, positional and suffix
-    filters, and each pair is verified on whole sets once. A bucket's sets first meet one of them, three times another; what is
-    linked then need not meet again, and only pairs of different groups are left to join. So a large group of copies costs rows in
-    proportion to its members. A bucket of many sets that stay apart is compared in blocks of neighbouring lengths, whose number
-    grows with its square.
+    filters, and pairs are verified on whole sets. A bucket's sets first meet one of them, three times another; what is linked then
+    need not meet again. Of the buckets that still hold several groups all pairs of different groups are filtered, in blocks; groups
+    with a pair that passes form clusters, and inside a cluster each such pair is verified once, in blocks again. So a large group of copies costs rows in
+    proportion to its members, and no step hands on pairs of a group. A cluster of many sets that stay apart is compared in blocks
+    of neighbouring lengths, whose number grows with its square.
 
     Returns per id: n_shingles, component_id (smallest id reachable, itself included). A null or empty text has an empty set and is
     linked with nothing. Ids are whole numbers; rows that repeat an id give one row (of texts that differ the one with most shingles
@@ -230,12 +275,19 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
         rows = _labelled(prefixes, groups)
         if rows.isEmpty():
             break
-        pairs = _stars(rows, turn, percent) if turn < ROUNDS else _rest(rows, sets, percent)
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = _verified(pairs, sets, percent)
-        tried = checked if tried is None else tried.union(checked)
-        groups = components(tried.filter("linked").select("a", "b"))
+        if turn < ROUNDS:
+            pairs = _stars(rows, turn, percent)
+            if tried is not None:
+                pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            checked = _verified(pairs, sets, percent)
+            tried = checked if tried is None else tried.union(checked)
+            links = tried.filter("linked").select("a", "b")
+        else:
+            more = _rest(rows, sets, percent)
+            if more.isEmpty():
+                break
+            links = links.union(more)
+        groups = components(links)
     classed = every.select("id", "n", "same").join(least, "same", "left")
     if groups is None:
         groups = docs.sparkSession.createDataFrame([], "node long, root long")
