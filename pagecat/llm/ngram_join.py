@@ -58,15 +58,19 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(percent: int):
+    """Rows (a, b, x, shingles), the two of a pair one after the other: the pairs with whether they are linked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, first = None, None
         for batch in batches:
-            keep = []
-            for k in range(batch.num_rows):
-                a, b = (batch.column(c)[k].values.to_numpy() for c in (2, 3))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], names=["a", "b", "linked"])
+            out = []
+            for k, pair in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                own = batch.column(3)[k].values.to_numpy()
+                if pair == before:
+                    both = len(np.intersect1d(first, own, assume_unique=True))
+                    out.append((*pair, 100 * both >= percent * (len(first) + len(own) - both)))
+                before, first = pair, own
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["a", "b", "linked"])
 
     return run
 
@@ -133,12 +137,10 @@ def _compared(percent: int):
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with whether they are linked, by their whole sets. Each pair must stand once."""
-    pairs = saved(pairs, "pairs")
-    needed = saved(pairs.select(F.col("a").alias("x")).union(pairs.select("b")).distinct(), "needed")
-    sets = sets.join(small(needed), F.col("id") == F.col("x"), "left_semi")
-    left = pairs.join(sets.select(F.col("id").alias("ia"), F.col("shingles").alias("sa")), F.col("a") == F.col("ia"))
-    right = left.join(sets.select(F.col("id").alias("ib"), F.col("shingles").alias("sb")), F.col("b") == F.col("ib"))
-    return saved(right.select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
+    ends = saved(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("x")), "pairs")
+    rows = sets.select("id", "shingles").join(small(ends), F.col("id") == F.col("x")).select("a", "b", "x", "shingles")
+    met = rows.repartition("a", "b").sortWithinPartitions("a", "b")
+    return saved(met.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
 
 
 def _possible(every: DataFrame, percent: int) -> DataFrame:
