@@ -216,6 +216,46 @@ def cooldown_gate(requests: DataFrame, by, minutes: int = 15, at: str = "request
     )
 
 
+def run_gate(requests: DataFrame, ends: DataFrame, by, minutes: int = 15, at: str = "requested_at", end_at: str = "finished_at",
+             status: str = "status", id_col: str = "id") -> DataFrame:
+    """Decide every request: already_running, too_recent or started, where runs are what the gate itself has started.
+
+    A started run goes on until the next end of its key; only a completed one holds others back, until ``minutes`` after its
+    start; a failed one frees the gate. At one instant ends come first, completed ones before failed, and the lowest id asks first.
+
+    No key is walked in order: from the end that follows an instant one can tell which request is started next if this one is.
+    Doubling jumps along these pointers, from requests that are started whatever happened before, find all that are.
+    """
+    gap, by = minutes * MINUTE_US, list(by)
+    asked = cut(requests.withColumn("__t", micros(at)).dropna(subset=[*by, "__t"]).groupBy(*by, "__t").agg(F.min(id_col).alias("__first")))
+    instants = asked.select(*by, "__first", F.timestamp_micros("__t").alias("at"))
+    over = cut(ends.withColumn("__t", micros(end_at)).dropna(subset=[*by, "__t"]).groupBy(*by, "__t").agg(
+        F.bool_or(F.col(status) == "completed").alias("good")).select(*by, F.timestamp_micros("__t").alias("at"), "good"))
+    found = cut(lookup(instants, by, "at", [
+        Fact("end", over, "at", ("at", "good"), strict=True, forward=True),
+        Fact("before", instants, "at", ("at",), strict=True), Fact("closed", over, "at", ("at",)),
+    ]))
+    # Nothing is going after an end that followed all earlier requests, and none of these is near enough to hold this one back.
+    alone = F.col("before").isNull()
+    fresh = alone | ((F.col("closed.at") > F.col("before.at")) & (F.col("__t") - micros(F.col("before.at")) > gap))
+    ended = micros(F.col("end.at"))
+    free = F.when(F.col("end.good"), F.greatest(ended, F.col("__t") + gap + 1)).otherwise(ended)
+    points = cut(found.select(*by, F.timestamp_micros("__t").alias("at"), fresh.alias("fresh"), F.timestamp_micros(free).alias("free"), F.col("end.at").alias("over")))
+    waiting = points.filter("free IS NOT NULL")
+    onward = lookup(waiting, by, "free", [Fact("nxt", points, "at", ("at", "fresh"), forward=True)]).filter("nxt IS NOT NULL AND NOT nxt.fresh")
+    edges = cut(waiting.withColumn("__t", micros("free")).join(onward, [*by, "__t"]).select(
+        F.struct(*by, "at").alias("node"), F.struct(*by, F.col("nxt.at").alias("at")).alias("next")))
+    roots = points.filter("fresh").select(F.struct(*by, "at").alias("node"))
+    moving = roots.join(edges, "node", "left_semi").select(F.lit(0).alias("start"), "node")
+    inner = orbit(moving, edges, circles=False).filter("depth > 0").select("node.*")
+    started = cut(points.filter("fresh").select(*by, "at").unionByName(inner.select(*by, "at")).distinct().join(
+        points.select(*by, "at", "over"), [*by, "at"]).join(instants, [*by, "at"]))
+    known = with_history(requests, by, at, [Fact("__run", started, "at", ("at", "over", "__first"))])
+    own = (micros(at) == micros(F.col("__run.at"))) & (F.col(id_col) == F.col("__run.__first"))
+    going = F.col("__run.over").isNull() | (micros(F.col("__run.over")) > micros(at))
+    return known.select(*requests.columns, F.when(F.coalesce(own, F.lit(False)), "started").when(going, "already_running").otherwise("too_recent").alias("decision"))
+
+
 def single_flight(events: DataFrame, by, at: str = "ts", kind: str = "kind", id_col: str = "id") -> DataFrame:
     """Requests as owner or waiter: one is the owner iff none is open since the last end of its key.
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pagecat.operators import quality as qual
 from pagecat.plans import refresh as ref, runs as r
 from pagecat.session import scratch
-from pagecat.streaming import batches as b, gates as g
+from pagecat.streaming import batches as b, eventtime as e, gates as g
 
 from .base import query
 
@@ -183,16 +183,29 @@ def _(tb):
     return r.cooldown_gate(rows, ["source"], 15).select("id", "decision")
 
 
+ROWS_PER_FILE = 1_000_000
+
+
+def stretches(tb, rows, number, parts, label, closing=None):
+    """Write rows as files of several stretches, ``number`` telling which, and read them as a stream: each stretch a micro-batch of its own.
+
+    A stretch has as many files as its rows need, so no task writes or reads more than one of them.
+    """
+    path = scratch(tb.spark, label)
+    files = 1 + rows.count() // (parts * ROWS_PER_FILE)
+    for k in range(parts):
+        rows.filter(number == k).repartition(files).write.mode("append").parquet(path)
+    if closing is not None:
+        closing.write.mode("append").parquet(path)
+    return g.read_stream(tb.spark, path, rows.schema, maxFilesPerTrigger=str(files))
+
+
 def event_stream(tb, parts=4):
-    """The events as a stream of files, one for each stretch of time, each a micro-batch of its own."""
-    path = scratch(tb.spark, "events")
+    """The events as a stream, one micro-batch for each stretch of time."""
     events = tb["events"]
     low, high = events.agg(F.min(us("ts")), F.max(us("ts"))).first()
     step = (high - low) // parts + 1
-    for k in range(parts):
-        part = events.filter((us("ts") >= low + k * step) & (us("ts") < low + (k + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return ts(g.read_stream(tb.spark, path, events.schema, maxFilesPerTrigger="1"), "ts")
+    return ts(stretches(tb, events, F.floor((us("ts") - low) / step), parts, "events"), "ts")
 
 
 def drained(tb, df, label):
@@ -278,10 +291,7 @@ def _(tb):
     marks = asks.unionByName(ends).withColumn("at", F.timestamp_micros("t")).drop("t")
     low, high = marks.agg(F.min(us("at")), F.max(us("at"))).first()
     step = (high - low) // 4 + 1
-    for k in range(4):
-        part = marks.filter((us("at") >= low + k * step) & (us("at") < low + (k + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = g.read_stream(tb.spark, f"{base}/in", marks.schema, maxFilesPerTrigger="1")
+    stream = stretches(tb, marks, F.floor((us("at") - low) / step), 4, "marks")
     return in_batches(tb, stream, b.ttl(), "ttl").select("id", "outcome")
 
 
@@ -331,3 +341,88 @@ def _(tb):
 def _(tb):
     as_of = F.expr("timestamp'2024-01-30 00:00:00'")
     return qual.stuck(ts(tb["work_queue"], "queued_at"), as_of, 15, "queued_at").select("id")
+
+
+# Runs that the gate itself starts: a click asks, a purchase ends a run well, an error ends it badly.
+OWN_RUNS = """
+    with recursive ends as (
+      select user_id as k, ts as te, bool_or(event_type = 'purchase') as good from events where event_type in ('purchase', 'error') group by all),
+    asks as (select user_id as k, ts as t, min(event_id) as first from events where event_type = 'click' group by all),
+    n as (select a.k, a.t, a.first, e.te, greatest(e.te, case when e.good then a.t + interval '1 day 1 microsecond' end) as free
+          from asks a asof left join ends e on a.k = e.k and a.t < e.te),
+    p as (select n.*, a.t as after from n asof left join asks a on n.k = a.k and n.free <= a.t),
+    chain as (select k, t, first, te, after from p where (k, t) in (select k, min(t) from asks group by k)
+              union all select p.k, p.t, p.first, p.te, p.after from chain c join p on p.k = c.k and p.t = c.after)
+    select event_id as id, case when event_id = c.first and c.t = q.ts then 'started'
+           when c.te is null or c.te > q.ts then 'already_running' else 'too_recent' end as decision
+    from (select * from events where event_type = 'click') q asof left join chain c on q.user_id = c.k and q.ts >= c.t"""
+
+
+@query("t2_run_gate", oracle=OWN_RUNS)
+def _(tb):
+    """Every request against the runs that were started before it: a failed run frees the gate, a completed one holds it for a day."""
+    events = ts(tb["events"], "ts")
+    asks = events.filter("event_type = 'click'").select(F.col("event_id").alias("id"), "user_id", F.col("ts").alias("requested_at"))
+    status = F.when(F.col("event_type") == "purchase", "completed").otherwise("failed")
+    ends = events.filter("event_type IN ('purchase', 'error')").select("user_id", F.col("ts").alias("finished_at"), status.alias("status"))
+    return r.run_gate(asks, ends, ["user_id"], 1440).select("id", "decision")
+
+
+def unordered(tb, rows, label, late=None, parts=4, minutes=30):
+    """Rows (…, id, at, kind) as a stream in which some come up to half an hour, ``late`` ones a whole stretch after their time."""
+    low, high = rows.agg(F.min(us("at")), F.max(us("at"))).first()
+    step = (high - low + minutes * 60_000_000) // parts + 1
+    behind = F.pmod(F.xxhash64("id"), F.lit(minutes * 60_000_000))
+    number = F.floor((us("at") - low + behind) / step)
+    if late is not None:
+        number = F.when(late, F.least(F.floor((us("at") - low) / step) + 1, F.lit(parts - 1))).otherwise(F.floor((us("at") - low) / step))
+    closing = rows.limit(1).withColumns({"at": F.timestamp_micros(F.lit(high + 10 * 86_400_000_000)), "kind": F.lit("close")})
+    return stretches(tb, rows, number, parts, label, closing)
+
+
+def answers(tb, df, label):
+    base = scratch(tb.spark, label)
+    e.drain_apart(df, f"{base}/out", f"{base}/late", f"{base}/state")
+    return tb.spark.read.parquet(f"{base}/out"), tb.spark.read.parquet(f"{base}/late")
+
+
+def run_events(tb):
+    kind = F.create_map(*[F.lit(x) for x in ("click", "request", "purchase", "completed", "error", "failed")])[F.col("event_type")]
+    events = ts(tb["events"], "ts").filter("event_type IN ('click', 'purchase', 'error')")
+    return events.select("user_id", F.col("event_id").alias("id"), F.col("ts").alias("at"), kind.alias("kind"))
+
+
+@query("t2_run_gate_stream", oracle=OWN_RUNS)
+def _(tb):
+    """The same from a stream of requests and ends that come in any order within an hour."""
+    stream = unordered(tb, run_events(tb), "runs")
+    return answers(tb, e.run_gate(stream, "user_id", 1440, "1 hour"), "gate")[0].select("id", "decision")
+
+
+@query("t2_late_rows", oracle="""
+    with e as (select event_id as id, user_id, epoch_us(ts) as t from events where event_type in ('click', 'purchase', 'error')),
+    s as (select min(t) as low, (max(t) - min(t) + 1800000000) // 4 + 1 as step from e),
+    b as (select id, user_id, t, least((t - low) // step + case when id % 7 = 0 then 1 else 0 end, 3) as k from e, s),
+    w as (select k, max(max(t)) over (order by k rows between unbounded preceding and 1 preceding) as newest from b group by k)
+    select id, user_id as key, t from b join w using (k) where t < (newest // 1000 - 3600000) * 1000""")
+def _(tb):
+    """Rows that come after the watermark has passed them stand in a table of their own: here every seventh comes a stretch late."""
+    stream = unordered(tb, run_events(tb), "behind", F.col("id") % 7 == 0)
+    return answers(tb, e.run_gate(stream, "user_id", 1440, "1 hour"), "late")[1].select("id", "key", "t")
+
+
+@query("t3_single_flight_in_time", oracle=FLIGHT)
+def _(tb):
+    """Owners and waiters from a stream that is out of order by up to half an hour."""
+    rows = flight_events(ts(tb["events"], "ts")).select("user_id", F.col("event_id").alias("id"), F.col("ts").alias("at"), "kind")
+    return answers(tb, e.single_flight(unordered(tb, rows, "flights"), "user_id", "1 hour"), "flight")[0].select("id", "role")
+
+
+@query("t3_wait_outcomes_stream", RL, WAIT)
+def _(tb):
+    """What each waiter hears within 60 seconds, from a stream of requests and ends: done, failed or timeout."""
+    asks = requests(tb).select("item_id", "id", F.col("requested_at").alias("at"), F.lit("request").alias("kind"))
+    kind = F.when(F.col("status") == "failed", "failed").when(F.col("payload").isNotNull(), "done").otherwise("empty")
+    ends = refresh_log(tb).filter("completed_at IS NOT NULL").select("item_id", "id", F.col("completed_at").alias("at"), kind.alias("kind"))
+    stream = unordered(tb, asks.unionByName(ends), "waits")
+    return answers(tb, e.wait_outcomes(stream, "item_id", 60, "1 hour"), "outcomes")[0].select("id", "outcome")
