@@ -33,7 +33,7 @@ def running(df: DataFrame, by, at: str, tie=(), last: dict[str, Column] | None =
     bound, and stored in order beyond it.
     """
     values = _Values(list(by), [at, *tie], last or {}, total or {}, Window.currentRow if inclusive else -1)
-    few = df.limit(HOT_ROWS + 1).count() <= HOT_ROWS
+    few = df.count() <= HOT_ROWS
     return values.whole(df) if few else values.ranged(df)
 
 
