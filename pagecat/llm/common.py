@@ -26,7 +26,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 def small(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     """Stored id rows, marked for broadcast if a count shows that there are few; otherwise as they are, for a shuffled join."""
-    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+    return F.broadcast(ids) if ids.count() <= limit else ids
 
 
 def bucket(column: str, modulus: int) -> Column:
