@@ -116,14 +116,52 @@ def publish_and_close(stage: DataFrame, variant_stage: DataFrame, catalog: DataF
 
 
 def publish_snapshot(store: Snapshots, stage: DataFrame, variant_stage: DataFrame, as_of, **options) -> int:
-    """Read the current version, merge, write the next one with empty staging. These four tables change at once, others stay."""
-    catalog, variants = publish(
-        stage, variant_stage, store.read("catalog"), store.read("variant"), as_of, **options
-    )
-    return store.publish({
-        "catalog": catalog, "variant": variants,
-        "catalog_stage": stage.limit(0), "variant_stage": variant_stage.limit(0),
-    })
+    """Read the current version, merge, write the next one with empty staging. These four tables change at once, others stay.
+
+    If another publisher comes first, the merge is done again on top of it.
+    """
+    stage, variant_stage = cut(stage), cut(variant_stage)
+
+    def merge(version: int) -> int:
+        catalog, variants = publish(
+            stage, variant_stage, store.read("catalog", version=version), store.read("variant", version=version), as_of, **options
+        )
+        return store.publish({
+            "catalog": catalog, "variant": variants,
+            "catalog_stage": stage.limit(0), "variant_stage": variant_stage.limit(0),
+        }, based_on=version)
+
+    return store.retried(merge)
+
+
+def publish_touched(store: Snapshots, stage: DataFrame, variant_stage: DataFrame, as_of, **options) -> int:
+    """As ``publish_snapshot`` for tables in buckets (catalog by slug, variant by item_id): only buckets with a change are read whole,
+    merged and written; what is written grows with the staged rows, not with the catalogue.
+
+    Of the other buckets, addresses alone are read, to find records that a staged address names. The two tables must have
+    been consistent before (no address twice). If another publisher comes first, the merge is done again on top of it.
+    """
+    stage, variant_stage = cut(stage), cut(variant_stage)
+
+    def merge(version: int) -> int:
+        catalog, variants = store.read("catalog", version=version), store.read("variant", version=version)
+        urls = stage.select("item_url").union(variant_stage.select("item_url")).filter("item_url IS NOT NULL").distinct()
+        # Records that share an address with something staged: they may lose it, or get variants.
+        named = cut(catalog.select("id", "slug", "item_url").join(urls, "item_url", "left_semi"))
+        parts = store.touched("catalog", stage.select("slug").union(named.select("slug")), version)
+        old = store.read("catalog", parts, version)
+        merged = merged_catalog(stage, old, as_of, options.get("on_dup", "error"), options.get("blank_as_null", False))
+        ids = merged.join(stage.select("slug"), "slug", "left_semi").select("id")
+        ids = ids.union(merged.join(urls, "item_url", "left_semi").select("id")).union(old.join(merged.select("id"), "id", "left_anti").select("id"))
+        places = store.touched("variant", ids, version)
+        kept = store.read("variant", places, version)
+        last = options.get("on_dup", "error") == "last"
+        fresh = merged_variants(merged, stage, variant_stage, kept, as_of, options.get("on_dup", "error"), old if last else None)
+        return store.publish(
+            {"catalog": merged, "variant": fresh, "catalog_stage": stage.limit(0), "variant_stage": variant_stage.limit(0)},
+            parts={"catalog": parts, "variant": places}, based_on=version)
+
+    return store.retried(merge)
 
 
 def overwrite_variants(variants: DataFrame, fresh: DataFrame, arrival: str = "pos", as_of=None,

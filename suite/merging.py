@@ -212,6 +212,36 @@ def _(tb):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+def touched(tb):
+    """The staged rows published on top of tables in 64 buckets."""
+    store = s.Snapshots(tb.spark, scratch(tb.spark, "buckets"))
+    catalog = tb["catalog"].drop("poster_ref").withColumn("updated_at", F.expr("timestamp'2023-01-01 00:00:00'"))
+    store.publish({"catalog": catalog, "variant": tb["variant"]}, bucketed={"catalog": ("slug", 64), "variant": ("item_id", 64)})
+    stage, variant_stage = tb["catalog_stage"], tb["variant_stage"]
+    pub.publish_touched(store, stage, variant_stage, F.expr(WHEN), on_dup="last")
+    return store
+
+
+@query("m1_publish_touched_catalog", CS, MERGED)
+def _(tb):
+    """The catalogue after a publish that writes the buckets of staged records only."""
+    return touched(tb).read("catalog").withColumn("updated_us", us("updated_at")).drop("updated_at")
+
+
+@query("m1_publish_touched_variants", ("variant", "variant_stage", "catalog_stage"), f"""
+    with merged as ({MERGED}),
+    kept as (select item_id, label, file_size, file_url_1, 0 as new from variant where item_id not in (
+      select id from merged where slug in (select slug from catalog_stage))),
+    placed as (select merged.id as item_id, label, file_size, file_url_1, 1 as new
+               from variant_stage join merged using (item_url))
+    select item_id, label, file_size, file_url_1 from (
+      select *, row_number() over (partition by item_id, label order by new desc) as rn
+      from (select * from kept union all select * from placed)) where rn = 1""")
+def _(tb):
+    """The variants after the same publish."""
+    return touched(tb).read("variant").select("item_id", "label", "file_size", "file_url_1")
+
+
 @query("m8_overwrite_variants", ("variant", "catalog_stage"), """
     select v.id, case when s.slug is null then v.file_size
                       when s.year % 3 = 0 then null else concat(s.year, '.50 MB') end as file_size,

@@ -1,6 +1,7 @@
 """Operators against brute force on small data: time lookups, walks, merges, checks."""
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pagecat import session
 from pagecat.operators import graph, joins, merge, quality, ranking, running as run, variants
 from pagecat.plans import publish as pub, runs
-from pagecat.sources.tables import Snapshots, config_value, scan_pages
+from pagecat.sources.tables import Conflict, Snapshots, config_value, scan_pages
 from pagecat.session import scratch
 
 T0 = datetime(2024, 1, 1)
@@ -276,7 +277,7 @@ def test_clearing_leaves_other_tables_and_a_second_publisher_is_refused(spark, r
     assert [store.read(t).count() for t in ("catalog", "variant", "config")] == [0, 0, 1] and store.current() == 2
     late = Snapshots(spark, store.path)
     late.current = lambda: 1  # began before the clear
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(Conflict, match="is there"):
         late.publish({"catalog": one})
     assert store.read("catalog").count() == 0
     with pytest.raises(KeyError):
@@ -303,6 +304,65 @@ def test_snapshot_publish_is_one_version(spark, rows):
     assert store.read("config").count() == 1
 
 
+def _bucketed(spark, n=64):
+    """A store with 300 records and their variants in buckets, and a way to stage one record with one variant."""
+    _, vstage, catalog, variant = tables(spark)
+    ids = spark.range(300)
+    one, many = catalog.limit(1).drop("id", "slug", "item_url"), F.concat(F.lit("/r"), F.col("id").cast("string"))
+    records = one.crossJoin(ids.withColumns({"slug": many, "item_url": F.concat(F.lit("http://h"), many)})).withColumn("id", F.col("id").cast("string"))
+    kept = variant.limit(1).drop("id", "item_id").crossJoin(ids.select(F.col("id").cast("string").alias("item_id"), many.alias("id")))
+    store = Snapshots(spark, scratch(spark, "buckets"))
+    store.publish({"catalog": records.select(*catalog.columns), "variant": kept.select(*variant.columns)},
+                  bucketed={"catalog": ("slug", n), "variant": ("item_id", n)})
+
+    def staged(slug, label):
+        url = f"http://h{slug}"
+        stage = spark.createDataFrame([(slug, url, "renamed")], "slug string, item_url string, name string")
+        new = vstage.limit(1).withColumns({"item_url": F.lit(url), "label": F.lit(label)})
+        return stage, new.select(*vstage.columns)
+
+    return store, staged
+
+
+def _changed(store, old, new):
+    before = {(r["tbl"], r["bucket"]): r["at"] for r in store.lists(old)}
+    return [(r["tbl"], r["bucket"]) for r in store.lists(new) if r["bucket"] is not None and before.get((r["tbl"], r["bucket"])) != r["at"]]
+
+
+def test_a_publish_writes_the_touched_buckets_only(spark):
+    store, staged = _bucketed(spark)
+    before = {r["slug"]: r.asDict() for r in store.read("catalog").collect()}
+    pub.publish_touched(store, *staged("/r7", "NEW"), F.lit(T0))
+    assert sorted(t for t, _ in _changed(store, 1, 2)) == ["catalog", "variant"]
+    after = {r["slug"]: r.asDict() for r in store.read("catalog").collect()}
+    assert after.keys() == before.keys() and [k for k in after if after[k] != before[k]] == ["/r7"]
+    assert {r["label"] for r in store.read("variant").filter("item_id = '7'").collect()} == {"NEW"}
+    assert store.read("variant").count() == 300
+    # Ten records touch ten buckets at most, a new one its own.
+    pub.publish_touched(store, *[a.unionByName(b) for a, b in zip(staged("/r8", "A"), staged("/new", "B"), strict=True)], F.lit(T0))
+    assert len(_changed(store, 2, 3)) <= 4 and store.read("catalog").count() == 301
+
+
+def test_of_two_publishers_both_stagings_are_kept(spark):
+    store, staged = _bucketed(spark, 8)
+    other = Snapshots(spark, store.path)
+    first, publish = [], store.publish
+
+    def beaten(*args, **kwargs):
+        if not first:
+            first.append(pub.publish_touched(other, *staged("/r1", "A"), F.lit(T0)))
+        return publish(*args, **kwargs)
+
+    store.publish = beaten
+    assert pub.publish_touched(store, *staged("/r1", "B"), F.lit(T0)) == 3 and first == [2]
+    assert {r["label"] for r in store.read("variant").filter("item_id = '1'").collect()} == {"B"}
+    del store.publish
+    with ThreadPoolExecutor(3) as pool:
+        done = list(pool.map(lambda k: pub.publish_touched(Snapshots(spark, store.path), *staged(f"/t{k}", "T"), F.lit(T0)), range(3)))
+    assert sorted(done) == [4, 5, 6] and store.read("catalog").filter("slug LIKE '/t%'").count() == 3
+    assert store.read("variant").filter("label = 'T'").count() == 3
+
+
 def test_refresh_overwrites_with_null_unless_guarded(spark, rows):
     variant = spark.createDataFrame([("1", "A", "HD", "1", "f1"), ("2", "A", "SD", "2", "f2")], VARIANT)
     fresh = spark.createDataFrame([("A", "HD", 1, "n", "x"), ("A", "HD", 2, None, None), ("A", "4K", 3, "q", None)],
