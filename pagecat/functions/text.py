@@ -167,9 +167,29 @@ def coalesce_src(source, video) -> Column:
     return F.coalesce(F.nullif(_col(source), F.lit("")), F.nullif(_col(video), F.lit("")))
 
 
-def payload_present(payload) -> Column:
-    """NULL is no result, an empty list is one."""
-    return _col(payload).isNotNull()
+def payload_present(payload, kind: str = "value") -> Column:
+    """Whether a stored payload is a result. NULL is none, an empty list is one.
+
+    ``kind`` tells how it is stored: a typed ``value``, a ``variant``, or ``json`` text. Of the last two, what a script would take for
+    nothing is no result: null, false, 0 and empty text; text that is no JSON is none either.
+    """
+    if kind == "value":
+        return _col(payload).isNotNull()
+    value = F.try_parse_json(_col(payload)) if kind == "json" else _col(payload)
+    held = F.schema_of_variant(value)
+    return F.coalesce(
+        F.when(held == "VOID", False)
+        .when(held == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .when(held == "STRING", F.try_variant_get(value, "$", "string") != "")
+        .when(held.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "double") != 0)
+        .when(held.isNotNull(), True),
+        F.lit(False),
+    )
+
+
+def payload_kind(df, payload: str) -> str:
+    """How the column is stored, for ``payload_present``."""
+    return {"string": "json", "variant": "variant"}.get(df.schema[payload].dataType.simpleString(), "value")
 
 
 def minutes_ago(now, then) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import payload_kind, payload_present
 from ..operators.graph import orbit
 from ..operators.merge import delete_where, update_where, upsert
 from ..operators.quality import unique_violations
@@ -18,13 +19,20 @@ def _last_completed(runs: DataFrame, minutes: int, run_at: str = "refresh_time")
     return Fact("__run", done, run_at, (run_at, "id"), minutes * MINUTE_US, tie=("id",))
 
 
+def _results(log: DataFrame, payload: str) -> DataFrame:
+    """The log with NULL for payloads that are no result. A VARIANT, which cannot be ordered, becomes its text."""
+    kind = payload_kind(log, payload)
+    value = F.to_json(payload) if kind == "variant" else F.col(payload)
+    return log.withColumn(payload, F.when(payload_present(payload, kind), value))
+
+
 def _last_done(log: DataFrame, minutes: int, payload: str) -> Fact:
-    done = log.filter(F.col("status") == "done")
+    done = _results(log, payload).filter(F.col("status") == "done")
     return Fact("__done", done, "completed_at", ("completed_at", payload), minutes * MINUTE_US, tie=("id",))
 
 
 def _next_end(log: DataFrame, payload: str, wait_s: int | None = None) -> Fact:
-    ended = log.filter(F.col("completed_at").isNotNull())
+    ended = _results(log, payload).filter(F.col("completed_at").isNotNull())
     return Fact("__end", ended, "completed_at", ("completed_at", "status", payload),
                 None if wait_s is None else wait_s * 1_000_000, strict=True, forward=True, tie=("id",))
 
@@ -48,14 +56,15 @@ def cooldown_join(requests: DataFrame, runs: DataFrame, minutes: int = 15, by=()
 
 def cached_result_join(requests: DataFrame, log: DataFrame, by, minutes: int = 5, at: str = "requested_at",
                        payload: str = "payload") -> DataFrame:
-    """Each request with the payload of the newest finished one in time. Without a payload there is no hit."""
+    """Each request with the payload of the newest finished one in time. A payload that is no result (``payload_present``) is no hit."""
     found = with_history(requests, by, at, [_last_done(log, minutes, payload)])
     hit = F.col(f"__done.{payload}").isNotNull()
+    value = F.col(f"__done.{payload}")
     return found.select(
         *requests.columns,
         F.coalesce(hit, F.lit(False)).alias("cached"),
         F.when(hit, F.col("__done.completed_at")).alias("cached_at"),
-        F.when(hit, F.col(f"__done.{payload}")).alias("cached_payload"),
+        F.when(hit, F.parse_json(value) if payload_kind(log, payload) == "variant" else value).alias("cached_payload"),
     )
 
 

@@ -65,6 +65,18 @@ def to_json_col(col) -> Column:
     return F.to_json(col)
 
 
+def to_variant_col(col) -> Column:
+    """A value as VARIANT, through its JSON text."""
+    return F.parse_json(F.to_json(col))
+
+
+def variant_entries(col, fields: dict[str, str]) -> Column:
+    """The entries of a VARIANT list as structs of the given fields (name to type); a missing field is NULL, no list has no entries."""
+    entry = lambda e: F.struct(*[F.try_variant_get(e, f"$.{name}", kind).alias(name) for name, kind in fields.items()])
+    value = F.col(col) if isinstance(col, str) else col
+    return F.transform(F.when(F.schema_of_variant(value).startswith("ARRAY"), F.try_variant_get(value, "$", "array<variant>")), entry)
+
+
 def from_json_col(col, schema: str = schemas.PAYLOAD) -> Column:
     return F.from_json(col, schema)
 

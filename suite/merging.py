@@ -79,6 +79,18 @@ def _(tb):
     return stored.select("item_id", entry).select("item_id", "e.label", "e.file_url_1", "e.file_url_2")
 
 
+@query("s9_variant_column", VF, """
+    select item_id, label, url as file_url_1, nullif(file_url_2, '') as file_url_2 from variant_file""")
+def _(tb):
+    """The same lists stored as VARIANT and read back field by field."""
+    rows = tb["variant_file"].withColumn("file_url_1", F.col("url"))
+    arrays = v.collect_variants(rows, "item_id", ["file_url_1", "file_url_2"])
+    stored = arrays.select("item_id", s.to_variant_col("payload").alias("payload"))
+    fields = {"label": "string", "file_url_1": "string", "file_url_2": "string"}
+    entry = F.explode(s.variant_entries("payload", fields)).alias("e")
+    return stored.select("item_id", entry).select("item_id", "e.label", "e.file_url_1", "e.file_url_2")
+
+
 @query("s10_apply_defaults", ("work_queue",), """
     select id, coalesce(status, 'pending') as status, coalesce(priority, 2) as priority,
            epoch_us(queued_at + interval '5' minute) as expires_us from work_queue""")

@@ -61,6 +61,19 @@ def _(tb):
     return out.select("id", "cached", F.col("cached_payload").alias("payload"))
 
 
+@query("j6_cached_json_values", RL, """
+    with log as (select * replace (case when id % 5 = 0 then 'null' when id % 7 = 0 then '{broken' else payload end as payload) from refresh_log where status = 'done'),
+    found as (select q.id, r.payload, r.completed_at >= q.requested_at - interval '5' minute and r.payload <> 'null' and r.payload <> '{broken' as hit
+              from run_request q asof left join log r on q.item_id = r.item_id and q.requested_at >= r.completed_at)
+    select id, coalesce(hit, false) as cached, case when hit then payload end as payload from found""")
+def _(tb):
+    """A finished request whose payload is a JSON null, or no JSON, is no hit; payloads stored as VARIANT."""
+    text = F.when(F.col("id") % 5 == 0, "null").when(F.col("id") % 7 == 0, "{broken").otherwise(F.col("payload"))
+    log = refresh_log(tb).withColumn("payload", F.try_parse_json(text))
+    out = r.cached_result_join(requests(tb), log, ["item_id"])
+    return out.select("id", "cached", F.to_json("cached_payload").alias("payload"))
+
+
 WAIT = """
     select q.id, case when r.completed_at > q.requested_at + interval '60' second or r.id is null then 'timeout'
                       when r.status = 'done' and r.payload is not null then 'done'

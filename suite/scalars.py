@@ -237,6 +237,16 @@ def _(tb):
     return tb["refresh_log"].select("id", t.payload_present(value).alias("present"))
 
 
+@query("h24_payload_values", oracle="""
+    select event_id as id, event_id % 9 in (2, 3, 6, 8) as present, event_id % 9 in (2, 3, 6, 8) as present_variant from events""")
+def _(tb):
+    """Stored texts: null, no JSON, lists, text, numbers, truth values and nothing at all."""
+    kinds = ["null", "{broken", "[]", '[{"label": "HD"}]', '""', "0", '"x"', "false", "{}"]
+    text = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("event_id") % 9 + 1).cast("int"))
+    rows = tb["events"].select(F.col("event_id").alias("id"), text.alias("payload")).withColumn("v", F.try_parse_json("payload"))
+    return rows.select("id", t.payload_present("payload", "json").alias("present"), t.payload_present("v", "variant").alias("present_variant"))
+
+
 @query("h25_coalesce_src", ("variant_file",), """
     select item_id, pos, url, coalesce(nullif(file_url_1, ''), nullif(file_url_2, '')) as src from variant_file""")
 def _(tb):
