@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END, MORE, LINE = "<|im_start|>", "<|im_end|>\n", "<|im_cont|>", "<|im_nl|>"
@@ -32,48 +32,33 @@ def format_chats(
     strings inside texts and roles are escaped.
 
     Returns per conversation: messages (role, texts), formatted, loss_spans (start and length in code points of ``formatted``,
-    one for each text of ``loss_roles``). A null conversation id is a conversation of its own; repeated rows are turns of their
+    start_byte and bytes in its UTF-8, one for each text of ``loss_roles``). Time grows with the length of a conversation, not its square. A null conversation id is a conversation of its own; repeated rows are turns of their
     own; an empty table gives no rows; other columns are not read. A conversation becomes one row, as its string must.
     """
-    turn = F.struct(
-        F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
-    sorted_turns = turns.groupBy(conv_col).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    kind = "array<struct<role:string,texts:array<string>>>"
-
-    def add(messages, t):
-        last = F.element_at(messages, -1)
-        longer = F.concat(
-            F.slice(messages, 1, F.size(messages) - 1),
-            F.array(F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(t["text"])).alias("texts"))),
-        )
-        new = F.concat(messages, F.array(F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts"))))
-        return F.when((F.size(messages) > 0) & (F.try_element_at(messages, F.lit(-1))["role"] == t["role"]), longer).otherwise(new)
-
-    merged = sorted_turns.select(conv_col, F.aggregate("turns", F.array().cast(kind), add).alias("messages"))
-    # Each text with what stands before it; a message's end is written before the next one begins, and once at the end.
-    pieces = F.flatten(F.transform("messages", lambda m, i: F.transform(m["texts"], lambda t, k: F.struct(
-        F.when(k > 0, F.lit(MORE)).otherwise(F.concat(
-            F.when(i > 0, F.lit(END)).otherwise(F.lit("")), F.lit(START), F.replace(escape(m["role"]), F.lit("\n"), F.lit(LINE)), F.lit("\n"),
-        )).alias("head"),
-        escape(t).alias("text"), m["role"].isin(*loss_roles).alias("learn"),
-    ))))
-    pieced = merged.select(conv_col, "messages", pieces.alias("pieces"))
-
-    def step(acc, p):
-        at = acc["at"] + F.length(p["head"])
-        span = F.array(F.struct(at.alias("start"), F.length(p["text"]).alias("length")))
-        return F.struct(
-            (at + F.length(p["text"])).alias("at"),
-            F.when(p["learn"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
-        )
-
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    return pieced.select(
-        conv_col, "messages",
-        F.concat(F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["text"])), ""), F.lit(END)).alias("formatted"),
-        F.aggregate("pieces", none, step)["spans"].alias("loss_spans"),
+    order = Window.partitionBy(conv_col).orderBy("turn", "role", "text")
+    rows = turns.select(
+        conv_col, F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    placed = rows.withColumns({"before": F.lag("role").over(order), "number": F.row_number().over(order)})
+    # What stands before a text: a message's end is written before the next one begins, and once at the end.
+    opens = (F.col("number") == 1) | (F.col("before") != F.col("role"))
+    begin = F.concat(F.lit(START), F.replace(escape(F.col("role")), F.lit("\n"), F.lit(LINE)), F.lit("\n"))
+    head = F.when(~opens, F.lit(MORE)).when(F.col("number") == 1, begin).otherwise(F.concat(F.lit(END), begin))
+    pieces = placed.withColumns({"opens": opens, "safe": escape(F.col("text")), "learn": F.col("role").isin(*loss_roles)}).withColumn("piece", F.concat(head, F.col("safe")))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    measured = pieces.withColumns({
+        "start": (F.sum(F.length("piece")).over(so_far) - F.length("safe")).cast("int"), "length": F.length("safe"),
+        "start_byte": (F.sum(F.octet_length("piece")).over(so_far) - F.octet_length("safe")).cast("int"), "bytes": F.octet_length("safe"),
+    })
+    turn = F.struct("number", "role", "text", "opens", "learn", "piece", F.struct("start", "length", "start_byte", "bytes").alias("span"))
+    kept = measured.groupBy(conv_col).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    first = kept.select(conv_col, "turns", F.transform(F.filter("turns", lambda t: t["opens"]), lambda t: t["number"]).alias("first"))
+    after = F.concat(F.slice("first", F.lit(2), F.size("first")), F.array(F.size("turns") + 1))
+    messages = F.zip_with("first", after, lambda a, b: F.struct(
+        F.element_at("turns", a)["role"].alias("role"), F.transform(F.slice("turns", a, b - a), lambda t: t["text"]).alias("texts")))
+    return first.select(
+        conv_col, messages.alias("messages"),
+        F.concat(F.array_join(F.transform("turns", lambda t: t["piece"]), ""), F.lit(END)).alias("formatted"),
+        F.transform(F.filter("turns", lambda t: t["learn"]), lambda t: t["span"]).alias("loss_spans"),
     )
 
 
@@ -90,5 +75,7 @@ def read_chats(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     return formatted.select(
         conv_col, "formatted",
         F.flatten(F.transform(F.slice(parts, 2, F.size(parts)), message)).alias("turns"),
-        F.transform("loss_spans", lambda s: unescape(F.substr("formatted", s["start"] + 1, s["length"]))).alias("loss_texts"),
+        # Bytes can be reached without counting the characters before them.
+        F.flatten(F.transform(F.array(F.col("formatted").cast("binary")), lambda whole: F.transform(
+            "loss_spans", lambda s: unescape(F.decode(F.substring(whole, s["start_byte"] + 1, s["bytes"]), "UTF-8"))))).alias("loss_texts"),
     )
