@@ -118,7 +118,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, rows: int = 30_000, min_support: int = 8, max_words: int = 4_000, id_col: str = "doc_id",
+    docs: DataFrame, labels: DataFrame, rows: int = 30_000, min_support: int = 8, id_col: str = "doc_id",
     text_col: str = "text", label_col: str = "toxic",
 ) -> Model:
     """Learn lexicon and curve from labelled rows. ``rows`` bounds the sample (about that many, by the hash of the id).
@@ -126,7 +126,7 @@ def fit(
     A word's support is the number of toxic and of clean texts that have it, told apart by the words around its first
     occurrence, so that copies of one text add nothing. A stem's support is that of all words that start so. Words and stems with
     ``min_support`` toxic texts, more toxic than clean ones and a log-odds ratio of three standard errors above 1 make the
-    lexicon, weighted by that ratio; the ``max_words`` strongest ones.
+    lexicon, weighted by that ratio. The bounded sample bounds it: a word needs ``min_support`` rows of it.
     """
     spark = docs.sparkSession
     labelled = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(
@@ -170,7 +170,7 @@ def fit(
     words = (
         support.unionByName(stems).filter((F.col("bad") >= min_support) & (2 * F.col("bad") > F.col("n")) & (F.length("word") > 1))
         .withColumn("weight", ratio).filter(F.col("weight") - 3 * F.sqrt(1 / bad + 1 / good) > 1)
-        .orderBy(F.desc("weight"), "word").limit(max_words).collect()
+        .orderBy(F.desc("weight"), "word").collect()
     )
     model = Model({r["word"]: r["weight"] for r in words})
     matcher_of = spark.sparkContext.broadcast(model)
