@@ -39,32 +39,50 @@ class Grams:
     letters: np.ndarray
 
 
-def grams(pieces: list[tuple[int, str]]) -> Grams:
-    """Runs of other characters count as one space; each piece is led in by three of them and closed by one."""
-    joined = "".join("\0\0\0" + text + "\0" for _, text in pieces)
+def grams(pieces: list[tuple[int, str, str, bool]]) -> Grams:
+    """Of pieces (row, the three symbols before it, text, whether the text ends with it). Runs of other characters count as one
+    space; a text is led in by three of them and closed by one."""
+    joined = "".join(before + text + "\0" * last for _, before, text, last in pieces)
     symbols = _letters()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    ends = np.cumsum([len(text) + 4 for _, text in pieces])
+    ends = np.cumsum([len(text) + 3 + last for _, _, text, last in pieces])
     begins = np.concatenate(([0], ends[:-1]))
     lead = np.zeros(len(symbols), bool)
     for k in range(3):
         lead[begins + k] = True
     keep = (symbols != 0) | lead
     keep[1:] |= symbols[:-1] != 0
-    letters = np.add.reduceat((symbols != 0).astype(np.int64), begins)
+    letters = np.add.reduceat(((symbols != 0) & ~lead).astype(np.int64), begins)
     starts = np.concatenate(([0], np.cumsum(keep)[ends[:-1] - 1]))
     kept = symbols[keep].astype(np.uint64)
     codes = kept.copy()
     for k in range(1, ORDER):
         codes[k:] |= kept[:-k] << np.uint64(16 * k)
-    return Grams(codes, lead[keep], starts, [row for row, _ in pieces], letters)
+    return Grams(codes, lead[keep], starts, [p[0] for p in pieces], letters)
+
+
+# A letter that stands for all beyond 16 bits.
+_BEYOND = "\U00010428"
+
+
+def _carried(before: str, text: str) -> str:
+    """The last three symbols of a text after ``before``, as characters that have them."""
+    symbols = _letters()[np.frombuffer((before + text).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    keep = symbols != 0
+    keep[1:] |= symbols[:-1] != 0
+    keep[:3] = True
+    return "".join("\0" if s == 0 else _BEYOND if s == 1 else chr(s) for s in symbols[keep][-3:].tolist())
 
 
 def grouped(texts: list[str | None], size: int = PIECE):
-    """Groups of pieces of about ``size`` characters; a longer text is cut into pieces of that length, none is left out."""
+    """Groups of pieces of about ``size`` characters. A longer text is cut into pieces of that length, each with the three symbols
+    before it, so that it is counted as if it were whole."""
     group, held = [], 0
     for row, text in enumerate(texts):
+        before = "\0\0\0"
         for at in range(0, len(text or ""), size):
-            group.append((row, text[at:at + size]))
+            piece, last = text[at:at + size], at + size >= len(text)
+            group.append((row, before, piece, last))
+            before = before if last else _carried(before, piece)
             held += min(size, len(text) - at)
             if held >= size:
                 yield group
@@ -232,11 +250,21 @@ def limits(model: Model, best: np.ndarray, scored: np.ndarray, margin: float) ->
     return model.mean[best] + margin + 6 * model.spread[best] + 6 * model.char[best] / np.sqrt(np.maximum(scored, 1))
 
 
+def likely(model: Model, best: np.ndarray, scored: np.ndarray, lowest: np.ndarray, margin: float) -> np.ndarray:
+    """1 for a usual cross-entropy, a half at the limit of what is accepted, towards 0 beyond."""
+    usual = model.mean[best]
+    room = limits(model, best, scored, margin) - usual
+    with np.errstate(invalid="ignore"):
+        over = np.where(np.isfinite(usual), np.maximum(lowest - usual, 0) / room, 0)
+    return 1 / (1 + over ** 4)
+
+
 def predict(docs: DataFrame, model: Model, margin: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Language of each whole text: the lowest cross-entropy per symbol.
 
     Returns per row: the id, lang_pred (``und`` without text or letters, or if nothing was learned), score (0 to 1: the chosen
-    language's share of the likelihood over 40 symbols at most, times 0 for ``und``), cross_entropy (null for ``und``) and
+    language's share of the likelihood over 40 symbols at most, which falls as the cross-entropy leaves what is usual and is a half of
+    it where texts begin to be rejected; 0 for ``und``), cross_entropy (null for ``und``) and
     rejected: ``und``, or a cross-entropy that calibration texts of the language and length do not reach. Ties go to the first
     language by name. Rows that repeat an id, null ids and empty tables need no care; other columns are not read.
     """
@@ -252,6 +280,8 @@ def predict(docs: DataFrame, model: Model, margin: float = 0.5, id_col: str = "d
             best = cross.argmin(1)
             lowest = cross.min(1)
             share = 1 / np.exp((lowest[:, None] - cross) * np.minimum(scored, 40)[:, None]).sum(1)
+            if shared.value.langs:
+                share *= likely(shared.value, best, scored, lowest, margin)
             far = lowest > limits(shared.value, best, scored, margin) if shared.value.langs else ~known
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(names[np.where(known, best, len(names) - 1)], pa.string()), pa.array(np.where(known, share, 0.0)),
