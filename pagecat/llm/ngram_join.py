@@ -272,7 +272,7 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     sets = saved(once(texts.mapInArrow(_whole, "id long, n long, same binary, shingles array<long>, cells binary")).drop("same"), "sets")
     prefixes = _prefixes(sets, percent)
 
-    tried, groups = None, None
+    tried, links, groups = None, None, None
     for turn in range(ROUNDS + 1):
         rows = _labelled(prefixes, groups)
         if rows.isEmpty():
@@ -288,7 +288,7 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
             more = _rest(rows, sets, percent)
             if more.isEmpty():
                 break
-            links = links.union(more)
+            links = more if links is None else links.union(more)
         groups = components(links)
     classed = every.select("id", "n", "same").join(least, "same", "left")
     if groups is None:

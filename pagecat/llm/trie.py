@@ -119,9 +119,10 @@ def _arcs(nodes: DataFrame) -> DataFrame:
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arcs (arc, next, gap) of one partition as maximal runs: each arc with the run's first arc and its distance from there, and of a
     run's first arc where the run leads to and how long it is."""
-    held = pa.Table.from_batches(list(batches))
-    if not held.num_rows:
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
         return
+    held = pa.Table.from_batches(parts)
     arc, gap = held.column(0).to_numpy(), held.column(2).to_numpy()
     following = held.column(1).fill_null(-1).to_numpy()
     order = np.argsort(arc)
