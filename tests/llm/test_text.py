@@ -76,7 +76,7 @@ def _cost(gram, orders, symbols):
 def test_language_model_equals_a_plain_one(prose):
     texts = [prose(k, 40) + ("!! " if k % 2 else "") + prose(k + 100, 5) for k in range(8)]
     _, orders = _kn(texts)
-    g = langid.grams(list(enumerate(texts)))
+    g = langid.grams(next(langid.grouped(texts)))
     codes, counts = np.unique(g.codes[~g.lead], return_counts=True)
     symbols = 1 + len(orders[1][0])
     model = langid.Model(["x"], [langid.kneser_ney(codes, counts)], symbols)
@@ -112,9 +112,28 @@ def test_language_prediction_and_rejection(spark, prose):
     assert langid.predict(df.limit(0), model).collect() == []
 
 
-def test_long_texts_are_scored_whole(prose):
+def test_long_texts_are_scored_whole(monkeypatch):
     pieces = list(langid.grouped(["ab" * langid.PIECE, None, "", "c"]))
-    assert sum(len(t) for g in pieces for _, t in g) == 2 * langid.PIECE + 1
+    assert sum(len(t) for g in pieces for _, _, t, _ in g) == 2 * langid.PIECE + 1
+    # Cut anywhere, a text has the n-grams of the whole one: runs of other characters, letters beyond 16 bits and capitals included.
+    r = random.Random(3)
+    for _ in range(50):
+        text = "".join(r.choice(["a", "É", " ", "  ", "..", "\n", "7", "\U00010400", "ß", "xyz"]) for _ in range(r.randrange(1, 60)))
+        whole = langid.grams(next(langid.grouped([text])))
+        for size in (1, 2, 5):
+            parts = [langid.grams(g) for g in langid.grouped([text], size)]
+            assert [c for p in parts for c in p.codes[~p.lead].tolist()] == whole.codes[~whole.lead].tolist()
+            assert sum(int(p.letters.sum()) for p in parts) == int(whole.letters.sum())
+
+
+def test_scores_fall_as_texts_are_rejected(spark, prose):
+    german = [(k, " ".join("ü".join(w) for w in prose(k, 60).split()), "de") for k in range(60)]
+    docs = spark.createDataFrame(german + [(100 + k, prose(500 + k, 60), "en") for k in range(60)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    odd = spark.createDataFrame([(1, prose(900, 60)), (2, "зчщ жфх цыю эъя " * 20), (3, "qzx jxq vkz wqx " * 20)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.predict(odd, model).collect()}
+    assert not got[1]["rejected"] and got[1]["score"] > 0.9
+    assert all(got[k]["rejected"] and got[k]["score"] < 0.5 for k in (2, 3))
 
 
 def test_toxicity_folds_spares_and_normalises():
