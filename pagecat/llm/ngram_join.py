@@ -172,15 +172,12 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return saved(cut.select(F.col("s.h").alias("h"), "id", "n", (F.col("alone") + F.col("k")).alias("at")), "prefixes")
 
 
-def _labelled(prefixes: DataFrame, groups: DataFrame | None) -> DataFrame:
+def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Prefix rows with the group of their set, of buckets only that hold several groups."""
-    if groups is None:
-        rows = prefixes.withColumn("label", F.col("id"))
-    else:
-        rows = prefixes.join(groups, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("root", "id")).drop("node", "root")
-    rows = saved(rows, "labelled")
-    mixed = rows.groupBy(F.col("h").alias("k")).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 != l1")
-    return saved(rows.join(saved(mixed.select("k"), "several"), F.col("h") == F.col("k"), "left_semi"), "mixed")
+    known = rows.select("h", "id", "n", "at").join(small(saved(groups, "groups")), F.col("id") == F.col("node"), "left").withColumn(
+        "label", F.coalesce("root", "id")).drop("node", "root")
+    mixed = known.groupBy(F.col("h").alias("k")).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 != l1")
+    return saved(known.join(small(saved(mixed.select("k"), "several")), F.col("h") == F.col("k"), "left_semi"), "mixed")
 
 
 def _stars(rows: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -190,7 +187,8 @@ def _stars(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """
     centre = F.struct("id", "n", "at", "label")
     pick = F.min(F.struct("id", "n", "at", "label")) if turn == 0 else F.min_by(centre, F.xxhash64("id", F.lit(turn)))
-    met = rows.join(saved(rows.groupBy(F.col("h").alias("k")).agg(pick.alias("c")), "centres"), F.col("h") == F.col("k"))
+    centres = saved(rows.groupBy(F.col("h").alias("k")).agg(pick.alias("c"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size"), "centres")
+    met = rows.join(small(centres), F.col("h") == F.col("k"))
     need = F.ceil(percent * (F.col("n") + F.col("c.n")) / F.lit(100.0 + percent))
     most = F.least("at", "c.at") + F.least(F.col("n") - F.col("at"), F.col("c.n") - F.col("c.at"))
     long_enough = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
@@ -273,8 +271,11 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     prefixes = _prefixes(sets, percent)
 
     tried, links, groups = None, None, None
+    rows = prefixes.withColumn("label", F.col("id"))
     for turn in range(ROUNDS + 1):
-        rows = _labelled(prefixes, groups)
+        if groups is not None:
+            # A bucket of one group stays one: later turns go on from what this one leaves.
+            rows = _labelled(rows, groups)
         if rows.isEmpty():
             break
         if turn < ROUNDS:
