@@ -16,7 +16,7 @@ from .minhash import _by_cell as by_cell, _Labels as Labels, _pairs as pairs_of,
 from .words import mix, wide_sets
 
 # Cells of a suffix count; rows of a bucket that meet in one place; rounds in which a bucket's rows are held against one of them.
-CELLS, BLOCK, ROUNDS = 64, 1024, 3
+CELLS, BLOCK, ROUNDS = 128, 1024, 3
 # Shingles of a block of whole sets.
 ROOM = 400_000
 
@@ -50,31 +50,46 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to (id, n, digest, sorted shingles, how many of them fall into each cell, up to 255)."""
     for batch in batches:
         sets = wide_sets([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()])
-        cells = [np.minimum(np.bincount((mix(s) >> np.uint64(58)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for s in sets]
+        cells = [np.minimum(np.bincount((mix(s) >> np.uint64(57)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for s in sets]
         yield pa.RecordBatch.from_pydict({
             "id": batch.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
             "same": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
             "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), "cells": pa.array(cells, pa.binary())})
 
 
-def _verify(percent: int):
-    """Rows (a, b, x, shingles), the two of a pair one after the other: the pairs with whether they are linked."""
+def _two_by_two(linked):
+    """Rows (a, b, x, n, value), the two of a pair one after the other: the pairs with what ``linked(n, value, m, other)`` says of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, first = None, None
+        before, first = None, ()
         for batch in batches:
             out = []
-            for k, pair in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                own = batch.column(3)[k].values.to_numpy()
+            for k, (*pair, n) in enumerate(zip(*[batch.column(c).to_pylist() for c in (0, 1, 3)], strict=True)):
                 if pair == before:
-                    both = len(np.intersect1d(first, own, assume_unique=True))
-                    out.append((*pair, 100 * both >= percent * (len(first) + len(own) - both)))
-                before, first = pair, own
+                    out.append((*pair, bool(linked(*first, n, batch.column(4)[k]))))
+                before, first = pair, (n, batch.column(4)[k])
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["a", "b", "linked"])
 
     return run
 
 
+def _suffix_allows(percent: int):
+    """What two sets hold apart in any cell they cannot share."""
+    def linked(n, cells, m, other):
+        x, y = (np.frombuffer(c.as_py(), np.uint8).astype(np.int64) for c in (cells, other))
+        return n + m - int(np.abs(x - y).sum()) >= 2 * -(-percent * (n + m) // (100 + percent))
+
+    return linked
+
+
+def _alike(percent: int):
+    def linked(n, shingles, m, other):
+        both = len(np.intersect1d(shingles.values.to_numpy(), other.values.to_numpy(), assume_unique=True))
+        return 100 * both >= percent * (n + m - both)
+
+    return linked
+
+
 def _candidates(percent: int):
     """Rows (cell, label, side, n, at, cells): which groups of a cell hold sets that length, place in the prefix and counts allow to be
     linked, as a forest of their labels."""
@@ -135,12 +150,19 @@ def _compared(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with whether they are linked, by their whole sets. Each pair must stand once."""
+def _told(pairs: DataFrame, sets: DataFrame, column: str, linked) -> DataFrame:
+    """The pairs (a, b) with what ``linked`` says of the column of both their sets, brought together in one shuffle."""
     ends = saved(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("x")), "pairs")
-    rows = sets.select("id", "shingles").join(small(ends), F.col("id") == F.col("x")).select("a", "b", "x", "shingles")
+    rows = sets.select("id", "n", column).join(small(ends), F.col("id") == F.col("x")).select("a", "b", "x", "n", column)
     met = rows.repartition("a", "b").sortWithinPartitions("a", "b")
-    return saved(met.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
+    return saved(met.mapInArrow(_two_by_two(linked), "a long, b long, linked boolean"), "told")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with whether they are linked: by their cells, and where these allow it by their whole sets. Each pair stands once."""
+    allowed = _told(pairs, sets, "cells", _suffix_allows(percent))
+    whole = _told(allowed.filter("linked").select("a", "b"), sets, "shingles", _alike(percent))
+    return allowed.filter("NOT linked").union(whole)
 
 
 def _possible(every: DataFrame, percent: int) -> DataFrame:
