@@ -25,6 +25,9 @@ CONTRACT = {
     "op7": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     "op8": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op11": "item_id bigint, rank int, doc_id bigint, score bigint",
+    "op12": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "op13": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
     "op10": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
 }
 
