@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .hosts import normal_host
 from .text import _col, js_trim, let
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 _PARTS = (
-    r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#:\s<>\\^|%]+)(?::([0-9]*))?"
+    r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?(\[[0-9A-Fa-f:.]+\]|[^/?#:\s<>\\^|%\[\]]+)(?::([0-9]*))?"
     r"([^?#]*)(\?[^#]*)?(#.*)?\z"
 )
 _CUT = "\x01"
@@ -68,12 +69,16 @@ def _path(p: Column) -> Column:
     return F.when(raw == "", F.lit("/")).otherwise(let(_no_dots(raw), lambda x: _escape(x, _KEEP_PATH)))
 
 
+def _port(p: Column) -> Column:
+    """The port with its colon, nothing for the scheme's own; NULL for one beyond 65535."""
+    port = F.regexp_replace(p[2], "^0+(?=[0-9])", "")
+    own = F.concat(F.lower(p[0]), port).isin("http80", "https443") | (port == "")
+    fits = port.rlike("^[0-9]{1,5}$") & (port.try_cast("int") <= 65535)
+    return F.when(own, F.lit("")).when(fits, F.concat(F.lit(":"), port))
+
+
 def _origin(p: Column) -> Column:
-    own = F.concat(F.lower(p[0]), p[2]).isin("http", "http80", "https", "https443") | (p[2] == "")
-    return F.concat(
-        F.lower(p[0]), F.lit("://"), F.lower(p[1]),
-        F.when(own, F.lit("")).otherwise(F.concat(F.lit(":"), p[2])),
-    )
+    return F.concat(F.lower(p[0]), F.lit("://"), normal_host(p[1]), _port(p))
 
 
 def _full(p: Column) -> Column:
@@ -82,7 +87,7 @@ def _full(p: Column) -> Column:
 
 def url_path(url) -> Column:
     """The path with its leading slash; NULL for an address that is none."""
-    return let(_parts(_clean(url)), lambda p: F.when(_full(p), _path(p)))
+    return let(_parts(_clean(url)), lambda p: F.when(_full(p) & _origin(p).isNotNull(), _path(p)))
 
 
 def url_origin(url) -> Column:

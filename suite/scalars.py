@@ -64,6 +64,23 @@ def _(tb):
     )
 
 
+@query("h9_url_origin_hosts", oracle="""
+    select c_custkey as k, 'http://' || case c_custkey % 3
+             when 0 then printf('%d.%d.%d.%d', v >> 24, (v >> 16) & 255, (v >> 8) & 255, v & 255)
+             when 1 then printf('[2001:db8::%x]:8080', c_custkey % 65535 + 1)
+             else 'xn--bcher-kva.h' || c_custkey end as origin
+    from (select *, (c_custkey::bigint * 28447) % 4294967296 as v from customer)""")
+def _(tb):
+    """Numeric hosts, IPv6 addresses in brackets and international names."""
+    k = F.col("c_custkey").cast("bigint")
+    host = (
+        F.when(k % 3 == 0, (k * 28447 % 4294967296).cast("string"))
+        .when(k % 3 == 1, F.concat(F.lit("[2001:0DB8::"), F.hex(k % 65535 + 1), F.lit("]:8080")))
+        .otherwise(F.concat(F.lit("B\u00dcCHER.H"), k))
+    )
+    return tb["customer"].select(F.col("c_custkey").alias("k"), u.url_origin(F.concat(F.lit("HTTP://"), host, F.lit("/x"))).alias("origin"))
+
+
 @query("h10_url_resolve", oracle="""
     with refs as (
         select url, page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages),

@@ -3,11 +3,12 @@
 import math
 import re
 from decimal import ROUND_HALF_UP, Decimal
+from random import Random
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from pagecat.functions import text as t, urls as u
+from pagecat.functions import hosts, text as t, urls as u
 
 NBSP, BOM = chr(0xA0), chr(0xFEFF)
 
@@ -87,6 +88,38 @@ def test_url_origin(spark):
     assert apply(spark, u.url_origin, urls) == ["https://host.example.com", "http://h:8080", "http://h:443", None, "http://h"]
 
 
+# Hosts and what the URL standard makes of them.
+HOSTS = {
+    "[::1]": "[::1]", "[2001:DB8:0:0:1:0:0:1]": "[2001:db8::1:0:0:1]", "[0:0:0:0:0:0:0:0]": "[::]", "[1:0:0:2:0:0:0:3]": "[1:0:0:2::3]",
+    "[::ffff:192.168.1.9]": "[::ffff:c0a8:109]", "[1:2:3:4:5:6:7:8]": "[1:2:3:4:5:6:7:8]", "[1::]": "[1::]", "[00a0::0b]": "[a0::b]",
+    "[1:2:3]": None, "[1::2::3]": None, "[12345::]": None, "[:::1]": None, "[::1.2.3]": None, "[]": None, "[1:2:3:4:5:6:7::8]": None,
+    "[1:2:3:4:5:6:7:8:9]": None, "[::256.1.1.1]": None, "[1:0:2:3:4:5:6:7]": "[1:0:2:3:4:5:6:7]",
+    "127.0.0.1": "127.0.0.1", "0x7f.1": "127.0.0.1", "2130706433": "127.0.0.1", "0177.0.0.01": "127.0.0.1", "1.2.3": "1.2.0.3",
+    "256.1.1.1": None, "1.2.3.4.5": None, "4294967296": None, "4294967295": "255.255.255.255", "09.1.1.1": None, "1..2": None,
+    "0x": "0.0.0.0", "1.2.3.4.": "1.2.3.4", "a.1": None, "1.a": "1.a", "0xg.b": "0xg.b", "00000000000000000000001": "0.0.0.1",
+    "bücher.example": "xn--bcher-kva.example", "BÜCHER.Example": "xn--bcher-kva.example", "faß.de": "xn--fa-hia.de", "例え。テスト": "xn--r8jz45g.xn--zckzah",
+    "ΒΌΛΟΣ.com": "xn--nxasmq6b.com", "ｗｗｗ.x": "www.x", "a­b.x": "ab.x", "😀.la": "xn--e28h.la", "xn--bcher-kva": "xn--bcher-kva", "a_b-c": "a_b-c",
+}
+
+
+def test_hosts(spark):
+    got = apply(spark, u.url_origin, [f"http://{h}/x" for h in HOSTS])
+    assert dict(zip(HOSTS, got, strict=True)) == {h: w and f"http://{w}" for h, w in HOSTS.items()}
+    paths = apply(spark, u.url_path, [f"http://{h}:8080/x" for h in HOSTS])
+    assert paths == [w and "/x" for w in HOSTS.values()]
+    ports = apply(spark, u.url_origin, ["http://[::1]:8080/x", "http://h:65536", "http://h:0080/", "http://h:99999999999", "https://h:080", "http://h:65535"])
+    assert ports == ["http://[::1]:8080", None, "http://h", None, "https://h:80", "http://h:65535"]
+    assert apply(spark, lambda c: u.url_resolve(F.lit("http://[::1]:8080/a/b"), c), ["c", "//é.x/d"]) == ["http://[::1]:8080/a/c", "http://xn--9ca.x/d"]
+
+
+def test_punycode_equals_the_standard_codec(spark):
+    random = Random(7)
+    alphabet = "abz09-éüßñ例えテストжя😀𐍈"
+    labels = ["".join(random.choice(alphabet) for _ in range(random.randint(1, 40))) for _ in range(400)]
+    labels = [x for x in labels if not x.isascii()]
+    assert apply(spark, hosts.punycode, labels) == [x.encode("punycode").decode() for x in labels]
+
+
 def test_resolution(spark):
     base = "http://a.example/b/c/d;p?q"
     cases = {
