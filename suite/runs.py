@@ -1,11 +1,13 @@
 """Run log, request log, work queue and their streams."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pagecat.operators import quality as qual
 from pagecat.plans import refresh as ref, runs as r
 from pagecat.session import scratch
-from pagecat.streaming import batches as b, eventtime as e, gates as g
+from pagecat.streaming import batches as b, claims as c, eventtime as e, gates as g
+from pagecat.streaming.metrics import StreamTally, Tally
 
 from .base import query
 
@@ -308,6 +310,89 @@ def _(tb):
     return in_batches(tb, stream, b.ttl(), "ttl").select("id", "outcome")
 
 
+ORDER_OUTCOME = "case o_orderstatus when 'F' then 'done' when 'O' then 'error' else 'skipped' end"
+CLAIMED = f"""
+    select o_orderkey as id, case when o_orderkey % 9 = 0 then 'done' else {ORDER_OUTCOME} end as status,
+           case when o_orderkey % 9 > 0 and o_orderstatus = 'O' then 'no answer: ' || o_orderkey end as error_msg from orders"""
+
+
+class Killed(RuntimeError):
+    """What a worker ends with in the restart query."""
+
+
+def claimed_orders(tb, label, killed_after=None, tally=None):
+    """The orders as a queue of four files, worked off by claims; with ``killed_after`` the worker dies once that many commits are whole."""
+    orders = tb["orders"]
+    none = F.lit(None).cast("string")
+    status = F.when(F.col("o_orderkey") % 9 == 0, "done").otherwise("pending")
+    queue = orders.select(F.col("o_orderkey").cast("bigint").alias("id"), status.alias("status"), none.alias("error_msg"), none.cast("timestamp").alias("processed_at"))
+    stream = stretches(tb, queue, F.col("id") % 4, 4, label)
+    base = scratch(tb.spark, label)
+    log = c.WorkLog(tb.spark, base)
+    now = F.expr("timestamp'2024-01-01 00:00:00'")
+    asked = orders.select(F.col("o_orderkey").cast("bigint").alias("id"), "o_orderstatus")
+
+    def work(items):
+        if not died and len(log.batches("outcomes")) == killed_after:
+            died.append(True)
+            raise Killed("the worker was killed")
+        failed = F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("no answer: "), "id"))
+        return items.select("id").join(asked, "id").select("id", F.expr(ORDER_OUTCOME).alias("status"), failed.alias("error_msg"), now.alias("processed_at"))
+
+    died = []
+    if killed_after is not None:
+        try:
+            c.drain_claims(stream, log, work, f"{base}/state", now, tally)
+        except StreamingQueryException:
+            pass
+        if not died:
+            raise AssertionError("the worker did not die")
+    c.drain_claims(stream, log, work, f"{base}/state", now, tally)
+    return queue, log
+
+
+@query("t1_claims", oracle=CLAIMED)
+def _(tb):
+    queue, log = claimed_orders(tb, "claims")
+    return log.queue(queue).select("id", "status", "error_msg")
+
+
+@query("t1_claims_restart", oracle=CLAIMED.replace(" from orders", ", 1 as commits from orders where o_orderkey % 9 > 0")
+       + " union all " + CLAIMED.replace(" from orders", ", 0 as commits from orders where o_orderkey % 9 = 0"))
+def _(tb):
+    """The worker dies between a claim and its outcomes and is started again: each item has one outcome."""
+    queue, log = claimed_orders(tb, "restart", killed_after=2)
+    commits = log.read("outcomes").groupBy("id").agg(F.count("*").alias("commits"))
+    return log.queue(queue).join(commits, "id", "left").select("id", "status", "error_msg", F.coalesce("commits", F.lit(0)).alias("commits"))
+
+
+@query("a4_in_flight", oracle=f"""
+    select count(*) filter (status = 'done') as processed, count(*) filter (status = 'skipped') as skipped,
+           count(*) filter (status = 'error') as errors from (select {ORDER_OUTCOME} as status from orders where o_orderkey % 9 > 0)""")
+def _(tb):
+    """Counted while a worker that dies once writes its outcomes."""
+    tally = Tally()
+    claimed_orders(tb, "tally", killed_after=1, tally=tally)
+    return tb.spark.createDataFrame([tally.counts()], "processed bigint, skipped bigint, errors bigint")
+
+
+@query("a4_in_flight_stream", ("work_queue",), """
+    select count(*) filter (status = 'done') as processed, count(*) filter (status = 'skipped') as skipped,
+           count(*) filter (status = 'error') as errors from work_queue""")
+def _(tb):
+    """Counted by a listener while the stream goes."""
+    tally = StreamTally()
+    part = tb["work_queue"].select("id", "status")
+    tb.spark.streams.addListener(tally)
+    try:
+        drained(tb, tally.watch(stretches(tb, part, F.col("id") % 4, 4, "counted")), "counted")
+        if not tally.ended():
+            raise TimeoutError("the stream's last counts did not arrive")
+    finally:
+        tb.spark.streams.removeListener(tally)
+    return tb.spark.createDataFrame([tally.counts()], "processed bigint, skipped bigint, errors bigint")
+
+
 AUDIT = """
     select key, t, active from (
       select key, t, max(d) as best, sum(sum(d)) over (partition by key order by t) as active from (

@@ -8,7 +8,9 @@ from pagecat.operators.quality import (
     catalog_rules, check_constraints, not_null, one_of, request_rules, run_rules, unique_violations, variant_rules,
 )
 from pagecat.plans import discover as d, optional as o, runs
+from pagecat.session import scratch
 from pagecat.sources import tables as s
+from pagecat.streaming import captures
 
 from .base import query
 
@@ -29,6 +31,21 @@ def _(tb):
     )
 
 
+@query("s1_scan_pages_stream", ("capture",), """
+    select url, length(html) as n, html like '%<!-- later -->' as later from (
+      select *, row_number() over (partition by url order by captured_at desc) as rn from capture) where rn = 1""")
+def _(tb):
+    """The captures as a stream of files without any order: texts are read only when newer than what is known."""
+    base = scratch(tb.spark, "captures")
+    rows = tb["capture"]
+    files = 8 + rows.count() // 10_000
+    rows.repartition(files, F.xxhash64("captured_at")).write.parquet(f"{base}/in")
+    captures.keep_newest(tb.spark, f"{base}/in", rows.schema, "captured_at", f"{base}/out", f"{base}/state", maxFilesPerTrigger=str(-(-files // 4)))
+    return captures.current_pages(tb.spark, f"{base}/out", "captured_at").select(
+        "url", F.length("html").cast("bigint").alias("n"), F.col("html").endswith("<!-- later -->").alias("later")
+    )
+
+
 @query("s1_scan_pages_without_url", ("capture",), """
     select u as url, length(html) as n from (
       select *, row_number() over (partition by u order by captured_at desc) as rn
