@@ -24,7 +24,7 @@ HOMOGLYPHS = {
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 # In both text and lexicon l counts as i, as 1 stands for either.
 MERGED = {"l": "i"}
-# Uses of listed words that insult nobody; a hit inside one of them does not count.
+# Uses of listed words that insult nobody, beside those that are learned; a hit inside one of them does not count.
 EXCEPTIONS = (
     "trash can", "trash cans", "trash bin", "trash bag", "clown fish", "circus clown", "class clown", "pond scum", "soap scum",
     "scum line", "good loser", "not stupid", "not worthless", "not an idiot", "no idiot",
@@ -119,14 +119,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 def fit(
     docs: DataFrame, labels: DataFrame, rows: int = 30_000, min_support: int = 8, id_col: str = "doc_id",
-    text_col: str = "text", label_col: str = "toxic",
+    text_col: str = "text", label_col: str = "toxic", min_words: int = 3, min_clean: int = 3,
 ) -> Model:
     """Learn lexicon and curve from labelled rows. ``rows`` bounds the sample (about that many, by the hash of the id).
 
     A word's support is the number of toxic and of clean texts that have it, told apart by the words around its first
-    occurrence, so that copies of one text add nothing. A stem's support is that of all words that start so. Words and stems with
-    ``min_support`` toxic texts, more toxic than clean ones and a log-odds ratio of three standard errors above 1 make the
-    lexicon, weighted by that ratio. The bounded sample bounds it: a word needs ``min_support`` rows of it.
+    occurrence, so that copies of one text add nothing. Words with ``min_support`` toxic texts, more toxic than clean ones and a
+    log-odds ratio of three standard errors above 1 make the lexicon, weighted by that ratio. A stem has to earn its place beyond them:
+    its support is that of the words that start so and are not in the lexicon themselves, and ``min_words`` of these must occur in toxic
+    texts. The bounded sample bounds the lexicon: a word needs ``min_support`` rows of it.
+
+    Exceptions are learned, too: a listed word with its neighbour on one side is spared if ``min_clean`` clean texts have the
+    two, told apart by the neighbour on the other side, and at most a tenth of the texts with them is toxic.
     """
     spark = docs.sparkSession
     labelled = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(
@@ -164,15 +168,43 @@ def fit(
     bad, good = F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5
     ratio = F.log(bad / bad_all) - F.log(good / good_all)
     support = saved(support, "support")
+
+    def strong(words: DataFrame) -> DataFrame:
+        return (
+            words.filter((F.col("bad") >= min_support) & (2 * F.col("bad") > F.col("n")) & (F.length("word") > 1))
+            .withColumn("weight", ratio).filter(F.col("weight") - 3 * F.sqrt(1 / bad + 1 / good) > 1).select("word", "weight")
+        )
+
     stem = F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.when(F.length("word") >= n, F.concat(F.substr("word", F.lit(1), n), F.lit("*"))))
-    stems = support.select(F.explode(F.array_compact(stem)).alias("word"), "bad", "n").groupBy("word").agg(
-        F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    words = (
-        support.unionByName(stems).filter((F.col("bad") >= min_support) & (2 * F.col("bad") > F.col("n")) & (F.length("word") > 1))
-        .withColumn("weight", ratio).filter(F.col("weight") - 3 * F.sqrt(1 / bad + 1 / good) > 1)
-        .orderBy(F.desc("weight"), "word").collect()
+    stems = (
+        support.join(strong(support), "word", "left_anti").select(F.explode(F.array_compact(stem)).alias("word"), "bad", "n")
+        .groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), F.count_if(F.col("bad") > 0).alias("words"))
+        .filter(F.col("words") >= min_words)
     )
+    words = strong(support).unionByName(strong(stems)).orderBy(F.desc("weight"), "word").collect()
     model = Model({r["word"]: r["weight"] for r in words})
+    listed_of = spark.sparkContext.broadcast(frozenset(model.weights))
+
+    def contexts(batches):
+        listed = listed_of.value
+        for batch in batches:
+            seen = set()
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = ["", *WORD.findall(fold(text)), ""]
+                for k, word in enumerate(words):
+                    if word in listed:
+                        seen.update({(f"{words[k - 1]} {word}", words[k + 1], label), (f"{word} {words[k + 1]}", words[k - 1], label)})
+            if seen:
+                phrase, other, label = zip(*seen, strict=True)
+                yield pa.RecordBatch.from_pydict({"phrase": pa.array(phrase), "other": pa.array(other), "label": pa.array(label, pa.int32())})
+
+    spared = (
+        sample.mapInArrow(contexts, "phrase string, other string, label int").distinct()
+        .groupBy("phrase").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
+        .filter((F.col("n") - F.col("bad") >= min_clean) & (10 * F.col("bad") <= F.col("n")) & (F.trim("phrase") == F.col("phrase")))
+        .orderBy("phrase").collect()
+    )
+    model.exceptions = (*EXCEPTIONS, *[r["phrase"] for r in spared])
     matcher_of = spark.sparkContext.broadcast(model)
 
     def measure(batches):

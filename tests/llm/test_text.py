@@ -148,13 +148,42 @@ def test_toxicity_folds_spares_and_normalises():
     assert dense > thin
 
 
+def test_toxicity_equals_a_plain_search():
+    r = random.Random(11)
+    for _ in range(300):
+        words = ["".join(r.choices("abis", k=r.randint(1, 4))) + r.choice(["", "", "*"]) for _ in range(6)]
+        weights = {w: r.random() + 0.1 for w in words}
+        spared = tuple(" ".join("".join(r.choices("abis", k=r.randint(1, 3))) for _ in range(2)) for _ in range(3))
+        text = "".join(r.choices("abis  .аA1$5ßl", k=r.randint(0, 60)))
+        folded, hits, inside = toxicity.fold(text), {}, set()
+        for at in range(len(text)):
+            if at and text[at - 1].isalnum():
+                continue
+
+            def ends(n):
+                return at + n == len(text) or at + n < len(text) and not text[at + n].isalnum()
+
+            for w, weight in weights.items():
+                stem = w.rstrip("*")
+                if folded.startswith(stem, at) and (w.endswith("*") or ends(len(stem))):
+                    hits[at] = max(hits.get(at, 0), weight)
+            for phrase in spared:
+                if folded.startswith(phrase, at) and ends(len(phrase)):
+                    inside.update(range(at, at + len(phrase)))
+        hits = {at: w for at, w in hits.items() if at not in inside}
+        got = toxicity.Matcher(toxicity.Model(weights, spared)).score(text)
+        assert got[1:] == (len(hits), len(text.split())) and abs(got[0] - sum(hits.values())) < 1e-9
+
+
 def test_toxicity_is_learned_from_labels(spark, prose):
     rows, labels, r = [], [], random.Random(3)
     for k in range(600):
         words = prose(k, 60).split()
         bad = k % 3 == 0
         for _ in range(4 if bad else 0):
-            words.insert(r.randrange(len(words)), r.choice(["badword", "uglyword"]))
+            words.insert(r.randrange(len(words)), r.choice(["badword", "ugly" + "".join(r.choices("abcdfgm", k=4)), "worthless"]))
+        if k % 3 == 1:
+            words[5:5] = r.choice([["worth", "it"], ["not", "badword"], ["wort"], ["worthy"]])
         rows.append((k, " ".join(words), "x"))
         labels.append((k, int(bad)))
     copy = "onlyincopies " + prose(5000, 40)
@@ -163,6 +192,11 @@ def test_toxicity_is_learned_from_labels(spark, prose):
     docs, marks = spark.createDataFrame(rows, "doc_id long, text string, label string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.fit(docs, marks.filter("doc_id % 5 != 0"))
     assert {toxicity.fold("badword"), "ugiy*"} <= set(model.weights) and toxicity.fold("onlyincopies") not in model.weights
+    # One strong word earns no stem; what clean texts say with a listed word is spared.
+    assert toxicity.fold("worthless") in model.weights and not {"wort*", "worth*", "badw*"} & set(model.weights)
+    assert "not badword" in model.exceptions
+    clean = toxicity.Matcher(model).score("Das Wort ist worth it, a worthy one, not badword")
+    assert clean[:2] == (0.0, 0)
     got = {r["doc_id"]: r["score"] for r in toxicity.predict(docs, model).collect()}
     assert all((got[k] >= 0.5) == bool(bad) for k, bad in labels if k < 1000 and k % 5 == 0)
     # Batches without any hit, in training as well.
