@@ -57,11 +57,31 @@ def queue_items(queue: DataFrame, items: DataFrame, as_of) -> DataFrame:
     )
 
 
+def walk_pages(starts: DataFrame, parsed: DataFrame, rounds: int = 64) -> DataFrame:
+    """Listing pages of a few sections, as ``paginate``, from page to page: each round reads only the pages that the one before has reached.
+
+    Of a section with more than ``rounds`` pages the rest is walked by doubling jumps over the next-links of all pages. Eager.
+    """
+    frontier = cut(starts.select("section", "url").distinct())
+    walked = frontier.withColumn("depth", F.lit(1))
+    for depth in range(2, rounds + 2):
+        pages = reached(parsed, frontier, "url", "anchors")
+        onward = next_links(anchor_links(pages, "pager")).withColumnRenamed("page_url", "url")
+        ahead = frontier.join(onward, "url").select("section", F.col("next_url").alias("url"))
+        # On a circle a page comes up again; it counts once.
+        frontier = cut(ahead.join(walked, ["section", "url"], "left_anti"))
+        if frontier.isEmpty():
+            return walked
+        walked = cut(walked.unionByName(frontier.withColumn("depth", F.lit(depth))))
+    rest = paginate(frontier, next_links(anchor_links(parsed, "pager"))).withColumn("depth", F.col("depth") + rounds)
+    return walked.unionByName(rest.join(walked, ["section", "url"], "left_anti"))
+
+
 def discover(parsed: DataFrame, home: str, queue: DataFrame, as_of, mode: str = "quick",
              year: str | None = None, current_year: str = "", noise=()) -> DataFrame:
     """The new work queue. ``mode``: quick (first page of the current section), custom, or all sections.
 
-    Blocks are read from the pages walked; a full walk reads the next-links of all pages. Eager.
+    Blocks are read from the pages walked, next-links from those of the section; a walk of all sections reads all next-links. Eager.
     """
     sections = section_links(block_links(parsed.filter(F.col("page_url") == home)), home)
     if mode == "all":
@@ -70,7 +90,9 @@ def discover(parsed: DataFrame, home: str, queue: DataFrame, as_of, mode: str =
         chosen = pick_section(sort_sections(sections), mode, year, current_year)
     full = mode == "all" or (mode == "custom" and bool(year))
     starts = chosen.select(F.col("name").alias("section"), "url")
-    if full:
+    if mode == "custom" and full:
+        walked = cut(walk_pages(starts, parsed))
+    elif full:
         walked = cut(paginate(starts, next_links(anchor_links(parsed, "pager"))))
     else:  # first pages only: no links are followed
         walked = cut(starts.withColumn("depth", F.lit(1)))

@@ -4,8 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from pagecat.operators import ranking, variants
-from pagecat.plans import extract
+from pagecat.operators import graph, ranking, variants
+from pagecat.plans import discover, extract
 from pagecat.session import scratch
 from pagecat.sources import html as h, tables
 
@@ -86,3 +86,20 @@ def test_extraction_reads_the_parts_it_needs(spark, monkeypatch):
     assert extract.reached(spark.read.parquet(path), many, "at", "h1").count() == 1 and "LeftSemi" in seen[-1]
     schemas = set(re.findall(r"ReadSchema: struct<(.*)>", seen[0]))
     assert any("blocks" in s for s in schemas) and not any("anchors" in s or "html" in s for s in schemas)
+
+
+def test_a_custom_walk_reads_the_pages_of_its_section(spark, rows, monkeypatch):
+    anchor = "array<struct<pos:int,box:string,text:string,href:string>>"
+    # Three chains: one of 6 pages, one that closes a circle after 5, one of a section that is not asked for.
+    onward = {f"http://s/a{k}": f"/a{k + 1}" for k in range(6)} | {f"http://s/b{k}": f"/b{(k + 1) % 5}" for k in range(5)} | {f"http://s/c{k}": f"/c{k + 1}" for k in range(500)}
+    parsed = spark.createDataFrame([(u, [(0, "pager", "Next", ref)]) for u, ref in onward.items()] + [("http://s/a6", [])], f"page_url string, anchors {anchor}")
+    starts = spark.createDataFrame([("A", "http://s/a0"), ("B", "http://s/b0"), ("N", "http://s/none")], "section string, url string")
+    expected = rows(graph.paginate(starts, ranking.next_links(h.anchor_links(parsed, "pager"))))
+    assert len(expected) == 7 + 5 + 1
+    read = []
+    links = discover.anchor_links
+    monkeypatch.setattr(discover, "anchor_links", lambda pages, box: (read.append(pages.count()), links(pages, box))[1])
+    assert rows(discover.walk_pages(starts, parsed)) == expected
+    assert sum(read) == 7 + 5
+    for rounds in (1, 5):
+        assert rows(discover.walk_pages(starts, parsed, rounds)) == expected
