@@ -285,8 +285,12 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
         return rows.join(small(again), F.col("id") == F.col("x"), "left").filter("x IS NULL OR same = s").drop("x", "s").dropDuplicates(["id"])
 
     every = once(every)
-    least = saved(every.filter("n > 0").groupBy("same").agg(F.min("id").alias("rep")), "classes")
-    reps = every.join(least.select("rep"), F.col("id") == F.col("rep"), "left_semi").filter("n > 0")
+    every_set = every.filter("n > 0")
+    classes = saved(every_set.groupBy("same").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("members")), "classes")
+    # The copies are named, not the sets that stay: these are most rows, and a join with them would shuffle the prefixes of all.
+    several = small(classes.filter("members > 1").select("same", "rep"))
+    copies = saved(every_set.select("id", "same").join(several, "same").filter("id != rep").select(F.col("id").alias("x")), "copies")
+    reps = every_set.join(small(copies), F.col("id") == F.col("x"), "left_anti")
     possible = _possible(reps, percent)
     texts = docs.join(small(possible), F.col("id") == F.col("x"), "left_semi")
     sets = saved(once(texts.mapInArrow(_whole, "id long, n long, same binary, shingles array<long>, cells binary")).drop("same"), "sets")
@@ -313,7 +317,7 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
                 break
             links = more if links is None else links.union(more)
         groups = components(links)
-    classed = every.select("id", "n", "same").join(least, "same", "left")
+    classed = every.select("id", "n", "same").join(classes.select("same", "rep"), "same", "left")
     if groups is None:
         groups = docs.sparkSession.createDataFrame([], "node long, root long")
     return (
