@@ -1,5 +1,7 @@
 """Queries over captured pages: parse, links, walks and whole jobs."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pagecat.functions import text as t
@@ -231,6 +233,14 @@ def _(tb):
     return out.drop("pos").select(key_of("item_url"), "*").drop("item_url")
 
 
+@query("m4_extract_bucketed", oracle=f"select * from ({VARIANTS}) where k % 17 <> 0 and k % 19 <> 0")
+def _(tb):
+    """The variants of all queued items, from a page table in buckets by address: no hop shuffles pages."""
+    parsed = e.bucketed_pages(site.parsed_site(tb), "pages_" + uuid.uuid4().hex, tb.spark.sparkContext.defaultParallelism, scratch(tb.spark, "buckets"))
+    out = e.extract_variants(parsed, site.queue(tb).select("id", "url"), site.LABELS, site.SERIES)
+    return out.drop("pos").select(key_of("item_url"), "*").drop("item_url")
+
+
 @query("m4_first_duration", oracle="""
     select s_suppkey as k, concat('1h ', s_suppkey % 60, 'm') as duration from supplier
     where s_suppkey % 10 <> 9 and s_suppkey % 17 <> 0 and s_suppkey % 19 <> 0""")

@@ -1,7 +1,10 @@
 """What the plans must look like: filters at the scan, columns pruned, one shuffle where one is enough."""
 
 import re
+import uuid
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pagecat.operators import graph, ranking, variants
@@ -80,14 +83,56 @@ def test_extraction_reads_the_parts_it_needs(spark, monkeypatch):
     store = extract.stored
     monkeypatch.setattr(extract, "stored", lambda df: seen.append(plan(df)) or store(df))
     extract.extract_variants(spark.read.parquet(path), spark.createDataFrame([("http://s/",)], "url string"), LABELS)
-    assert len(seen) == 7 and "EqualTo(page_url,http://s/)" in seen[0]
+    # Each hop stores its addresses, then the pages.
+    hops = seen[1::2]
+    assert len(seen) == 14 and "EqualTo(page_url,http://s/)" in hops[0]
     monkeypatch.setattr(extract, "LISTED", 0)
     many = spark.createDataFrame([("http://s/",), ("http://t/",)], "at string")
     assert extract.reached(spark.read.parquet(path), many, "at", "h1").count() == 1 and "LeftSemi" in seen[-1]
-    schemas = set(re.findall(r"ReadSchema: struct<(.*)>", seen[0]))
+    schemas = set(re.findall(r"ReadSchema: struct<(.*)>", hops[0]))
     assert any("blocks" in s for s in schemas) and not any("anchors" in s or "html" in s for s in schemas)
 
 
+def test_hops_leave_bucketed_pages_in_place(spark, rows, monkeypatch):
+    """A short list of addresses opens its buckets only; a long one is shuffled to the pages, which stay where they are."""
+    path, name = scratch(spark, "parsed"), "pages_" + uuid.uuid4().hex
+    urls = [f"http://s/{k}" for k in range(200)]
+    h.parse_pages(spark.createDataFrame([(u, f"<h1>{u}</h1>") for u in [*urls, None]], "url string, html string")).write.parquet(path)
+    flat = spark.read.parquet(path)
+    parsed = extract.bucketed_pages(flat, name, 16, scratch(spark, "buckets"))
+    assert rows(parsed) == rows(flat.filter("page_url IS NOT NULL"))
+
+    def wanted(addresses):
+        at = scratch(spark, "wanted")
+        spark.createDataFrame([(u,) for u in addresses], "page_url string").write.parquet(at)
+        return spark.read.parquet(at)
+
+    for addresses in (urls[:2], urls[:15], [], ["http://none/"]):
+        few = extract.pages_at(parsed, wanted(addresses), "h1")
+        assert rows(few) == rows(flat.filter(F.col("page_url").isin(addresses)).select("page_url", "h1"))
+        assert exchanges(few) == 0
+    # The plan tells the buckets it opens only where each is a task.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    opened = re.search(r"SelectedBucketsCount: (\d+) out of 16", plan(extract.pages_at(parsed, wanted(urls[:2]), "h1")))
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert opened is not None and int(opened.group(1)) <= 2
+    monkeypatch.setattr(extract, "LISTED", 0)
+    monkeypatch.setattr(extract, "BROADCAST", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = urls[::2] + ["http://none/"]
+        assert exchanges(extract.pages_at(flat, wanted(many), "h1")) == 2
+        joined = extract.pages_at(parsed, wanted(many), "h1")
+        assert exchanges(joined) == 1 and "Bucketed: true" in plan(joined)
+        assert rows(joined) == rows(flat.filter(F.col("page_url").isin(many)).select("page_url", "h1"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with pytest.raises(AnalysisException):
+        extract.bucketed_pages(flat, name, 16)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_a_custom_walk_reads_the_pages_of_its_section(spark, rows, monkeypatch):
     anchor = "array<struct<pos:int,box:string,text:string,href:string>>"
     # Three chains: one of 6 pages, one that closes a circle after 5, one of a section that is not asked for.
