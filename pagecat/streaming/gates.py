@@ -1,8 +1,11 @@
 """Streaming forms of the gates, the queue worker and the audits.
 
-Each stateful function keeps one small value per key; every input row gives one output row, late ones
+The state holds one small value per key; every input row gives one output row, late ones
 included (status ``late``), so nothing is dropped. Sources should bound a micro-batch
 (``maxFilesPerTrigger``): a key's rows of one micro-batch are ordered together.
+
+A call into Python costs some milliseconds, so keys do not have one each: whole numbers and strings lie in ``BUCKETS`` groups by their
+hash, and a group's state lists its keys. A micro-batch then costs that many calls at most, however many keys it has.
 """
 
 from __future__ import annotations
@@ -12,11 +15,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegralType, StringType
 
 from ..operators.merge import update_where
 from ..operators.running import micros
 
 MINUTE_US = 60_000_000
+BUCKETS = 4096
 _NEVER = -(2**62)
 
 
@@ -33,6 +38,61 @@ def drain(df: DataFrame, out: str, checkpoint: str) -> None:
     )
 
 
+class _Groups:
+    """Groups of keys, each with a state that lists, per key, the values named in ``held``.
+
+    Keys of types that Python cannot tell apart as Spark does have a group each, as has the key NULL; there the state's key is NULL.
+    """
+
+    def __init__(self, rows: DataFrame, held: dict[str, str]):
+        kind = rows.schema["key"].dataType
+        self.rows, self.width = rows, len(held)
+        self.spread = isinstance(kind, IntegralType) or kind == StringType()
+        lists = {"keys": kind.simpleString() if self.spread else "string", **held}
+        self.state = ", ".join(f"{name} array<{of}>" for name, of in lists.items())
+
+    def apply(self, step, out: str) -> DataFrame:
+        """``step(rows, keys, state)``: the rows of a micro-batch, the key of each as the state knows it, and the state, a dict of
+        tuples by key, to be changed in place."""
+        spread, width = self.spread, self.width
+
+        def group(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+            keys, *values = state.get if state.exists else ([], *[[]] * width)
+            held = dict(zip(keys, zip(*values, strict=True), strict=True))
+            apart = spread and key[0] >= 0
+            found = step(pdfs, lambda pdf: pdf["key"].tolist() if apart else [None] * len(pdf), held)
+            state.update((list(held), *[list(v) for v in zip(*held.values(), strict=True)]))
+            if len(found):
+                yield found
+
+        rows = self.rows
+        if spread:
+            number = F.when(F.col("key").isNull(), -1).otherwise(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)))
+            rows = rows.withColumn("bucket", number.cast("int"))
+        return rows.groupBy("bucket" if spread else "key").applyInPandasWithState(
+            group, out, self.state, "append", GroupStateTimeout.NoTimeout
+        )
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """The rows with ``unnamed``, true without an id. A NULL among whole numbers would make them, and those of other keys beside it,
+    floating-point numbers on the way to Python, which are not exact."""
+    if not isinstance(rows.schema["id"].dataType, IntegralType):
+        return rows.withColumn("unnamed", F.lit(False))
+    zero = F.lit(0).cast(rows.schema["id"].dataType)
+    return rows.withColumns({"unnamed": F.col("id").isNull(), "id": F.coalesce("id", zero)})
+
+
+def _in_order(pdfs: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
+    return pd.concat(list(pdfs), ignore_index=True).sort_values([*by, "unnamed", "id"], kind="stable")
+
+
+def _answers(pdf: pd.DataFrame, out: str) -> pd.DataFrame:
+    if pdf["unnamed"].any():
+        pdf = pdf.assign(id=pdf["id"].astype("Int64").mask(pdf["unnamed"]))
+    return pdf[["key", "id", "t", out]]
+
+
 def _batch_in_order(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "id"], kind="stable")
 
@@ -70,21 +130,18 @@ def single_flight(events: DataFrame, by: str, at: str = "ts", kind: str = "kind"
     )
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_, seen = state.get if state.exists else (False, _NEVER)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "kind", "id"], kind="stable", ignore_index=True)
+    def step(pdfs: Iterator[pd.DataFrame], keys_of, held: dict) -> pd.DataFrame:
+        pdf = _in_order(pdfs, "t", "kind")
         asks = (pdf["kind"] == "request").to_numpy()
-        before = pd.Series(asks).shift(1)
-        before.iloc[0] = open_
-        role = before.astype(bool).map({True: "waiter", False: "owner"}).to_numpy()
-        out = pdf.assign(role=role)
-        out.loc[pdf["t"] < seen, "role"] = "late"
-        state.update((bool(asks[-1]), max(int(seen), int(pdf["t"].iloc[-1]))))
-        yield out[asks][["key", "id", "t", "role"]]
-
-    return rows.groupBy("key").applyInPandasWithState(
-        step, f"key {kinds['key']}, id {kinds['id']}, t bigint, role string", "open boolean, seen bigint",
-        "append", GroupStateTimeout.NoTimeout,
+        roles = []
+        for key, t, ask in zip(keys_of(pdf), pdf["t"].astype("int64").tolist(), asks.tolist(), strict=True):
+            open_, seen = held.get(key, (False, _NEVER))
+            roles.append("late" if t < seen else "waiter" if open_ else "owner")
+            held[key] = (ask, max(seen, t))
+        return _answers(pdf.assign(role=roles)[asks], "role")
+
+    return _Groups(_named(rows), {"open": "boolean", "seen": "bigint"}).apply(
+        step, f"key {kinds['key']}, id {kinds['id']}, t bigint, role string"
     )
 
 
@@ -94,24 +151,37 @@ def active_runs(log: DataFrame, by: str, at: str = "ts", delta: str = "delta") -
     A run's end may come with its start, long before its time: it waits in the state. What lies beyond the newest start of a
     micro-batch is not decided in it. Starts must come in order from batch to batch, those of one moment in one batch.
     """
-    rows = log.select(F.col(by).alias("key"), micros(at).alias("t"), F.col(delta).cast("int").alias("d"))
+    rows = log.select(F.col(by).alias("key"), micros(at).alias("t"), F.coalesce(F.col(delta).cast("int"), F.lit(0)).alias("d"))
+    rows = rows.filter("t IS NOT NULL")
     kind = rows.schema["key"].dataType.simpleString()
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        active, ends = state.get if state.exists else (0, [])
-        # Each chunk shrinks to one row per moment as it arrives.
-        parts = [p.groupby("t")["d"].agg(["sum", "max"]).reset_index() for p in pdfs]
-        newest = max(int(p.loc[p["max"] == 1, "t"].max()) if (p["max"] == 1).any() else _NEVER for p in parts)
-        waiting = pd.DataFrame({"t": list(ends), "sum": -1, "max": -1}, dtype="int64")
-        moments = pd.concat([waiting, *parts]).groupby("t").agg({"sum": "sum", "max": "max"}).reset_index()
-        due, later = moments[moments["t"] <= newest], moments[moments["t"] > newest]
-        due = due.assign(active=due["sum"].cumsum() + active, key=key[0])
-        state.update((int(active + due["sum"].sum()), [int(t) for t, n in zip(later["t"], later["sum"]) for _ in range(-n)]))
-        yield due[(due["max"] == 1) & (due["active"] > 1)][["key", "t", "active"]]
-
-    return rows.groupBy("key").applyInPandasWithState(
-        step, f"key {kind}, t bigint, active bigint", "active bigint, ends array<bigint>", "append", GroupStateTimeout.NoTimeout
-    )
+    def step(pdfs: Iterator[pd.DataFrame], keys_of, held: dict) -> pd.DataFrame:
+        # Each chunk shrinks to one entry per key and moment as it arrives: what it adds, and if a run began.
+        found, shown, out = {}, {}, []
+        for pdf in pdfs:
+            columns = (pdf[c].astype("int64").tolist() for c in ("t", "d"))
+            for key, value, t, d in zip(keys_of(pdf), pdf["key"], *columns, strict=True):
+                shown[key] = value
+                moment = found.setdefault(key, {}).setdefault(t, [0, False])
+                moment[0] += d
+                moment[1] |= d == 1
+        for key, moments in found.items():
+            active, ends = held.get(key, (0, []))
+            newest = max((t for t, (_, began) in moments.items() if began), default=_NEVER)
+            for t in ends:
+                moments.setdefault(t, [0, False])[0] -= 1
+            later = []
+            for t, (n, began) in sorted(moments.items()):
+                if t > newest:
+                    later += [t] * -n
+                    continue
+                active += n
+                if began and active > 1:
+                    out.append((shown[key], t, active))
+            held[key] = (active, later)
+        return pd.DataFrame(out, columns=["key", "t", "active"])
+
+    return _Groups(rows, {"active": "bigint", "ends": "array<bigint>"}).apply(step, f"key {kind}, t bigint, active bigint")
 
 
 def worked_queue(queue: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagecat.functions.text import page_title
@@ -191,6 +192,54 @@ def test_streams_equal_their_batch_twins(spark, rows):
         assert rows(spark.read.parquet(base + "/out"), *cols) == rows(want, *cols)
 
 
+def odd_stream(spark, kind):
+    """Rows of 50 keys, one of them NULL, with large ids, some NULL, in four files; in the last ones some rows are late."""
+    start, minute = 1_700_000_000_000_000, 60_000_000
+    at = [start + (k // 3) * minute - (40 * minute if k % 50 == 7 and k > 500 else 0) for k in range(1000)]
+    found = [(None if k % 41 == 0 else 2**60 + k, None if k * 7 % 50 == 0 else k * 7 % 50, t, "end" if k % 3 == 0 and k % 2 else "request")
+             for k, t in enumerate(at)]
+    df = spark.createDataFrame(found, "id long, k long, t long, kind string")
+    df = df.select("id", F.col("k").cast(kind).alias("k"), F.timestamp_micros("t").alias("ts"), "kind", F.monotonically_increasing_id().alias("n"))
+    path = scratch(spark, "odd")
+    for part in range(4):
+        spark.createDataFrame(df.collect()[part * 250:(part + 1) * 250], df.schema).drop("n").coalesce(1).write.mode("append").parquet(path)
+    texts = [None if r[1] is None else {"double": float}.get(kind, str)(r[1]) if kind in ("string", "double") else r[1] for r in found]
+    return g.read_stream(spark, path, df.drop("n").schema, maxFilesPerTrigger="1"), [(r[0], k, r[2], r[3]) for r, k in zip(found, texts)]
+
+
+def grouped(spark, rows, made):
+    """The rows of a stream, and the rows of its state."""
+    base = scratch(spark, "grouped")
+    query = made.writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return rows(spark.read.parquet(base + "/out")), query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def by_hand(found, order, decide):
+    """Each micro-batch of 250 rows in order, with a state per key."""
+    state, out = {}, []
+    for part in range(4):
+        for id_, key, t, kind in sorted(found[part * 250:(part + 1) * 250], key=lambda r: (*order(r), r[0] is None, r[0])):
+            out += [(key, id_, t, answer) for answer in [decide(state, key, t, kind)] if answer]
+    return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x) for x in r))
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_flights_of_many_keys_share_a_state(spark, rows, monkeypatch, kind):
+    monkeypatch.setattr(g, "BUCKETS", 4)
+    stream, found = odd_stream(spark, kind)
+
+    def decide(state, key, t, kind):
+        open_, seen = state.get(key, (False, 0))
+        state[key] = (kind == "request", max(seen, t))
+        return ("late" if t < seen else "waiter" if open_ else "owner") if kind == "request" else None
+
+    got, kept = grouped(spark, rows, g.single_flight(stream, "k"))
+    assert got == by_hand(found, lambda r: (r[2], r[3]), decide)
+    assert {r[3] for r in got} == {"owner", "waiter", "late"}
+    assert kept <= 5 or kind == "double"
+
+
 def test_late_rows_are_kept_and_marked(spark, rows):
     def at(s):
         return datetime(2024, 1, 1, 0, 0, s)
