@@ -93,10 +93,6 @@ def _answers(pdf: pd.DataFrame, out: str) -> pd.DataFrame:
     return pdf[["key", "id", "t", out]]
 
 
-def _batch_in_order(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "id"], kind="stable")
-
-
 def cooldown_gate(requests: DataFrame, by: str, minutes: int = 15, at: str = "requested_at",
                   id_col: str = "id") -> DataFrame:
     """(key, id, t, decision) per request: started, too_recent or late (older than the last admitted one)."""
@@ -104,23 +100,17 @@ def cooldown_gate(requests: DataFrame, by: str, minutes: int = 15, at: str = "re
     rows = requests.select(F.col(by).alias("key"), F.col(id_col).alias("id"), micros(at).alias("t"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else _NEVER
-        pdf = _batch_in_order(pdfs)
-        times = pdf["t"].to_numpy()
-        decision = pd.Series("too_recent", index=range(len(pdf)))
-        decision[times < last] = "late"
-        at = int(times.searchsorted(last + gap, side="right"))
-        while at < len(times):
-            decision[at], last = "started", int(times[at])
-            at = int(times.searchsorted(last + gap, side="right"))
-        state.update((last,))
-        yield pdf.assign(decision=decision.to_numpy())[["key", "id", "t", "decision"]]
-
-    return rows.groupBy("key").applyInPandasWithState(
-        step, f"key {kinds['key']}, id {kinds['id']}, t bigint, decision string", "last bigint", "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    def step(pdfs: Iterator[pd.DataFrame], keys_of, held: dict) -> pd.DataFrame:
+        pdf = _in_order(pdfs, "t")
+        decisions = []
+        for key, t in zip(keys_of(pdf), pdf["t"].astype("int64").tolist(), strict=True):
+            last, = held.get(key, (_NEVER,))
+            if t > last + gap:
+                held[key] = (t,)
+            decisions.append("started" if t > last + gap else "late" if t < last else "too_recent")
+        return _answers(pdf.assign(decision=decisions), "decision")
+
+    return _Groups(_named(rows), {"last": "bigint"}).apply(step, f"key {kinds['key']}, id {kinds['id']}, t bigint, decision string")
 
 
 def single_flight(events: DataFrame, by: str, at: str = "ts", kind: str = "kind", id_col: str = "id") -> DataFrame:

@@ -240,6 +240,24 @@ def test_flights_of_many_keys_share_a_state(spark, rows, monkeypatch, kind):
     assert kept <= 5 or kind == "double"
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_cooldowns_of_many_keys_share_a_state(spark, rows, monkeypatch, kind):
+    monkeypatch.setattr(g, "BUCKETS", 4)
+    stream, found = odd_stream(spark, kind)
+
+    def decide(state, key, t, kind):
+        last = state.get(key, 0)
+        if t > last + 20 * 60_000_000:
+            state[key] = t
+            return "started"
+        return "late" if t < last else "too_recent"
+
+    got, kept = grouped(spark, rows, g.cooldown_gate(stream, "k", 20, "ts"))
+    assert got == by_hand(found, lambda r: (r[2],), decide)
+    assert {r[3] for r in got} == {"started", "too_recent", "late"}
+    assert kept <= 5 or kind == "double"
+
+
 def test_late_rows_are_kept_and_marked(spark, rows):
     def at(s):
         return datetime(2024, 1, 1, 0, 0, s)
