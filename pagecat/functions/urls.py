@@ -7,7 +7,9 @@ from case: there is no punycode step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .hosts import normal_host
 from .text import _col, js_trim, let
@@ -129,8 +131,14 @@ def url_resolve(base, ref) -> Column:
     return let(_clean(base), lambda b: let(_clean(ref), lambda r: _normal(_joined(b, r))))
 
 
+@lru_cache(maxsize=32)
+def _resolved(session: SparkSession, base: str, ref: str) -> Column:
+    """Built once for a session: the expression is so large that writing it down takes a second."""
+    return url_resolve(base, ref)
+
+
 def with_resolved(df: DataFrame, base: str, ref: str, out: str = "abs_url") -> DataFrame:
-    return df.withColumn(out, url_resolve(base, ref))
+    return df.withColumn(out, _resolved(df.sparkSession, base, ref))
 
 
 def poster_ref(srcset, src) -> Column:

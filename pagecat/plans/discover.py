@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.text import js_trim
 from ..operators import predicates as p
@@ -11,7 +12,7 @@ from ..operators.merge import stable_id, upsert
 from ..operators.ranking import dedup_first_seen, last_per_key, next_links, pick_section, sort_sections
 from ..session import cut
 from ..sources.html import anchor_links, block_links
-from .extract import reached
+from .extract import LISTED, reached
 
 
 def section_links(blocks: DataFrame, home: str) -> DataFrame:
@@ -60,20 +61,29 @@ def queue_items(queue: DataFrame, items: DataFrame, as_of) -> DataFrame:
 def walk_pages(starts: DataFrame, parsed: DataFrame, rounds: int = 64) -> DataFrame:
     """Listing pages of a few sections, as ``paginate``, from page to page: each round reads only the pages that the one before has reached.
 
-    Of a section with more than ``rounds`` pages the rest is walked by doubling jumps over the next-links of all pages. Eager.
+    The addresses of a round, up to ``LISTED``, stand in the filter of one short job, which brings back where they lead. Of a section
+    with more than ``rounds`` pages the rest is walked by doubling jumps over the next-links of all pages, as are more sections. Eager.
     """
-    frontier = cut(starts.select("section", "url").distinct())
-    walked = frontier.withColumn("depth", F.lit(1))
+    first = starts.select("section", "url").distinct()
+    listed = first.limit(LISTED + 1).collect()
+    if len(listed) > LISTED:
+        return paginate(first, next_links(anchor_links(parsed, "pager")))
+
+    def table(depths: dict) -> DataFrame:
+        return parsed.sparkSession.createDataFrame([(*k, n) for k, n in depths.items()], StructType([*first.schema.fields, StructField("depth", IntegerType())]))
+
+    depths = {(r["section"], r["url"]): 1 for r in listed}
+    frontier = list(depths)
     for depth in range(2, rounds + 2):
-        pages = reached(parsed, frontier, "url", "anchors")
-        onward = next_links(anchor_links(pages, "pager")).withColumnRenamed("page_url", "url")
-        ahead = frontier.join(onward, "url").select("section", F.col("next_url").alias("url"))
+        pages = parsed.select("page_url", "anchors").filter(F.col("page_url").isin(sorted({url for _, url in frontier if url is not None})))
+        onward = {r["page_url"]: r["next_url"] for r in next_links(anchor_links(pages, "pager")).collect()}
         # On a circle a page comes up again; it counts once.
-        frontier = cut(ahead.join(walked, ["section", "url"], "left_anti"))
-        if frontier.isEmpty():
-            return walked
-        walked = cut(walked.unionByName(frontier.withColumn("depth", F.lit(depth))))
-    rest = paginate(frontier, next_links(anchor_links(parsed, "pager"))).withColumn("depth", F.col("depth") + rounds)
+        frontier = [k for k in dict.fromkeys((section, onward.get(url)) for section, url in frontier) if k[1] is not None and k not in depths]
+        if not frontier:
+            return table(depths)
+        depths |= dict.fromkeys(frontier, depth)
+    rest = paginate(table({k: rounds + 1 for k in frontier}), next_links(anchor_links(parsed, "pager"))).withColumn("depth", F.col("depth") + rounds)
+    walked = table(depths)
     return walked.unionByName(rest.join(walked, ["section", "url"], "left_anti"))
 
 

@@ -148,3 +148,26 @@ def test_a_custom_walk_reads_the_pages_of_its_section(spark, rows, monkeypatch):
     assert sum(read) == 7 + 5
     for rounds in (1, 5):
         assert rows(discover.walk_pages(starts, parsed, rounds)) == expected
+
+
+def test_a_round_of_a_custom_walk_is_a_short_job(spark, rows):
+    anchor = "array<struct<pos:int,box:string,text:string,href:string>>"
+    onward = [(f"http://s/{k}", [(0, "pager", "Next", f"/{k + 1}")]) for k in range(12)] + [("http://s/x", [(0, "pager", "Next", "/3")])]
+    parsed = spark.createDataFrame(onward, f"page_url string, anchors {anchor}")
+    # Two first pages of a section lead to one page, which counts once, at its first depth; an address may be missing.
+    starts = spark.createDataFrame([("A", "http://s/0"), ("A", "http://s/0"), ("B", "http://s/2"), ("B", "http://s/x"), ("C", None)], "section string, url string")
+    spark.sparkContext.setJobGroup("walk", "walk")
+    walked = discover.walk_pages(starts, parsed)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("walk"))
+    spark.sparkContext.setJobGroup("others", "others")
+    expected = [("A", f"http://s/{k}", k + 1) for k in range(13)] + [("B", "http://s/2", 1), ("B", "http://s/x", 1), ("C", None, 1)] + [("B", f"http://s/{k}", k - 1) for k in range(3, 13)]
+    assert rows(walked) == sorted(expected, key=lambda r: tuple((x is None, str(type(x)), x) for x in r))
+    assert jobs <= 3 * 13 + 3
+
+
+def test_more_sections_than_a_filter_lists_are_walked_by_jumps(spark, rows, monkeypatch):
+    monkeypatch.setattr(discover, "LISTED", 2, raising=False)
+    anchor = "array<struct<pos:int,box:string,text:string,href:string>>"
+    parsed = spark.createDataFrame([(f"http://s/{k}", [(0, "pager", "Next", f"/{k + 1}")]) for k in range(5)], f"page_url string, anchors {anchor}")
+    starts = spark.createDataFrame([(str(k), f"http://s/{k}") for k in range(4)], "section string, url string")
+    assert rows(discover.walk_pages(starts, parsed)) == [(str(k), f"http://s/{n}", n - k + 1) for k in range(4) for n in range(k, 6)]
