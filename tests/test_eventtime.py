@@ -117,6 +117,54 @@ def test_wait_outcomes_equal_the_join(spark):
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0
 
 
+def heard(events, wait=60):
+    """What each request hears, request by request."""
+    ends = [(k, t, ["done", "empty", "failed"].index(kind)) for k, _, t, kind in events if kind != "request"]
+    out = {}
+    for key, i, asked, kind in events:
+        if kind == "request":
+            t, said = min(((t, said) for k, t, said in ends if k == key and t > asked), default=(None, 1))
+            out[i] = "timeout" if t is None or t > asked + wait else ["done", "timeout", "failed"][said]
+    return out
+
+
+def test_a_key_with_many_waiters_is_spread(spark):
+    """One key's rows lie in many states, none with more than a few of them; ends at the edges of slots are heard on both sides."""
+    r = random.Random(3)
+    events = [("a", i, r.randrange(20_000), r.choice(["request", "request", "done", "empty", "failed"])) for i in range(800)]
+    edges = [(0, "request"), (60, "done"), (60, "request"), (120, "failed"), (180, "request"), (241, "done"), (299, "request"), (301, "failed"), (301, "done")]
+    events += [("a", 1000 + i, 30_000 + t, kind) for i, (t, kind) in enumerate(edges)]
+    events += [("b", 2000, 30_000, "request"), ("b", 2001, 30_059, "failed")]
+    want = heard(events)
+    mixed = list(events)
+    r.shuffle(mixed)
+    got, late, query = streamed(spark, events, lambda s: e.wait_outcomes(s, "key", 60, "12 hours"), [mixed[k::3] for k in range(3)])
+    assert got == want and late == []
+    assert [got[1000 + i] for i, (_, kind) in enumerate(edges) if kind == "request"] == ["done", "failed", "timeout", "done"]
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) > 200 and held[-1] == 0
+
+
+def test_wait_outcomes_late_rows_and_missing_ids_and_keys(spark):
+    rows = [("a", 1, 0, "request"), ("a", None, 10, "request"), ("a", 2**60 + 1, 20, "request"), (None, 3, 0, "request"), (None, 4, 60, "failed"), ("a", 5, 50, "done")]
+    later = [("a", 6, 50_000, "request")]
+    behind = [("a", 7, 5, "done"), ("c", 8, 20, "request"), ("c", 9, 50_010, "request"), ("c", 10, 50_020, "empty"), ("a", 11, 50_030, "done")]
+    got, late, _ = streamed(spark, rows, lambda s: e.wait_outcomes(s, "key", 60, "15 minutes"), [rows, later, behind])
+    assert got == {1: "done", None: "done", 2**60 + 1: "done", 3: "failed", 6: "done", 9: "timeout"} and late == [7, 8]
+
+
+@pytest.mark.parametrize("kind, one, other", [("long", 2**60, 2**60 + 1), ("double", 0.5, float("nan")), ("date", ZERO.date(), None)])
+def test_wait_outcomes_by_keys_of_any_type(spark, kind, one, other):
+    base = scratch(spark, "events")
+    rows = [(one, 1, at(0), "request"), (other, 2, at(0), "request"), (one, 3, at(10), "done"), (other, 4, at(20), "failed"), (one, 5, at(9**8), "close")]
+    schema = f"key {kind}, id long, at timestamp, kind string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/in")
+    e.drain_apart(e.wait_outcomes(g.read_stream(spark, f"{base}/in", schema), "key"), f"{base}/out", f"{base}/late", f"{base}/state")
+    out = spark.read.parquet(f"{base}/out")
+    assert {x["id"]: x["outcome"] for x in out.collect()} == {1: "done", 2: "failed"}
+    assert out.filter("id = 1").first()["key"] == one and out.schema["key"].dataType.simpleString() == spark.createDataFrame([], schema).schema["key"].dataType.simpleString()
+
+
 def test_single_flight_equals_the_batch_form(spark):
     events = [(k, i, t, "request" if kind == "request" else "end") for k, i, t, kind in history(11)]
     frame = spark.createDataFrame([(k, i, at(t), kind) for k, i, t, kind in events], KIND)
